@@ -1,6 +1,6 @@
 """All registered queries; importing this package fills the registry."""
 
-from olapflow.catalog import snapshots  # noqa: F401
+from olapflow.catalog import rows, snapshots, star  # noqa: F401
 from olapflow.catalog.base import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
