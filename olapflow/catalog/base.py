@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from olapflow.session import tune
+from olapflow.streaming.batches import read_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -23,6 +24,10 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
+    def stream(self, name: str) -> DataFrame:
+        """The same table as unbounded input."""
+        return read_stream(self.spark, self.folder, getattr(self, name).schema, f"{name}.parquet")
+
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 

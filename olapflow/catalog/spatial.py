@@ -127,7 +127,8 @@ def k08(t):
 WITH s AS (SELECT c_nationkey, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS revenue
            FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_nationkey <> 4 GROUP BY 1),
 b AS (SELECT min(revenue) AS lo, max(revenue) AS hi FROM s)
-SELECT n_nationkey, n_name, revenue, CAST(least(floor((revenue - lo) * 5 / (hi - lo)) + 1, 5) AS INTEGER) AS class
+SELECT n_nationkey, n_name, revenue,
+  CASE WHEN revenue IS NOT NULL THEN CAST(least(floor((revenue - lo) * 5 / (hi - lo)) + 1, 5) AS INTEGER) END AS class
 FROM nation CROSS JOIN b LEFT JOIN s ON n_nationkey = c_nationkey""")
 def k09(t):
     stats = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).where("c_nationkey <> 4")

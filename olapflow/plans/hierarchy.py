@@ -85,14 +85,13 @@ def drill(rolled: DataFrame, levels: Sequence[str], expanded: DataFrame, base_le
     levels = list(levels)
     filled = reduce(lambda a, b: a + b, [F.col(c).isNotNull().cast("int") for c in levels])
     opened = expanded.select(*levels).withColumn("__depth", filled)
-    visible = rolled.where(F.col("level_no") <= base_level)
-    layer = rolled.where(F.col("level_no") == base_level)
+    out = rolled
     for depth in range(base_level, len(levels)):
-        path = levels[:depth]
-        parents = layer.select(*path).join(opened.where(F.col("__depth") == depth).select(*path), path, "left_semi")
-        layer = rolled.where(F.col("level_no") == depth + 1).join(parents, path, "left_semi")
-        visible = visible.unionByName(layer.select(*visible.columns))
-    return visible
+        path, mark = levels[:depth], f"__open{depth}"
+        marks = opened.where(F.col("__depth") == depth).select(*path).distinct().withColumn(mark, F.lit(1))
+        # a deeper row is visible only below a member that is open
+        out = out.join(marks, path, "left").where((F.col("level_no") <= depth) | F.col(mark).isNotNull()).drop(mark)
+    return out
 
 
 def toggle(expanded: DataFrame, members: DataFrame) -> DataFrame:

@@ -17,6 +17,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split hot join keys even where that costs one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # needed by custom keyed state on streams
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # merge sessions on the map side, so a hot key ships sessions and not rows
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
 }
