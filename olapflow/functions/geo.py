@@ -37,6 +37,23 @@ def ring_contains(ring: Column, x: Column, y: Column) -> Column:
     return F.pmod(F.aggregate(F.sequence(F.lit(1), n), F.lit(0), crossings), F.lit(2)) == 1
 
 
+def edge_boxes_touch(ring: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """Whether the bounding box of any edge of the ring touches a box."""
+    n = F.size(ring)
+
+    def touches(i):
+        a = F.element_at(ring, i)
+        b = F.element_at(ring, F.pmod(i, n) + 1)
+        return (
+            (F.least(a.x, b.x) <= x1)
+            & (F.greatest(a.x, b.x) >= x0)
+            & (F.least(a.y, b.y) <= y1)
+            & (F.greatest(a.y, b.y) >= y0)
+        )
+
+    return F.exists(F.sequence(F.lit(1), n), touches)
+
+
 def geohash_bits(lon: Column, lat: Column, bits: int = 25) -> Column:
     """Interleaved cell number of ``bits`` bits, longitude first (25 = 13 lon + 12 lat)."""
     lon_bits, lat_bits = (bits + 1) // 2, bits // 2

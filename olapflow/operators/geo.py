@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from olapflow.functions import geo
 from olapflow.operators.agg import quantize, summarize_all
-from olapflow.session import broadcast_if_small
 
 
 def make_point(df: DataFrame, lon: str, lat: str, name: str = "geom") -> DataFrame:
@@ -31,17 +30,35 @@ def count_by_day(df: DataFrame, ts: str) -> DataFrame:
 
 
 def _cells(regions: DataFrame, key: str, ring: str, size: float) -> DataFrame:
-    """Each region once per grid cell its bounding box touches."""
+    """Each region once per grid cell its bounding box touches.
+
+    ``__inside`` marks cells that no edge comes near and whose centre is covered: every
+    point of such a cell lies in the region, so it needs no ray casting.
+    """
     xs, ys = F.transform(ring, lambda p: p.x), F.transform(ring, lambda p: p.y)
 
     def cells(values):
         lo, hi = F.floor(F.array_min(values) / F.lit(size)), F.floor(F.array_max(values) / F.lit(size))
         return F.explode(F.sequence(lo, hi))
 
-    return (
+    grid = (
         regions.select(F.col(key).alias("__key"), F.col(ring).alias("__ring"), cells(xs).alias("__cx"), ys.alias("__ys"))
         .select("__key", "__ring", "__cx", cells(F.col("__ys")).alias("__cy"))
     )
+    left, low = F.col("__cx") * F.lit(size), F.col("__cy") * F.lit(size)
+    near = geo.edge_boxes_touch(F.col("__ring"), left, low, left + F.lit(size), low + F.lit(size))
+    centre = geo.ring_contains(F.col("__ring"), left + F.lit(size / 2), low + F.lit(size / 2))
+    return grid.withColumn("__inside", ~near & centre).where(near | F.col("__inside"))
+
+
+def _cell_bound(regions: DataFrame, ring: str, size: float) -> int:
+    """Upper bound of the rows of the cell table, from the bounding boxes alone."""
+
+    def steps(values):
+        return F.floor(F.array_max(values) / F.lit(size)) - F.floor(F.array_min(values) / F.lit(size)) + 1
+
+    xs, ys = F.transform(ring, lambda p: p.x), F.transform(ring, lambda p: p.y)
+    return regions.agg(F.coalesce(F.sum(steps(xs) * steps(ys)), F.lit(0))).first()[0]
 
 
 def covering_join(
@@ -53,34 +70,43 @@ def covering_join(
     key: str,
     ring: str,
     size: float = 10.0,
-    overlapping: bool = True,
+    max_cells: int = 100_000,
 ) -> DataFrame:
     """Points with the key of the region that covers them; uncovered points are dropped.
 
-    An equi-join on grid cells finds candidates and ray casting decides. The cell table
-    is broadcast when its counted size allows, otherwise the join shuffles by cell.
-    Where regions overlap the lowest key wins; ``overlapping=False`` promises they do
-    not and saves that reduction.
+    Where regions overlap the lowest key wins. Regions are laid out on a grid, points
+    meet the regions of their own cell only, and ray casting decides. Up to
+    ``max_cells`` region cells (counted) the grid is broadcast and the points are not
+    shuffled at all. Beyond that the join shuffles by cell, adaptive execution splits
+    hot cells, and one more grouping by ``point_id`` picks the lowest key.
     """
-    cells = broadcast_if_small(_cells(regions, key, ring, size))
-    placed = points.withColumns({"__cx": F.floor(F.col(lon) / F.lit(size)), "__cy": F.floor(F.col(lat) / F.lit(size))})
-    inside = geo.ring_contains(F.col("__ring"), F.col(lon).cast("double"), F.col(lat).cast("double"))
-    hits = placed.join(cells, ["__cx", "__cy"]).where(inside)
-    hits = hits.select(*points.columns, F.col("__key").alias(key))
-    if not overlapping:
-        return hits
+    cells = _cells(regions, key, ring, size)
+    x, y = F.col(lon).cast("double"), F.col(lat).cast("double")
+    placed = points.withColumns({"__cx": F.floor(x / F.lit(size)), "__cy": F.floor(y / F.lit(size))})
+    if _cell_bound(regions, ring, size) <= max_cells:
+        region = F.struct(
+            F.col("__key").alias("key"), F.col("__inside").alias("inside"), F.col("__ring").alias("ring")
+        )
+        grid = cells.groupBy("__cx", "__cy").agg(F.array_sort(F.collect_list(region)).alias("__regions"))
+        covers = F.filter("__regions", lambda r: r.inside | geo.ring_contains(r.ring, x, y))
+        hits = placed.join(F.broadcast(grid), ["__cx", "__cy"])
+        return hits.select(*points.columns, F.explode(F.slice(covers, 1, 1)).alias("__r")).select(
+            *points.columns, F.col("__r.key").alias(key)
+        )
+    hits = placed.join(cells, ["__cx", "__cy"])
+    hits = hits.where(F.col("__inside") | geo.ring_contains(F.col("__ring"), x, y))
     best = hits.groupBy(F.col(point_id).alias("__id")).agg(
-        F.min_by(F.struct(*points.columns), key).alias("__p"), F.min(key).alias(key)
+        F.min_by(F.struct(*points.columns), "__key").alias("__p"), F.min("__key").alias(key)
     )
     return best.select("__p.*", key)
 
 
 def covering_summary(
     points: DataFrame, point_id: str, lon: str, lat: str, regions: DataFrame, key: str, ring: str,
-    size: float = 10.0, skip: Sequence[str] = (), overlapping: bool = True,
+    size: float = 10.0, skip: Sequence[str] = (),
 ) -> DataFrame:
     """Count, totals and averages of numeric columns per covering region, geometry attached."""
-    covered = covering_join(points, point_id, lon, lat, regions, key, ring, size, overlapping)
+    covered = covering_join(points, point_id, lon, lat, regions, key, ring, size)
     stats = summarize_all(covered, [key], skip=[point_id, lon, lat, *skip])
     return stats.join(regions.select(key, ring), key)
 

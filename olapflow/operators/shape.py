@@ -104,14 +104,10 @@ def concat_fields(df: DataFrame, columns: Sequence[str], sep: str, name: str) ->
     return df.withColumn(name, F.concat_ws(sep, *parts))
 
 
-def words(column: Column) -> Column:
-    """Lower-cased words of a text, split on ASCII non-word characters."""
-    return F.filter(F.split(F.lower(column), r"\W+"), lambda w: w != "")
-
-
 def tokenize(df: DataFrame, column: str, name: str = "word", keep: Sequence[str] = ()) -> DataFrame:
-    """One row per word."""
-    return df.select(*keep, F.explode(words(F.col(column))).alias(name))
+    """One row per lower-cased word, split on ASCII non-word characters."""
+    parts = F.explode(F.split(F.lower(F.col(column)), r"\W+"))
+    return df.select(*keep, parts.alias(name)).where(F.col(name) != "")
 
 
 def word_count(df: DataFrame, column: str) -> DataFrame:

@@ -20,14 +20,14 @@ _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def default_chunk(df: DataFrame, column: str) -> Column:
-    """Hour for times, month for dates, blocks of 65,536 for whole numbers."""
+    """Hour for times, month for dates, blocks of 2^20 for whole numbers."""
     kind = df.schema[column].dataType
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.date_trunc("hour", F.col(column))
     if isinstance(kind, T.DateType):
         return F.trunc(F.col(column), "month")
     if isinstance(kind, _INTEGRAL):
-        return F.expr(f"`{column}` div 65536")
+        return F.expr(f"`{column}` div 1048576")
     raise ValueError(f"pass chunk= for an order column of type {kind.simpleString()}")
 
 
