@@ -285,7 +285,7 @@ def c23(t):
 
 
 @query("c26_ragged_hierarchy", """
-WITH r AS (SELECT c_custkey, [r_name, CASE WHEN n_nationkey % 3 = 0 THEN ' ' ELSE n_name END, CASE WHEN c_custkey % 2 = 0 THEN '' ELSE c_mktsegment END] AS l
+WITH r AS (SELECT c_custkey, [r_name, CASE WHEN r_name = 'ASIA' THEN ' ' ELSE n_name END, CASE WHEN c_acctbal < 2000 THEN '' ELSE c_mktsegment END] AS l
            FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
 p AS (SELECT c_custkey, list_filter(l, lambda x: trim(x) <> '') AS path FROM r)
 SELECT c_custkey, array_to_string(path, '/') AS path, path[len(path) - 1] AS parent FROM p""")
@@ -293,8 +293,8 @@ def c26(t):
     df = _customers(t).select(
         "c_custkey",
         "r_name",
-        F.when(F.col("n_nationkey") % 3 == 0, " ").otherwise(F.col("n_name")).alias("n"),
-        F.when(F.col("c_custkey") % 2 == 0, "").otherwise(F.col("c_mktsegment")).alias("s"),
+        F.when(F.col("r_name") == "ASIA", " ").otherwise(F.col("n_name")).alias("n"),
+        F.when(F.col("c_acctbal") < 2000, "").otherwise(F.col("c_mktsegment")).alias("s"),
     )
     levels = ["r_name", "n", "s"]
     path = F.array_join(hierarchy.ragged_path(levels), "/")

@@ -115,13 +115,16 @@ def t07(t):
 
 
 @query("t08_late_rows", """
-SELECT event_id, user_id FROM (SELECT *, max(ts) OVER (ORDER BY user_id, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM events)
-WHERE ts < seen - INTERVAL 20 DAY""")
+WITH d AS (SELECT event_id, ts - to_seconds(CAST(round(value * 60) AS BIGINT)) AS made_at FROM events)
+SELECT event_id, strftime(made_at, '%Y-%m-%d %H:%M:%S.%f') AS made_at FROM (
+  SELECT *, max(made_at) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM d)
+WHERE made_at < seen - INTERVAL 2 HOUR""")
 def t08(t):
-    # arrival order here is (user, event): every user after the first starts late
-    arrivals = t.events.withColumn("arrival", F.col("user_id") * 1_000_000_000 + F.col("event_id"))
-    out = window.late_rows(arrivals, "arrival", "ts", "20 DAYS", F.col("user_id"))
-    return out.select("event_id", "user_id")
+    """Events made some time before they arrive; the event id is the arrival order."""
+    behind = -F.round(F.col("value") * 60).cast("int")
+    arrivals = t.events.select("event_id", F.timestamp_add("SECOND", behind, F.col("ts")).alias("made_at"))
+    out = window.late_rows(arrivals, "event_id", "made_at", "2 HOURS")
+    return out.select("event_id", iso_time("made_at").alias("made_at"))
 
 
 @query("t09_ingest_time_window_stream")
@@ -157,9 +160,9 @@ def t11_stream(t):
 
 
 @query("t12_parse_events", """
-SELECT event_id, k FROM (SELECT event_id, CASE WHEN event_id % 4 = 0 THEN NULL ELSE CAST(json_extract(props, '$.k') AS BIGINT) END AS k FROM events) WHERE k IS NOT NULL""")
+SELECT event_id, k FROM (SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE CAST(json_extract(props, '$.k') AS BIGINT) END AS k FROM events) WHERE k IS NOT NULL""")
 def t12(t):
-    gaps = F.when(F.col("event_id") % 4 == 0, F.lit('{"delete": 1}')).otherwise(F.col("props"))
+    gaps = F.when(F.col("event_type") == "error", F.lit('{"delete": 1}')).otherwise(F.col("props"))
     return windows.parse_events(t.events.withColumn("doc", gaps), "doc", "k bigint", ["k"], keep=["event_id"])
 
 
@@ -246,14 +249,15 @@ def t19_stream(t):
 
 # ---------------------------------------------------------------- run logs
 
-SQL_RUNS = """runs AS (SELECT user_id, event_id, CASE WHEN event_type = 'signup' THEN 'running' ELSE event_type END AS status, ts,
+SQL_RUNS = """runs AS (SELECT user_id, event_id, CASE WHEN value > 50 THEN 'large load' ELSE 'small load' END AS process_name, CASE WHEN event_type = 'signup' THEN 'running' ELSE event_type END AS status, ts,
   lead(CASE WHEN event_type = 'signup' THEN 'running' ELSE event_type END) OVER w AS nxt, lead(ts) OVER w AS ended
   FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))"""
 
 
 def _runs(t):
     status = F.when(F.col("event_type") == "signup", F.lit("running")).otherwise(F.col("event_type"))
-    log = t.events.select("user_id", "event_id", "ts", status.alias("status"))
+    name = F.when(F.col("value") > 50, "large load").otherwise("small load")
+    log = t.events.select("user_id", "event_id", "ts", name.alias("process_name"), status.alias("status"))
     return runlog.run_log_view(log, "user_id", EV)
 
 
@@ -262,14 +266,14 @@ SELECT user_id, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS start_time, co
        strftime(ended, '%Y-%m-%d %H:%M:%S.%f') AS end_time, (epoch_us(ended) - epoch_us(ts)) // 1000000 AS duration
 FROM runs WHERE status = 'running'""")
 def w05(t):
-    out = _runs(t)
+    out = _runs(t).drop("process_name")
     return out.withColumns({"start_time": iso_time("start_time"), "end_time": iso_time("end_time")})
 
 
 @query("w06_count_running", f"""WITH {SQL_RUNS}
-SELECT count(*) AS running FROM runs WHERE status = 'running' AND coalesce(nxt, 'running') = 'running' AND user_id = 3""")
+SELECT count(*) AS running FROM runs WHERE status = 'running' AND coalesce(nxt, 'running') = 'running' AND process_name = 'large load'""")
 def w06(t):
-    return runlog.count_running(_runs(t), 3, column="user_id")
+    return runlog.count_running(_runs(t), "large load")
 
 
 @query("u10_run_log_write")

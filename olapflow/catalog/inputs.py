@@ -35,10 +35,10 @@ def a01_inferred(t):
 
 
 @query("a02_lines_to_typed_fields", """
-SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS note FROM orders""")
+SELECT o_orderkey, o_totalprice, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS note FROM orders""")
 def a02(t):
     path = scratch_path(t.spark, "order-lines")
-    note = F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderpriority"))
+    note = F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority"))
     t.orders.select(F.concat_ws("|", "o_orderkey", "o_totalprice", note).alias("value")).write.text(path)
     return files.read_lines(t.spark, path).transform(
         files.split_typed("o_orderkey bigint, o_totalprice double, note string", "|")
@@ -203,11 +203,11 @@ def a15(t):
 
 
 @query("a16_pending_files", r"""
-WITH f AS (SELECT p_partkey, p_size, CASE WHEN p_partkey % 5 = 0 THEN 'readme_' ELSE '' END || p_partkey || '_' || replace(p_name, ' ', '_') || '.sql' AS filename FROM part)
+WITH f AS (SELECT p_partkey, p_size, CASE WHEN p_type = 'ECONOMY' THEN 'readme_' ELSE '' END || p_partkey || '_' || replace(p_name, ' ', '_') || '.sql' AS filename FROM part)
 SELECT filename, CAST(regexp_extract(filename, '^([0-9]+)_.+', 1) AS BIGINT) AS version FROM f
 WHERE regexp_matches(filename, '^([0-9]+)_.+') AND filename NOT IN (SELECT filename FROM f WHERE p_size < 25)""")
 def a16(t):
-    prefix = F.when(F.col("p_partkey") % 5 == 0, "readme_").otherwise("")
+    prefix = F.when(F.col("p_type") == "ECONOMY", "readme_").otherwise("")
     name = F.concat(prefix, F.col("p_partkey").cast("string"), F.lit("_"), F.replace("p_name", F.lit(" "), F.lit("_")), F.lit(".sql"))
     listing = t.part.select(name.alias("filename"), "p_size")
     done = listing.where("p_size < 25")
@@ -216,16 +216,16 @@ def a16(t):
 
 @query("a17_document_sink", """
 SELECT 'people' AS index, CAST(c_custkey AS VARCHAR) AS id, '{"key":' || c_custkey || ',"c_mktsegment":"' || c_mktsegment || '"}' AS document
-FROM customer WHERE c_custkey % 3 <> 0""")
+FROM customer WHERE c_mktsegment <> 'BUILDING'""")
 def a17(t):
-    key = F.when(F.col("c_custkey") % 3 != 0, F.col("c_custkey"))
+    key = F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_custkey"))
     good, _ = messages.to_documents(t.customer.select(key.alias("key"), "c_mktsegment"), "people", "key")
     return good
 
 
-@query("a17_rejected_documents", "SELECT c_mktsegment, 'no id' AS reason FROM customer WHERE c_custkey % 3 = 0")
+@query("a17_rejected_documents", "SELECT c_mktsegment, 'no id' AS reason FROM customer WHERE c_mktsegment = 'BUILDING'")
 def a17_bad(t):
-    key = F.when(F.col("c_custkey") % 3 != 0, F.col("c_custkey"))
+    key = F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_custkey"))
     _, bad = messages.to_documents(t.customer.select(key.alias("key"), "c_mktsegment"), "people", "key")
     return bad.select("c_mktsegment", "reason")
 
@@ -258,6 +258,14 @@ def a19(t):
     return t.orders.join(grid, "o_orderstatus").groupBy("label").agg(F.count("*").alias("n"))
 
 
+@query("a20_generated_fields")
+def a20(t):
+    """Synthetic attributes for every customer, with a reference drawn from as many accounts."""
+    ids = t.customer.select(F.col("c_custkey").alias("id"))
+    fields = {"c_custkey": ("id",), "tier": ("enum", ["gold", "silver", "bronze"]), "age": ("range", 18, 90), "account": ("ref", 1000)}
+    return tables.generate_fields(ids, fields)
+
+
 @query("a21_properties_to_variables", """
 SELECT max(r_regionkey) FILTER (r_name = 'ASIA') AS "ASIA", max(r_regionkey) FILTER (r_name = 'EUROPE') AS "EUROPE" FROM region""")
 def a21(t):

@@ -295,10 +295,10 @@ def b26(t):
 
 
 @query("b27_append_document", """
-SELECT event_id, '[' || CASE WHEN event_id % 2 = 0 THEN props || ',' ELSE '' END || '{"k":' || user_id || '}]' AS doc
-FROM (SELECT event_id, user_id, replace(props, ': ', ':') AS props FROM events)""")
+SELECT event_id, '[' || CASE WHEN event_type = 'click' THEN props || ',' ELSE '' END || '{"k":' || user_id || '}]' AS doc
+FROM (SELECT event_id, user_id, event_type, replace(props, ': ', ':') AS props FROM events)""")
 def b27(t):
-    old = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("["), F.col("props"), F.lit("]")))
+    old = F.when(F.col("event_type") == "click", F.concat(F.lit("["), F.col("props"), F.lit("]")))
     df = t.events.withColumn("doc", old)
     return shape.append_document(df, "doc", "struct<k:bigint>", F.struct(F.col("user_id").alias("k"))).select("event_id", "doc")
 
@@ -412,16 +412,19 @@ def g17_roles(t):
 
 
 @query("g19_assign_keys", """
-WITH known AS (SELECT DISTINCT c_nationkey AS nk, c_mktsegment AS seg FROM customer WHERE c_nationkey < 12),
+WITH known AS (SELECT DISTINCT c_nationkey AS nk, c_mktsegment AS seg FROM customer WHERE c_acctbal > 9000),
 dim AS (SELECT nk, seg, row_number() OVER (ORDER BY nk, seg) AS sk FROM known),
 fresh AS (SELECT DISTINCT c_nationkey AS nk, c_mktsegment AS seg FROM customer ANTI JOIN dim ON c_nationkey = nk AND c_mktsegment = seg)
 SELECT nk, seg, sk FROM dim UNION ALL
 SELECT nk, seg, row_number() OVER (ORDER BY nk, seg) + (SELECT max(sk) FROM dim) FROM fresh""")
 def g19(t):
-    natural = t.customer.select(F.col("c_nationkey").alias("nk"), F.col("c_mktsegment").alias("seg"))
+    def pairs(df):
+        return df.select(F.col("c_nationkey").alias("nk"), F.col("c_mktsegment").alias("seg"))
+
+    natural, rich = pairs(t.customer), pairs(t.customer.where("c_acctbal > 9000"))
     empty = natural.limit(0).select(F.lit(None).cast("bigint").alias("sk"), "nk", "seg")
     order = ["nk", "seg"]
-    dim = dims.assign_keys(empty, natural.where("nk < 12"), order, "sk", order, F.col("nk"))
+    dim = dims.assign_keys(empty, rich, order, "sk", order, F.col("nk"))
     return dims.assign_keys(dim, natural, order, "sk", order, F.col("nk"))
 
 

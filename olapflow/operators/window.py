@@ -39,10 +39,14 @@ def _neighbour(df, keys, order, fields, chunk, forward: bool) -> DataFrame:
     if chunk is None:
         chunk = default_chunk(df, order[0])
     names = df.columns
-    at = F.struct(
-        *[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
-        *[F.col(src).alias(f"v{i}") for i, src in enumerate(fields.values())],
-    )
+    plain = set(fields.values()) == {order[0]}
+    if plain:  # the edge of a chunk is a minimum or maximum: a hash aggregate, no sort
+        at = F.col(order[0])
+    else:
+        at = F.struct(
+            *[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
+            *[F.col(src).alias(f"v{i}") for i, src in enumerate(fields.values())],
+        )
     rows = df.withColumn(_CHUNK, chunk).withColumn(_AT, at)
     edge = F.min(_AT) if forward else F.max(_AT)
     by_chunk = Window.partitionBy(*keys).orderBy(_CHUNK)
@@ -57,7 +61,7 @@ def _neighbour(df, keys, order, fields, chunk, forward: bool) -> DataFrame:
     both = rows.withColumn(_SIDE, F.lit(0)).unionByName(carry, allowMissingColumns=True)
     inside = Window.partitionBy(*keys, _CHUNK).orderBy(_SIDE, *order)
     out = both.withColumn(_AT, shift(_AT).over(inside)).where(F.col(_SIDE) == 0)
-    added = [F.col(f"{_AT}.v{i}").alias(name) for i, name in enumerate(fields)]
+    added = [F.col(_AT if plain else f"{_AT}.v{i}").alias(name) for i, name in enumerate(fields)]
     return out.select(*names, *added)
 
 

@@ -118,8 +118,8 @@ def _draw(seed: int, label: str, bound: int) -> Column:
     return F.pmod(F.xxhash64(F.col("id"), F.lit(seed), F.lit(label)), F.lit(bound))
 
 
-def generate_table(spark: SparkSession, n: int, fields: Mapping[str, tuple], seed: int = 42) -> DataFrame:
-    """Synthetic rows, the same for any partitioning.
+def generate_fields(ids: DataFrame, fields: Mapping[str, tuple], seed: int = 42) -> DataFrame:
+    """Synthetic fields for each ``id``, the same for any partitioning.
 
     Field kinds: ``("id",)``, ``("enum", values)``, ``("range", lo, hi)``, and
     ``("ref", rows)``, an id of another table with that many rows.
@@ -137,7 +137,7 @@ def generate_table(spark: SparkSession, n: int, fields: Mapping[str, tuple], see
         else:
             raise ValueError(f"unknown field kind {kind}")
         out.append(column.alias(name))
-    return spark.range(n).select(*out)
+    return ids.select(*out)
 
 
 def generate_tables(spark: SparkSession, model: Mapping[str, tuple[int, Mapping[str, tuple]]], seed: int = 42) -> dict[str, DataFrame]:
@@ -146,7 +146,7 @@ def generate_tables(spark: SparkSession, model: Mapping[str, tuple[int, Mapping[
     out = {}
     for name, (n, fields) in model.items():
         fixed = {f: ("ref", sizes[s[1]]) if s[0] == "ref" else s for f, s in fields.items()}
-        out[name] = generate_table(spark, n, fixed, seed)
+        out[name] = generate_fields(spark.range(n), fixed, seed)
     return out
 
 

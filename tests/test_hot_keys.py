@@ -46,6 +46,19 @@ def test_neighbours(frame, data, width):
     assert {r.i: r.p for r in back.collect()} == {r[2]: want_prev.get(r[2]) for r in data}
 
 
+@pytest.mark.parametrize("width", [1, 7, 1000])
+def test_neighbours_of_the_order_column_itself(frame, data, width):
+    chunk = F.expr(f"t div {width}")
+    want_next, want_prev = {}, {}
+    for group in by_key(data).values():
+        for a, b in zip(group, group[1:]):
+            want_next[a[2]], want_prev[b[2]] = b[1], a[1]
+    ahead = window.next_value(frame, ["k"], ["t", "i"], {"n": "t"}, chunk)
+    back = window.previous_value(frame, ["k"], ["t", "i"], {"p": "t"}, chunk)
+    assert {r.i: r.n for r in ahead.collect()} == {r[2]: want_next.get(r[2]) for r in data}
+    assert {r.i: r.p for r in back.collect()} == {r[2]: want_prev.get(r[2]) for r in data}
+
+
 @pytest.mark.parametrize("width", [1, 7, 1000])
 def test_running_values(frame, data, width):
     chunk = F.expr(f"t div {width}")
