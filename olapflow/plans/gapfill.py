@@ -25,13 +25,15 @@ def fill_buckets(
     ``fill`` is None (null), ``previous`` (last known value) or ``linear`` (between
     the neighbouring known values; null after the last one). ``cumulative`` adds a
     running total that treats gaps as zero. Rows are aggregated per (keys, bucket)
-    first, so each window group is no longer than the requested range. ``start`` must
-    lie on a multiple of ``every`` since 1970-01-01.
+    first, so each window group is no longer than the requested range. ``every`` is of
+    fixed length (seconds to weeks); buckets count from ``start``.
     """
     keys = list(keys)
     in_range = (F.col(ts) >= start) & (F.col(ts) < end + F.expr(f"INTERVAL {every}"))
-    width = F.window(F.col(ts), every).start
-    known = df.where(in_range).groupBy(*keys, width.alias("bucket")).agg(value.alias(name))
+    width = F.timestamp_diff("MICROSECOND", start, start + F.expr(f"INTERVAL {every}"))
+    steps = F.floor(F.timestamp_diff("MICROSECOND", start, F.col(ts)) / width).cast("bigint")
+    bucket = F.timestamp_add("MICROSECOND", steps * width, start)
+    known = df.where(in_range).groupBy(*keys, bucket.alias("bucket")).agg(value.alias(name))
     spine = F.explode(F.sequence(start, end, F.expr(f"INTERVAL {every}"))).alias("bucket")
     if keys:
         grid = df.select(*keys).distinct().select(*keys, spine)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from olapflow.operators.window import next_value, previous_value
@@ -229,7 +229,17 @@ def merge_intervals(
     return done, still
 
 
-def write_intervals(done: DataFrame, still: DataFrame, path: str) -> None:
-    """Append closed intervals and replace the open ones, each in its own folder."""
-    done.write.mode("append").parquet(f"{path}/is_open=false")
-    still.write.mode("overwrite").parquet(f"{path}/is_open=true")
+def write_intervals(done: DataFrame, still: DataFrame, path: str, batch: int) -> None:
+    """Store a maintenance step: closed rows are added, open rows are replaced.
+
+    Both go to folders of this batch with overwrite, so a step that is repeated after a
+    failure leaves the same rows, and nothing that is being read is overwritten.
+    """
+    done.write.mode("overwrite").parquet(f"{path}/closed/batch={batch}")
+    still.write.mode("overwrite").parquet(f"{path}/open/batch={batch}")
+
+
+def read_intervals(spark: SparkSession, path: str, batch: int) -> tuple[DataFrame, DataFrame]:
+    """Closed rows up to a batch, and its open rows; other open folders are not read."""
+    closed = spark.read.parquet(f"{path}/closed").where(F.col("batch") <= batch).drop("batch")
+    return closed, spark.read.parquet(f"{path}/open/batch={batch}")

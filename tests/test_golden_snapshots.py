@@ -110,6 +110,27 @@ def test_merged_intervals_match_a_full_rebuild(spark):
     assert rows(full, "k", "s", "valid_from", "valid_to") == rows(rebuilt, "k", "s", "valid_from", "valid_to")
 
 
+def test_stored_intervals_survive_a_repeated_step(spark, tmp_path):
+    events = spark.createDataFrame([(1, 1, "a"), (1, 3, "b"), (2, 2, "a"), (1, 5, "c"), (3, 6, "a")], "k int, t int, s string")
+    path = str(tmp_path)
+    first = snapshot.to_intervals(events.where("t <= 3"), "k", ["t"], ["s"])
+    snapshot.write_intervals(first.where("valid_to is not null"), first.where("valid_to is null"), path, 0)
+    for _ in range(2):
+        _, open_rows = snapshot.read_intervals(spark, path, 0)
+        done, still = snapshot.merge_intervals(open_rows, events.where("t > 3"), "k", ["t"], ["s"])
+        snapshot.write_intervals(done, still, path, 1)
+    closed, open_rows = snapshot.read_intervals(spark, path, 1)
+    full = snapshot.to_intervals(events, "k", ["t"], ["s"])
+    columns = ["k", "s", "valid_from", "valid_to"]
+    assert rows(closed.unionByName(open_rows), *columns) == rows(full, *columns)
+
+
+def test_buckets_count_from_any_start(spark):
+    df = spark.sql("select timestamp_ntz'2017-01-01 00:20:00' ts, 1 v union all select timestamp_ntz'2017-01-01 00:05:00', 2")
+    out = gapfill.fill_buckets(df, "ts", "10 minutes", ts("2017-01-01 00:05:00"), ts("2017-01-01 00:25:00"), [], F.sum("v"))
+    assert [r.value for r in out.orderBy("bucket").collect()] == [2, 1, None]
+
+
 def test_gap_fill(spark):
     data = [("2017-01-01 00:00:00", 70.0), ("2017-01-05 00:00:00", -20.0), ("2017-01-08 00:00:00", -80.0)]
     df = spark.createDataFrame(data, "t string, amount double").select(F.col("t").cast("timestamp_ntz").alias("ts"), F.lit("joe").alias("user"), "amount")
