@@ -290,10 +290,10 @@ def f08_avg(t):
 
 
 @query("f08_rollup_sum_from_avg", f"""WITH {SQL_AGG}
-SELECT c_mktsegment, round(sum(CAST(bal_sum AS DOUBLE) / bal_count * bal_count), 1) AS bal FROM agg GROUP BY 1""")
+SELECT c_mktsegment, round(sum(CAST(bal_sum AS DOUBLE) / bal_count * bal_count), 2) AS bal FROM agg GROUP BY 1""")
 def f08_sum(t):
     out = agg.rollup_avg(_aggregate(t), ["c_mktsegment"], "bal", "SumFromAvg")
-    return out.withColumn("bal", F.round(F.col("bal").cast("double"), 1))
+    return out.withColumn("bal", F.round(F.col("bal").cast("double"), 2))
 
 
 @query("f09_summarize_all", """

@@ -118,7 +118,8 @@ def build_aggregate(df: DataFrame, keys: Sequence[str], measures: Mapping[str, C
     for name, column in measures.items():
         aggs += [
             F.sum(column).alias(f"{name}_sum"),
-            F.avg(column).alias(f"{name}_avg"),
+            # a quotient of exact sums: decimal averages would be cut to few digits
+            F.try_divide(F.sum(column).cast("double"), F.count(column)).alias(f"{name}_avg"),
             F.count(column).alias(f"{name}_count"),
         ]
     return df.groupBy(*keys).agg(*aggs, F.count(F.lit(1)).alias("row_count"))
