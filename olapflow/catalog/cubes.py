@@ -15,7 +15,8 @@ fact AS (SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(12,2)) AS price FROM or
 
 def _bridge(t):
     out = bridge.weighted_bridge(t.lineitem, "l_orderkey", "l_partkey")
-    return out.withColumn("weight", F.col("weight").cast("decimal(18,9)"))
+    # ten digits are all a weight needs; a wider type would make Spark cut product digits
+    return out.withColumn("weight", F.col("weight").cast("decimal(10,9)"))
 
 
 def _fact(t):
