@@ -9,6 +9,7 @@ partially aggregated summary. The rows themselves are shuffled once.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,6 +35,32 @@ def default_chunk(df: DataFrame, column: str) -> Column:
     raise ValueError(f"pass chunk= for an order column of type {kind.simpleString()}")
 
 
+def order_bounds(df: DataFrame, column: str, parts: int) -> list:
+    """Smallest values of about ``parts`` ranges of equal row counts, taken from the data.
+
+    The column is range-sorted once; one value per range comes to the driver. Nulls are
+    left out. No bounds are needed for one range.
+    """
+    if parts <= 1:
+        return []
+    ranges = df.select(F.col(column).alias("v")).where("v is not null").repartitionByRange(parts, "v")
+    lowest = ranges.withColumn("p", F.spark_partition_id()).groupBy("p").agg(F.min("v").alias("v"))
+    return sorted(r.v for r in lowest.collect())
+
+
+def bound_index(column: Column, bounds: Sequence, kind: T.DataType) -> Column:
+    """Position (from 1) of the range a value falls in; nulls and lower values are in the
+    first. Two levels of bounds keep the search short."""
+    if not bounds:
+        return F.lit(1)
+    values = F.array(*[F.lit(b).cast(kind) for b in bounds])
+    width = max(1, math.isqrt(len(bounds)))
+    heads = F.array(*[F.lit(b).cast(kind) for b in bounds[::width]])
+    head = F.greatest(F.size(F.filter(heads, lambda b: b <= column)), F.lit(1))
+    block = F.slice(values, (head - 1) * width + 1, F.lit(width))
+    return F.greatest((head - 1) * width + F.size(F.filter(block, lambda b: b <= column)), F.lit(1))
+
+
 def _neighbour(df, keys, order, fields, chunk, forward: bool) -> DataFrame:
     """Add ``fields`` (new name -> source column) of the next or previous row."""
     if chunk is None:
