@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from olapflow.llm import lines, mixing, packing, rules, simhash, tokens
+from olapflow.llm import lines, mixing, packing, rules, secrets, simhash, spotsigs, tokens
 from olapflow.llm.base import documents, query
 
 
@@ -135,10 +135,44 @@ def op10(spark, folder):
     return out.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def piece_digest(pieces):
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 @query("op2_curve_packing")
 def op2(spark, folder):
     docs = documents(spark, folder).select("doc_id", "text")
-    pieces = packing.pack(docs, word_bpe())
-    return pieces.select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    return piece_digest(packing.pack(docs, word_bpe()))
+
+
+def _spans(spans):
+    return F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+
+
+def _count_of(spans, kind):
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+@query("op6_secret_scan")
+def op6(spark, folder):
+    docs = documents(spark, folder).select("doc_id", "text")
+    found = secrets.scan_secrets(docs)
+    base = F.filter("secrets", lambda s: s["depth"] == 0)
+    return found.select(
+        "doc_id", *[_count_of(base, kind) for kind in secrets.KINDS],
+        F.sha2(_spans(base), 256).alias("base_sha256"), _spans(F.col("secrets")).alias("spans"),
+    )
+
+
+@query("op8_spot_signatures")
+def op8(spark, folder):
+    docs = documents(spark, folder).select("doc_id", "text")
+    out = spotsigs.compare_with_next(docs)
+    return out.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited_text", 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", "near_edited", "near_next",
     )
