@@ -136,7 +136,9 @@ def quality_rules(
     """
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))
     base = docs.drop("kept", "rejected_by", *(MEASURES if report else []))
-    base = base.withColumn(_TEXT, content).withColumn(_WORDS, words_of(F.col(_TEXT)))
+    # a generator, since a filter on the verdict would carry the splitting into the lambdas,
+    # to be done once per word, if the words came from a plain projection
+    base = base.withColumn(_TEXT, content).withColumn(_WORDS, F.explode(F.array(words_of(F.col(_TEXT)))))
     measured = measures(F.col(_TEXT), F.col(_WORDS))
     if order is None:
         order = rule_order(base, rules(F.col(_TEXT), F.col(_WORDS), measured), sample_rows)
