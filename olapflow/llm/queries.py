@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from olapflow.llm import lines, mixing, packing, rules, secrets, simhash, spotsigs, tokens
+from olapflow.llm import lines, mixing, packing, resample, rules, secrets, simhash, spotsigs, tokens
 from olapflow.llm.base import documents, query
 
 
@@ -176,3 +176,12 @@ def op8(spark, folder):
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited_text", 256).alias("edited_sha256"),
         "fingerprint", "edited_fingerprint", "near_edited", "near_next",
     )
+
+
+@query("op7_importance_resampling")
+def op7(spark, folder):
+    docs = documents(spark, folder).select("doc_id", "text")
+    labels = spark.read.parquet(f"{folder.rstrip('/')}/labels.parquet")
+    clean = F.coalesce((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit(False))
+    good = labels.agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0] or 0.0
+    return resample.resample(docs, resample.target_ids(labels, clean), good)
