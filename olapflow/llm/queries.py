@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from olapflow.llm import lines, mixing, packing, resample, rules, secrets, simhash, spotsigs, tokens
-from olapflow.llm.base import documents, query
+from olapflow.llm import html_text, lines, mixing, packing, resample, rules, secrets, simhash, spotsigs, tokens
+from olapflow.llm.base import documents, query, settle
 
 
 def word_bpe() -> str:
@@ -185,3 +185,10 @@ def op7(spark, folder):
     clean = F.coalesce((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit(False))
     good = labels.agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0] or 0.0
     return resample.resample(docs, resample.target_ids(labels, clean), good)
+
+
+@query("op3_html_text")
+def op3(spark, folder):
+    pages = settle(spark).read.parquet(f"{folder.rstrip('/')}/pages.parquet").select("page_id", "html")
+    out = html_text.extract(pages)
+    return out.select("page_id", "text", F.length("text").cast("long").alias("n_chars"))
