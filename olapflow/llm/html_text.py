@@ -278,6 +278,13 @@ def _grid(rows: list[list[tuple[Node, str]]]) -> list[str]:
         for column, (text, wide) in row.items():
             if wide == 1:
                 widths[column] = max([widths.get(column, 0), *map(_width, text.split("\n"))])
+    for row in placed:  # a cell over several columns widens the last of them
+        for column, (text, wide) in row.items():
+            if wide > 1:
+                room = sum(widths.get(c, 0) for c in range(column, column + wide)) + 2 * (wide - 1)
+                short = max(map(_width, text.split("\n"))) - room
+                if short > 0:
+                    widths[column + wide - 1] = widths.get(column + wide - 1, 0) + short
     out = []
     for row in placed:
         if not any(text for text, _ in row.values()):

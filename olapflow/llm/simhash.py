@@ -183,23 +183,22 @@ def near_duplicates(
 
 
 def distinct_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id. Of rows
-    with that same id one stays, and one of a component in which no row has an id."""
-    found = near_duplicates(docs, text, doc_id)
-    stay = stored(
-        found.groupBy(F.col("component_id").alias("__id"), "root")
-        .agg(F.count_if(F.col("doc_id") == F.col("component_id")).alias("__rows")),
-        "simhash-stay",
+    """``docs`` with one document of each component: the one with the smallest id. If several
+    of its rows have that id, or none has an id, one of those rows stays."""
+    names = docs.columns
+    plain = docs.select([F.col(c).alias(f"c{i}") for i, c in enumerate(names)])
+    text, doc_id = f"c{names.index(text)}", f"c{names.index(doc_id)}"
+    found = stored(near_duplicates(plain, text, doc_id), "simhash-found")
+    ids = stored(
+        found.where("doc_id = component_id").groupBy("component_id").agg(F.count(F.lit(1)).alias("rows")), "simhash-ids"
     )
-    kept = docs.join(stay.where("__id is not null"), F.col(doc_id) == F.col("__id"))
-    parts = [kept.where("__rows = 1").select(*docs.columns)]
-    if not stay.where("__rows > 1").isEmpty():  # repeated ids
-        parts.append(kept.where("__rows > 1").select(*docs.columns).dropDuplicates([doc_id]))
-    if not stay.where("__id is null").isEmpty():  # rows without ids
-        unnamed = docs.where(F.col(doc_id).isNull()).withColumn("__fp", fingerprint(F.col(text).cast("string")))
-        roots = stay.where("__id is null").select(F.col("root").alias("__fp"))
-        parts.append(unnamed.join(roots, "__fp", "left_semi").dropDuplicates(["__fp"]).select(*docs.columns))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    own = F.col(doc_id)
+    out = plain.join(ids.where("rows = 1"), own == F.col("component_id")).select(*plain.columns)
+    several, unnamed = ids.where("rows > 1"), found.where("component_id is null")
+    if not (several.isEmpty() and unnamed.isEmpty()):  # ids that name no single row: go by fingerprint
+        rest = plain.join(several, own == F.col("component_id"), "left_semi").unionByName(plain.where(own.isNull()))
+        prints = found.select("fingerprint", "root", "component_id").distinct()
+        marked = rest.withColumn("fingerprint", fingerprint(F.col(text).cast("string"))).join(prints, "fingerprint")
+        first = marked.where(own.eqNullSafe(F.col("component_id"))).dropDuplicates([doc_id, "root"])
+        out = out.unionByName(first.select(*plain.columns))
+    return out.select([F.col(f"c{i}").alias(c) for i, c in enumerate(names)])

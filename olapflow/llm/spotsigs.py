@@ -3,26 +3,23 @@
 Anchors are the most common words of the corpus. A signature is an anchor with the chain
 of content words (words that are no anchors) that follow it. A document's fingerprint is
 the set of its signatures, hashed, sorted and written as hexadecimal digits. Two
-fingerprints are compared by the Jaccard similarity of their sets.
-
-``similar_documents`` finds all pairs over a threshold: sets are dealt to partitions by
-length, so that only sets whose lengths allow the threshold meet; inside, sets meet on
-their rarest signatures, and a pair is computed in full only where lengths and places
-still allow the threshold.
+fingerprints are compared by the Jaccard similarity of their sets, pruned by length: sets
+are partitioned by their lengths, and only pairs whose lengths leave a chance of reaching
+the floor are intersected.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from olapflow.llm.base import stored
-from olapflow.llm.components import components
 from olapflow.llm.rules import let
 from olapflow.operators.window import bound_index, order_bounds
 
-#: Number of anchors, content words of a chain, threshold of similarity.
-ANCHORS, CHAIN, SIMILAR = 60, 2, 0.8
+#: Number of anchors, content words of a chain, similarity below which sets count as unlike.
+ANCHORS, CHAIN, FLOOR = 60, 2, 0.02
 
 #: Rows that one chunk of the document order should hold.
 CHUNK_ROWS = 20_000
@@ -69,14 +66,26 @@ def as_text(sigs: Column) -> Column:
     return F.array_join(F.transform(sigs, lambda s: F.lpad(F.lower(F.hex(s)), 16, "0")), "")
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Jaccard similarity of two signature sets; two empty sets are alike. Sets of which
-    one is empty are not intersected."""
+def length_part(sigs: Column, floor: float) -> Column:
+    """Partition of a set by its length. Sets whose similarity can reach ``floor`` lie in
+    the same partition or in neighbouring ones."""
+    return F.floor(F.log(F.size(sigs).cast("double")) / F.lit(math.log(1 / floor))).cast("int")
+
+
+def likeness(a: Column, b: Column, floor: float = FLOOR) -> Column:
+    """Jaccard similarity of two signature sets, or 0 where it is below ``floor``.
+
+    The sets are intersected only if they lie in the same or neighbouring length
+    partitions and the shorter is long enough to reach ``floor`` at all. Two empty sets
+    are alike.
+    """
     smaller, larger = F.least(F.size(a), F.size(b)), F.greatest(F.size(a), F.size(b))
-    shared = F.size(F.array_intersect(a, b))
+    far = F.abs(length_part(a, floor) - length_part(b, floor)) > 1
+    jaccard = let(F.size(F.array_intersect(a, b)), lambda n: n / (F.size(a) + F.size(b) - n))
     return (
         F.when(larger == 0, F.lit(1.0)).when(smaller == 0, F.lit(0.0))
-        .otherwise(let(shared, lambda n: n / (F.size(a) + F.size(b) - n)))
+        .when(far | (smaller < F.lit(floor) * larger), F.lit(0.0))
+        .otherwise(let(jaccard, lambda j: F.when(j < floor, 0.0).otherwise(j)))
     )
 
 
