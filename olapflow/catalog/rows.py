@@ -319,7 +319,7 @@ def b29(t):
     )
     names = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     names = names.select(F.col("n_name").alias("name"), F.col("r_name").alias("value"))
-    return shape.substitute_vars(t.customer.select("c_custkey", text.alias("text")), "c_custkey", "text", names)
+    return shape.substitute_vars(t.customer.select("c_custkey", text.alias("text")), "text", names)
 
 
 @query("b31_row_to_json", """

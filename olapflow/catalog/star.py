@@ -148,7 +148,7 @@ def e13(t):
 
 
 @query("e15_nested_xml", """
-SELECT o_custkey, '<customer key="' || o_custkey || '">' || string_agg('<order key="' || o_orderkey || '">' || o_orderstatus || '</order>', '' ORDER BY o_orderkey) || '</customer>' AS xml
+SELECT o_custkey, 0 AS part, '<customer key="' || o_custkey || '">' || string_agg('<order key="' || o_orderkey || '">' || o_orderstatus || '</order>', '' ORDER BY o_orderkey) || '</customer>' AS xml
 FROM orders GROUP BY o_custkey""")
 def e15(t):
     parents = t.customer.select(F.col("c_custkey").alias("o_custkey"))
@@ -158,8 +158,11 @@ def e15(t):
     inner = F.transform(
         "items", lambda x: join.xml_element("order", {"key": x.o_orderkey}, join.xml_escape(x.o_orderstatus))
     )
-    xml = join.xml_element("customer", {"key": F.col("o_custkey")}, F.array_join(inner, ""))
-    return nested.select("o_custkey", xml.alias("xml"))
+    # a customer's parts, put together in order, are one document
+    opening = F.when(F.col("part") == 0, join.xml_open("customer", {"key": F.col("o_custkey")})).otherwise("")
+    closing = F.when(F.col("is_last"), F.lit("</customer>")).otherwise("")
+    xml = F.concat(opening, F.array_join(inner, ""), closing)
+    return nested.select("o_custkey", F.col("part").cast("int").alias("part"), xml.alias("xml"))
 
 
 @query("e16_detect_empty", """
@@ -269,17 +272,15 @@ def _aggregate(t):
 
 
 @query("f07_aggregate_table", f"""WITH {SQL_AGG}
-SELECT n_name, c_mktsegment, CAST(bal_sum AS DOUBLE) AS bal_sum, bal_count, row_count FROM agg""")
+SELECT n_name, c_mktsegment, CAST(bal_sum AS DOUBLE) AS bal_sum, CAST(bal_sum AS DOUBLE) / bal_count AS bal_avg, bal_count, row_count FROM agg""")
 def f07(t):
-    return _aggregate(t).withColumn("bal_sum", F.col("bal_sum").cast("double")).drop("bal_avg")
+    return _aggregate(t).withColumn("bal_sum", F.col("bal_sum").cast("double"))
 
 
 @query("f08_rollup_average_from_sum", f"""WITH {SQL_AGG}
 SELECT n_name, CAST(sum(bal_sum) AS DOUBLE) / sum(bal_count) AS bal FROM agg GROUP BY 1""")
 def f08(t):
-    table = _aggregate(t).withColumn("bal_sum", F.col("bal_sum").cast("decimal(28,2)"))
-    out = table.groupBy("n_name").agg(F.sum("bal_sum").cast("double").alias("bal_sum"), F.sum("bal_count").alias("bal_count"))
-    return agg.rollup_avg(out, ["n_name"], "bal", "AvgFromSum")
+    return agg.rollup_avg(_aggregate(t), ["n_name"], "bal", "AvgFromSum")
 
 
 @query("f08_rollup_average_from_avg", f"""WITH {SQL_AGG}
@@ -299,17 +300,12 @@ def f08_sum(t):
 @query("f09_summarize_all", """
 SELECT p_brand, count(*) AS count, sum(p_size) AS total_p_size, avg(p_size) AS avg_p_size,
        CAST(sum(CAST(p_retailprice AS DECIMAL(12,2))) AS DOUBLE) AS total_p_retailprice,
-       round(CAST(sum(CAST(p_retailprice AS DECIMAL(12,2))) AS DOUBLE) / count(*), 4) AS avg_p_retailprice
+       CAST(sum(CAST(p_retailprice AS DECIMAL(12,2))) AS DOUBLE) / count(*) AS avg_p_retailprice
 FROM part GROUP BY 1""".replace("sum(p_size)", "CAST(sum(p_size) AS BIGINT)"))
 def f09(t):
     df = t.part.withColumn("p_retailprice", money("p_retailprice"))
     out = agg.summarize_all(df, ["p_brand"], skip=["p_partkey"])
-    return out.withColumns(
-        {
-            "total_p_retailprice": F.col("total_p_retailprice").cast("double"),
-            "avg_p_retailprice": F.round(F.col("total_p_retailprice").cast("double") / F.col("count"), 4),
-        }
-    )
+    return out.withColumn("total_p_retailprice", F.col("total_p_retailprice").cast("double"))
 
 
 SALES = {"revenue": ("sum", "price"), "orders": ("count", "*"), "average": ("avg", "price")}
@@ -326,10 +322,8 @@ def _sales(t):
     )
 
 
-def _plain_measures(df):
-    # the exact average has fixed decimals; give back the plain quotient of total and count
-    revenue = F.col("revenue").cast("double")
-    return df.withColumns({"revenue": revenue, "average": revenue / F.col("orders")})
+def _as_double(df):
+    return df.withColumn("revenue", F.col("revenue").cast("double"))
 
 
 @query("f10_rollup_levels", """
@@ -339,7 +333,7 @@ SELECT y, q, m, CAST(3 - grouping(y) - grouping(q) - grouping(m) AS INTEGER) AS
        CAST(sum(p) AS DOUBLE) AS revenue, count(*) AS orders, CAST(sum(p) AS DOUBLE) / count(*) AS average
 FROM s GROUP BY ROLLUP (y, q, m)""")
 def f10(t):
-    return _plain_measures(agg.rollup_levels(_sales(t), ["y", "q", "m"], SALES))
+    return _as_double(agg.rollup_levels(_sales(t), ["y", "q", "m"], SALES))
 
 
 @query("f11_cube_levels", """
@@ -348,7 +342,7 @@ SELECT y, o_orderstatus, CAST(grouping(y) AS INTEGER) AS a_all, CAST(grouping(o_
        CAST(sum(p) AS DOUBLE) AS revenue, count(*) AS orders, CAST(sum(p) AS DOUBLE) / count(*) AS average
 FROM s GROUP BY CUBE (y, o_orderstatus)""")
 def f11(t):
-    return _plain_measures(agg.cube_levels(_sales(t), ["y"], ["o_orderstatus"], SALES))
+    return _as_double(agg.cube_levels(_sales(t), ["y"], ["o_orderstatus"], SALES))
 
 
 TYPES = ["view", "click", "signup", "purchase", "error"]

@@ -43,7 +43,7 @@ def combined_measures(measures: Measures) -> list[Column]:
     out = []
     for name, (how, _) in measures.items():
         if how == "avg":
-            out.append(F.try_divide(F.sum(f"{name}__sum"), F.sum(f"{name}__n")).alias(name))
+            out.append(F.try_divide(F.sum(f"{name}__sum").cast("double"), F.sum(f"{name}__n")).alias(name))
         elif how == "count":
             out.append(F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias(name))
         else:
@@ -134,7 +134,7 @@ def rollup_avg(agg: DataFrame, keys: Sequence[str], measure: str, how: str = "Av
     n = F.col(f"{measure}_count")
     weighted = F.sum(F.col(f"{measure}_avg") * n)
     result = {
-        "AvgFromSum": F.try_divide(F.sum(f"{measure}_sum"), F.sum(n)),
+        "AvgFromSum": F.try_divide(F.sum(f"{measure}_sum").cast("double"), F.sum(n)),
         "AvgFromAvg": F.try_divide(weighted, F.sum(n)),
         "SumFromAvg": weighted,
     }[how]
@@ -146,7 +146,9 @@ def summarize_all(df: DataFrame, keys: Sequence[str], skip: Sequence[str] = ())
     aggs = [F.count(F.lit(1)).alias("count")]
     for field in df.schema:
         if isinstance(field.dataType, T.NumericType) and field.name not in (*keys, *skip):
-            aggs += [F.sum(field.name).alias(f"total_{field.name}"), F.avg(field.name).alias(f"avg_{field.name}")]
+            total = F.sum(field.name)
+            mean = F.try_divide(total.cast("double"), F.count(field.name))  # decimal averages are cut to few digits
+            aggs += [total.alias(f"total_{field.name}"), mean.alias(f"avg_{field.name}")]
     return df.groupBy(*keys).agg(*aggs)
 
 

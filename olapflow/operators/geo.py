@@ -6,9 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from olapflow.functions import geo
 from olapflow.operators.agg import quantize, summarize_all
+from olapflow.session import checkpointed
 
 
 def make_point(df: DataFrame, lon: str, lat: str, name: str = "geom") -> DataFrame:
@@ -29,86 +31,117 @@ def count_by_day(df: DataFrame, ts: str) -> DataFrame:
     return df.groupBy(F.date_format(ts, "yyyyMMdd").alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _cells(regions: DataFrame, key: str, ring: str, size: float) -> DataFrame:
-    """Each region once per grid cell its bounding box touches.
+#: Bytes of the grid up to which it is offered for a broadcast; what it must not exceed is
+#: known from the counted edges.
+BROADCAST_BYTES = 64 << 20
 
-    ``__inside`` marks cells that no edge comes near and whose centre is covered: every
-    point of such a cell lies in the region, so it needs no ray casting.
-    """
-    xs, ys = F.transform(ring, lambda p: p.x), F.transform(ring, lambda p: p.y)
 
-    def cells(values):
-        lo, hi = F.floor(F.array_min(values) / F.lit(size)), F.floor(F.array_max(values) / F.lit(size))
-        return F.explode(F.sequence(lo, hi))
+def rings_of(regions: DataFrame, geometry: str) -> Column:
+    """Rings of a geometry: an array of points is one ring, an array of rings a polygon
+    with its holes, an array of those a multipolygon. Inside follows the even-odd rule."""
+    inner = regions.schema[geometry].dataType.elementType
+    if not isinstance(inner, T.ArrayType):
+        return F.array(geometry)
+    return F.flatten(geometry) if isinstance(inner.elementType, T.ArrayType) else F.col(geometry)
+
+
+def _edges(rings: Column) -> Column:
+    """All edges of all rings; a ring need not repeat its first point."""
+
+    def of_ring(ring: Column) -> Column:
+        return F.transform(ring, lambda p, i: F.struct(
+            p.x.alias("ax"), p.y.alias("ay"),
+            F.coalesce(F.get(ring, i + 1), F.get(ring, F.lit(0))).x.alias("bx"),
+            F.coalesce(F.get(ring, i + 1), F.get(ring, F.lit(0))).y.alias("by"),
+        ))
 
-    grid = (
-        regions.select(F.col(key).alias("__key"), F.col(ring).alias("__ring"), cells(xs).alias("__cx"), ys.alias("__ys"))
-        .select("__key", "__ring", "__cx", cells(F.col("__ys")).alias("__cy"))
+    return F.flatten(F.transform(rings, of_ring))
+
+
+def edges_contain(edges: Column, x: Column, y: Column) -> Column:
+    """Whether a ray to the right crosses an odd number of the edges."""
+    crosses = lambda e: ((e.ay > y) != (e.by > y)) & (
+        x < (e.bx - e.ax) * (y - e.ay) / (e.by - e.ay) + e.ax
     )
-    left, low = F.col("__cx") * F.lit(size), F.col("__cy") * F.lit(size)
-    near = geo.edge_boxes_touch(F.col("__ring"), left, low, left + F.lit(size), low + F.lit(size))
-    centre = geo.ring_contains(F.col("__ring"), left + F.lit(size / 2), low + F.lit(size / 2))
-    return grid.withColumn("__inside", ~near & centre).where(near | F.col("__inside"))
+    return F.size(F.filter(edges, crosses)) % 2 == 1
 
 
-def _cell_bound(regions: DataFrame, ring: str, size: float) -> int:
-    """Upper bound of the rows of the cell table, from the bounding boxes alone."""
+def grid_size(regions: DataFrame, geometry: str) -> float:
+    """Cell size that suits the regions: half of their mean extent, so that most regions
+    touch a few cells and most cells few regions."""
+    points = F.flatten(rings_of(regions, geometry))
+    xs, ys = F.transform(points, lambda p: p.x), F.transform(points, lambda p: p.y)
+    extent = F.greatest(F.array_max(xs) - F.array_min(xs), F.array_max(ys) - F.array_min(ys))
+    mean = regions.agg(F.avg(extent)).first()[0]
+    return max((mean or 1.0) / 2, 1e-6)
 
-    def steps(values):
-        return F.floor(F.array_max(values) / F.lit(size)) - F.floor(F.array_min(values) / F.lit(size)) + 1
 
-    xs, ys = F.transform(ring, lambda p: p.x), F.transform(ring, lambda p: p.y)
-    return regions.agg(F.coalesce(F.sum(steps(xs) * steps(ys)), F.lit(0))).first()[0]
+def _grid(regions: DataFrame, key: str, geometry: str, size: float) -> DataFrame:
+    """One row per grid cell: the regions that may cover its points, lowest key first.
+
+    A region brings only the edges of the cell's row that a ray from the cell can meet. A
+    cell that no edge touches lies inside or outside as a whole and brings none.
+    """
+    side = F.lit(size)
+    own = regions.select(F.col(key).alias("key"), _edges(rings_of(regions, geometry)).alias("edges"))
+    low = lambda e: F.floor(F.least(e.ay, e.by) / side)
+    high = lambda e: F.floor(F.greatest(e.ay, e.by) / side)
+    by_edge = own.select("key", F.explode("edges").alias("e"))
+    rows = by_edge.select("key", "e", F.explode(F.sequence(low(F.col("e")), high(F.col("e")))).alias("cy"))
+    bands = rows.groupBy("key", "cy").agg(
+        F.collect_list("e").alias("edges"),
+        F.min(F.floor(F.least("e.ax", "e.bx") / side)).alias("first"), F.max(F.floor(F.greatest("e.ax", "e.bx") / side)).alias("last"),
+    )
+    cells = bands.select("key", "cy", "edges", F.explode(F.sequence("first", "last")).alias("cx"))
+    left, bottom = F.col("cx") * side, F.col("cy") * side
+    ahead = F.filter("edges", lambda e: F.greatest(e.ax, e.bx) >= left)
+    near = F.exists("edges", lambda e: (
+        (F.greatest(e.ax, e.bx) >= left) & (F.least(e.ax, e.bx) <= left + side)
+        & (F.greatest(e.ay, e.by) >= bottom) & (F.least(e.ay, e.by) <= bottom + side)
+    ))
+    whole = ~near & edges_contain(F.col("edges"), left + side / 2, bottom + side / 2)
+    region = F.struct("key", whole.alias("whole"), F.when(near, ahead).otherwise(F.slice(ahead, 1, 0)).alias("edges"))
+    return (
+        cells.where(near | whole)
+        .groupBy("cx", "cy")
+        .agg(F.array_sort(F.collect_list(region)).alias("__regions"))
+        .select(F.col("cx").alias("__cx"), F.col("cy").alias("__cy"), "__regions")
+    )
 
 
 def covering_join(
-    points: DataFrame,
-    point_id: str,
-    lon: str,
-    lat: str,
-    regions: DataFrame,
-    key: str,
-    ring: str,
-    size: float = 10.0,
-    max_cells: int = 100_000,
+    points: DataFrame, lon: str, lat: str, regions: DataFrame, key: str, geometry: str, size: float | None = None,
 ) -> DataFrame:
     """Points with the key of the region that covers them; uncovered points are dropped.
 
-    Where regions overlap the lowest key wins. Regions are laid out on a grid, points
-    meet the regions of their own cell only, and ray casting decides. Up to
-    ``max_cells`` region cells (counted) the grid is broadcast and the points are not
-    shuffled at all. Beyond that the join shuffles by cell, adaptive execution splits
-    hot cells, and one more grouping by ``point_id`` picks the lowest key.
+    Regions are rings or lists of rings (polygons with holes, multipolygons). Where they
+    overlap the lowest key wins. Regions are laid out on a grid of cells of ``size``
+    degrees, by default from their own extents; a point meets the regions of its cell
+    only, and ray casting over that cell's edges decides. The grid is broadcast if its
+    counted size allows it and joined by cell otherwise, with the same rows either way:
+    every point is kept or dropped on its own, repeated and null ids included.
     """
-    cells = _cells(regions, key, ring, size)
+    size = size or grid_size(regions, geometry)
+    grid = checkpointed(_grid(regions, key, geometry, size))
+    held = grid.agg(F.sum(F.aggregate("__regions", F.lit(64), lambda n, r: n + 64 + 40 * F.size(r.edges)).cast("bigint"))).first()[0]
+    if (held or 0) <= BROADCAST_BYTES:
+        grid = F.broadcast(grid)
     x, y = F.col(lon).cast("double"), F.col(lat).cast("double")
     placed = points.withColumns({"__cx": F.floor(x / F.lit(size)), "__cy": F.floor(y / F.lit(size))})
-    if _cell_bound(regions, ring, size) <= max_cells:
-        region = F.struct(
-            F.col("__key").alias("key"), F.col("__inside").alias("inside"), F.col("__ring").alias("ring")
-        )
-        grid = cells.groupBy("__cx", "__cy").agg(F.array_sort(F.collect_list(region)).alias("__regions"))
-        covers = F.filter("__regions", lambda r: r.inside | geo.ring_contains(r.ring, x, y))
-        hits = placed.join(F.broadcast(grid), ["__cx", "__cy"])
-        return hits.select(*points.columns, F.explode(F.slice(covers, 1, 1)).alias("__r")).select(
-            *points.columns, F.col("__r.key").alias(key)
-        )
-    hits = placed.join(cells, ["__cx", "__cy"])
-    hits = hits.where(F.col("__inside") | geo.ring_contains(F.col("__ring"), x, y))
-    best = hits.groupBy(F.col(point_id).alias("__id")).agg(
-        F.min_by(F.struct(*points.columns), "__key").alias("__p"), F.min("__key").alias(key)
-    )
-    return best.select("__p.*", key)
+    covers = F.filter("__regions", lambda r: r.whole | edges_contain(r.edges, x, y))
+    hits = placed.join(grid, ["__cx", "__cy"])
+    first = hits.select(*points.columns, F.explode(F.slice(covers, 1, 1)).alias("__r"))
+    return first.select(*points.columns, F.col("__r.key").alias(key))
 
 
 def covering_summary(
-    points: DataFrame, point_id: str, lon: str, lat: str, regions: DataFrame, key: str, ring: str,
-    size: float = 10.0, skip: Sequence[str] = (),
+    points: DataFrame, lon: str, lat: str, regions: DataFrame, key: str, geometry: str,
+    size: float | None = None, skip: Sequence[str] = (),
 ) -> DataFrame:
     """Count, totals and averages of numeric columns per covering region, geometry attached."""
-    covered = covering_join(points, point_id, lon, lat, regions, key, ring, size)
-    stats = summarize_all(covered, [key], skip=[point_id, lon, lat, *skip])
-    return stats.join(regions.select(key, ring), key)
+    covered = covering_join(points, lon, lat, regions, key, geometry, size)
+    stats = summarize_all(covered, [key], skip=[lon, lat, *skip])
+    return stats.join(regions.select(key, geometry), key)
 
 
 def density(df: DataFrame, lon: str, lat: str, bits: int = 25) -> DataFrame:
@@ -116,15 +149,29 @@ def density(df: DataFrame, lon: str, lat: str, bits: int = 25) -> DataFrame:
     return df.groupBy(geo.geohash_bits(F.col(lon), F.col(lat), bits).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def to_geojson(df: DataFrame, ring: str, props: Sequence[str], name: str = "feature") -> DataFrame:
-    """One GeoJSON polygon feature per row."""
-    line = F.transform(ring, lambda p: F.array(p.x, p.y))
-    closed = F.when(F.element_at(line, 1) == F.element_at(line, -1), line).otherwise(
-        F.concat(line, F.array(F.element_at(line, 1)))
+def to_geojson(df: DataFrame, geometry: str, props: Sequence[str], name: str = "feature") -> DataFrame:
+    """One GeoJSON feature per row: a Polygon for one ring or a list of rings (outer ring
+    first, then holes), a MultiPolygon for a list of polygons."""
+
+    def closed(ring: Column) -> Column:
+        line = F.transform(ring, lambda p: F.array(p.x, p.y))
+        return F.when(F.element_at(line, 1) == F.element_at(line, -1), line).otherwise(
+            F.concat(line, F.array(F.element_at(line, 1)))
+        )
+
+    depth, kind = 0, df.schema[geometry].dataType
+    while isinstance(kind, T.ArrayType):
+        depth, kind = depth + 1, kind.elementType
+    shape = {
+        1: lambda g: F.array(closed(g)),
+        2: lambda g: F.transform(g, closed),
+        3: lambda g: F.transform(g, lambda polygon: F.transform(polygon, closed)),
+    }[depth]
+    body = F.struct(
+        F.lit("MultiPolygon" if depth == 3 else "Polygon").alias("type"), shape(F.col(geometry)).alias("coordinates")
     )
-    geometry = F.struct(F.lit("Polygon").alias("type"), F.array(closed).alias("coordinates"))
     feature = F.struct(
-        F.lit("Feature").alias("type"), geometry.alias("geometry"), F.struct(*props).alias("properties")
+        F.lit("Feature").alias("type"), body.alias("geometry"), F.struct(*props).alias("properties")
     )
     return df.select(*props, F.to_json(feature).alias(name))
 

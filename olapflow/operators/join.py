@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from olapflow.operators.window import row_index
-from olapflow.session import broadcast_if_small
 
 
 def _both(conds: Sequence[Column]) -> Column:
@@ -87,13 +86,12 @@ def db_join(df: DataFrame, ref: DataFrame, equal: Mapping[str, str], residual: C
     return df.join(ref, cond if residual is None else cond & residual, how)
 
 
-def cross(df: DataFrame, other: DataFrame, cond: Column | None = None, max_rows: int = 100_000) -> DataFrame:
+def cross(df: DataFrame, other: DataFrame, cond: Column | None = None) -> DataFrame:
     """All pairs, optionally filtered; the product itself is the wanted result.
 
-    ``other`` is counted first and broadcast when it has at most ``max_rows`` rows.
+    Whether a side is broadcast follows from Spark's size in bytes.
     """
-    side = broadcast_if_small(other, max_rows)
-    return df.crossJoin(side) if cond is None else df.join(side, cond)
+    return df.crossJoin(other) if cond is None else df.join(other, cond)
 
 
 def _position(df: DataFrame, column: str) -> Column:
@@ -170,7 +168,8 @@ def nest_children(
 
     One row per parent and block of ``block`` children, so a parent that owns a third
     of all children spreads over many rows; joined in ``part`` order they are the
-    whole list. A parent without children has one row with an empty array.
+    whole list, and ``is_last`` marks its end. A parent without children has one row
+    with an empty array.
     """
     item = F.struct(F.col("__i"), F.struct(*fields).alias("item"))
     blocks = (
@@ -180,17 +179,25 @@ def nest_children(
         .agg(F.array_sort(F.collect_list(item)).alias("__items"))
         .withColumn(name, F.transform("__items", lambda x: x.item))
         .drop("__items")
+        .withColumn("is_last", F.col("part") == F.max("part").over(Window.partitionBy("__on")))
     )
     out = parent.join(blocks, F.col(on) == F.col("__on"), "left").drop("__on")
-    return out.withColumns({"part": F.coalesce("part", F.lit(0)), name: F.coalesce(name, F.array())})
+    return out.withColumns({
+        "part": F.coalesce("part", F.lit(0)), name: F.coalesce(name, F.array()), "is_last": F.coalesce("is_last", F.lit(True)),
+    })
 
 
-def xml_element(tag: str, attributes: Mapping[str, Column], body: Column) -> Column:
-    """One XML element with escaped attribute values around a ready body."""
+def xml_open(tag: str, attributes: Mapping[str, Column]) -> Column:
+    """Start tag with escaped attribute values."""
     parts = [F.lit(f"<{tag}")]
     for label, value in attributes.items():
         parts += [F.lit(f' {label}="'), xml_escape(value.cast("string")), F.lit('"')]
-    return F.concat(*parts, F.lit(">"), body, F.lit(f"</{tag}>"))
+    return F.concat(*parts, F.lit(">"))
+
+
+def xml_element(tag: str, attributes: Mapping[str, Column], body: Column) -> Column:
+    """One XML element with escaped attribute values around a ready body."""
+    return F.concat(xml_open(tag, attributes), body, F.lit(f"</{tag}>"))
 
 
 def xml_escape(text: Column) -> Column:

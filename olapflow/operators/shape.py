@@ -186,29 +186,23 @@ def _fill_in(text: Column, values: Column) -> Column:
     return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_PIECES), F.lit(1)), piece), "")
 
 
-def substitute_vars(
-    df: DataFrame, id_col: str, column: str, variables: DataFrame, small: int = 10_000
-) -> DataFrame:
+def substitute_vars(df: DataFrame, column: str, variables: DataFrame) -> DataFrame:
     """Replace ``${NAME}`` in a text from a (name, value) table; unknown names stay.
 
-    Up to ``small`` variables (counted) they travel as one map. Beyond that, only the
-    names a text uses are joined to it.
+    Every distinct text meets only the variables it names, and the filled texts are
+    joined back on the text itself. A name with several values takes the smallest.
     """
-    if not variables.isStreaming and variables.limit(small + 1).count() <= small:
-        entries = F.map_from_entries(F.collect_list(F.struct("name", "value")))
-        mapped = df.withColumn("__vars", variables.agg(entries).scalar())
-        return mapped.withColumn(column, _fill_in(F.col(column), F.col("__vars"))).drop("__vars")
-    used = df.select(
-        id_col,
-        F.explode(F.array_distinct(F.regexp_extract_all(column, F.lit(r"\$\{([^}]+)\}"), F.lit(1)))).alias("name"),
-    )
-    per_text = (
-        used.join(variables, "name")
-        .groupBy(id_col)
+    named = F.array_distinct(F.regexp_extract_all(column, F.lit(r"\$\{([^}]+)\}"), F.lit(1)))
+    used = df.select(F.col(column).alias("__text"), F.explode(named).alias("name")).distinct()
+    single = variables.groupBy("name").agg(F.min("value").alias("value"))
+    filled = (
+        used.join(single, "name")
+        .groupBy("__text")
         .agg(F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("__vars"))
+        .select("__text", _fill_in(F.col("__text"), F.col("__vars")).alias("__filled"))
     )
-    filled = F.when(F.col("__vars").isNull(), F.col(column)).otherwise(_fill_in(F.col(column), F.col("__vars")))
-    return df.join(per_text, id_col, "left").withColumn(column, filled).drop("__vars")
+    out = df.join(filled, F.col(column) == F.col("__text"), "left")
+    return out.withColumn(column, F.coalesce("__filled", column)).drop("__text", "__filled")
 
 
 def row_to_json(df: DataFrame, columns: Sequence[str] | None = None, name: str = "json") -> DataFrame:

@@ -59,14 +59,16 @@ def per_group(
     order: Sequence[str],
     fn: Callable[[pd.DataFrame], pd.DataFrame],
     schema: str,
-    block: int = 10_000,
+    block: int | None = None,
     chunk: Column | None = None,
 ) -> DataFrame:
-    """Run a function per group of records, in order.
+    """Run a function per group of records, in order. It always sees the whole group.
 
-    A group longer than ``block`` rows is passed in several calls, each with its
-    ``block_no``, so the function must work on parts of a group.
+    With ``block`` the groups are runs of that many rows of a key, numbered by
+    ``block_no``: choose it for functions that work on parts, where keys may be large.
     """
+    if block is None:
+        return df.groupBy(*keys).applyInPandas(lambda pdf: fn(pdf.sort_values(list(order))), schema)
     numbered = row_index(df, keys, order, "__i", chunk=chunk).withColumn("block_no", F.expr(f"__i div {int(block)}"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:

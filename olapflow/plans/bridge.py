@@ -107,7 +107,8 @@ def maintain_bridge(
     is written to the shared checkpoint folder once instead of being computed again.
     """
     new_dim = checkpointed(assign_keys(dim, incoming, [name], item, order, name_chunk))
-    keyed = checkpointed(incoming.join(new_dim, name).select(record, item).distinct())
+    named = incoming[name].eqNullSafe(new_dim[name])  # a null item is an item
+    keyed = checkpointed(incoming.join(new_dim, named).select(incoming[record], new_dim[item]).distinct())
     known = checkpointed(match_groups(bridge, group, item, keyed, record, "__known"))
     fresh = keyed.join(known.where(F.col("__known").isNull()), record, "left_semi")
     fresh = checkpointed(fresh)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -152,8 +154,7 @@ class Cube:
         for dim in self.dims.values():
             if not levels & set(dim.table.columns):
                 continue
-            for a, b in dim.on.items():
-                df = df.join(dim.table, df[a] == dim.table[b])
+            df = df.join(dim.table, reduce(and_, [df[a] == dim.table[b] for a, b in dim.on.items()]))
         return df
 
     def query(

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -56,20 +58,22 @@ def assign_keys(
     sk: str,
     order: Sequence[str] | None = None,
     chunk: Column | None = None,
+    attributes: Sequence[str] = (),
 ) -> DataFrame:
     """The dimension with every unknown natural key added under a new surrogate key.
 
+    All columns of the dimension stay. New rows get the ``attributes`` of the incoming
+    rows, the smallest combination where a key comes with several, and null elsewhere.
+
     Known keys keep theirs. New ones follow the largest known key in the order of
     ``order``; numbering runs per chunk, so no task sees all new keys. Without an
     order they are spread over hash buckets and numbered by (bucket, key).
     """
     natural_key = list(natural_key)
     known = dim.select(*natural_key)
-    same = [known[k].eqNullSafe(incoming[k]) for k in natural_key]
-    cond = same[0]
-    for part in same[1:]:
-        cond = cond & part
-    fresh = incoming.select(*natural_key).distinct().join(known, cond, "left_anti")
+    described = incoming.groupBy(*natural_key).agg(F.min(F.struct(F.lit(0), *attributes)).alias("__told"))
+    cond = reduce(and_, [known[k].eqNullSafe(described[k]) for k in natural_key])
+    fresh = described.join(known, cond, "left_anti")
     if order is None:
         fresh = fresh.withColumn("__h", F.pmod(F.xxhash64(*natural_key), F.lit(4096)).cast("int"))
         numbered = row_index(fresh, [], ["__h", *natural_key], "__i", 1, F.col("__h"))
@@ -77,5 +81,8 @@ def assign_keys(
         numbered = row_index(fresh, [], order, "__i", 1, chunk)
     top = dim.agg(F.coalesce(F.max(sk), F.lit(0)).cast("bigint").alias("top"))
     # one row by construction, read once as a scalar subquery
-    added = numbered.select((F.col("__i") + top.scalar()).alias(sk), *natural_key)
-    return dim.select(F.col(sk).cast("bigint").alias(sk), *natural_key).unionByName(added)
+    told = [F.col(f"__told.{a}").alias(a) for a in attributes]
+    added = numbered.select((F.col("__i") + top.scalar()).alias(sk), *natural_key, *told)
+    rest = [c for c in dim.columns if c not in (sk, *natural_key)]
+    whole = dim.select(F.col(sk).cast("bigint").alias(sk), *natural_key, *rest)
+    return whole.unionByName(added, allowMissingColumns=True)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,22 +14,25 @@ from olapflow.operators.window import row_index
 from olapflow.session import checkpointed
 
 
-def closure(edges: DataFrame, child: str, parent: str, max_depth: int = 4096) -> DataFrame:
+def closure(edges: DataFrame, child: str, parent: str) -> DataFrame:
     """All (ancestor, descendant, distance) pairs of a tree, each node with itself at 0.
 
     Every round doubles the distance covered: each node keeps one pointer to its
     ancestor 2^k levels up and takes over the pairs that ancestor already has. A tree
     of depth d needs about log2(d) rounds. New pairs and pointers are checkpointed per
-    round, so lost executors do not replay the whole loop. A cycle raises an error.
+    round, so lost executors do not replay the whole loop. A tree is at most as deep as it
+    has nodes; pointers that are left beyond that lie on a cycle, which raises an error.
     """
     links = edges.where(F.col(parent).isNotNull() & (F.col(parent) != F.col(child)))
     pointer = checkpointed(links.select(F.col(child).alias("node"), F.col(parent).alias("up")).distinct())
     nodes = edges.select(F.col(child).alias("n")).union(edges.select(F.col(parent))).where("n is not null").distinct()
+    nodes = checkpointed(nodes)
+    most = nodes.count()
     parts = [nodes.select(F.col("n").alias("ancestor"), F.col("n").alias("descendant"), F.lit(0).alias("distance"))]
     span = 1
     while not pointer.isEmpty():
-        if span > max_depth:
-            raise ValueError(f"no root within {max_depth} levels: the edges hold a cycle or a deeper tree")
+        if span > most:
+            raise ValueError("the edges hold a cycle")
         have = reduce(lambda a, b: a.union(b), parts)
         grown = pointer.join(have, F.col("up") == F.col("descendant")).select(
             "ancestor", F.col("node").alias("descendant"), (F.col("distance") + span).alias("distance")
@@ -101,35 +105,46 @@ def toggle(expanded: DataFrame, members: DataFrame) -> DataFrame:
     return both.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n")).where("__n = 1").drop("__n")
 
 
-def _unique_name(levels: Sequence[str]) -> Column:
-    parts = [F.when(F.col(c).isNotNull(), F.concat(F.lit("["), F.col(c).cast("string"), F.lit("]"))) for c in levels]
+def _unique_name(levels: Sequence[str], depth: Column) -> Column:
+    """Path down to ``depth``; a null member is written #null."""
+    parts = [
+        F.when(depth > i, F.concat(F.lit("["), F.coalesce(F.col(c).cast("string"), F.lit("#null")), F.lit("]")))
+        for i, c in enumerate(levels)
+    ]
     return F.concat_ws(".", F.lit("[All]"), *parts)
 
 
 def members(dim: DataFrame, levels: Sequence[str]) -> DataFrame:
-    """One row per member of a level hierarchy with its intrinsic properties."""
+    """One row per member of a level hierarchy with its intrinsic properties.
+
+    The level number tells a null member from a collapsed level.
+    """
     levels = list(levels)
     rolled = rollup_levels(dim, levels, {"__rows": ("count", "*")})
     path = F.array(*[F.col(c).cast("string") for c in levels])
     named = rolled.withColumns(
         {
-            "unique_name": _unique_name(levels),
-            "name": F.when(F.col("level_no") == 0, F.lit("All")).otherwise(F.get(path, F.col("level_no") - 1)),
+            "unique_name": _unique_name(levels, F.col("level_no")),
+            "name": F.when(F.col("level_no") == 0, F.lit("All")).otherwise(
+                F.coalesce(F.get(path, F.col("level_no") - 1), F.lit("#null"))
+            ),
+            "parent_unique_name": F.when(F.col("level_no") > 0, _unique_name(levels, F.col("level_no") - 1)),
         }
     )
-    named = named.withColumn(
-        "parent_unique_name",
-        F.when(F.col("level_no") > 0, F.expr("substring(unique_name, 1, length(unique_name) - length(name) - 3)")),
-    )
+    above = {f"__p{i}": F.when(F.col("level_no") - 1 > i, F.col(c)) for i, c in enumerate(levels)}
     counts = (
-        named.where(F.col("parent_unique_name").isNotNull())
-        .groupBy(F.col("parent_unique_name").alias("__p"))
+        named.where("level_no > 0")
+        .groupBy((F.col("level_no") - 1).alias("__level"), *[v.alias(n) for n, v in above.items()])
         .agg(F.count(F.lit(1)).alias("__children"))
     )
-    out = named.join(counts, F.col("unique_name") == F.col("__p"), "left").withColumn(
+    own = [F.col(c).eqNullSafe(F.col(f"__p{i}")) for i, c in enumerate(levels)]
+    out = named.join(counts, reduce(and_, own, F.col("level_no") == F.col("__level")), "left").withColumn(
         "child_count", F.coalesce("__children", F.lit(0))
     )
-    out = row_index(out.drop("__p", "__children", "__rows"), [], levels, "ordinal", 0, F.col(levels[0]))
+    # a collapsed level comes before its members, the null member first among them
+    out = out.withColumns({f"__in{i}": F.col("level_no") > i for i in range(len(levels))})
+    order = [name for i, c in enumerate(levels) for name in (f"__in{i}", c)]
+    out = row_index(out, [], order, "ordinal", 0, F.col(levels[0]))
     return out.select("level_no", "level_name", "name", "unique_name", "parent_unique_name", "ordinal", "child_count")
 
 

@@ -1,4 +1,4 @@
-"""Session settings, scratch storage and size-checked broadcasts."""
+"""Session settings and scratch storage."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Runtime SQL settings the operators rely on at scale.
 RUNTIME_SETTINGS = {
@@ -75,16 +74,3 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only after counting at most ``max_rows`` + 1 rows.
-
-    Above the bound the frame comes back without a hint, so the join shuffles and
-    adaptive execution splits its hot keys.
-    """
-    if df.isStreaming:
-        return df
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df

@@ -16,7 +16,6 @@ TYPE_NAMES = {
     "Timestamp": "timestamp",
     "Boolean": "boolean",
 }
-MAX_FILES = 10_000
 
 
 def read_by_metadata(spark: SparkSession, files: DataFrame, fields: DataFrame) -> dict[str, DataFrame]:
@@ -24,17 +23,17 @@ def read_by_metadata(spark: SparkSession, files: DataFrame, fields: DataFrame) -
 
     ``files``: file_id, path, delimiter, enclosure, has_header. ``fields``: file_id,
     position, field_name, field_type, field_format, null_representation. The
-    descriptions are read by the driver (refused above 10,000 groups), the files are not.
+    descriptions are read by the driver, since each group is a frame of its own, the files
+    are not. A group without fields raises an error.
     """
     shape = F.array_sort(
         F.collect_list(F.struct("position", "field_name", "field_type", "field_format", "null_representation"))
     )
-    groups = files.join(fields.groupBy("file_id").agg(shape.alias("fields")), "file_id")
-    described = groups.limit(MAX_FILES + 1).collect()
-    if len(described) > MAX_FILES:
-        raise ValueError(f"more than {MAX_FILES} file groups")
+    groups = files.join(fields.groupBy("file_id").agg(shape.alias("fields")), "file_id", "left")
     out = {}
-    for row in described:
+    for row in groups.toLocalIterator():
+        if not row.fields:
+            raise ValueError(f"file group {row.file_id} has no fields")
         raw = T.StructType([T.StructField(f.field_name, T.StringType()) for f in row.fields])
         df = (
             spark.read.schema(raw)

@@ -95,7 +95,14 @@ def test_closure_of_larger_trees(spark, shape):
 def test_cycles_are_reported(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "child int, parent int")
     with pytest.raises(ValueError, match="cycle"):
-        hierarchy.closure(edges, "child", "parent", max_depth=8)
+        hierarchy.closure(edges, "child", "parent")
+
+
+def test_a_tree_of_any_depth(spark):
+    depth = 3_000
+    links = spark.range(1, depth + 1).select(F.col("id").alias("child"), (F.col("id") - 1).alias("parent"))
+    pairs = hierarchy.closure(links, "child", "parent")
+    assert pairs.agg(F.max("distance")).first()[0] == depth
 
 
 def test_tree_totals(spark, tree):
@@ -166,26 +173,42 @@ RINGS = {
 }
 
 
-@pytest.mark.parametrize("max_cells", [100_000, 0])
-def test_covering_join_equals_brute_force(spark, max_cells):
+@pytest.mark.parametrize("size", [7.0, None])
+@pytest.mark.parametrize("bound", [1 << 26, -1])
+def test_covering_join_equals_brute_force(spark, monkeypatch, size, bound):
+    monkeypatch.setattr(geo, "BROADCAST_BYTES", bound)
     rng = random.Random(3)
     points = [(i, rng.uniform(-62, 62), rng.uniform(-62, 62)) for i in range(400)]
     points += [(1000 + i, float(x), float(y)) for i, (x, y) in enumerate([(0, 0), (10, 10), (15, 5), (20, 10), (-20, -20)])]
     want = []
     for i, x, y in points:
         keys = sorted(k for k, ring in RINGS.items() if ray(ring, x, y))
-        want += [(i, keys[0])] if keys else []
+        want += [(i % 7 or None, keys[0])] if keys else []
     ring_type = "array<struct<x:double,y:double>>"
     regions = spark.createDataFrame([(k, [(float(a), float(b)) for a, b in r]) for k, r in RINGS.items()], f"k int, ring {ring_type}")
+    points = [(i % 7 or None, x, y) for i, x, y in points]  # repeated and null ids
     df = spark.createDataFrame(points, "id int, lon double, lat double")
-    out = geo.covering_join(df, "id", "lon", "lat", regions, "k", "ring", size=7.0, max_cells=max_cells)
-    assert sorted((r.id, r.k) for r in out.collect()) == sorted(want)
+    out = geo.covering_join(df, "lon", "lat", regions, "k", "ring", size=size)
+    assert sorted(((r.id, r.k) for r in out.collect()), key=str) == sorted(want, key=str)
+
+
+def test_holes_and_several_polygons(spark):
+    square = lambda x, y, n: [(float(x), float(y)), (float(x + n), float(y)), (float(x + n), float(y + n)), (float(x), float(y + n))]
+    shape = [[square(0, 0, 30), square(10, 10, 10)], [square(50, 0, 5)]]  # one polygon with a hole, and another
+    kind = "array<array<array<struct<x:double,y:double>>>>"
+    regions = spark.createDataFrame([(1, shape), (2, [[square(12, 12, 3)]])], f"k int, shape {kind}")
+    places = {"in": (5, 5), "hole": (18, 18), "other": (52, 2), "island": (13, 13), "out": (40, 40)}
+    points = spark.createDataFrame([(n, float(x), float(y)) for n, (x, y) in places.items()], "n string, lon double, lat double")
+    got = {r.n: r.k for r in geo.covering_join(points, "lon", "lat", regions, "k", "shape").collect()}
+    assert got == {"in": 1, "other": 1, "island": 2}
+    feature = geo.to_geojson(regions.where("k = 2"), "shape", ["k"]).first().feature
+    assert feature.startswith('{"type":"Feature","geometry":{"type":"MultiPolygon","coordinates":[[[[12.0,12.0],')
 
 
 def test_single_point_regions_are_kept(spark):
     regions = spark.createDataFrame([(1, [(0.0, 0.0), (5.0, 0.0), (5.0, 5.0), (0.0, 5.0)])], "k int, ring array<struct<x:double,y:double>>")
     points = spark.createDataFrame([(1, 1.0, 1.0, 4.0)], "id int, lon double, lat double, v double")
-    out = geo.covering_summary(points, "id", "lon", "lat", regions, "k", "ring").first()
+    out = geo.covering_summary(points, "lon", "lat", regions, "k", "ring", skip=["id"]).first()
     assert (out["count"], out.total_v, out.avg_v) == (1, 4.0, 4.0)
 
 

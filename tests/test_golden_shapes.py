@@ -97,8 +97,7 @@ def test_variables_both_ways(spark):
     texts = spark.createDataFrame([(1, "a ${X} b ${Y} $ ${Z}"), (2, "plain"), (3, "${X}${X}")], "id int, t string")
     names = spark.createDataFrame([("X", "1"), ("Y", "${X}")], "name string, value string")
     want = [(1, "a 1 b ${X} $ ${Z}"), (2, "plain"), (3, "11")]
-    assert rows(shape.substitute_vars(texts, "id", "t", names)) == want
-    assert rows(shape.substitute_vars(texts, "id", "t", names, small=0), "id", "t") == want
+    assert rows(shape.substitute_vars(texts, "t", names)) == want
 
 
 def test_stream_lookup_takes_first_match_once(spark):
