@@ -34,10 +34,9 @@ _WIDTH, _DIMS, _BITS = 256, 4, 12
 _IDS: dict[str, _Kept] = {}
 
 
-def _word_ids(path: str, kind: str) -> _Kept:
+def _word_ids(path: str) -> _Kept:
     if path not in _IDS:
-        tokenizer = load(path)
-        _IDS[path] = _Kept(lambda w: np.array(tokenizer.word_ids(w), kind).tobytes(), room=200_000)
+        _IDS[path] = _Kept(load(path).word_ids)
     return _IDS[path]
 
 
@@ -93,14 +92,14 @@ def encode(docs: DataFrame, path: str, text: str, doc_id: str, end_id: int) -> D
     """``doc_id``, ``key``, ``n`` (tokens with the end id) and ``ids`` (little-endian, two
     bytes each where the vocabulary allows) of each document."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    kind = "<u2" if load(path).size <= 1 << 16 else "<u4"
+    kind = f"<u{load(path).width}"
     schema = StructType([
         StructField("doc_id", rows.schema["doc_id"].dataType), StructField("key", LongType()),
         StructField("n", LongType()), StructField("ids", BinaryType()),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, look, end = load(path), _word_ids(path, kind).__getitem__, np.array([end_id], kind).tobytes()
+        tokenizer, look, end = load(path), _word_ids(path).__getitem__, np.array([end_id], kind).tobytes()
         for batch in batches:
             packed = []
             for value in batch.column(1).cast(pa.binary()).to_pylist():
@@ -109,7 +108,7 @@ def encode(docs: DataFrame, path: str, text: str, doc_id: str, end_id: int) -> D
                 elif tokenizer.by_word:
                     packed.append(b"".join(map(look, value.split())) + end)
                 else:
-                    packed.append(np.array(tokenizer.text_ids(value.decode("utf-8", "replace")), kind).tobytes() + end)
+                    packed.append(tokenizer.text_ids(value.decode("utf-8", "replace")) + end)
             ids = [np.frombuffer(p, kind) for p in packed]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(curve_keys(ids)), pa.array([len(i) for i in ids], pa.int64()), pa.array(packed, pa.binary())],
@@ -186,7 +185,7 @@ def pack(
     tokens = encoded.agg(F.sum("n")).first()[0] or 0
     shuffle = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tasks = max(1, tokens // TASK_MOST, min(shuffle, tokens // TASK_LEAST))
-    kind = "<u2" if load(path).size <= 1 << 16 else "<u4"
+    kind = f"<u{load(path).width}"
     order = ["key", F.xxhash64("doc_id"), "doc_id", "n", F.crc32("ids")]
     schema = StructType([
         encoded.schema["doc_id"], *[StructField(c, LongType()) for c in ("start", "length")], StructField("ids", BinaryType()),

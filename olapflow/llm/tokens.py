@@ -55,8 +55,8 @@ def _counter(path: str, mark: str, words: list[bytes]):
     if mark not in _COUNTERS:
         _COUNTERS.clear()
         tokenizer = load(path)
-        first = {w: len(tokenizer.word_ids(w)) for w in words}
-        _COUNTERS[mark] = tokenizer, _Kept(lambda w: len(tokenizer.word_ids(w)), first)
+        first = {w: len(tokenizer.word_ids(w)) // tokenizer.width for w in words}
+        _COUNTERS[mark] = tokenizer, _Kept(lambda w: len(tokenizer.word_ids(w)) // tokenizer.width, first)
     return _COUNTERS[mark]
 
 
@@ -75,7 +75,7 @@ def token_length(docs: DataFrame, path: str, text: str = "text") -> Column:
             if tokenizer.by_word:
                 counts = [sum(map(look, v.split())) if v else 0 for v in values]
             else:
-                counts = [len(tokenizer.text_ids(v.decode("utf-8", "replace"))) if v else 0 for v in values]
+                counts = [len(tokenizer.text_ids(v.decode("utf-8", "replace"))) // tokenizer.width if v else 0 for v in values]
             yield pa.array(counts, pa.int64())
 
     return n_tokens(F.col(text).cast("string"))
