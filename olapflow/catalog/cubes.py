@@ -42,6 +42,26 @@ def c01_rows(t):
     return out.select("l_orderkey", "l_partkey", _four_digits("price").alias("price"))
 
 
+@query("c01_totals_preserved", """
+SELECT o_orderkey AS l_orderkey, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS price
+FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)""")
+def c01_preserved(t):
+    """Shares to the cent add up to each order's price again."""
+    shares = bridge.allocate_exact(_fact(t), t.lineitem, "l_orderkey", "l_partkey", ["price"])
+    return shares.groupBy("l_orderkey").agg(F.sum("price").cast("double").alias("price"))
+
+
+@query("c01_exact_allocation", """
+WITH b AS (SELECT l_orderkey, l_partkey, count(*) OVER g AS n, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey) AS place
+  FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) WINDOW g AS (PARTITION BY l_orderkey)),
+f AS (SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(12,2)) * 100 AS BIGINT) AS cents FROM orders)
+SELECT l_partkey, CAST(CAST(sum(cents // n + CASE WHEN place <= cents % n THEN 1 ELSE 0 END) AS DECIMAL(28,2)) / 100 AS DOUBLE) AS price
+FROM f JOIN b ON o_orderkey = l_orderkey GROUP BY 1""")
+def c01_exact(t):
+    shares = bridge.allocate_exact(_fact(t), t.lineitem, "l_orderkey", "l_partkey", ["price"])
+    return shares.groupBy("l_partkey").agg(F.sum("price").cast("double").alias("price"))
+
+
 @query("c02_impact_report", f"""WITH {SQL_BRIDGE}
 SELECT l_partkey, CAST(sum(price) AS DOUBLE) AS price FROM fact JOIN bridge ON o_orderkey = l_orderkey GROUP BY 1""")
 def c02(t):
@@ -59,12 +79,12 @@ def c07(t):
 
 
 @query("c07_match_supersets_do_not_count", """
-WITH s AS (SELECT user_id, list(DISTINCT event_type ORDER BY event_type) AS items FROM events WHERE value > 100 GROUP BY 1),
+WITH s AS (SELECT user_id, list(DISTINCT event_type ORDER BY event_type) AS items FROM events GROUP BY 1),
 b AS (SELECT user_id * 31 + day(ts) AS g, list(DISTINCT event_type ORDER BY event_type) AS items FROM events GROUP BY 1)
 SELECT user_id, min(g) AS matched_group FROM s LEFT JOIN b ON s.items = b.items GROUP BY user_id""")
 def c07_sets(t):
     have = t.events.select((F.col("user_id") * 31 + F.dayofmonth("ts")).alias("g"), "event_type")
-    want = t.events.where("value > 100").select("user_id", "event_type")
+    want = t.events.select("user_id", "event_type")
     return bridge.match_groups(have, "g", "event_type", want, "user_id")
 
 
@@ -105,6 +125,23 @@ def c08_rows(t):
     return first.select("group_tk", "item_tk", "weight").unionByName(added.select("group_tk", "item_tk", "weight"))
 
 
+@query("c08_null_items", """
+WITH recs AS (SELECT user_id * 100 + day(ts) AS rec, list(DISTINCT coalesce(nullif(event_type, 'click'), '-') ORDER BY coalesce(nullif(event_type, 'click'), '-')) AS items
+  FROM events GROUP BY 1),
+g AS (SELECT items, row_number() OVER (ORDER BY min(rec)) AS group_tk FROM recs GROUP BY items)
+SELECT rec, group_tk FROM recs JOIN g USING (items)""")
+def c08_null(t):
+    recs = t.events.select(
+        (F.col("user_id") * 100 + F.dayofmonth("ts")).alias("rec"), F.nullif("event_type", F.lit("click")).alias("event_type")
+    )
+    no_dim = recs.limit(0).select(F.lit(None).cast("bigint").alias("item_tk"), "event_type")
+    no_bridge = recs.limit(0).select(
+        F.lit(None).cast("bigint").alias("group_tk"), F.lit(None).cast("bigint").alias("item_tk"),
+        F.lit(None).cast("double").alias("weight"),
+    )
+    return bridge.maintain_bridge(no_bridge, no_dim, recs, "rec", "event_type")[2]
+
+
 @query("c09_drill_across", """
 WITH a AS (SELECT o_custkey AS cust, count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS revenue FROM orders
            WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')) GROUP BY 1),
@@ -260,6 +297,22 @@ def c21(t):
     return hierarchy.drill(rolled, GEO_LEVELS, hierarchy.toggle(_expanded(t), clicked))
 
 
+@query("c22_null_members", """
+WITH geo AS (SELECT DISTINCT CASE WHEN r_name <> 'ASIA' THEN r_name END AS r, CASE WHEN n_nationkey % 4 > 0 THEN n_name END AS n
+  FROM nation JOIN region ON n_regionkey = r_regionkey),
+rs AS (SELECT r, count(*) AS kids FROM geo GROUP BY r)
+SELECT 0 AS level_no, 'All' AS name, '[All]' AS unique_name, CAST(NULL AS VARCHAR) AS parent_unique_name, (SELECT count(*) FROM rs) AS child_count
+UNION ALL SELECT 1, coalesce(r, '#null'), '[All].[' || coalesce(r, '#null') || ']', '[All]', kids FROM rs
+UNION ALL SELECT 2, coalesce(n, '#null'), '[All].[' || coalesce(r, '#null') || '].[' || coalesce(n, '#null') || ']',
+  '[All].[' || coalesce(r, '#null') || ']', 0 FROM geo""")
+def c22_null(t):
+    geo = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    geo = geo.select(
+        F.when(F.col("r_name") != "ASIA", F.col("r_name")).alias("r"), F.when(F.col("n_nationkey") % 4 > 0, F.col("n_name")).alias("n")
+    )
+    return hierarchy.members(geo, ["r", "n"]).drop("ordinal", "level_name")
+
+
 @query("c22_member_properties", """
 WITH geo AS (SELECT r_name, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
 m AS (SELECT DISTINCT r_name, n_name FROM geo UNION SELECT DISTINCT r_name, NULL FROM geo UNION SELECT NULL, NULL)
@@ -441,26 +494,42 @@ def c27_totals(t):
     return _as_doubles(_cube(t).query(["r_name", "n_name"], measures=["revenue"], totals=True))
 
 
+@query("c27_cube_composite_key", """
+SELECT l_returnflag || l_linestatus AS label, count(*) AS lines, CAST(sum(CAST(l_quantity AS DECIMAL(12,2))) AS DOUBLE) AS quantity
+FROM lineitem GROUP BY 1""")
+def c27_composite(t):
+    """A dimension that the fact refers to by two columns."""
+    kinds = t.lineitem.select(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status")).distinct()
+    kinds = kinds.withColumn("label", F.concat("flag", "status"))
+    model = cube.Cube(
+        t.lineitem.withColumn("quantity", money("l_quantity")),
+        {"kind": cube.Dimension(kinds, {"l_returnflag": "flag", "l_linestatus": "status"}, ["label"])},
+        {"lines": ("count", "*"), "quantity": ("sum", "quantity")},
+    )
+    out = model.query(["label"])
+    return out.withColumn("quantity", F.col("quantity").cast("double"))
+
+
 @query("c28_derived_dimension", "SELECT DISTINCT o_orderpriority, o_orderstatus FROM orders")
 def c28(t):
     return cube.derive_dim(t.orders, ["o_orderpriority", "o_orderstatus"])
 
 
 SQL_CHANGE = """m AS (SELECT c_nationkey, {period} AS period_no, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS value
-FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 400000 GROUP BY 1, 2)
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2)
 SELECT a.c_nationkey, a.period_no, a.value, CASE WHEN b.value <> 0 THEN a.value - b.value END AS change
 FROM m a LEFT JOIN m b ON a.c_nationkey = b.c_nationkey AND a.period_no = b.period_no + 1"""
 
 
-def _large_by(t, period):
-    big = t.orders.where("o_totalprice > 400000").join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    return big.groupBy("c_nationkey", period.alias("period_no")).agg(total("o_totalprice").alias("value"))
+def _sales_by(t, period):
+    sales = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    return sales.groupBy("c_nationkey", period.alias("period_no")).agg(total("o_totalprice").alias("value"))
 
 
 @query("c29_period_change_monthly", "WITH " + SQL_CHANGE.format(period="year(o_orderdate) * 12 + month(o_orderdate)"))
 def c29(t):
     months = (F.year("o_orderdate") * 12 + F.month("o_orderdate")).cast("bigint")
-    return cube.period_change(_large_by(t, months), "period_no", "value", ["c_nationkey"])
+    return cube.period_change(_sales_by(t, months), "period_no", "value", ["c_nationkey"])
 
 
 @query("c29_period_change_weekly", "WITH " + SQL_CHANGE.format(
@@ -468,4 +537,4 @@ def c29(t):
 def c29_weekly(t):
     monday = F.to_date(F.date_trunc("week", "o_orderdate"))
     weeks = F.floor(F.datediff(monday, F.lit("1970-01-05").cast("date")) / F.lit(7))
-    return cube.period_change(_large_by(t, weeks), "period_no", "value", ["c_nationkey"])
+    return cube.period_change(_sales_by(t, weeks), "period_no", "value", ["c_nationkey"])

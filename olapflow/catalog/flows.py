@@ -127,7 +127,7 @@ def t08(t):
     return out.select("event_id", iso_time("made_at").alias("made_at"))
 
 
-@query("t09_ingest_time_window_stream")
+@query("t09_ingest_time_window_stream", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def t09(t):
     stream = windows.with_ingest_time(t.stream("events")).withWatermark("ingest_time", "0 seconds")
     out = windows.tumbling(stream, "ingest_time", "1 hour", ["event_type"], [F.count("*").alias("n")])
@@ -276,19 +276,13 @@ def w06(t):
     return runlog.count_running(_runs(t), "large load")
 
 
-@query("u10_run_log_write")
+@query("u10_run_log_write", """
+SELECT 'load ' || r_name AS process_name, CASE WHEN r_regionkey = 4 THEN 'running' ELSE 'finished' END AS status FROM region""")
 def u10(t):
     """One run per region: written status by status, then read back as current state."""
     path = scratch_path(t.spark, "run-log")
-    steps = t.region.select(
-        F.col("r_regionkey").cast("string").alias("process_id"),
-        F.concat(F.lit("load "), "r_name").alias("process_name"),
-        F.lit("running").alias("status"),
-        F.current_timestamp().alias("created_at"),
-    )
-    steps.write.mode("append").parquet(path)
-    later = steps.where("process_id <> '4'").withColumns(
-        {"status": F.lit("finished"), "created_at": F.current_timestamp() + F.expr("INTERVAL 1 SECOND")}
-    )
-    later.write.mode("append").parquet(path)
+    for status in ("running", "finished"):
+        for region in t.region.orderBy("r_regionkey").toLocalIterator():  # one run each
+            if status == "running" or region.r_regionkey != 4:
+                runlog.log_event(t.spark, path, str(region.r_regionkey), f"load {region.r_name}", status)
     return runlog.run_log_view(runlog.read_log(t.spark, path)).select("process_name", "status")

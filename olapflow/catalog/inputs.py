@@ -258,12 +258,25 @@ def a19(t):
     return t.orders.join(grid, "o_orderstatus").groupBy("label").agg(F.count("*").alias("n"))
 
 
-@query("a20_generated_fields")
+@query("a20_related_tables", "SELECT 3 * count(*) AS orders, CAST(0 AS BIGINT) AS orphans FROM customer")
+def a20_related(t):
+    """Synthetic users and orders, as many as there are customers; every order finds its user."""
+    n = t.customer.count()
+    made = tables.generate_tables(t.spark, {
+        "users": (n, {"user_id": ("id",), "tier": ("enum", ["gold", "silver"])}),
+        "orders": (3 * n, {"order_id": ("id",), "user_id": ("ref", "users")}),
+    })
+    found = made["orders"].join(made["users"].withColumn("known", F.lit(1)), "user_id", "left")
+    return found.agg(F.count("*").alias("orders"), F.count_if(F.col("known").isNull()).alias("orphans"))
+
+
+@query("a20_generated_fields", "SELECT c_custkey, 1 AS fits FROM customer")
 def a20(t):
     """Synthetic attributes for every customer, with a reference drawn from as many accounts."""
     ids = t.customer.select(F.col("c_custkey").alias("id"))
     fields = {"c_custkey": ("id",), "tier": ("enum", ["gold", "silver", "bronze"]), "age": ("range", 18, 90), "account": ("ref", 1000)}
-    return tables.generate_fields(ids, fields)
+    fits = F.expr("tier IN ('gold', 'silver', 'bronze') AND age BETWEEN 18 AND 90 AND account BETWEEN 0 AND 999")
+    return tables.generate_fields(ids, fields).select("c_custkey", fits.cast("int").alias("fits"))
 
 
 @query("a21_properties_to_variables", """

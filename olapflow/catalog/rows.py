@@ -173,13 +173,13 @@ def b15_per_key(t):
     return out.select("o_custkey", "o_orderkey", "seq")
 
 
-@query("b16_uuid_and_random")
+@query("b16_uuid_and_random", "SELECT c_custkey, 36 AS uuid_length, 1 AS in_range FROM customer")
 def b16(t):
     df = shape.add_random(shape.add_uuid(t.customer), ["c_custkey"], seed=7)
-    return df.select("c_custkey", F.length("uuid").alias("uuid_length"), "random")
+    return df.select("c_custkey", F.length("uuid").alias("uuid_length"), F.expr("int(random >= 0 AND random < 1)").alias("in_range"))
 
 
-@query("b17_audit_columns")
+@query("b17_audit_columns", "SELECT n_nationkey, 'nation' AS source, 1 AS batch, 1 AS ok FROM nation")
 def b17(t):
     df = shape.add_audit(t.nation, source="nation", batch=1)
     return df.select("n_nationkey", "source", "batch", (F.col("load_time") > F.lit("2020-01-01")).cast("int").alias("ok"))
@@ -411,6 +411,19 @@ def g17_roles(t):
     return role.select("ship_date_key", F.col("ship_the_month").cast("bigint"))
 
 
+@query("g19_assign_keys_with_attributes", """
+WITH f AS (SELECT c_mktsegment AS seg, min(c_nationkey) AS nation FROM customer GROUP BY 1)
+SELECT CAST(7 AS BIGINT) AS sk, 'BUILDING' AS seg, CAST(-1 AS BIGINT) AS nation, 'old' AS note
+UNION ALL SELECT 7 + row_number() OVER (ORDER BY seg), seg, nation, NULL FROM f WHERE seg <> 'BUILDING'""")
+def g19_attributes(t):
+    """Known members keep all their columns, new ones bring theirs."""
+    incoming = t.customer.select(F.col("c_mktsegment").alias("seg"), F.col("c_nationkey").cast("bigint").alias("nation"))
+    dim = incoming.where("seg = 'BUILDING'").select(
+        F.lit(7).cast("bigint").alias("sk"), "seg", F.lit(-1).cast("bigint").alias("nation"), F.lit("old").alias("note")
+    ).distinct()
+    return dims.assign_keys(dim, incoming, ["seg"], "sk", ["seg"], attributes=["nation"])
+
+
 @query("g19_assign_keys", """
 WITH known AS (SELECT DISTINCT c_nationkey AS nk, c_mktsegment AS seg FROM customer WHERE c_acctbal > 9000),
 dim AS (SELECT nk, seg, row_number() OVER (ORDER BY nk, seg) AS sk FROM known),

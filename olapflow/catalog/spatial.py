@@ -82,6 +82,24 @@ def k05(t):
     return out.select("o_orderkey", "n_nationkey")
 
 
+SQL_COVER_HOLES = SQL_COVER.replace("edge AS (", """edge AS (
+   SELECT n_nationkey, x + 30 AS ax, y + 9 AS ay, x + 50 AS bx, y + 9 AS b_y FROM quad
+   UNION ALL SELECT n_nationkey, x + 50, y + 9, x + 55, y + 27 FROM quad
+   UNION ALL SELECT n_nationkey, x + 55, y + 27, x + 35, y + 27 FROM quad
+   UNION ALL SELECT n_nationkey, x + 35, y + 27, x + 30, y + 9 FROM quad UNION ALL """)
+
+
+@query("k05_covering_join_multipolygon", f"WITH {SQL_COVER_HOLES} SELECT o_orderkey, n_nationkey FROM cover")
+def k05_holes(t):
+    """The same regions, each with a hole."""
+    corner = lambda dx, dy: F.struct((F.col("ring")[0].x + dx).alias("x"), (F.col("ring")[0].y + dy).alias("y"))
+    hole = F.array(corner(30.0, 9.0), corner(50.0, 9.0), corner(55.0, 27.0), corner(35.0, 27.0))
+    shapes = _regions(t).select("n_nationkey", F.array(F.array("ring", hole)).alias("shape"))
+    return geo.covering_join(
+        _points(t).select("o_orderkey", "lon", "lat"), "lon", "lat", shapes, "n_nationkey", "shape"
+    ).select("o_orderkey", "n_nationkey")
+
+
 SQL_SUMMARY = f"""WITH {SQL_COVER}
 SELECT n_nationkey, count(*) AS count, CAST(sum(price) AS DOUBLE) AS total_price, CAST(sum(price) AS DOUBLE) / count(*) AS avg_price
 FROM cover JOIN pts USING (o_orderkey) GROUP BY 1"""
@@ -99,16 +117,20 @@ def k06(t):
     return _summary(t).drop("ring")
 
 
-@query("k07_density", f"""WITH {SQL_POINTS},
+SQL_CELL = SQL_POINTS + """,
 c AS (SELECT CAST(least(floor((lon + 180) * (8192 / 360.0)), 8191) AS BIGINT) AS cx, CAST(least(floor((lat + 90) * (4096 / 180.0)), 4095) AS BIGINT) AS cy
-      FROM pts WHERE abs(lon) <= 180 AND abs(lat) <= 90)
-SELECT CAST(list_sum([((cx >> (12 - i)) & 1) << (24 - 2 * i) FOR i IN range(13)]) + list_sum([((cy >> (11 - i)) & 1) << (23 - 2 * i) FOR i IN range(12)]) AS BIGINT) AS cell,
-       count(*) AS n FROM c GROUP BY 1""")
+      FROM pts WHERE abs(lon) <= 180 AND abs(lat) <= 90),
+cells AS (SELECT CAST(list_sum([((cx >> (12 - i)) & 1) << (24 - 2 * i) FOR i IN range(13)]) + list_sum([((cy >> (11 - i)) & 1) << (23 - 2 * i) FOR i IN range(12)]) AS BIGINT) AS cell,
+       count(*) AS n FROM c GROUP BY 1)"""
+
+
+@query("k07_density", f"WITH {SQL_CELL} SELECT cell, n FROM cells")
 def k07(t):
     return geo.density(geo.make_point(_points(t), "lon", "lat"), "lon", "lat")
 
 
-@query("k07_geohash_text")
+@query("k07_geohash_text", f"""WITH {SQL_CELL}
+SELECT list_aggregate([substr('0123456789bcdefghjkmnpqrstuvwxyz', CAST((cell >> (20 - 5 * i)) & 31 AS INTEGER) + 1, 1) FOR i IN range(5)], 'string_agg', '') AS geohash, n FROM cells""")
 def k07_text(t):
     cells = geo.density(geo.make_point(_points(t), "lon", "lat"), "lon", "lat")
     return cells.select(geo_columns.geohash_text(F.col("cell")).alias("geohash"), "n")
@@ -123,14 +145,15 @@ def k08(t):
 
 
 @query("k09_choropleth", """
-WITH s AS (SELECT c_nationkey, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS revenue
-           FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_nationkey <> 4 GROUP BY 1),
+WITH s AS (SELECT c_nationkey, CAST(sum(CASE WHEN c_nationkey <> 4 THEN CAST(o_totalprice AS DECIMAL(12,2)) END) AS DOUBLE) AS revenue
+           FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1),
 b AS (SELECT min(revenue) AS lo, max(revenue) AS hi FROM s)
 SELECT n_nationkey, n_name, revenue,
   CASE WHEN revenue IS NOT NULL THEN CAST(least(floor((revenue - lo) * 5 / (hi - lo)) + 1, 5) AS INTEGER) END AS class
 FROM nation CROSS JOIN b LEFT JOIN s ON n_nationkey = c_nationkey""")
 def k09(t):
-    stats = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).where("c_nationkey <> 4")
-    stats = stats.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(total("o_totalprice").alias("revenue"))
+    stats = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    known = total(F.when(F.col("c_nationkey") != 4, money("o_totalprice")))  # one region without a value
+    stats = stats.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(known.alias("revenue"))
     features = t.nation.select("n_nationkey", "n_name")
     return geo.choropleth(features, stats, "n_nationkey", "revenue", 5)

@@ -224,11 +224,12 @@ def flow_nodes(links: DataFrame) -> DataFrame:
 
 
 def quantize(df: DataFrame, column: str, n: int, name: str = "class") -> DataFrame:
-    """Number of one of ``n`` equal-width classes between minimum and maximum (1..n)."""
+    """Number of one of ``n`` equal-width classes between minimum and maximum (1..n), null for null."""
     value = F.col(column).cast("double")
     lo, hi = df.agg(F.min(value)).scalar(), df.agg(F.max(value)).scalar()
     step = F.floor(F.try_divide((value - lo) * F.lit(n), hi - lo)) + 1
-    return df.withColumn(name, F.least(F.coalesce(step, F.lit(1)), F.lit(n)).cast("int"))
+    known = F.least(F.coalesce(step, F.lit(1)), F.lit(n)).cast("int")
+    return df.withColumn(name, F.when(value.isNotNull(), known))
 
 
 # ---------------------------------------------------------------- order and top-n

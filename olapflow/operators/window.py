@@ -1,8 +1,9 @@
 """Ordered operators over keyed rows.
 
 A plain ``Window.partitionBy(key)`` sends all rows of a key to one task. These
-functions split each key by a *chunk*, a coarse monotone function of its leading
-order column, so that a window task sees one (key, chunk) only. What must cross a
+functions count the rows of each key and split the large ones by a *chunk*, a range of
+the leading order column taken from the data, so that a window task sees one (key, chunk)
+only. Without large keys they are plain windows. What must cross a
 chunk border travels as one extra *carry row* per (key, chunk), taken from a
 partially aggregated summary. The rows themselves are shuffled once.
 """
@@ -11,32 +12,25 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from olapflow.session import checkpointed
+
 _CHUNK, _SIDE, _AT = "__chunk", "__side", "__at"
-_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-def default_chunk(df: DataFrame, column: str) -> Column:
-    """Hour for times, month for dates, blocks of 2^20 for whole numbers, three characters
-    for text. Pass a finer or coarser chunk where the data are known to cluster."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_trunc("hour", F.col(column))
-    if isinstance(kind, T.DateType):
-        return F.trunc(F.col(column), "month")
-    if isinstance(kind, _INTEGRAL):
-        return F.expr(f"`{column}` div 1048576")
-    if isinstance(kind, T.StringType):
-        return F.substring(F.col(column), 1, 3)
-    raise ValueError(f"pass chunk= for an order column of type {kind.simpleString()}")
+#: Rows of a key up to which one task sorts them all; larger keys are split into chunks of
+#: about as many.
+CHUNK_ROWS = 200_000
 
 
-def order_bounds(df: DataFrame, column: str, parts: int) -> list:
-    """Smallest values of about ``parts`` ranges of equal row counts, taken from the data.
+def order_bounds(df: DataFrame, column: str, parts: int) -> list[str]:
+    """Smallest values, as text, of about ``parts`` ranges of equal row counts.
 
     The column is range-sorted once; one value per range comes to the driver. Nulls are
     left out. No bounds are needed for one range.
@@ -44,8 +38,8 @@ def order_bounds(df: DataFrame, column: str, parts: int) -> list:
     if parts <= 1:
         return []
     ranges = df.select(F.col(column).alias("v")).where("v is not null").repartitionByRange(parts, "v")
-    lowest = ranges.withColumn("p", F.spark_partition_id()).groupBy("p").agg(F.min("v").alias("v"))
-    return sorted(r.v for r in lowest.collect())
+    lowest = ranges.withColumn("p", F.spark_partition_id()).groupBy("p").agg(F.min("v").cast("string").alias("v"))
+    return [r.v for r in sorted(lowest.collect(), key=lambda r: r.p)]
 
 
 def bound_index(column: Column, bounds: Sequence, kind: T.DataType) -> Column:
@@ -61,11 +55,38 @@ def bound_index(column: Column, bounds: Sequence, kind: T.DataType) -> Column:
     return F.greatest((head - 1) * width + F.size(F.filter(block, lambda b: b <= column)), F.lit(1))
 
 
+def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column | None):
+    """The frame with ``__chunk``, or None if no key has more rows than a task should sort.
+
+    Keys are counted, and only those over ``CHUNK_ROWS`` are split, at quantiles of the
+    leading order column over their rows. All other keys are one chunk each.
+    """
+    if chunk is not None:
+        return df.withColumn(_CHUNK, chunk)
+    kind = df.schema[order[0]].dataType
+    if not keys:
+        bounds = order_bounds(df, order[0], -(-df.count() // CHUNK_ROWS))
+        return df.withColumn(_CHUNK, bound_index(F.col(order[0]), bounds, kind)) if bounds else None
+    counted = df.groupBy(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias(_AT))
+    large = counted.where(F.col(_AT) > CHUNK_ROWS)
+    if large.isEmpty():
+        return None
+    large = checkpointed(large)
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__key{i}")) for i, k in enumerate(keys)])
+    rows = large.agg(F.sum(_AT)).first()[0]
+    bounds = order_bounds(df.join(large, same, "left_semi"), order[0], -(-rows // CHUNK_ROWS))
+    split = F.when(F.col(_AT).isNotNull(), bound_index(F.col(order[0]), bounds, kind)).otherwise(0)
+    return df.join(large, same, "left").withColumn(_CHUNK, split).select(*df.columns, _CHUNK)
+
+
 def _neighbour(df, keys, order, fields, chunk, forward: bool) -> DataFrame:
     """Add ``fields`` (new name -> source column) of the next or previous row."""
-    if chunk is None:
-        chunk = default_chunk(df, order[0])
     names = df.columns
+    chunked = _chunked(df, keys, order, chunk)
+    if chunked is None:
+        shift = F.lead if forward else F.lag
+        near = Window.partitionBy(*keys).orderBy(*order)
+        return df.select(*names, *[shift(src).over(near).alias(name) for name, src in fields.items()])
     plain = set(fields.values()) == {order[0]}
     if plain:  # the edge of a chunk is a minimum or maximum: a hash aggregate, no sort
         at = F.col(order[0])
@@ -74,7 +95,7 @@ def _neighbour(df, keys, order, fields, chunk, forward: bool) -> DataFrame:
             *[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
             *[F.col(src).alias(f"v{i}") for i, src in enumerate(fields.values())],
         )
-    rows = df.withColumn(_CHUNK, chunk).withColumn(_AT, at)
+    rows = chunked.withColumn(_AT, at)
     edge = F.min(_AT) if forward else F.max(_AT)
     by_chunk = Window.partitionBy(*keys).orderBy(_CHUNK)
     shift = F.lead if forward else F.lag
@@ -135,10 +156,15 @@ def running(
     """
     keys, order = list(keys), list(order)
     fold = {"sum": F.sum, "max": F.max, "min": F.min}[how]
-    if chunk is None:
-        chunk = default_chunk(df, order[0])
     names = df.columns
-    rows = df.withColumn(_CHUNK, chunk).withColumn(_AT, value)
+    upto = -1 if before else Window.currentRow
+    chunked = _chunked(df, keys, order, chunk)
+    if chunked is None:
+        kind = df.select(fold(value).alias(_AT)).schema[_AT].dataType
+        inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, upto)
+        out = df.withColumn(_AT, fold(value.cast(kind)).over(inside).cast(kind))
+        return out.select(*[c for c in names if c != name], F.col(_AT).alias(name))
+    rows = chunked.withColumn(_AT, value)
     kind = rows.select(fold(_AT).alias(_AT)).schema[_AT].dataType
     earlier = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
@@ -153,7 +179,6 @@ def running(
         .withColumn(_SIDE, F.lit(0))
         .unionByName(carry, allowMissingColumns=True)
     )
-    upto = -1 if before else Window.currentRow
     inside = (
         Window.partitionBy(*keys, _CHUNK)
         .orderBy(_SIDE, *order)

@@ -34,6 +34,29 @@ def allocate_totals(
     return spread.groupBy(item).agg(*[F.sum(F.col(m) * F.col(weight)).alias(m) for m in measures])
 
 
+def allocate_exact(
+    fact: DataFrame, pairs: DataFrame, group: str, item: str, measures: Sequence[str], scale: int = 2
+) -> DataFrame:
+    """Fact rows spread evenly over the distinct items of their group, to the last digit.
+
+    Shares are cut to ``scale`` digits and the units left over go to the first items, one
+    each, so the shares of a fact add up to its measure exactly.
+    """
+    unit, wide = 10**scale, "decimal(38,0)"
+    rows = row_index(pairs.select(group, item).distinct(), [group], [item], "__place", 1)
+    sizes = rows.groupBy(group).agg(F.max("__place").alias("__n"))
+    spread = fact.join(rows.join(sizes, group), group)
+
+    def share(measure: str) -> Column:
+        units = (F.col(measure).cast(f"decimal(28,{scale})") * unit).cast(wide)
+        left = F.pmod(units, F.col("__n").cast(wide))
+        whole = ((units - left) / F.col("__n")).cast(wide)
+        mine = whole + F.when(F.col("__place") <= left, 1).otherwise(0)
+        return (mine / unit).cast(f"decimal(28,{scale})")
+
+    return spread.withColumns({m: share(m) for m in measures}).drop("__place", "__n")
+
+
 def impact(fact: DataFrame, bridge: DataFrame, group: str, item: str, measures: Sequence[str]) -> DataFrame:
     """Unweighted totals per item: each item counts the whole measure of its groups."""
     per_group = fact.groupBy(group).agg(*[F.sum(m).alias(m) for m in measures])
@@ -107,8 +130,9 @@ def maintain_bridge(
     is written to the shared checkpoint folder once instead of being computed again.
     """
     new_dim = checkpointed(assign_keys(dim, incoming, [name], item, order, name_chunk))
-    named = incoming[name].eqNullSafe(new_dim[name])  # a null item is an item
-    keyed = checkpointed(incoming.join(new_dim, named).select(incoming[record], new_dim[item]).distinct())
+    names = new_dim.select(F.col(name).alias("__name"), F.col(item).alias("__key"))
+    named = incoming.join(names, F.col(name).eqNullSafe(F.col("__name")))  # a null item is an item
+    keyed = checkpointed(named.select(record, F.col("__key").alias(item)).distinct())
     known = checkpointed(match_groups(bridge, group, item, keyed, record, "__known"))
     fresh = keyed.join(known.where(F.col("__known").isNull()), record, "left_semi")
     fresh = checkpointed(fresh)

@@ -130,3 +130,53 @@ def test_all_tied_winners_are_kept(spark):
     df = spark.createDataFrame([(1, i, 5) for i in range(50)] + [(1, 99, 4), (2, 1, 1)], "g int, i int, m int")
     assert join.winners(df, ["g"], "m").count() == 51
     assert agg.top_per_group(df, ["g"], "m", 3, ["i"]).count() == 4
+
+
+@pytest.mark.parametrize("kind", ["url", "hash", "time", "day"])
+def test_chunks_come_from_the_data(spark, monkeypatch, kind):
+    monkeypatch.setattr(window, "CHUNK_ROWS", 40)
+    value = {
+        "url": "concat('https://example.org/', lpad(cast(id * 7919 % 1000 as string), 4, '0'))",
+        "hash": "xxhash64(id)",
+        "time": "cast('2024-01-01 00:00:00' as timestamp_ntz) + make_dt_interval(0, 0, 0, id * 7919 % 1000)",
+        "day": "date_add(date'2024-01-01', cast(id * 7919 % 1000 as int))",
+    }[kind]
+    # a third of the rows under one key, the rest under many small ones and null
+    df = spark.range(1000).selectExpr("CASE WHEN id % 3 = 0 THEN 0 WHEN id % 50 = 1 THEN NULL ELSE id % 100 END AS k", f"{value} AS o", "id AS v")
+    for keys in (["k"], []):
+        chunked = window._chunked(df, keys, ["o"], None)
+        sizes = [r["count"] for r in chunked.groupBy(*keys, window._CHUNK).count().collect()]
+        assert max(sizes) <= 80 and (len(sizes) < 160)
+        got = {r.v: (r.running, r.row_index) for r in window.row_index(window.running_sum(df, keys, ["o"], "v"), keys, ["o"]).collect()}
+        want, groups = {}, {}
+        for r in sorted(df.collect(), key=lambda r: r.o):
+            groups.setdefault(r.k if keys else 0, []).append(r)
+        for group in groups.values():
+            total = 0
+            for n, r in enumerate(group):
+                total += r.v
+                want[r.v] = (total, n)
+        assert got == want
+        after = {a.v: b.v for group in groups.values() for a, b in zip(group, group[1:])}
+        assert {r.v: r.n for r in window.next_value(df, keys, ["o"], {"n": "v"}).collect()} == {v: after.get(v) for v in want}
+
+
+def test_small_keys_are_plain_windows(frame):
+    out = window.next_value(frame, ["k"], ["t", "i"], {"n": "s"})
+    assert "Union" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_functions_see_whole_groups(spark):
+    import pandas as pd
+
+    df = spark.range(25_000).selectExpr("0 AS k", "25000 - id AS i")
+    out = udf.per_group(df, ["k"], ["i"], lambda g: pd.DataFrame({"n": [len(g)], "first": [g.i.iloc[0]]}), "n long, first long")
+    assert tuple(out.first()) == (25_000, 1)
+
+
+def test_a_parent_of_many_children_is_one_document(spark):
+    parent = spark.createDataFrame([(1,), (2,), (3,)], "p int")
+    child = spark.range(25_003).selectExpr("CASE WHEN id < 25000 THEN 1 ELSE 2 END AS p", "id AS c")
+    nested = join.nest_children(parent, child, "p", ["c"], ["c"], "kids")
+    parts = sorted((r.p, r.part, len(r.kids), r.is_last) for r in nested.collect())
+    assert parts == [(1, 0, 10_000, False), (1, 1, 10_000, False), (1, 2, 5_000, True), (2, 0, 3, True), (3, 0, 0, True)]
