@@ -19,8 +19,30 @@ def _bounds(df):
     return df.withColumns({"window_start": iso_time("window_start"), "window_end": iso_time("window_end")})
 
 
-def _timed_stream(t):
-    return windows.with_event_time(t.stream("events"), "ts", "1 hour")
+PARTS, FILES = 4, 4
+SQL_PART = f"""parts AS (SELECT *, CAST((epoch_us(ts) - (SELECT min(epoch_us(ts)) FROM events)) * {PARTS}
+  // ((SELECT max(epoch_us(ts)) - min(epoch_us(ts)) FROM events) + 1) AS INTEGER) AS part FROM events)"""
+#: What a stream with an hour's watermark has closed in the end.
+SQL_CLOSED = "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM events)"
+
+
+def _arriving(t, late=None):
+    """Events as a stream of four batches in time order; rows that ``late`` picks from the
+    first quarter come with the last."""
+    events, path = t.events, scratch_path(t.spark, "arrivals")
+    lo, hi = events.agg(F.min("ts")).scalar(), events.agg(F.max("ts")).scalar()
+    span = F.timestamp_diff("MICROSECOND", lo, hi) + 1
+    part = F.expr("since * {} div span".format(PARTS)).cast("int")
+    dealt = events.withColumns({"since": F.timestamp_diff("MICROSECOND", lo, F.col("ts")), "span": span}).withColumn("part", part)
+    if late is not None:
+        dealt = dealt.withColumn("part", F.when(late & (F.col("part") == 0), PARTS - 1).otherwise(F.col("part")))
+    for i in range(PARTS):
+        dealt.where(F.col("part") == i).select(*events.columns).repartition(FILES).write.mode("append").parquet(path)
+    return batches.read_stream(t.spark, path, events.schema, files_per_batch=FILES)
+
+
+def _timed_stream(t, late=None):
+    return windows.with_event_time(_arriving(t, late), "ts", "1 hour")
 
 
 SQL_TUMBLING = f"""SELECT strftime(s, '%Y-%m-%d %H:%M:%S.%f') AS window_start, strftime(s + INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M:%S.%f') AS window_end,
@@ -32,10 +54,10 @@ def t01(t):
     return _bounds(windows.tumbling(t.events, "ts", "30 minutes", ["event_type"], _aggs()))
 
 
-@query("t01_tumbling_window_stream", SQL_TUMBLING)
+@query("t01_tumbling_window_stream", SQL_TUMBLING.replace("AS s FROM events)", "AS s FROM events)" + f" WHERE s + INTERVAL 30 MINUTE <= {SQL_CLOSED}"))
 def t01_stream(t):
     out = windows.tumbling(_timed_stream(t), "event_time", "30 minutes", ["event_type"], _aggs())
-    return _bounds(batches.drain(out, "complete", "tumbling"))
+    return _bounds(batches.drain(out, "append", "tumbling"))
 
 
 SQL_SLIDING = f"""SELECT strftime(s, '%Y-%m-%d %H:%M:%S.%f') AS window_start, strftime(s + INTERVAL 45 MINUTE, '%Y-%m-%d %H:%M:%S.%f') AS window_end,
@@ -47,10 +69,10 @@ def t02(t):
     return _bounds(windows.sliding(t.events, "ts", "45 minutes", "15 minutes", ["event_type"], _aggs()))
 
 
-@query("t02_sliding_window_stream", SQL_SLIDING)
+@query("t02_sliding_window_stream", SQL_SLIDING.replace("range(3) r(i))", "range(3) r(i))" + f" WHERE s + INTERVAL 45 MINUTE <= {SQL_CLOSED}"))
 def t02_stream(t):
     out = windows.sliding(_timed_stream(t), "event_time", "45 minutes", "15 minutes", ["event_type"], _aggs())
-    return _bounds(batches.drain(out, "complete", "sliding"))
+    return _bounds(batches.drain(out, "append", "sliding"))
 
 
 @query("t03_count_window", """
@@ -80,10 +102,10 @@ def t04(t):
     return _bounds(windows.session(t.events, "ts", "6 hours", ["user_id"], _aggs()))
 
 
-@query("t04_session_window_stream", SQL_SESSION)
+@query("t04_session_window_stream", SQL_SESSION + f" HAVING max(ts) + INTERVAL 6 HOUR <= {SQL_CLOSED}")
 def t04_stream(t):
     out = windows.session(_timed_stream(t), "event_time", "6 hours", ["user_id"], _aggs())
-    return _bounds(batches.drain(out, "complete", "session"))
+    return _bounds(batches.drain(out, "append", "session"))
 
 
 @query("t05_global_window", f"SELECT event_type, {AGGS} FROM events GROUP BY 1")
@@ -114,6 +136,15 @@ def t07(t):
     return closed.withColumn("window_start", iso_time("window_start"))
 
 
+@query("t07_late_rows_dropped", f"""WITH {SQL_PART}
+SELECT strftime(time_bucket(INTERVAL 30 MINUTE, ts), '%Y-%m-%d %H:%M:%S.%f') AS window_start, event_type, {AGGS}
+FROM parts WHERE NOT (part = 0 AND event_id % 5 = 0) AND time_bucket(INTERVAL 30 MINUTE, ts) + INTERVAL 30 MINUTE <= {SQL_CLOSED} GROUP BY 1, 2""")
+def t07_late(t):
+    """Rows that come after their windows are closed change nothing."""
+    out = windows.tumbling(_timed_stream(t, F.col("event_id") % 5 == 0), "event_time", "30 minutes", ["event_type"], _aggs())
+    return batches.drain(out, "append", "late-rows").drop("window_end").withColumn("window_start", iso_time("window_start"))
+
+
 @query("t08_late_rows", """
 WITH d AS (SELECT event_id, ts - to_seconds(CAST(round(value * 60) AS BIGINT)) AS made_at FROM events)
 SELECT event_id, strftime(made_at, '%Y-%m-%d %H:%M:%S.%f') AS made_at FROM (
@@ -166,19 +197,19 @@ def t12(t):
     return windows.parse_events(t.events.withColumn("doc", gaps), "doc", "k bigint", ["k"], keep=["event_id"])
 
 
-@query("t13_micro_batches", "SELECT count(*) AS n FROM events")
+@query("t13_micro_batches", f"WITH {SQL_PART} SELECT count(*) AS n, count(DISTINCT part) AS batches FROM parts")
 def t13(t):
     path = scratch_path(t.spark, "micro-batches")
     write = batches.batch_summary_writer(f"{path}/out", [F.count("*").alias("n")])
-    batches.for_each_batch(t.stream("events"), write, f"{path}/checkpoint").awaitTermination()
-    return t.spark.read.parquet(f"{path}/out").agg(F.sum("n").alias("n"))
+    batches.for_each_batch(_arriving(t), write, f"{path}/checkpoint").awaitTermination()
+    return t.spark.read.parquet(f"{path}/out").agg(F.sum("n").alias("n"), F.count_distinct("batch_id").alias("batches"))
 
 
-@query("t14_aggregate_per_batch", "SELECT count(*) AS n, max(value) AS highest, CAST(0 AS INTEGER) AS batch_id FROM events")
+@query("t14_aggregate_per_batch", f"WITH {SQL_PART} SELECT count(*) AS n, max(value) AS highest, part AS batch_id FROM parts GROUP BY part")
 def t14(t):
     path = scratch_path(t.spark, "batch-aggregates")
     write = batches.batch_summary_writer(f"{path}/out", [F.count("*").alias("n"), F.max("value").alias("highest")])
-    batches.for_each_batch(t.stream("events"), write, f"{path}/checkpoint").awaitTermination()
+    batches.for_each_batch(_arriving(t), write, f"{path}/checkpoint").awaitTermination()
     return t.spark.read.parquet(f"{path}/out").select("n", "highest", "batch_id")
 
 
@@ -209,11 +240,16 @@ def t16_range(t):
     return batches.cache_query(t.events, "event_id", "ts", from_id=100, to_id=900, max_new=200).select("event_id", "user_id")
 
 
-@query("t17_sql_over_stream", "SELECT event_type, count(*) AS n, max(value) AS highest FROM events GROUP BY 1")
+@query("t17_sql_over_stream", f"""
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S.%f') AS day, event_type, count(*) AS n, max(value) AS highest
+FROM events WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= {SQL_CLOSED} GROUP BY 1, 2""")
 def t17(t):
-    batches.stream_view(t.stream("events"), "live_events")
-    out = t.spark.sql("SELECT event_type, count(*) AS n, max(value) AS highest FROM live_events GROUP BY event_type")
-    return batches.drain(out, "complete", "sql")
+    batches.stream_view(_timed_stream(t), "live_events")
+    out = t.spark.sql(
+        "SELECT window.start AS day, event_type, count(*) AS n, max(value) AS highest FROM live_events "
+        "GROUP BY window(event_time, '1 day'), event_type"
+    )
+    return batches.drain(out, "append", "sql").withColumn("day", iso_time("day"))
 
 
 @query("t18_windowed_files", """

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from olapflow.operators.window import next_value, running
+
+#: Buckets that one array holds at most.
+BLOCK = 4096
+
 
 def fill_buckets(
     df: DataFrame,
@@ -25,42 +30,46 @@ def fill_buckets(
     ``fill`` is None (null), ``previous`` (last known value) or ``linear`` (between
     the neighbouring known values; null after the last one). ``cumulative`` adds a
     running total that treats gaps as zero. Rows are aggregated per (keys, bucket)
-    first, so each window group is no longer than the requested range. ``every`` is of
-    fixed length (seconds to weeks); buckets count from ``start``.
+    first. The buckets of a key come in blocks, and what is carried over a gap or a block
+    travels as in the ordered operators, so no array and no task holds a long range whole.
+    ``every`` is of fixed length (seconds to weeks); buckets count from ``start``.
     """
+    if fill not in (None, "previous", "linear"):
+        raise ValueError(f"unknown fill {fill!r}")
     keys = list(keys)
-    in_range = (F.col(ts) >= start) & (F.col(ts) < end + F.expr(f"INTERVAL {every}"))
-    width = F.timestamp_diff("MICROSECOND", start, start + F.expr(f"INTERVAL {every}"))
-    steps = F.floor(F.timestamp_diff("MICROSECOND", start, F.col(ts)) / width).cast("bigint")
-    bucket = F.timestamp_add("MICROSECOND", steps * width, start)
-    known = df.where(in_range).groupBy(*keys, bucket.alias("bucket")).agg(value.alias(name))
-    spine = F.explode(F.sequence(start, end, F.expr(f"INTERVAL {every}"))).alias("bucket")
-    if keys:
-        grid = df.select(*keys).distinct().select(*keys, spine)
-    else:
-        grid = df.sparkSession.range(1).select(spine)
+    step = F.expr(f"INTERVAL {every}")
+    in_range = (F.col(ts) >= start) & (F.col(ts) < end + step)
+    width = F.timestamp_diff("MICROSECOND", start, start + step)
+    at = F.floor(F.timestamp_diff("MICROSECOND", start, F.col(ts)) / width).cast("bigint")
+    known = df.where(in_range).groupBy(*keys, at.alias("__i")).agg(value.alias(name)).where(F.col(name).isNotNull())
+    if fill == "linear":
+        known = next_value(known, keys, ["__i"], {"__ni": "__i", "__nv": name})
+
+    last = F.floor(F.timestamp_diff("MICROSECOND", start, end) / width).cast("bigint")
+    grid = df.select(*keys).distinct() if keys else df.sparkSession.range(1).select()
+    grid = grid.select(*keys, last.alias("__last")).select(
+        *keys, "__last", F.explode(F.sequence(F.lit(0), F.expr(f"__last div {BLOCK}"))).alias("__block")
+    )
+    first = F.col("__block") * BLOCK
+    grid = grid.select(*keys, F.explode(F.sequence(first, F.least(first + (BLOCK - 1), F.col("__last")))).alias("__i"))
     left, right = grid.alias("g"), known.alias("k")
-    same = F.col("g.bucket") == F.col("k.bucket")
+    same = F.col("g.__i") == F.col("k.__i")
     for key in keys:
         same = same & F.col(f"g.{key}").eqNullSafe(F.col(f"k.{key}"))
-    out = left.join(right, same, "left").select("g.*", f"k.{name}")
+    more = ["k.__ni", "k.__nv"] if fill == "linear" else []
+    out = left.join(right, same, "left").select("g.*", f"k.{name}", *more)
 
-    by_time = Window.partitionBy(*keys).orderBy("bucket")
     if cumulative:
-        upto = by_time.rowsBetween(Window.unboundedPreceding, 0)
-        out = out.withColumn("cumulative", F.sum(F.coalesce(name, F.lit(0))).over(upto))
-    if fill == "previous":
-        out = out.withColumn(name, F.last(name, ignorenulls=True).over(by_time))
-    elif fill == "linear":
-        back = by_time.rowsBetween(Window.unboundedPreceding, 0)
-        ahead = by_time.rowsBetween(0, Window.unboundedFollowing)
-        at = F.when(F.col(name).isNotNull(), F.struct(F.col("bucket").alias("t"), F.col(name).alias("v")))
-        out = out.withColumn("__p", F.last(at, ignorenulls=True).over(back))
-        out = out.withColumn("__n", F.first(at, ignorenulls=True).over(ahead))
-        gone = F.timestamp_diff("MICROSECOND", F.col("__p.t"), F.col("bucket"))
-        span = F.timestamp_diff("MICROSECOND", F.col("__p.t"), F.col("__n.t"))
-        between = F.col("__p.v") + (F.col("__n.v") - F.col("__p.v")) * gone / span
-        out = out.withColumn(name, F.coalesce(F.col(name), between)).drop("__p", "__n")
-    elif fill is not None:
-        raise ValueError(f"unknown fill {fill!r}")
-    return out
+        out = running(out, keys, ["__i"], F.coalesce(name, F.lit(0)), "cumulative")
+    if fill:
+        fields = ["__i", name, *(["__ni", "__nv"] if fill == "linear" else [])]
+        seen = F.when(F.col(name).isNotNull(), F.struct(*fields))
+        out = running(out, keys, ["__i"], seen, "__seen", "max")
+        filled = F.col(f"__seen.{name}")
+        if fill == "linear":
+            share = (F.col("__i") - F.col("__seen.__i")) / (F.col("__seen.__ni") - F.col("__seen.__i"))
+            between = F.col(f"__seen.{name}") + (F.col("__seen.__nv") - F.col(f"__seen.{name}")) * share
+            filled = F.coalesce(F.col(name), between)
+        out = out.withColumn(name, filled)
+    bucket = F.timestamp_add("MICROSECOND", F.col("__i") * width, start).alias("bucket")
+    return out.select(*keys, bucket, name, *(["cumulative"] if cumulative else []))

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from olapflow.plans import dims, gapfill, snapshot
@@ -169,3 +170,19 @@ def test_known_keys_stay(spark):
     assert rows(out, "tk", "name") == [(1, "fishing"), (7, "cooking"), (8, "art"), (9, "sports")]
     hashed = dims.assign_keys(dim, incoming, ["name"], "tk")
     assert sorted(r.tk for r in hashed.collect()) == [1, 7, 8, 9]
+
+
+def test_one_second_buckets_over_a_month(spark):
+    rows_ = [("2024-01-01 00:00:00", 1.0), ("2024-01-31 23:59:50", 11.0)]
+    df = spark.createDataFrame(rows_, "t string, v double").select(F.col("t").cast("timestamp_ntz").alias("t"), "v")
+    out = gapfill.fill_buckets(
+        df, "t", "1 second", ts("2024-01-01 00:00:00"), ts("2024-01-31 23:59:59"), [], F.sum("v"), fill="linear", cumulative=True
+    )
+    n = 31 * 86_400
+    half = (n - 10) // 2
+    got = out.agg(
+        F.count("*"), F.count("value"), F.max("cumulative"),
+        F.max(F.when(F.col("bucket") == ts("2024-01-01 00:00:00") + F.expr(f"make_dt_interval(0, 0, 0, {half})"), F.col("value"))),
+    ).first()
+    assert tuple(got)[:3] == (n, n - 9, 12.0)
+    assert got[3] == pytest.approx(1 + 10 * half / (n - 10))
