@@ -187,10 +187,13 @@ SQL_TREE = """tree AS (
 own AS (SELECT l_partkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(28,2)) AS v FROM lineitem GROUP BY 1)"""
 
 
-def _tree(t):
+def _edges(t):
     parent = F.when(F.col("p_partkey") > 0, F.expr("p_partkey div 4"))
-    edges = t.part.select(F.col("p_partkey").alias("child"), parent.alias("parent"))
-    return hierarchy.closure(edges, "child", "parent")
+    return t.part.select(F.col("p_partkey").alias("child"), parent.alias("parent"))
+
+
+def _tree(t):
+    return hierarchy.closure(_edges(t), "child", "parent")
 
 
 def _part_sales(t):
@@ -205,6 +208,13 @@ def c03(t):
 @query("c04_rollup_tree", f"""WITH RECURSIVE {SQL_TREE}
 SELECT ancestor, CAST(sum(v) AS DOUBLE) AS v FROM tree JOIN own ON descendant = l_partkey GROUP BY 1""")
 def c04(t):
+    out = hierarchy.rollup_edges(_part_sales(t), _edges(t), "child", "parent", "l_partkey", ["v"])
+    return out.withColumn("v", F.col("v").cast("double"))
+
+
+@query("c04_rollup_over_closure", f"""WITH RECURSIVE {SQL_TREE}
+SELECT ancestor, CAST(sum(v) AS DOUBLE) AS v FROM tree JOIN own ON descendant = l_partkey GROUP BY 1""")
+def c04_closure(t):
     out = hierarchy.rollup_tree(_part_sales(t), _tree(t), "l_partkey", ["v"])
     return out.withColumn("v", F.col("v").cast("double"))
 

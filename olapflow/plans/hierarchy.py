@@ -50,6 +50,37 @@ def rollup_tree(fact: DataFrame, tree: DataFrame, node: str, measures: Sequence[
     return tree.join(own, "descendant").groupBy("ancestor").agg(*[F.sum(m).alias(m) for m in measures])
 
 
+def rollup_edges(fact: DataFrame, edges: DataFrame, child: str, parent: str, node: str, measures: Sequence[str]) -> DataFrame:
+    """Totals per ancestor straight from parent-child edges, without a table of pairs.
+
+    Every node holds the totals of its descendants up to a distance and a pointer to the
+    ancestor at that distance. A round adds to each node the totals of the nodes that
+    point at it and doubles the pointers, so it moves one row per node. A cycle raises an
+    error.
+    """
+    links = edges.where(F.col(parent).isNotNull() & (F.col(parent) != F.col(child)))
+    pointer = checkpointed(links.select(F.col(child).alias("ancestor"), F.col(parent).alias("up")).distinct())
+    sums = [F.sum(m).alias(m) for m in measures]
+    held = fact.groupBy(F.col(node).alias("ancestor")).agg(*sums)
+    kinds = {m: held.schema[m].dataType for m in measures}
+    # only facts at nodes of the tree count
+    known = edges.select(F.col(child).alias("ancestor")).union(edges.select(parent)).distinct()
+    held = checkpointed(held.join(known, "ancestor", "left_semi"))
+    span, most = 1, None
+    while not pointer.isEmpty():
+        if most is None:
+            most = pointer.count() + 1
+        if span > most:
+            raise ValueError("the edges hold a cycle")
+        moved = pointer.join(held, "ancestor").select(F.col("up").alias("ancestor"), *measures)
+        held = held.unionByName(moved).groupBy("ancestor").agg(*[F.sum(m).cast(kinds[m]).alias(m) for m in measures])
+        held = checkpointed(held)
+        onward = pointer.select(F.col("ancestor").alias("up"), F.col("up").alias("next"))
+        pointer = checkpointed(pointer.join(onward, "up").select("ancestor", F.col("next").alias("up")))
+        span *= 2
+    return held
+
+
 def rollup_set(fact: DataFrame, tree: DataFrame, node: str, ancestors: DataFrame, measures: Sequence[str]) -> DataFrame:
     """One total for a set of ancestors (column ``ancestor``); shared descendants count once."""
     below = tree.join(ancestors, "ancestor", "left_semi").select(F.col("descendant").alias(node))

@@ -105,6 +105,19 @@ def test_a_tree_of_any_depth(spark):
     assert pairs.agg(F.max("distance")).first()[0] == depth
 
 
+@pytest.mark.parametrize("shape", ["chain", "random", "star"])
+def test_totals_from_edges_equal_those_over_pairs(spark, shape):
+    rng = random.Random(6)
+    up = {"chain": lambda i: i - 1, "random": lambda i: rng.randrange(i), "star": lambda i: 0}[shape]
+    edges = spark.createDataFrame([(0, None)] + [(i, up(i)) for i in range(1, 40)], "child int, parent int")
+    sales = spark.createDataFrame([(rng.randrange(45), rng.randrange(100)) for _ in range(60)], "node int, v int")
+    pairs = hierarchy.closure(edges, "child", "parent")
+    assert rows(hierarchy.rollup_edges(sales, edges, "child", "parent", "node", ["v"])) == rows(hierarchy.rollup_tree(sales, pairs, "node", ["v"]))
+    with pytest.raises(ValueError, match="cycle"):
+        hierarchy.rollup_edges(sales, edges.where("child > 0").selectExpr("child", "CASE WHEN child = 1 THEN 39 ELSE parent END AS parent").where(
+            "parent is not null").union(spark.createDataFrame([(39, 1)], "child int, parent int")), "child", "parent", "node", ["v"])
+
+
 def test_tree_totals(spark, tree):
     sales = spark.createDataFrame([(2, 10), (4, 5), (6, 1), (3, 7)], "node int, v int")
     assert dict(rows(hierarchy.rollup_tree(sales, tree, "node", ["v"]))) == {1: 23, 2: 16, 3: 7, 4: 6, 6: 1}
