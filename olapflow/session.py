@@ -31,6 +31,7 @@ def build_session(app: str = "olapflow", cores: str = "*", **conf: str) -> Spark
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.shuffle.partitions", "8")
     )
     for key, value in {**RUNTIME_SETTINGS, **conf}.items():
@@ -64,8 +65,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path under the shared folder."""
-    return os.path.join(shared_dir(spark), "olapflow", f"{label}-{uuid.uuid4().hex}")
+    """A new path under the shared folder, in a folder of this application that goes when
+    its driver ends."""
+    context = spark.sparkContext
+    root = os.path.join(shared_dir(spark), "olapflow", context.applicationId)
+    folder = context._jvm.org.apache.hadoop.fs.Path(root)
+    store = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    store.mkdirs(folder)
+    store.deleteOnExit(folder)
+    return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
