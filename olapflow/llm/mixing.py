@@ -20,7 +20,7 @@ from olapflow.llm.base import SPACE, SPACES, WORD, stored
 from olapflow.operators.window import running
 
 #: Weights of the sources in code point order, repeating; the mix's size in halves of the
-#: input; the most epochs of any source; rows that one chunk should hold.
+#: input; the most epochs of any source; rows that one chunk holds at most (about).
 WEIGHTS, HALVES, EPOCHS, CHUNK_ROWS = (3, 1, 2), 3, 2, 50_000
 
 _SOURCE, _KEY, _SIZE = "__source", "__key", "__size"
@@ -82,7 +82,8 @@ def cuts(rows: DataFrame) -> DataFrame:
         "epochs", F.when(F.col("source_size") > 0, F.expr("budget div source_size")).otherwise(0).cast("long")
     ).withColumn("rest", F.col("budget") - F.col("epochs") * F.col("source_size"))
 
-    chunks = max(1, -(-rows.count() // CHUNK_ROWS))
+    shuffle = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = max(shuffle, -(-rows.count() // CHUNK_ROWS))  # a hot source spreads over all tasks
     width = -(-(16**_HEX) // chunks)
     grouped = rows.groupBy(_SOURCE, _KEY).agg(F.sum(_SIZE).alias(_SIZE))  # equal keys share one place
     placed = running(
