@@ -71,6 +71,8 @@ def dedup_lines(
         .agg(F.countDistinct(F.struct("doc_id")).alias("n"), F.max("doc_id").alias("keeper"))
         .where(F.col("n") >= min_docs)
     )
+    # a table of its own, so that the join can split a key which very many documents hold
+    shared = stored(shared, "shared-lines")
     dropped = (
         keys.join(shared, "key")
         .where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
