@@ -2,7 +2,8 @@
 
 Each text is a worklist of layers. A layer is scanned, then searched for encodings: URL
 and Unicode escapes give the layer with those escapes decoded, Base64 blobs give their
-content, unpacked if it is compressed. New layers join the list until nothing new comes
+content, unpacked if it is compressed; a blob may be of either alphabet and wrapped into
+lines. New layers join the list until nothing new comes
 up; a layer already seen is not entered again, which ends cycles. Every character of a
 layer carries the span of the original text it came from, so findings in any layer are
 reported as spans of the text itself.
@@ -10,7 +11,6 @@ reported as spans of the text itself.
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import html
@@ -39,7 +39,17 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
-_BASE64 = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9_-]{16,}={0,2}")
+
+_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_"
+_STANDARD = str.maketrans("-_", "+/")
+#: Runs of Base64 digits of both alphabets, and the runs of one alphabet inside them.
+_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_ONE = (re.compile(r"[A-Za-z0-9+/]{16,}={0,2}"), re.compile(r"[A-Za-z0-9_-]{16,}={0,2}"))
+_CUT = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9_-]{16,}={0,2}")
+_LINE, _LAST = re.compile(r"[A-Za-z0-9+/_-]+"), re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+#: Line breaks, real, continued or escaped, with the indent of the next line.
+_BREAK = re.compile(r"(?:\n|\r|\\\\*+[nr\n\r])(?:[ \t\n\r]|\\++[nr\n\r])*+")
+_PACKED = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
 
 
 def scan(text: str) -> Iterator[tuple[int, int, int]]:
@@ -114,21 +124,42 @@ def _unescaped(layer: _Layer, pattern: re.Pattern, decode) -> _Layer | None:
     return _Layer("".join(texts), np.concatenate([*starts, layer.starts[at:]]), np.concatenate([*ends, layer.ends[at:]]))
 
 
-def _unpacked(data: bytes) -> bytes | None:
-    """Content of gzip, zlib, bzip2 or xz data; None if it is none of them."""
+def _unpacked(data: memoryview) -> tuple[bytes, int] | None:
+    """Content and packed size of the gzip, zlib, bzip2 or xz data at the start; None if it is none of them."""
     try:
-        if data[:2] == b"\x1f\x8b" or (data[:1] == b"\x78" and int.from_bytes(data[:2], "big") % 31 == 0):
+        if data[:1] in (b"\x1f", b"x"):
             machine = zlib.decompressobj(47)
-        elif data[:3] == b"BZh":
+        elif data[:1] == b"B":
             machine = bz2.BZ2Decompressor()
-        elif data[:6] == b"\xfd7zXZ\x00":
-            machine = lzma.LZMADecompressor()
         else:
-            return None
+            machine = lzma.LZMADecompressor()
         out = machine.decompress(data, MAX_UNPACKED + 1)
     except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
         return None
-    return out if machine.eof and len(out) <= MAX_UNPACKED else None
+    return (out, len(data) - len(machine.unused_data)) if machine.eof and len(out) <= MAX_UNPACKED else None
+
+
+def _streams(data: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """Start, end and content of the compressed streams inside ``data``."""
+    at = 0
+    while m := _PACKED.search(data, at):
+        at = m.start() + 1
+        if one := _unpacked(memoryview(data)[m.start() :]):
+            at = m.start() + one[1]
+            yield m.start(), at, one[0]
+
+
+def _contents(data: bytes) -> Iterator[tuple[int, int, str]]:
+    """Like ``_streams``, as text, with the streams inside of streams."""
+    work, seen = deque(_streams(data)), set()
+    while work:
+        start, end, content = work.popleft()
+        if (start, content) in seen:
+            continue
+        seen.add((start, content))
+        work += [(start, end, inner) for _, _, inner in _streams(content)]
+        if (text := _readable(content)) is not None:
+            yield start, end, text
 
 
 def _readable(data: bytes) -> str | None:
@@ -139,30 +170,83 @@ def _readable(data: bytes) -> str | None:
     return text if text and all(c.isprintable() or c in "\t\n\r\f\v" for c in text) else None
 
 
+def _wrapped(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Spans of the lines of digits that line breaks part."""
+    lines: list[tuple[int, int]] = []
+    floor = 0
+    for m in _BREAK.finditer(text):
+        end = m.start()
+        while end > floor and text[end - 1] in " \t":
+            end -= 1
+        body = text[floor:end]
+        if lines and _LINE.fullmatch(body):
+            lines.append((floor, end))
+        else:
+            if last := _LAST.match(body):
+                lines.append((floor, floor + last.end()))
+            if len(lines) > 1:
+                yield lines
+            head = floor + len(body.rstrip(_DIGITS))
+            lines = [(head, end)] if head < end else []
+        floor = m.end()
+    if last := _LAST.match(text, floor):
+        lines.append(last.span())
+    if len(lines) > 1:
+        yield lines
+
+
+def _runs(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Where Base64 blobs may lie, each as the spans of its lines.
+
+    A run of digits is taken whole and, as what stands before a blob may be digits too, by
+    its parts of one alphabet. Lines are taken alone and joined. Joined lines start at the
+    first line, at a later one or inside the first after a mark, as often as that puts the
+    digits in other groups of four.
+    """
+    for m in _RUN.finditer(text):
+        run, spans = m.group(), [m.span()]
+        if "-" in run or "_" in run or "+" in run or "/" in run:
+            spans += [p.span() for pattern in (*_ONE, _CUT) for p in pattern.finditer(text, *m.span())]
+        if run[0] in "nrt" and text[m.start() - 1 : m.start()] == "\\":  # the end of an escape
+            spans.append((m.start() + 1, m.end()))
+        for span in dict.fromkeys(spans):
+            yield [span]
+    for lines in _wrapped(text):
+        if sum(end - start for start, end in lines) < 16:
+            continue
+        groups, at = set(), 0
+        for i, (start, end) in enumerate(lines):
+            marks = (m.end() for m in re.finditer(r"[+/_-]", text[start:end])) if i == 0 else ()
+            for skip in (0, *marks):
+                if (at + skip) % 4 not in groups and skip < end - start:
+                    groups.add((at + skip) % 4)
+                    yield [(start + skip, end), *lines[i + 1 :]]
+            at += end - start
+            if len(groups) == 4:
+                break
+
+
 def _blobs(layer: _Layer) -> Iterator[_Layer]:
     """Layers inside the Base64 blobs of a layer."""
-    for m in _BASE64.finditer(layer.text):
-        blob = m.group().rstrip("=").replace("-", "+").replace("_", "/")
-        if len(blob) % 4 == 1:
-            continue
-        try:
-            data = base64.b64decode(blob + "=" * (-len(blob) % 4), validate=True)
-        except binascii.Error:
+    for lines in _runs(layer.text):
+        digits = "".join(layer.text[a:b] for a, b in lines).rstrip("=").translate(_STANDARD)
+        size = len(digits) - (len(digits) % 4 == 1)
+        if size < 16:
             continue
-        first, last = int(layer.starts[m.start()]), int(layer.ends[m.end() - 1])
-        packed, content = False, data
-        seen = set()
-        while (inner := _unpacked(content)) is not None and inner not in seen:
-            packed, content = True, inner
-            seen.add(inner)
-        text = _readable(content)
+        data = binascii.a2b_base64(digits[:size] + "=" * (-size % 4))
+        places = np.concatenate([np.arange(a, b) for a, b in lines])[:size]
+        starts, ends = layer.starts[places], layer.ends[places]
+        ends[-1] = layer.ends[lines[-1][1] - 1]  # with the padding
+        for first, last, text in _contents(data):
+            yield _Layer.inside(text, int(starts[first // 3 * 4]), int(ends[min((last + 2) // 3 * 4, size) - 1]))
+        text = _readable(data)
         if text is None:
             continue
-        if packed or not text.isascii():
-            yield _Layer.inside(text, first, last)
+        if not text.isascii():
+            yield _Layer.inside(text, int(starts[0]), int(ends[-1]))
         else:  # three bytes for every four digits
-            group = m.start() + 4 * (np.arange(len(text)) // 3)
-            yield _Layer(text, layer.starts[group], layer.ends[np.minimum(group + 3, m.end() - 1)])
+            group = 4 * (np.arange(len(text)) // 3)
+            yield _Layer(text, starts[group], ends[np.minimum(group + 3, size - 1)])
 
 
 def find_secrets(text: str) -> list[tuple[int, int, int, int]]:
@@ -188,7 +272,7 @@ def find_secrets(text: str) -> list[tuple[int, int, int, int]]:
 
 def _encoded(text: str) -> bool:
     return bool(
-        ("%" in text and _URL.search(text)) or (("\\" in text or "&#" in text) and _UNICODE.search(text)) or _BASE64.search(text)
+        ("%" in text and _URL.search(text)) or (("\\" in text or "&#" in text) and _UNICODE.search(text)) or next(_runs(text), None)
     )
 
 

@@ -4,8 +4,10 @@ import base64
 import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import re
+import zlib
 from collections import Counter
 from urllib.parse import quote
 
@@ -55,6 +57,41 @@ def test_nested_findings_lie_in_their_blob(blob, depth):
     assert set(brute(text)) <= {f[:3] for f in find_secrets(text)}
 
 
+def kinds_inside(text, start, end):
+    return {f[1] for f in find_secrets(text) if f[3] and start <= f[0] < f[2] <= end}
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, lzma.compress, bytes])
+def test_every_url_safe_blob_is_read_whole(pack):
+    rng = random.Random(6)
+    for _ in range(200):
+        blob = base64.urlsafe_b64encode(pack(rng.randbytes(rng.randrange(40)).hex()[:23].encode() + b"?>~ " + SECRET.encode())).decode()
+        for text in (f"before {blob} after", f"before {blob.rstrip('=')}, after"):
+            assert 0 in kinds_inside(text, 7, len(text) - 6), text
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bytes])
+@pytest.mark.parametrize("line", ["\n", "\r\n", "\\n", "\\r\\n", "\\\\n", "\n    ", " \\\n\t"])
+@pytest.mark.parametrize("frame", ["see: {}.", "see:{0}{1}{0}", "see:{0}{1}{0}."])
+def test_wrapped_blobs_are_read_whole(pack, line, frame):
+    rng = random.Random(7)
+    for width in (64, 76, 19):
+        for _ in range(8):
+            plain = "".join(rng.choices("ghij klmn", k=rng.randrange(44, 60))) + " " + SECRET + " " + "".join(rng.choices("xyz ", k=200))
+            blob = b64(pack(plain.encode()))
+            wrapped = line.join(blob[i : i + width] for i in range(0, len(blob), width))
+            text = frame.format(line, wrapped) if "{0}" in frame else frame.format(wrapped)
+            at = text.index(wrapped)
+            assert 0 in kinds_inside(text, at, at + len(wrapped)), text
+
+
+def test_the_span_of_a_secret_over_a_line_end_is_exact():
+    blob = b64("x" * 50 + " token=abcdef; " + "y" * 50)
+    text = "é " + blob[:76] + "\n" + blob[76:]
+    start, end = 2 + 51 // 3 * 4, 3 + -(-63 // 3) * 4
+    assert (start, 0, end, 1) in find_secrets(text)
+
+
 def test_the_span_of_an_escaped_secret_is_exact():
     text = "x " + quote("token=abcdef!") + " y"
     assert text[slice(*[find_secrets(text)[0][i] for i in (0, 2)])] == "token%3Dabcdef"
