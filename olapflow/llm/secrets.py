@@ -6,7 +6,8 @@ content, unpacked if it is compressed; a blob may be of either alphabet and wrap
 lines. New layers join the list until nothing new comes
 up; a layer already seen is not entered again, which ends cycles. Every character of a
 layer carries the span of the original text it came from, so findings in any layer are
-reported as spans of the text itself.
+reported as spans of the text itself. Bytes that are no text are no reason to leave a
+layer out: each stands as one placeholder, and the patterns decide what is a finding.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from urllib.parse import unquote_to_bytes
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,9 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
+#: What percent encoders write for bytes: escapes and characters left as they are.
+_MIXED = re.compile(r"(?:%[0-9A-Fa-f]{2}|[!-$&-~])++")
+_BYTE = re.compile(r"%..|.")
 _UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
 
 _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_"
@@ -82,41 +87,59 @@ class _Layer:
         return cls(text, np.broadcast_to(np.int64(start), len(text)), np.broadcast_to(np.int64(end), len(text)))
 
 
-def _url_part(part: str) -> str | None:
-    try:
-        return bytes.fromhex(part.replace("%", "")).decode()
-    except UnicodeDecodeError:
-        return None
+#: Stands for a byte or half of a pair that is no text.
+BAD = "\ufffd"
+_BAD = re.compile("[\ud800-\udfff]")
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _decoded(data: bytes) -> tuple[str, np.ndarray]:
+    """``data`` as text, one BAD for each byte that is not UTF-8, and the bytes of each character."""
+    if data.isascii():
+        return data.decode("ascii"), np.ones(len(data), np.int64)
+    text = data.decode("utf-8", "surrogateescape")
+    codes = _codes(text)
+    sizes = 1 + (codes >= 0x80).astype(np.int64) + (codes >= 0x800) + (codes >= 0x10000)
+    sizes[(codes >= 0xD800) & (codes < 0xE000)] = 1
+    return _BAD.sub(BAD, text), sizes
+
+
+def _url_part(part: str) -> tuple[str, np.ndarray]:
+    text, sizes = _decoded(bytes.fromhex(part.replace("%", "")))
+    return text, 3 * sizes
 
 
-def _unicode_part(part: str) -> str | None:
+def _unicode_part(part: str) -> tuple[str, np.ndarray | None]:
     if part.startswith("&#"):
-        return html.unescape(part)
+        return html.unescape(part), None
     if part.startswith("\\u{"):
         code = int(part[3:-1], 16)
-        return chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else None
+        return chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else BAD, None
     if part.startswith("\\x"):
-        return chr(int(part[2:], 16))
-    try:  # pairs of surrogates give one character
-        return bytes.fromhex(part.replace("\\u", "")).decode("utf-16-be")
-    except UnicodeDecodeError:
-        return None
+        return chr(int(part[2:], 16)), None
+    # pairs of surrogates give one character
+    text = bytes.fromhex(part.replace("\\u", "")).decode("utf-16-be", "surrogatepass")
+    return _BAD.sub(BAD, text), 6 * (1 + (_codes(text) >= 0x10000).astype(np.int64))
 
 
 def _unescaped(layer: _Layer, pattern: re.Pattern, decode) -> _Layer | None:
     """The layer with every escape that ``pattern`` finds decoded; None if there is none."""
     texts, starts, ends, at = [], [], [], 0
     for m in pattern.finditer(layer.text):
-        new = decode(m.group())
+        new, sizes = decode(m.group())
         if not new:
             continue
+        if sizes is None:  # all of it stands for the whole escape
+            upto = np.full(len(new), m.end())
+            sizes = upto - m.start()
+        else:
+            upto = m.start() + np.cumsum(sizes)
         texts += [layer.text[at : m.start()], new]
-        starts += [layer.starts[at : m.start()], np.broadcast_to(layer.starts[m.start()], len(new))]
-        ends += [layer.ends[at : m.start()], np.broadcast_to(layer.ends[m.end() - 1], len(new))]
-        if len(new) > 1 and (m.end() - m.start()) % len(new) == 0:  # escapes of equal length: place each
-            step = (m.end() - m.start()) // len(new)
-            starts[-1] = layer.starts[m.start() : m.end() : step]
-            ends[-1] = layer.ends[m.start() + step - 1 : m.end() : step]
+        starts += [layer.starts[at : m.start()], layer.starts[upto - sizes]]
+        ends += [layer.ends[at : m.start()], layer.ends[upto - 1]]
         at = m.end()
     if not texts:
         return None
@@ -158,16 +181,7 @@ def _contents(data: bytes) -> Iterator[tuple[int, int, str]]:
             continue
         seen.add((start, content))
         work += [(start, end, inner) for _, _, inner in _streams(content)]
-        if (text := _readable(content)) is not None:
-            yield start, end, text
-
-
-def _readable(data: bytes) -> str | None:
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\n\r\f\v" for c in text) else None
+        yield start, end, _decoded(content)[0]
 
 
 def _wrapped(text: str) -> Iterator[list[tuple[int, int]]]:
@@ -239,14 +253,23 @@ def _blobs(layer: _Layer) -> Iterator[_Layer]:
         ends[-1] = layer.ends[lines[-1][1] - 1]  # with the padding
         for first, last, text in _contents(data):
             yield _Layer.inside(text, int(starts[first // 3 * 4]), int(ends[min((last + 2) // 3 * 4, size) - 1]))
-        text = _readable(data)
-        if text is None:
+        text, sizes = _decoded(data)
+        upto = np.cumsum(sizes)  # three bytes for every four digits
+        yield _Layer(text, starts[(upto - sizes) // 3 * 4], ends[np.minimum((upto - 1) // 3 * 4 + 3, size - 1)])
+
+
+def _escaped_streams(layer: _Layer) -> Iterator[_Layer]:
+    """Layers inside compressed bytes that are written as they are or as percent escapes."""
+    for m in _MIXED.finditer(layer.text) if "%" in layer.text else ():
+        if "%" not in m.group():
             continue
-        if not text.isascii():
-            yield _Layer.inside(text, int(starts[0]), int(ends[-1]))
-        else:  # three bytes for every four digits
-            group = 4 * (np.arange(len(text)) // 3)
-            yield _Layer(text, starts[group], ends[np.minimum(group + 3, size - 1)])
+        plain = unquote_to_bytes(m.group())
+        for data in {plain, unquote_to_bytes(m.group().replace("+", " "))}:  # a plus may stand for a blank
+            if not _PACKED.search(data):
+                continue
+            places = [m.start() + t.start() for t in _BYTE.finditer(m.group())] + [m.end()]
+            for first, last, text in _contents(data):
+                yield _Layer.inside(text, int(layer.starts[places[first]]), int(layer.ends[places[last] - 1]))
 
 
 def find_secrets(text: str) -> list[tuple[int, int, int, int]]:
@@ -265,7 +288,10 @@ def find_secrets(text: str) -> list[tuple[int, int, int, int]]:
             for start, kind, end in scan(layer.text):
                 span = int(layer.starts[start]), kind, int(layer.ends[end - 1])
                 found[span] = min(depth, found.get(span, depth))
-        inner = [_unescaped(layer, _URL, _url_part), _unescaped(layer, _UNICODE, _unicode_part), *_blobs(layer)]
+        inner = [
+            _unescaped(layer, _URL, _url_part), _unescaped(layer, _UNICODE, _unicode_part),
+            *_blobs(layer), *_escaped_streams(layer),
+        ]
         work += [(new, depth + 1) for new in inner if new is not None and new.text]
     return sorted((*span, depth) for span, depth in found.items())
 

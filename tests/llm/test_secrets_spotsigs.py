@@ -9,7 +9,7 @@ import random
 import re
 import zlib
 from collections import Counter
-from urllib.parse import quote
+from urllib.parse import quote, quote_plus, unquote_to_bytes
 
 import pytest
 from pyspark.sql import functions as F
@@ -72,7 +72,7 @@ def test_every_url_safe_blob_is_read_whole(pack):
 
 @pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bytes])
 @pytest.mark.parametrize("line", ["\n", "\r\n", "\\n", "\\r\\n", "\\\\n", "\n    ", " \\\n\t"])
-@pytest.mark.parametrize("frame", ["see: {}.", "see:{0}{1}{0}", "see:{0}{1}{0}."])
+@pytest.mark.parametrize("frame", ["see: {}.", "see:{0}{1}{0}", "see:{0}{1}{0}.", "-----BEGIN KEY-----{0}{1}{0}-----END KEY-----", "word{0}{1}{0}word{0}", "a/b-{}"])
 def test_wrapped_blobs_are_read_whole(pack, line, frame):
     rng = random.Random(7)
     for width in (64, 76, 19):
@@ -92,6 +92,35 @@ def test_the_span_of_a_secret_over_a_line_end_is_exact():
     assert (start, 0, end, 1) in find_secrets(text)
 
 
+@pytest.mark.parametrize("bad", [b"\xef\xbb\xbf", b"\0", b"\x1b[1m", b"\xc2\xa0", "\u3000".encode(), "\u200d".encode(), b"\xff\x80\xe2\x82", bytes(range(256))])
+def test_bytes_that_are_no_text_drop_no_layer(bad):
+    data = bad + b" " + SECRET.encode() + b" " + bad
+    assert 0 in kinds_inside(f"before {b64(data)}", 7, 7 + len(b64(data)))
+    for pack in (gzip.compress, lzma.compress):
+        assert 0 in kinds_inside(b64(pack(data)), 0, len(b64(pack(data))))
+    for text in (quote(data), "".join(f"%{c:02X}" for c in data)):
+        (start, end), = {(f[0], f[2]) for f in find_secrets(text) if f[1] == 0}
+        assert unquote_to_bytes(text[start:end]) == SECRET[:-1].encode()
+    nested = "".join(f"%{c:02X}" for c in bad + b" " + b64(data).encode())
+    assert any(f[1] == 0 and f[3] == 2 for f in find_secrets(nested))
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+@pytest.mark.parametrize("escape", [quote, quote_plus, lambda data: "".join(f"%{c:02x}" for c in data)])
+def test_percent_escaped_streams_are_unpacked(pack, escape):
+    rng = random.Random(8)
+    for _ in range(50):
+        part = escape(pack(rng.randbytes(rng.randrange(30)).hex()[:23].encode() + b"? " + SECRET.encode()))
+        text = f"é ?data={part}&x=1"
+        assert 0 in kinds_inside(text, 8, 8 + len(part)), text
+
+
+def test_placeholders_keep_spans():
+    blob = b64(b"\xff\x00\xe2\x82 token=abcdef \xf0\x9f\x98\x80!")
+    assert find_secrets("é " + blob) == [(2 + 4, 0, 2 + 24, 1)]
+    assert find_secrets("\\ud83d\\u0074oken=abcdef") == [(6, 0, 23, 1)]
+
+
 def test_the_span_of_an_escaped_secret_is_exact():
     text = "x " + quote("token=abcdef!") + " y"
     assert text[slice(*[find_secrets(text)[0][i] for i in (0, 2)])] == "token%3Dabcdef"
