@@ -54,6 +54,7 @@ _CUT = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9_-]{16,}={0,2}")
 _LINE, _LAST = re.compile(r"[A-Za-z0-9+/_-]+"), re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 #: Line breaks, real, continued or escaped, with the indent of the next line.
 _BREAK = re.compile(r"(?:\n|\r|\\\\*+[nr\n\r])(?:[ \t\n\r]|\\++[nr\n\r])*+")
+_STEP = 1 << 14  # bytes unpacked at a time
 _PACKED = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
 
 
@@ -147,29 +148,41 @@ def _unescaped(layer: _Layer, pattern: re.Pattern, decode) -> _Layer | None:
     return _Layer("".join(texts), np.concatenate([*starts, layer.starts[at:]]), np.concatenate([*ends, layer.ends[at:]]))
 
 
-def _unpacked(data: memoryview) -> tuple[bytes, int] | None:
-    """Content and packed size of the gzip, zlib, bzip2 or xz data at the start; None if it is none of them."""
+def _unpacked(data: bytes, at: int) -> tuple[bytes, int] | None:
+    """Content and end of the gzip, zlib, bzip2 or xz data that starts at ``at``; None if it is none of them."""
+    head, parts, size = data[at : at + 1], [], 0
     try:
-        if data[:1] in (b"\x1f", b"x"):
-            machine = zlib.decompressobj(47)
-        elif data[:1] == b"B":
-            machine = bz2.BZ2Decompressor()
-        else:
-            machine = lzma.LZMADecompressor()
-        out = machine.decompress(data, MAX_UNPACKED + 1)
+        machine = zlib.decompressobj(47) if head in b"\x1fx" else bz2.BZ2Decompressor() if head == b"B" else lzma.LZMADecompressor()
+        while not machine.eof and at < len(data):  # in steps, as what follows the end is copied
+            step = data[at : at + _STEP]
+            parts.append(machine.decompress(step, MAX_UNPACKED + 1 - size))
+            size += len(parts[-1])
+            if size > MAX_UNPACKED:
+                return None
+            at += len(step)
     except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
         return None
-    return (out, len(data) - len(machine.unused_data)) if machine.eof and len(out) <= MAX_UNPACKED else None
+    return (b"".join(parts), at - len(machine.unused_data)) if machine.eof else None
 
 
 def _streams(data: bytes) -> Iterator[tuple[int, int, bytes]]:
-    """Start, end and content of the compressed streams inside ``data``."""
-    at = 0
+    """Start, end and content of the compressed streams inside ``data``, members that follow
+    each other joined, as long as they are within MAX_UNPACKED together."""
+    start = end = at = size = 0
+    parts: list[bytes] = []
     while m := _PACKED.search(data, at):
         at = m.start() + 1
-        if one := _unpacked(memoryview(data)[m.start() :]):
-            at = m.start() + one[1]
-            yield m.start(), at, one[0]
+        if one := _unpacked(data, m.start()):
+            if parts and (m.start() != end or size + len(one[0]) > MAX_UNPACKED):
+                yield start, end, b"".join(parts)
+                parts, size = [], 0
+            if not parts:
+                start = m.start()
+            parts.append(one[0])
+            size += len(one[0])
+            end = at = one[1]
+    if parts:
+        yield start, end, b"".join(parts)
 
 
 def _contents(data: bytes) -> Iterator[tuple[int, int, str]]:

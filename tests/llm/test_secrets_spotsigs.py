@@ -115,6 +115,14 @@ def test_percent_escaped_streams_are_unpacked(pack, escape):
         assert 0 in kinds_inside(text, 8, 8 + len(part)), text
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+def test_every_member_of_a_stream_is_read(pack):
+    blob = b64(pack(b"none ") + pack(b"pass") + pack(b"word = hun") + pack(b"ter22x"))
+    assert kinds_inside(f"x {blob} y", 2, 2 + len(blob)) == {0}
+    blob = b64(b"".join(pack(b"word ") for _ in range(2000)) + pack(SECRET.encode()) + b"rest")
+    assert kinds_inside(blob, 0, len(blob)) == {0}
+
+
 def test_placeholders_keep_spans():
     blob = b64(b"\xff\x00\xe2\x82 token=abcdef \xf0\x9f\x98\x80!")
     assert find_secrets("é " + blob) == [(2 + 4, 0, 2 + 24, 1)]
