@@ -2,7 +2,8 @@
 
 Markup is cut into tags and text by one pattern. The tree builder closes elements whose
 end tags HTML lets authors leave out, ignores end tags that match nothing, and drops what
-browsers do not show. The renderer walks the tree without recursion and keeps the layout:
+browsers do not show. SVG and MathML elements are told from those of HTML by a prefix of
+their tags, and opened and closed by the rules of foreign content. The renderer walks the tree without recursion and keeps the layout:
 blocks on lines of their own, blank lines where blocks have margins, list markers with
 indentation, preformatted text as it is, and table cells padded to columns.
 """
@@ -10,6 +11,7 @@ indentation, preformatted text as it is, and table cells padded to columns.
 from __future__ import annotations
 
 import html
+import itertools
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -24,8 +26,12 @@ RAW = frozenset("script style textarea title xmp iframe noembed noframes noscrip
 #: Elements that are not shown at all.
 UNSEEN = frozenset(
     "head title script style template noscript noembed noframes iframe object audio video canvas datalist meta link "
-    "base map svg math colgroup col rp".split()
-)
+    "base map colgroup col rp".split()
+) | {
+    *(f"svg {tag}" for tag in (
+        "defs title desc metadata script style symbol clippath mask marker pattern lineargradient radialgradient filter".split()
+    )), "math mphantom",
+}
 BLOCK = frozenset(
     "html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form frameset h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol optgroup option p pre search section "
@@ -33,9 +39,23 @@ BLOCK = frozenset(
 )
 #: Blocks with a margin: a blank line parts them from their neighbours.
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu dir blockquote figure pre table hr fieldset xmp listing".split())
+#: HTML tags that end foreign content.
+_BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr "
+    "ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+#: Foreign elements on lines of their own, those with parts to keep apart, and those that show one child.
+_OWN_LINE = frozenset({"svg text", "svg foreignobject"})
+_APART = frozenset({"math mfrac", "math mtable", "math mtr", "math mlabeledtr"})
+_ONE_CHILD = frozenset({"svg switch", "math semantics", "math maction"})
 _CLOSES_P = BLOCK - frozenset("html body td th tr tbody thead tfoot caption option optgroup legend".split())
+#: Foreign elements in which markup is HTML again, and which end the search for open elements.
+_HTML_INSIDE = frozenset({"svg foreignobject", "svg desc", "svg title"})
+_TOKENS = frozenset({"math mi", "math mo", "math mn", "math ms", "math mtext"})
+_POINTS = _HTML_INSIDE | _TOKENS | {"math annotation-xml"}
 #: Opening the first closes an open element of the second, looked for up to the third.
-_CELL, _TABLE = frozenset({"td", "th"}), frozenset({"table", "html"})
+_CELL, _TABLE = frozenset({"td", "th"}), frozenset({"table", "html"}) | _POINTS
+_P_SCOPE = frozenset("table td th button caption object html".split()) | _POINTS
 _IMPLIED = {
     "li": ({"li"}, frozenset("ul ol menu dir html".split())),
     "dt": ({"dt", "dd"}, frozenset({"dl", "html"})),
@@ -52,6 +72,7 @@ _IMPLIED = {
     "rp": ({"rt", "rp"}, frozenset({"ruby", "html"})),
     "body": ({"head"}, frozenset({"html"})),
 }
+_IMPLIED = {tag: (closed, stop | _POINTS) for tag, (closed, stop) in _IMPLIED.items()}
 _HEAD = frozenset("head title base link meta style script template noscript html".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
@@ -61,14 +82,18 @@ _MARKUP = re.compile(
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+#: A slash at the end of an unquoted value belongs to the value.
+_UNQUOTED_END = re.compile(r"=\s*[^\s\"'][^\s]*\Z")
 _GAP = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "children", "shown")
+    __slots__ = ("tag", "attributes", "children", "shown", "words")
 
     def __init__(self, tag: str, attributes: dict[str, str], shown: bool):
         self.tag, self.attributes, self.children, self.shown = tag, attributes, [], shown
+        self.words = True  # whether text right inside is shown
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -81,6 +106,10 @@ def _attributes(text: str) -> dict[str, str]:
 def _is_shown(tag: str, attributes: dict[str, str]) -> bool:
     if tag in UNSEEN or "hidden" in attributes or (tag == "input" and attributes.get("type", "").lower() == "hidden"):
         return False
+    if tag.startswith("svg ") and (
+        attributes.get("display", "").strip() == "none" or attributes.get("visibility", "").strip() in ("hidden", "collapse")
+    ):
+        return False
     style = re.sub(r"\s", "", attributes.get("style", "")).lower()
     return not ("display:none" in style or "visibility:hidden" in style or "visibility:collapse" in style)
 
@@ -99,34 +128,85 @@ def parse(source: str) -> Node:
             if stack[depth].tag in stop:
                 return
 
+    def add(text: str) -> None:
+        top = stack[-1]
+        if top.words and (text.strip() or not top.tag.startswith("math ") or top.tag in _TOKENS):
+            top.children.append(text)
+
+    def is_foreign(tag: str) -> bool:
+        """Whether a start tag is one of the foreign content that is open."""
+        top = stack[-1]
+        if " " not in top.tag or top.tag in _HTML_INSIDE:
+            return False
+        if top.tag in _TOKENS:
+            return tag in ("mglyph", "malignmark")
+        if top.tag == "math annotation-xml":
+            encoding = top.attributes.get("encoding", "").lower()
+            return tag != "svg" and encoding not in ("text/html", "application/xhtml+xml")
+        return True
+
+    def break_out() -> None:
+        while " " in stack[-1].tag and stack[-1].tag not in _HTML_INSIDE and stack[-1].tag not in _TOKENS:
+            stack.pop()
+
     while at < size:
         m = _MARKUP.search(source, at)
         text = source[at : m.start() if m else size]
         if text:
             if stack[-1].tag == "head" and text.strip():
                 stack.pop()  # text ends the head
-            stack[-1].children.append(html.unescape(text) if "&" in text else text)
+            add(html.unescape(text) if "&" in text else text)
         if not m:
             break
         at, tag = m.end(), (m.group(2) or "").lower()
         if not tag:
+            if " " in stack[-1].tag and source.startswith("<![CDATA[", m.start()):
+                end = source.find("]]>", m.start() + 9)
+                add(source[m.start() + 9 : end if end >= 0 else size])
+                at = end + 3 if end >= 0 else size
             continue
         if m.group(1):
+            if " " in stack[-1].tag:
+                if tag in ("p", "br"):
+                    break_out()
+                depth = len(stack) - 1
+                while " " in stack[depth].tag and stack[depth].tag.split(" ")[1] != tag:
+                    depth -= 1
+                if " " in stack[depth].tag:
+                    del stack[depth:]
+                    continue
             if tag == "p" and not any(n.tag == "p" for n in stack):
                 stack[-1].children.append(Node("p", {}, True))  # a stray end tag makes an empty paragraph
             elif tag == "br":
                 stack[-1].children.append(Node("br", {}, True))
             elif tag not in ("html", "body"):
-                limit = frozenset() if tag == "table" else _TABLE if tag in BLOCK else _TABLE | _CELL
+                limit = _POINTS if tag == "table" else _TABLE if tag in BLOCK else _TABLE | _CELL
                 close(_HEADINGS if tag in _HEADINGS else {tag}, limit - {tag})
             continue
         attributes = _attributes(m.group(3)) if m.group(3) else {}
+        foreign = is_foreign(tag)
+        if foreign and (tag in _BREAKOUT or (tag == "font" and attributes.keys() & {"color", "face", "size"})):
+            break_out()
+            foreign = False
+        if foreign or tag in ("svg", "math"):
+            if stack[-1].tag == "head":
+                stack.pop()
+            name = f"{stack[-1].tag.split(' ')[0] if foreign else tag} {tag}"
+            node = Node(name, attributes, _is_shown(name, attributes))
+            if name.startswith("svg "):  # of its text, a drawing shows what is inside of text elements
+                inside = stack[-1].words and stack[-1].tag.startswith("svg ") and stack[-1].tag not in _HTML_INSIDE
+                node.words = name in ("svg text", "svg foreignobject") or (inside and tag != "svg")
+            stack[-1].children.append(node)
+            slash = m.group(3).endswith("/") and not _UNQUOTED_END.search(_QUOTED.sub('""', m.group(3)))
+            if not slash:
+                stack.append(node)
+            continue
         if tag == "html" or (tag == "body" and any(n.tag == "body" for n in stack)):
             continue
         if stack[-1].tag == "head" and tag not in _HEAD:
             stack.pop()
         if tag in _CLOSES_P:
-            close({"p"}, frozenset("table td th button caption object html".split()))
+            close({"p"}, _P_SCOPE)
         if tag in _IMPLIED:
             close(*_IMPLIED[tag])
         if tag == "tr":
@@ -305,6 +385,21 @@ def _grid(rows: list[list[tuple[Node, str]]]) -> list[str]:
     return out
 
 
+def _foreign_children(node: Node) -> list:
+    """What a foreign element shows of its children."""
+    if node.tag in _ONE_CHILD:
+        able = (
+            c for c in node.children
+            if isinstance(c, Node) and not c.attributes.keys() & {"requiredextensions", "systemlanguage"}
+        )
+        return [*itertools.islice(able, 1)]
+    if node.tag in _TOKENS and len(node.children) == 1 and isinstance(node.children[0], str):
+        return [node.children[0].strip(" \t\n\r\f")]
+    if node.tag in _APART:
+        return [x for child in node.children for x in (" ", child)][1:]
+    return node.children
+
+
 def render(root: Node) -> str:
     """Visible text of a tree. The walk uses a stack of its own, so depth is no limit."""
     top = _Lines()
@@ -344,7 +439,10 @@ def render(root: Node) -> str:
             work += reversed(inner)
             work += [("open", c, out, pre) for c in reversed(captions)]
         else:
-            if what == "open" and node.tag in BLOCK:
+            if what == "open" and (
+                node.tag in BLOCK or node.tag in _OWN_LINE
+                or (node.tag == "math math" and node.attributes.get("display", "").lower() == "block")
+            ):
                 out.end_block(node.tag in SPACED)
                 work.append(("close", (node, out.indent), out, pre))
             if node.tag in ("ul", "ol", "menu", "dir"):
@@ -361,7 +459,12 @@ def render(root: Node) -> str:
                 pre = True
                 if node.children and isinstance(node.children[0], str):
                     node.children[0] = node.children[0].removeprefix("\r").removeprefix("\n")
-            for child in reversed(node.children):
+            children = node.children
+            if " " in node.tag:
+                children = _foreign_children(node)
+                if node.tag == "svg tspan" and node.attributes.keys() & {"x", "y", "dy"}:
+                    out.space = True  # placed apart
+            for child in reversed(children):
                 work.append(("text", child, out, pre) if isinstance(child, str) else ("open", child, out, pre))
     return top.text()
 

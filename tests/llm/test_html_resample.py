@@ -32,6 +32,25 @@ def test_golden_pages(source, want):
     assert html_text.html_text(source) == want
 
 
+@pytest.mark.parametrize("source, want", [
+    ("<p>let <math><mi>x</mi> <mo>=</mo>\n<mn> 1 </mn></math> be", "let x=1 be"),
+    ("a <math><mfrac><mn>1</mn><mn>2</mn></mfrac><mphantom><mi>z</mi></mphantom></math>", "a 1 2"),
+    ("<math display=block><semantics><mrow><mi>E</mi></mrow><annotation encoding='application/x-tex'>E_0</annotation></semantics></math>x", "E\nx"),
+    ("<math><mtext>if <b>so</b></mtext></math> y", "if so y"), ("<math><mi>a<![CDATA[<b]]></mi></math>", "a<b"),
+    ("<svg><title>no</title><desc>no<b>no</b></desc><defs><text>no</text></defs><text>A</text> stray <text>B<tspan>C</tspan></text></svg>", "A\nBC"),
+    ("<svg><text><tspan x='0'>two</tspan><tspan x='0' dy='1em'>lines</tspan></text></svg>", "two lines"),
+    ("<svg><style>no</style><script>no</script><metadata>no</metadata><g display='none'><text>no</text></g><a><text>yes</text></a></svg>", "yes"),
+    ("<svg><switch><foreignObject><div>html<p>in</div></foreignObject><text>no</text></switch></svg>out", "html\n\nin\n\nout"),
+    ("<body>a<svg/>b<math/>c<p>d", "abc\n\nd"), ("<svg><path d='M0'/><defs/><title/><script/><text>t</text></svg>u", "t\nu"),
+    ("<svg><defs><p>a</p>b", "a\n\nb"), ("<math><mrow><div>a</div>b", "a\nb"), ("<svg><font color=red>a</font>b", "ab"),
+    ("<svg><defs></p>a", "a"), ("<div><svg><defs></div>a", "a"), ("<svg><g id=a/><text>t", "t"), ("<svg><defs id='a=b'/><text>t", "t"),
+    ("<p>a<svg><foreignObject><p>b</p></foreignObject></svg>c", "a\n\nb\n\nc"), ("<svg><text>a<br>b", "a\n\nb"), ("<o:p>x</o:p>", "x"),
+    ("<head><title>no</title><svg><text>a</text></svg><p>b", "a\n\nb"), ("<svg><![CDATA[no]]><text>1 &lt; <![CDATA[2 & 3]]></text></svg>", "1 < 2 & 3"),
+])
+def test_golden_pages_with_svg_and_math(source, want):
+    assert html_text.html_text(source) == want
+
+
 def test_depth_and_length_are_no_limit():
     assert html_text.html_text("<div>" * 50_000 + "x") == "x"
     assert html_text.html_text("<table><tr><td>" * 500 + "x") == "x"
