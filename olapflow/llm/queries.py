@@ -171,7 +171,7 @@ def op6(spark, folder):
 @query("op8_spot_signatures")
 def op8(spark, folder):
     docs = documents(spark, folder).select("doc_id", "text")
-    out = spotsigs.compare_with_next(docs)
+    out = spotsigs.compare_with_next(docs, floor=0.0)
     return out.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited_text", 256).alias("edited_sha256"),
         "fingerprint", "edited_fingerprint", "near_edited", "near_next",

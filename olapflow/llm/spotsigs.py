@@ -3,9 +3,10 @@
 Anchors are the most common words of the corpus. A signature is an anchor with the chain
 of content words (words that are no anchors) that follow it. A document's fingerprint is
 the set of its signatures, hashed, sorted and written as hexadecimal digits. Two
-fingerprints are compared by the Jaccard similarity of their sets, pruned by length: sets
-are partitioned by their lengths, and only pairs whose lengths leave a chance of reaching
-the floor are intersected.
+fingerprints are compared by the Jaccard similarity of their sets, pruned by length: only
+pairs whose lengths leave a chance of reaching the floor are intersected. A floor of 0
+keeps every value. Pairs are given (a document and its edit or the next document), so the
+partitions of lengths are no join key here; they prune single comparisons.
 """
 
 from __future__ import annotations
@@ -75,12 +76,12 @@ def length_part(sigs: Column, floor: float) -> Column:
 def likeness(a: Column, b: Column, floor: float = FLOOR) -> Column:
     """Jaccard similarity of two signature sets, or 0 where it is below ``floor``.
 
-    The sets are intersected only if they lie in the same or neighbouring length
-    partitions and the shorter is long enough to reach ``floor`` at all. Two empty sets
-    are alike.
+    The sets are intersected only if the shorter is long enough to reach ``floor`` at all;
+    sets further apart than neighbouring length partitions never are. Two empty sets are
+    alike.
     """
     smaller, larger = F.least(F.size(a), F.size(b)), F.greatest(F.size(a), F.size(b))
-    far = F.abs(length_part(a, floor) - length_part(b, floor)) > 1
+    far = F.abs(length_part(a, floor) - length_part(b, floor)) > 1 if 0 < floor < 1 else F.lit(False)
     jaccard = let(F.size(F.array_intersect(a, b)), lambda n: n / (F.size(a) + F.size(b) - n))
     return (
         F.when(larger == 0, F.lit(1.0)).when(smaller == 0, F.lit(0.0))
@@ -129,11 +130,14 @@ def spot_signatures(docs: DataFrame, text: str = "text", common: list[str] | Non
     return docs.withColumn("signatures", signatures(own, common)).withColumn("fingerprint", as_text(F.col("signatures")))
 
 
-def compare_with_next(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", common: list[str] | None = None) -> DataFrame:
+def compare_with_next(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", common: list[str] | None = None, floor: float = FLOOR
+) -> DataFrame:
     """How a document's fingerprint changes with an edit, and how like the next document's it is.
 
     One row per row of ``docs``: ``doc_id``, ``text`` (null as empty), ``edited_text``,
-    their fingerprints, ``near_edited`` and ``near_next``. A single row is its own next.
+    their fingerprints, ``near_edited`` and ``near_next``, which are 0
+    below ``floor``. A single row is its own next.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     if common is None:
@@ -146,6 +150,6 @@ def compare_with_next(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     return signed.select(
         "doc_id", "text", "edited_text",
         as_text(F.col("s_own")).alias("fingerprint"), as_text(F.col("s_edited")).alias("edited_fingerprint"),
-        likeness(F.col("s_own"), F.col("s_edited")).alias("near_edited"),
-        likeness(F.col("s_own"), F.col("s_next")).alias("near_next"),
+        likeness(F.col("s_own"), F.col("s_edited"), floor).alias("near_edited"),
+        likeness(F.col("s_own"), F.col("s_next"), floor).alias("near_next"),
     )

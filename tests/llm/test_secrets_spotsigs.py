@@ -216,6 +216,26 @@ def test_tables_of_one_row_and_none(docs):
     assert spotsigs.spot_signatures(docs([(1, "the cat", "s")])).first().kept == "kept?"
 
 
+def test_the_query_returns_small_likenesses(spark, docs, monkeypatch):
+    from olapflow.llm import queries
+
+    many = " ".join(f"the a{i} b{i}" for i in range(150))
+    rows = [(1, many, "s"), (2, "the a7 b7 the x y", "s")]
+    monkeypatch.setattr(queries, "documents", lambda spark, folder: docs(rows))
+    monkeypatch.setattr(spotsigs, "anchors", lambda docs, text="text": ["the"])
+    chains = [brute_chains(t, {"the"}) for _, t, _ in rows]
+    assert 0 < like(*chains) < 0.02
+    assert [r.near_next for r in driver.queries()["op8_spot_signatures"](spark, "").collect()] == pytest.approx([like(*chains)] * 2)
+
+
+def test_likenesses_of_the_query_against_its_fingerprints(spark):
+    rows = driver.queries()["op8_spot_signatures"](spark, "/root/testdata/sf0.001").orderBy("doc_id").collect()
+    sets = [{r.fingerprint[i : i + 16] for i in range(0, len(r.fingerprint), 16)} for r in rows]
+    for r, own, following in zip(rows, sets, sets[1:] + sets[:1], strict=True):
+        edit = {r.edited_fingerprint[i : i + 16] for i in range(0, len(r.edited_fingerprint), 16)}
+        assert (r.near_edited, r.near_next) == pytest.approx((like(own, edit), like(own, following)))
+
+
 @pytest.mark.parametrize("floor", [0.02, 0.3, 0.8])
 def test_pruning_loses_no_likeness_over_the_floor(spark, floor):
     rng = random.Random(4)
