@@ -189,9 +189,11 @@ def distinct_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     plain = docs.select([F.col(c).alias(f"c{i}") for i, c in enumerate(names)])
     text, doc_id = f"c{names.index(text)}", f"c{names.index(doc_id)}"
     found = stored(near_duplicates(plain, text, doc_id), "simhash-found")
-    ids = stored(
-        found.where("doc_id = component_id").groupBy("component_id").agg(F.count(F.lit(1)).alias("rows")), "simhash-ids"
+    # all rows of an id count, as some may lie in components with smaller ids
+    counts = found.where("doc_id is not null").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.max(F.expr("doc_id = component_id")).alias("leads")
     )
+    ids = stored(counts.where("leads").select(F.col("doc_id").alias("component_id"), "rows"), "simhash-ids")
     own = F.col(doc_id)
     out = plain.join(ids.where("rows = 1"), own == F.col("component_id")).select(*plain.columns)
     several, unnamed = ids.where("rows > 1"), found.where("component_id is null")

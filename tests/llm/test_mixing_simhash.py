@@ -196,6 +196,12 @@ def test_one_document_of_each_group_stays(docs):
     assert simhash.distinct_documents(docs([])).count() == 0
 
 
+def test_a_repeated_id_with_one_text_near_a_smaller_id(docs):
+    frame = docs([(2, "a b c d e f", "s"), (4, "a b c d e f", "s"), (4, "quite another text here", "s"), (7, "quite another text here", "s")])
+    got = sorted((r.doc_id, r.text) for r in simhash.distinct_documents(stored(frame, "test")).collect())
+    assert got == [(2, "a b c d e f"), (4, "quite another text here")]
+
+
 def test_long_texts_vote_in_slices(monkeypatch):
     text = " ".join(f"w{i * 7919 % 1013}" for i in range(5_000)).encode()
     whole = simhash.text_fingerprint(text)
