@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from olapflow.llm import html_text, lines, mixing, packing, resample, rules, secrets, simhash, spotsigs, tokens
+from olapflow.llm import (
+    html_text, language, lines, mixing, packing, periods, resample, rules, secrets, simhash, spotsigs, tokens, whitening,
+)
 from olapflow.llm.base import documents, query, settle
 
 
@@ -192,3 +194,38 @@ def op3(spark, folder):
     pages = settle(spark).read.parquet(f"{folder.rstrip('/')}/pages.parquet").select("page_id", "html")
     out = html_text.extract(pages)
     return out.select("page_id", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def _id_checksum():
+    return F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+
+@query("op11_language_spans")
+def op11(spark, folder):
+    docs = documents(spark, folder)
+    held_out = F.coalesce(_id_checksum() % 4 == 2, F.lit(False))
+    model = language.fit(docs.where(~held_out).select("text", "lang"))
+    out = language.identify(docs.select("doc_id", "text"), model)
+    spans = F.array_join(F.transform("lang_spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"), s["lang"])), ",")
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", spans.alias("lang_spans"))
+
+
+@query("op12_chebyshev_whitening")
+def op12(spark, folder):
+    embeddings = settle(spark).read.parquet(f"{folder.rstrip('/')}/embeddings.parquet").select("vec_id", "embedding")
+    return whitening.whiten(embeddings).drop("embedding")
+
+
+@query("op13_periodic_runs")
+def op13(spark, folder):
+    docs = documents(spark, folder).select("doc_id", "text")
+    out = periods.periodic_runs(docs.withColumn("text", periods.planted(F.col("text"), F.col("doc_id"))))
+    line = F.transform("runs", lambda r: F.concat(
+        r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")
+    ))
+    best = F.col("strongest")
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *[best[c].alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
