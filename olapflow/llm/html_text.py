@@ -10,6 +10,7 @@ indentation, preformatted text as it is, and table cells padded to columns.
 
 from __future__ import annotations
 
+import bisect
 import html
 import itertools
 import re
@@ -85,6 +86,12 @@ _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 _QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
 #: A slash at the end of an unquoted value belongs to the value.
 _UNQUOTED_END = re.compile(r"=\s*[^\s\"'][^\s]*\Z")
+#: References to numbers with more digits than any character has, and with leading zeros.
+_LONG_NUMBER, _ZEROS = re.compile(r"&#0*[1-9][0-9]{7,};?"), re.compile(r"&#0{7,}(?=[0-9])")
+#: Columns of indentation at most; columns that the cells above leave empty in a row, and
+#: columns or times the mean width of its cells that a table column is padded to at most.
+#: So the text of a page stays within a constant factor of the page.
+MOST_INDENT, MOST_GAP, MOST_PADDING, MEAN_PADDING = 80, 160, 80, 4
 _GAP = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -96,10 +103,17 @@ class Node:
         self.words = True  # whether text right inside is shown
 
 
+def _unescape(text: str) -> str:
+    """Character references resolved; numbers beyond all characters become U+FFFD."""
+    if "&#" in text:
+        text = _ZEROS.sub("&#0", _LONG_NUMBER.sub("\ufffd", text))
+    return html.unescape(text)
+
+
 def _attributes(text: str) -> dict[str, str]:
     found: dict[str, str] = {}
     for name, double, single, bare in _ATTRIBUTE.findall(text):
-        found.setdefault(name.lower(), html.unescape(double or single or bare))
+        found.setdefault(name.lower(), _unescape(double or single or bare))
     return found
 
 
@@ -118,15 +132,30 @@ def parse(source: str) -> Node:
     """Tree of a page. The root is ``html``; its head, if any, is a child that is not shown."""
     root = Node("html", {}, True)
     stack = [root]
+    opened: dict[str, list[int]] = {}  # where in the stack the open elements of each tag are
+    plain = [0]  # where those of HTML are
     at, size = 0, len(source)
 
+    def push(node: Node) -> None:
+        opened.setdefault(node.tag, []).append(len(stack))
+        if " " not in node.tag:
+            plain.append(len(stack))
+        stack.append(node)
+
+    def pop_to(depth: int) -> None:
+        while len(stack) > depth:
+            tag = stack.pop().tag
+            opened[tag].pop()
+            if " " not in tag:
+                plain.pop()
+
+    def innermost(tags) -> int:
+        return max((opened[t][-1] for t in tags if opened.get(t)), default=0)
+
     def close(tags, stop) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].tag in tags:
-                del stack[depth:]
-                return
-            if stack[depth].tag in stop:
-                return
+        depth = innermost(tags)
+        if depth and depth >= innermost(stop):
+            pop_to(depth)
 
     def add(text: str) -> None:
         top = stack[-1]
@@ -147,15 +176,15 @@ def parse(source: str) -> Node:
 
     def break_out() -> None:
         while " " in stack[-1].tag and stack[-1].tag not in _HTML_INSIDE and stack[-1].tag not in _TOKENS:
-            stack.pop()
+            pop_to(len(stack) - 1)
 
     while at < size:
         m = _MARKUP.search(source, at)
         text = source[at : m.start() if m else size]
         if text:
             if stack[-1].tag == "head" and text.strip():
-                stack.pop()  # text ends the head
-            add(html.unescape(text) if "&" in text else text)
+                pop_to(len(stack) - 1)  # text ends the head
+            add(_unescape(text) if "&" in text else text)
         if not m:
             break
         at, tag = m.end(), (m.group(2) or "").lower()
@@ -169,13 +198,11 @@ def parse(source: str) -> Node:
             if " " in stack[-1].tag:
                 if tag in ("p", "br"):
                     break_out()
-                depth = len(stack) - 1
-                while " " in stack[depth].tag and stack[depth].tag.split(" ")[1] != tag:
-                    depth -= 1
-                if " " in stack[depth].tag:
-                    del stack[depth:]
+                depth = innermost((f"svg {tag}", f"math {tag}"))
+                if depth > plain[-1]:
+                    pop_to(depth)
                     continue
-            if tag == "p" and not any(n.tag == "p" for n in stack):
+            if tag == "p" and not opened.get("p"):
                 stack[-1].children.append(Node("p", {}, True))  # a stray end tag makes an empty paragraph
             elif tag == "br":
                 stack[-1].children.append(Node("br", {}, True))
@@ -190,7 +217,7 @@ def parse(source: str) -> Node:
             foreign = False
         if foreign or tag in ("svg", "math"):
             if stack[-1].tag == "head":
-                stack.pop()
+                pop_to(len(stack) - 1)
             name = f"{stack[-1].tag.split(' ')[0] if foreign else tag} {tag}"
             node = Node(name, attributes, _is_shown(name, attributes))
             if name.startswith("svg "):  # of its text, a drawing shows what is inside of text elements
@@ -199,28 +226,26 @@ def parse(source: str) -> Node:
             stack[-1].children.append(node)
             slash = m.group(3).endswith("/") and not _UNQUOTED_END.search(_QUOTED.sub('""', m.group(3)))
             if not slash:
-                stack.append(node)
+                push(node)
             continue
-        if tag == "html" or (tag == "body" and any(n.tag == "body" for n in stack)):
+        if tag == "html" or (tag == "body" and opened.get("body")):
             continue
         if stack[-1].tag == "head" and tag not in _HEAD:
-            stack.pop()
+            pop_to(len(stack) - 1)
         if tag in _CLOSES_P:
             close({"p"}, _P_SCOPE)
         if tag in _IMPLIED:
             close(*_IMPLIED[tag])
-        if tag == "tr":
-            close(frozenset(), _TABLE)
         node = Node(tag, attributes, _is_shown(tag, attributes))
         stack[-1].children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(source, at)
             content = source[at : end.start() if end else size]
             if content:
-                node.children.append(html.unescape(content) if tag in ("textarea", "title") else content)
+                node.children.append(_unescape(content) if tag in ("textarea", "title") else content)
             at = end.end() if end else size
         elif tag not in VOID:
-            stack.append(node)
+            push(node)
     return root
 
 
@@ -268,7 +293,7 @@ class _Lines:
             self.open.append(self.indent + self.marker)
             if self.marker:
                 self.marker = " " * len(self.marker)
-                self.indent, self.marker = self.indent + self.marker, ""
+                self.indent, self.marker = (self.indent + self.marker)[:MOST_INDENT], ""
         self.open.append(text)
 
     def _line(self) -> str:
@@ -295,24 +320,33 @@ def _width(text: str) -> int:
     return sum(0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in text)
 
 
-def _span(node: Node, name: str) -> int:
-    value = node.attributes.get(name, "1").strip()
-    return max(1, min(int(value), 1000)) if value.isascii() and value.isdigit() else 1
+def _span(node: Node, name: str, least: int, most: int) -> int:
+    """A span as HTML reads it: its leading digits, at most ``most``; 1 without any."""
+    digits = re.match(r"[ \t\n\r\f]*\+?0*([0-9]*)", node.attributes.get(name, "1"))
+    given = digits.group(0).strip(" \t\n\r\f+")
+    if not given:
+        return 1
+    value = int(digits.group(1)[:6] or 0)
+    return max(min(value, most), least) if value or not least else 1
 
 
-def _rows(table: Node) -> Iterator[list[Node]]:
-    """Rows of a table, in order, those of nested tables left out; stray content is a row."""
+def _rows(table: Node) -> Iterator[tuple[int, list[Node]]]:
+    """Rows of a table, in order, each with the number of its group; those of nested tables
+    are left out, and stray content is a row."""
     stray: list = []
-    work = list(reversed(table.children))
+    groups = itertools.count(1)
+    work = [(0, child) for child in reversed(table.children)]
+    for_stray = 0
     while work:
-        node = work.pop()
+        group, node = work.pop()
         if isinstance(node, Node) and (not node.shown or node.tag == "caption"):
             continue
         if isinstance(node, Node) and node.tag in ("tbody", "thead", "tfoot"):
-            work.extend(reversed(node.children))
+            group = next(groups)
+            work.extend((group, child) for child in reversed(node.children))
         elif isinstance(node, Node) and node.tag == "tr":
             if stray:
-                yield [_cell(stray)]
+                yield for_stray, [_cell(stray)]
                 stray = []
             cells, loose = [], []
             for child in node.children:
@@ -324,11 +358,12 @@ def _rows(table: Node) -> Iterator[list[Node]]:
                         cells.append(child)
                 elif isinstance(child, Node) or child.strip():
                     loose.append(child)
-            yield cells + ([_cell(loose)] if loose else [])
+            yield group, cells + ([_cell(loose)] if loose else [])
         elif isinstance(node, Node) or node.strip():
             stray.append(node)
+            for_stray = group
     if stray:
-        yield [_cell(stray)]
+        yield for_stray, [_cell(stray)]
 
 
 def _cell(children: list) -> Node:
@@ -337,51 +372,89 @@ def _cell(children: list) -> Node:
     return node
 
 
-def _grid(rows: list[list[tuple[Node, str]]]) -> list[str]:
-    """Lines of a table whose cells are padded to the widths of their columns."""
-    placed: list[dict[int, tuple[str, int]]] = []  # per row: column -> text, columns it spans
-    taken: dict[int, int] = {}  # column -> rows it is still covered by a cell above
-    for row in rows:
-        at, here = 0, {}
-        covered, taken = taken, {c: n - 1 for c, n in taken.items() if n > 1}
+def _placed(rows: list[tuple[int, list[tuple[Node, str]]]]) -> list[list[tuple[int, int, str]]]:
+    """Per row its cells as (column, columns it spans, text). Cells that reach down from
+    above keep their columns, within their group of rows. Columns in which no cell begins
+    take no room and are left out of the count."""
+    placed: list[list[tuple[int, int, str]]] = []
+    above: list[tuple[int, int, int]] = []  # (first column, end, last row), by column
+    current = None
+    for number, (group, row) in enumerate(rows):
+        if group != current:
+            above, current = [], group
+        if above and min(a[2] for a in above) < number:
+            above = [a for a in above if a[2] >= number]
+        at, near, here, reach = 0, 0, [], []
         for node, text in row:
-            while at in covered:
-                at += 1
-            wide, high = _span(node, "colspan"), _span(node, "rowspan")
-            here[at] = text, wide
-            if high > 1:
-                taken.update({c: high - 1 for c in range(at, at + wide)})
+            while near < len(above) and above[near][0] <= at:
+                at = max(at, above[near][1])
+                near += 1
+            wide, high = _span(node, "colspan", 1, 1_000), _span(node, "rowspan", 0, 65_534)
+            here.append((at, wide, text))
+            if high != 1:
+                last = min(number + high, len(rows)) - 1 if high else len(rows) - 1
+                if reach and reach[-1][1] == at and reach[-1][2] == last:
+                    reach[-1] = (reach[-1][0], at + wide, last)
+                else:
+                    reach.append((at, at + wide, last))
             at += wide
+        if reach:
+            merged: list[tuple[int, int, int]] = []
+            for a in sorted(above + reach):
+                if merged and merged[-1][1] == a[0] and merged[-1][2] == a[2]:
+                    merged[-1] = (merged[-1][0], a[1], a[2])
+                else:
+                    merged.append(a)
+            above = merged
         placed.append(here)
-    widths: dict[int, int] = {}
-    for row in placed:
-        for column, (text, wide) in row.items():
+    starts = sorted({at for row in placed for at, _, _ in row})
+    index = {at: i for i, at in enumerate(starts)}
+    return [[(index[at], bisect.bisect_left(starts, at + wide) - index[at], text) for at, wide, text in row] for row in placed]
+
+
+def _grid(rows: list[tuple[int, list[tuple[Node, str]]]]) -> list[str]:
+    """Lines of a table whose cells are padded to the widths of their columns. A column is
+    padded to ``MOST_PADDING`` columns or ``MEAN_PADDING`` times its mean width at most;
+    wider cells push on what follows them in their line."""
+    placed = _placed(rows)
+    columns = 1 + max((at for row in placed for at, _, _ in row), default=0)
+    widths, sums, counts = [0] * columns, [0] * columns, [0] * columns
+    measured = [[[_width(line) for line in text.split("\n")] for _, _, text in row] for row in placed]
+    for row, sizes in zip(placed, measured, strict=True):
+        for (column, wide, _), size in zip(row, sizes, strict=True):
             if wide == 1:
-                widths[column] = max([widths.get(column, 0), *map(_width, text.split("\n"))])
-    for row in placed:  # a cell over several columns widens the last of them
-        for column, (text, wide) in row.items():
+                widths[column] = max(widths[column], *size)
+                sums[column] += sum(size)
+                counts[column] += len(size)
+    limit = [max(MOST_PADDING, MEAN_PADDING * s // max(n, 1)) for s, n in zip(sums, counts, strict=True)]
+    widths = [min(w, most) for w, most in zip(widths, limit, strict=True)]
+    edges = [0, *itertools.accumulate(w + 2 for w in widths)]
+    for row, sizes in zip(placed, measured, strict=True):  # a cell over several columns widens the last of them
+        for (column, wide, _), size in zip(row, sizes, strict=True):
             if wide > 1:
-                room = sum(widths.get(c, 0) for c in range(column, column + wide)) + 2 * (wide - 1)
-                short = max(map(_width, text.split("\n"))) - room
-                if short > 0:
-                    widths[column + wide - 1] = widths.get(column + wide - 1, 0) + short
+                last = column + wide - 1
+                short = min(max(size), MOST_PADDING) - (edges[column + wide] - edges[column] - 2)
+                if short > 0 and widths[last] < limit[last]:
+                    widths[last] = min(widths[last] + short, limit[last])
+    edges = [0, *itertools.accumulate(w + 2 for w in widths)]
     out = []
-    for row in placed:
-        if not any(text for text, _ in row.values()):
+    for row, sizes in zip(placed, measured, strict=True):
+        if not any(text for _, _, text in row):
             continue
-        cells = {c: text.split("\n") for c, (text, _) in row.items()}
-        for k in range(max(map(len, cells.values()))):
-            line = ""
-            column = 0
-            for c in sorted(cells):
-                for gap in range(column, c):
-                    line += " " * (widths.get(gap, 0) + 2)
-                piece = cells[c][k] if k < len(cells[c]) else ""
-                wide = row[c][1]
-                room = sum(widths.get(x, 0) for x in range(c, c + wide)) + 2 * (wide - 1)
-                line += piece + " " * (max(room - _width(piece), 0) + 2)
-                column = c + wide
-            out.append(line.rstrip(" "))
+        cells = [text.split("\n") for _, _, text in row]
+        open_ = list(range(len(cells)))  # cells that still have lines
+        for k in range(max(map(len, cells))):
+            open_ = [i for i in open_ if k < len(cells[i])]
+            line, upto = [], 0
+            for i in open_:
+                first, wide, _ = row[i]
+                line.append(" " * min(edges[first] - upto, MOST_GAP))
+                piece = cells[i][k]
+                room = edges[first + wide] - edges[first]
+                pad = max(room - 2 - sizes[i][k], 0) + 2 if i != open_[-1] else 0
+                line.append(piece + " " * min(pad, max(MOST_GAP, limit[first])))
+                upto = edges[first + wide]
+            out.append("".join(line).rstrip(" "))
     return out
 
 
@@ -415,7 +488,7 @@ def render(root: Node) -> str:
             out.indent, out.marker = indent, ""
         elif what == "table":
             node, rows = node
-            lines = _grid([[(cell, part.text()) for cell, part in row] for row in rows])
+            lines = _grid([(group, [(cell, part.text()) for cell, part in row]) for group, row in rows])
             if lines:
                 out.end_block(True)
                 for line in lines:
@@ -430,9 +503,9 @@ def render(root: Node) -> str:
             out.end_block(True)
         elif node.tag == "table":
             rows, inner = [], []
-            for row in _rows(node):
+            for group, row in _rows(node):
                 parts = [(cell, _Lines()) for cell in row]
-                rows.append(parts)
+                rows.append((group, parts))
                 inner += [("inside", cell, part, False) for cell, part in parts]
             captions = [c for c in node.children if isinstance(c, Node) and c.tag == "caption"]
             work.append(("table", (node, rows), out, pre))
@@ -454,7 +527,7 @@ def render(root: Node) -> str:
             elif node.tag == "li":
                 out.marker = node.attributes.get("\0marker", "- ")
             elif node.tag in ("dd", "blockquote"):
-                out.indent += "    "
+                out.indent = (out.indent + "    ")[:MOST_INDENT]
             if node.tag == "textarea" or node.tag in ("pre", "xmp", "listing", "plaintext"):
                 pre = True
                 if node.children and isinstance(node.children[0], str):
@@ -479,8 +552,10 @@ def extract(pages: DataFrame, column: str = "html", name: str = "text") -> DataF
 
     A null or empty page gives an empty text, broken markup the text a browser would show.
     Repeated rows give equal texts, an empty table an empty result. An input column named
-    ``name`` is replaced; others pass as they are. Pages are read whole; nesting of any
-    depth is walked without recursion.
+    ``name`` is replaced; others pass as they are. Pages are read whole, in time that grows
+    with their length; nesting of any depth is walked without recursion. Indentation and
+    the padding of tables have limits (see ``MOST_INDENT``), so that a text is never more
+    than a constant times as long as its page; the words all stay.
     """
 
     @F.arrow_udf("string")
