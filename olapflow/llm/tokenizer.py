@@ -17,6 +17,7 @@ from array import array
 #: which of them are letters and numbers.
 _PLAIN = re.compile(r"[!-~¡-ÿ]+")
 _LETTERS, _NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾"
+_STOPS = b".,"
 #: Entries of a generation of a worker's cache, and the length above which a word is not kept.
 ROOM, LONG = 200_000, 64
 
@@ -84,9 +85,13 @@ class WordTokenizer:
             self.special_start = os.path.commonprefix(self.special)
             self.marks = _byte_marks()
             self.piece_ids = _Kept(self._piece)
+            # letters, then full stops and commas: one piece each, if the pattern says so
+            self.plain = self.pieces.findall("word.,") == ["word", ".,"] and not any(
+                t.encode().rstrip(_STOPS).isalpha() for t in self.special
+            )
 
     def _piece(self, piece: str) -> bytes:
-        marked = piece.encode().decode("latin-1").translate(self.marks)
+        marked = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.marks)
         return array(self.kind, [t.id for t in self.whole.model.tokenize(marked)]).tobytes()
 
     def text_ids(self, text: str) -> bytes:
@@ -95,6 +100,11 @@ class WordTokenizer:
 
     def word_ids(self, word: bytes) -> bytes:
         """Ids of a word, packed likewise."""
+        if self.plain:
+            letters = word.rstrip(_STOPS)
+            if letters.isalpha():  # ASCII letters only
+                ids = self.piece_ids[letters.lower().decode()]
+                return ids if len(letters) == len(word) else ids + self.piece_ids[word[len(letters):].decode()]
         text = word.decode("utf-8", "replace")
         if not _PLAIN.fullmatch(text) or (self.special_start in text and any(s in text for s in self.special)):
             return self.text_ids(text)  # special strings, rare scripts, odd white space
