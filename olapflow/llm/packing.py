@@ -11,6 +11,7 @@ need no padding.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -40,14 +41,19 @@ def _word_ids(path: str) -> _Kept:
     return _IDS[path]
 
 
+@functools.cache
+def _places(size: int) -> np.ndarray:
+    """Where each id adds to a hashed vector; the second half of the places counts down."""
+    mixed = np.arange(size, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    down = (mixed >> np.uint64(55)) & np.uint64(1)
+    return ((mixed >> np.uint64(56)) + np.uint64(_WIDTH) * down).astype(np.int64)
+
+
 def hashed_vectors(ids: list[np.ndarray]) -> np.ndarray:
     """Signed feature hashing of token ids, damped by a square root, of unit length."""
-    out = np.zeros((len(ids), _WIDTH))
-    for row, own in enumerate(ids):
-        mixed = own.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        place = (mixed >> np.uint64(56)).astype(np.int64)
-        sign = 1.0 - 2.0 * ((mixed >> np.uint64(55)) & np.uint64(1)).astype(np.float64)
-        out[row] = np.bincount(place, sign, _WIDTH)
+    places = _places(1 << max(16, max((int(own.max()) for own in ids if len(own)), default=0).bit_length()))
+    counts = np.array([np.bincount(places[own], minlength=2 * _WIDTH) for own in ids], np.float64).reshape(len(ids), 2 * _WIDTH)
+    out = counts[:, :_WIDTH] - counts[:, _WIDTH:]
     out = np.sign(out) * np.sqrt(np.abs(out))
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
