@@ -195,7 +195,8 @@ def distinct_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     )
     ids = stored(counts.where("leads").select(F.col("doc_id").alias("component_id"), "rows"), "simhash-ids")
     own = F.col(doc_id)
-    out = plain.join(ids.where("rows = 1"), own == F.col("component_id")).select(*plain.columns)
+    # the ids grow with the texts, so both are sorted by id at any size and none is broadcast
+    out = plain.join(ids.where("rows = 1").hint("merge"), own == F.col("component_id")).select(*plain.columns)
     several, unnamed = ids.where("rows > 1"), found.where("component_id is null")
     if not (several.isEmpty() and unnamed.isEmpty()):  # ids that name no single row: go by fingerprint
         rest = plain.join(several, own == F.col("component_id"), "left_semi").unionByName(plain.where(own.isNull()))
