@@ -205,6 +205,26 @@ def c03(t):
     return _tree(t)
 
 
+@query("c03_closure_update", """
+WITH RECURSIVE keys AS (
+  SELECT p_partkey AS k, CASE WHEN p_partkey % 10 = 3 THEN p_partkey // 5 WHEN p_partkey % 50 = 7 THEN NULL WHEN p_partkey > 0 THEN p_partkey // 4 END AS up FROM part
+  UNION ALL SELECT -p_partkey, p_partkey FROM part WHERE p_partkey % 9 = 1
+  UNION ALL SELECT -p_partkey - 1000000000, -p_partkey FROM part WHERE p_partkey % 90 = 1),
+n AS (SELECT k, up FROM keys UNION ALL SELECT 0, NULL WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = 0)),
+tree AS (SELECT k AS ancestor, k AS descendant, CAST(0 AS INTEGER) AS distance FROM n
+  UNION ALL SELECT n.up, descendant, distance + 1 FROM tree JOIN n ON n.k = ancestor WHERE n.up IS NOT NULL)
+SELECT ancestor, descendant, distance FROM tree""")
+def c03_update(t):
+    """Subtrees moved and cut off, also below one another, and new nodes in two levels."""
+    key = F.col("p_partkey")
+    moved = t.part.where("p_partkey % 10 = 3").select(key.alias("child"), F.expr("p_partkey div 5").alias("parent"))
+    cut = t.part.where("p_partkey % 50 = 7").select(key.alias("child"), F.lit(None).cast("bigint").alias("parent"))
+    new = t.part.where("p_partkey % 9 = 1").select((-key).alias("child"), key.alias("parent"))
+    newer = t.part.where("p_partkey % 90 = 1").select((-key - 1_000_000_000).alias("child"), (-key).alias("parent"))
+    moves = moved.union(cut).union(new).union(newer)
+    return hierarchy.update_closure(_tree(t), moves, "child", "parent")
+
+
 @query("c04_rollup_tree", f"""WITH RECURSIVE {SQL_TREE}
 SELECT ancestor, CAST(sum(v) AS DOUBLE) AS v FROM tree JOIN own ON descendant = l_partkey GROUP BY 1""")
 def c04(t):

@@ -26,9 +26,10 @@ SQL_PART = f"""parts AS (SELECT *, CAST((epoch_us(ts) - (SELECT min(epoch_us(ts)
 SQL_CLOSED = "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM events)"
 
 
-def _arriving(t, late=None):
+def _arriving(t, late=None, slip=None):
     """Events as a stream of four batches in time order; rows that ``late`` picks from the
-    first quarter come with the last."""
+    first quarter come with the last. Rows that ``slip`` picks from the last day of a
+    quarter come with the next one."""
     events, path = t.events, scratch_path(t.spark, "arrivals")
     lo, hi = events.agg(F.min("ts")).scalar(), events.agg(F.max("ts")).scalar()
     span = F.timestamp_diff("MICROSECOND", lo, hi) + 1
@@ -36,6 +37,9 @@ def _arriving(t, late=None):
     dealt = events.withColumns({"since": F.timestamp_diff("MICROSECOND", lo, F.col("ts")), "span": span}).withColumn("part", part)
     if late is not None:
         dealt = dealt.withColumn("part", F.when(late & (F.col("part") == 0), PARTS - 1).otherwise(F.col("part")))
+    if slip is not None:
+        soon = F.least(F.expr(f"(since + 86400000000) * {PARTS} div span").cast("int"), F.lit(PARTS - 1))
+        dealt = dealt.withColumn("part", F.when(slip, F.greatest("part", soon)).otherwise(F.col("part")))
     for i in range(PARTS):
         dealt.where(F.col("part") == i).select(*events.columns).repartition(FILES).write.mode("append").parquet(path)
     return batches.read_stream(t.spark, path, events.schema, files_per_batch=FILES)
@@ -84,10 +88,16 @@ def t03(t):
 
 
 @query("t03_count_window_stream", """
-SELECT user_id, unnest(range(count(*) // 5)) AS window_no, CAST(5 AS BIGINT) AS n FROM events GROUP BY 1""")
+SELECT user, w AS window_no, CAST(5 AS BIGINT) AS n, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total FROM (
+  SELECT CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user, value,
+    (row_number() OVER (PARTITION BY CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END ORDER BY ts, event_id) - 1) // 5 AS w FROM events)
+GROUP BY 1, 2 HAVING count(*) = 5""")
 def t03_stream(t):
-    out = stateful.count_window_stream(t.stream("events"), ["user_id"], "value", 5)
-    return batches.drain(out, "append", "count-window").select("user_id", "window_no", "n")
+    """Windows over four batches; one user has a third of the records."""
+    user = F.when(F.col("event_id") % 3 == 0, F.lit(0).cast("bigint")).otherwise(F.col("user_id"))
+    out = stateful.count_window_stream(_arriving(t).withColumn("user", user), ["user"], "value", 5, EV)
+    out = batches.drain(out, "append", "count-window")
+    return out.withColumn("total", F.round("total", 2))
 
 
 SQL_SESSION = f"""SELECT strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS window_start, strftime(max(ts) + INTERVAL 6 HOUR, '%Y-%m-%d %H:%M:%S.%f') AS window_end,
@@ -158,6 +168,23 @@ def t08(t):
     return out.select("event_id", iso_time("made_at").alias("made_at"))
 
 
+@query("t08_late_rows_stream", f"""WITH {SQL_PART},
+d AS (SELECT *, ts - to_seconds(CAST(round(value * 3600) AS BIGINT)) AS made_at FROM parts),
+m AS (SELECT user_id, part, max(made_at) AS high FROM d GROUP BY 1, 2),
+s AS (SELECT d.event_id, d.made_at, max(m.high) AS seen FROM d JOIN m ON m.user_id = d.user_id AND m.part < d.part GROUP BY 1, 2)
+SELECT event_id, strftime(made_at, '%Y-%m-%d %H:%M:%S.%f') AS made_at, epoch_us(seen - made_at) // 1000 AS behind_ms
+FROM s WHERE made_at < seen - INTERVAL 24 HOUR""")
+def t08_stream(t):
+    """Late records of each user as an output of their own, over four batches."""
+    behind = -F.round(F.col("value") * 3600).cast("int")
+    arrivals = _timed_stream(t).withColumn("made_at", F.timestamp_add("SECOND", behind, F.col("ts")))
+    out = stateful.late_rows_stream(
+        arrivals.select("event_id", "user_id", "event_time", "made_at"), ["user_id"], "made_at", 24 * 3_600_000, keep_ms=90 * 86_400_000
+    )
+    late = batches.drain(out, "append", "late-rows").where("late")
+    return late.select("event_id", iso_time("made_at").alias("made_at"), "behind_ms")
+
+
 @query("t09_ingest_time_window_stream", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def t09(t):
     stream = windows.with_ingest_time(t.stream("events")).withWatermark("ingest_time", "0 seconds")
@@ -181,15 +208,26 @@ def t11(t):
     return out.select("event_id", "user_id", F.col("running").cast("double").alias("running"))
 
 
-@query("t11_running_total_stream", SQL_RUNNING)
-def t11_stream(t):
+@query("t11_running_total_writer", SQL_RUNNING)
+def t11_writer(t):
     path = scratch_path(t.spark, "running-total")
     write = stateful.running_total_writer(["user_id"], EV, money("value"), "decimal(28,2)", path)
-    batches.for_each_batch(t.stream("events"), write, f"{path}/checkpoint").awaitTermination()
+    batches.for_each_batch(_arriving(t), write, f"{path}/checkpoint").awaitTermination()
     rows = t.spark.read.parquet(f"{path}/rows")
     return rows.select("event_id", "user_id", F.col("running").cast("double").alias("running"))
 
 
+@query("t11_running_total_stream", f"""SELECT * FROM ({SQL_RUNNING}) WHERE event_id IN (
+  SELECT event_id FROM events WHERE ts <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 2 DAY FROM events))""")
+def t11_stream(t):
+    """Totals in time order though one record in five of a quarter's last day comes a batch late."""
+    fed = windows.with_event_time(_arriving(t, slip=F.col("event_id") % 5 == 0), "ts", "2 days")
+    fed = fed.select("event_id", "user_id", "event_time", "value")
+    out = stateful.running_total_stream(fed, ["user_id"], "event_time", ["event_time", "event_id"], money("value"))
+    out = batches.drain(out, "append", "running-total")
+    return out.select("event_id", "user_id", F.col("running").cast("double").alias("running"))
+
+
 @query("t12_parse_events", """
 SELECT event_id, k FROM (SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE CAST(json_extract(props, '$.k') AS BIGINT) END AS k FROM events) WHERE k IS NOT NULL""")
 def t12(t):
@@ -222,22 +260,31 @@ def t15(t):
     return windows.topic_match(topics, "site/+/click/#")
 
 
+def _cached(t, **bounds):
+    """What a cache holds after four batches of the stream."""
+    fed = _arriving(t).select("event_id", "user_id", "ts")
+    return stateful.cached(batches.drain(stateful.cache_stream(fed, "event_id", "ts", **bounds), "update", "cache"))
+
+
 @query("t16_cache_last_rows", "SELECT event_id, user_id FROM events ORDER BY event_id DESC LIMIT 50")
 def t16(t):
-    return batches.cache_query(t.events, "event_id", "ts", last=50).select("event_id", "user_id")
+    return batches.cache_query(_cached(t, rows=200), "event_id", "ts", last=50).select("event_id", "user_id")
 
 
 @query("t16_cache_last_period", """
 SELECT event_id, user_id FROM events WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 36 HOUR""")
 def t16_period(t):
-    out = batches.cache_query(t.events, "event_id", "ts", last_period_ms=36 * 3_600_000)
+    out = batches.cache_query(_cached(t, period_ms=48 * 3_600_000), "event_id", "ts", last_period_ms=36 * 3_600_000)
     return out.select("event_id", "user_id")
 
 
 @query("t16_cache_id_range_max_new", """
-SELECT event_id, user_id FROM events WHERE event_id >= 100 AND event_id <= 900 ORDER BY event_id LIMIT 200""")
+SELECT event_id, user_id FROM (SELECT * FROM events ORDER BY event_id DESC LIMIT 9000)
+WHERE event_id >= 900 AND event_id <= 1900 ORDER BY event_id LIMIT 200""")
 def t16_range(t):
-    return batches.cache_query(t.events, "event_id", "ts", from_id=100, to_id=900, max_new=200).select("event_id", "user_id")
+    """Ids that are still in the cache, from 900 on, at most 200 of them."""
+    kept = batches.cache_query(_cached(t, rows=9_000), "event_id", "ts", last=9_000)
+    return batches.cache_query(kept, "event_id", "ts", from_id=900, to_id=1_900, max_new=200).select("event_id", "user_id")
 
 
 @query("t17_sql_over_stream", f"""
@@ -278,9 +325,10 @@ def t19(t):
     return _bounds(_one_definition(t.events))
 
 
-@query("t19_one_definition_unbounded", SQL_BOTH)
+@query("t19_one_definition_unbounded", SQL_BOTH.replace("GROUP BY s, event_type", f"AND s + INTERVAL 6 HOUR <= {SQL_CLOSED} GROUP BY s, event_type"))
 def t19_stream(t):
-    return _bounds(batches.drain(_one_definition(t.stream("events")), "complete", "one-definition"))
+    """The same definition on four batches, each window put out once it is closed."""
+    return _bounds(batches.drain(_one_definition(_arriving(t)), "append", "one-definition"))
 
 
 # ---------------------------------------------------------------- run logs

@@ -243,12 +243,21 @@ def _noted(t):
     f"count(DISTINCT {c}) AS distinct_values, CAST(min({c}) AS VARCHAR) AS minimum, CAST(max({c}) AS VARCHAR) AS maximum FROM x"
     for i, (c, k) in enumerate(PROFILED.items())).replace("AS column", "AS \"column\""))
 def a18(t):
-    return tables.profile(_noted(t))
+    return tables.profile(_noted(t), exact=list(PROFILED))
 
 
-@query("a18_profile_approx")
+@query("a18_profile_approx", "WITH x AS (SELECT *, CASE WHEN o_totalprice > 300000 THEN o_orderpriority END AS note FROM orders) " + " UNION ALL ".join(
+    f"SELECT '{c}' AS column, CAST({i} AS INTEGER) AS position, '{k}' AS type, count(*) AS rows, count(*) - count({c}) AS nulls, "
+    f"true AS within_error, CAST(min({c}) AS VARCHAR) AS minimum, CAST(max({c}) AS VARCHAR) AS maximum FROM x"
+    for i, (c, k) in enumerate(PROFILED.items())).replace("AS column", "AS \"column\""))
 def a18_approx(t):
-    return tables.profile(_noted(t), approx=True)
+    """Sketches of twelve parts of the orders, merged, against exact counts."""
+    df = _noted(t)
+    parts = tables.sketches(df.withColumn("part", F.col("o_orderkey") % 12), ["part"])
+    sketched = tables.profile_of(tables.merge_sketches(parts), df.schema)
+    exact = tables.profile(df, exact=list(PROFILED)).select("column", F.col("distinct_values").alias("exact"))
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= tables.SKETCH_ERROR * F.col("exact")
+    return sketched.join(exact, "column").withColumn("within_error", near).drop("distinct_values", "exact")
 
 
 @query("a19_inline_rows", """

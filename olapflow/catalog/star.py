@@ -111,6 +111,22 @@ def e09(t):
     return out.select("event_id", F.col("event_type").alias("state_then"))
 
 
+@query("e09_range_join_long_spans", """
+WITH sp AS (SELECT event_id AS span_id, user_id, ts AS lo, CASE WHEN event_id % 50 = 0 THEN ts + INTERVAL 731 DAY
+    WHEN event_id % 10 = 0 THEN ts + INTERVAL 90 MINUTE ELSE ts + INTERVAL 1 SECOND END AS hi FROM events)
+SELECT event_id, span_id FROM (SELECT event_id, user_id, ts + INTERVAL 500 MILLISECOND AS moment FROM events) e
+JOIN sp ON e.user_id = sp.user_id AND moment >= lo AND moment < hi""")
+def e09_long(t):
+    """Spans of a second, of an hour and a half, and of two years in one table."""
+    ts = F.col("ts")
+    hi = F.when(F.col("event_id") % 50 == 0, ts + F.expr("INTERVAL 731 DAYS")).when(
+        F.col("event_id") % 10 == 0, ts + F.expr("INTERVAL 90 MINUTES")
+    ).otherwise(ts + F.expr("INTERVAL 1 SECOND"))
+    spans = t.events.select(F.col("event_id").alias("span_id"), "user_id", ts.alias("lo"), hi.alias("hi"))
+    points = t.events.select("event_id", "user_id", F.timestamp_add("MICROSECOND", F.lit(500_000), ts).alias("at"))
+    return join.range_join_any(points, spans, "at", "lo", "hi", on=["user_id"]).select("event_id", "span_id")
+
+
 @query("e10_anti_join", "SELECT d.doc_id FROM documents d ANTI JOIN labels l ON d.doc_id = l.doc_id")
 def e10(t):
     return join.anti(t.documents.select("doc_id"), t.labels, ["doc_id"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 
 from olapflow.functions import geo
 from olapflow.operators.agg import quantize, summarize_all
-from olapflow.session import checkpointed
+from olapflow.session import checkpointed, stored
 
 
 def make_point(df: DataFrame, lon: str, lat: str, name: str = "geom") -> DataFrame:
@@ -134,6 +135,95 @@ def covering_join(
     return first.select(*points.columns, F.col("__r.key").alias(key))
 
 
+#: Edges that a cell of the tree holds before it is cut, and levels of halving at most.
+CELL_EDGES, MOST_LEVELS = 16, 30
+
+
+def quadtree(regions: DataFrame, key: str, geometry: str, cell_edges: int = CELL_EDGES) -> tuple[DataFrame | None, tuple]:
+    """Cells that lie side by side, each with the regions that may cover its points, and
+    the frame (x, y, side) they are cut from.
+
+    The frame is cut into 4 x 4 cells, and a cell with more than ``cell_edges`` edges is
+    cut again, so cells are small where there is much detail and large elsewhere. A
+    region brings a cell the edges that a ray from it can meet, or none if no edge touches
+    the cell and it lies inside. A round works on the cells still too full, one row per
+    region and cell; no row holds more than one region's edges.
+    """
+    own = regions.select(F.col(key).alias("key"), _edges(rings_of(regions, geometry)).alias("edges"))
+    own = own.where(F.size("edges") > 0)
+    ends = own.select(F.explode("edges").alias("e")).agg(
+        F.min(F.least("e.ax", "e.bx")), F.min(F.least("e.ay", "e.by")), F.max(F.greatest("e.ax", "e.bx")), F.max(F.greatest("e.ay", "e.by"))
+    ).first()
+    if ends[0] is None:
+        return None, (0.0, 0.0, 1.0)
+    x0, y0 = ends[0], ends[1]
+    side = max(ends[2] - x0, ends[3] - y0, 1e-9) * 1.001
+    u = lambda x: (x - F.lit(x0)) / F.lit(side)
+    v = lambda y: (y - F.lit(y0)) / F.lit(side)
+    cells = own.select("key", F.lit(0).alias("level"), F.lit(0).cast("bigint").alias("cx"), F.lit(0).cast("bigint").alias("cy"), "edges", F.lit(False).alias("whole"))
+    leaves, level = [], 0
+    while True:
+        level += 2
+        size = F.lit(2.0**-level)
+        cut = cells.select("key", "whole", "edges", "cx", "cy", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("q"))
+        cut = cut.select("key", "whole", "edges", (F.col("cx") * 4 + F.col("q") % 4).alias("cx"), (F.col("cy") * 4 + F.expr("q div 4")).alias("cy"))
+        left, bottom = F.col("cx") * size, F.col("cy") * size
+        ahead = F.filter("edges", lambda e: (
+            (u(F.greatest(e.ax, e.bx)) >= left) & (v(F.greatest(e.ay, e.by)) >= bottom) & (v(F.least(e.ay, e.by)) <= bottom + size)
+        ))
+        cut = cut.withColumn("ahead", ahead)
+        near = F.exists("ahead", lambda e: u(F.least(e.ax, e.bx)) <= left + size)
+        middle = edges_contain(F.col("ahead"), (left + size / 2) * F.lit(side) + F.lit(x0), (bottom + size / 2) * F.lit(side) + F.lit(y0))
+        cut = cut.withColumns({"near": ~F.col("whole") & near, "inside": F.col("whole") | (~near & middle)}).where("near or inside")
+        made = stored(cut.select(
+            "key", F.lit(level).alias("level"), "cx", "cy", F.when(F.col("inside"), F.slice("ahead", 1, 0)).otherwise(F.col("ahead")).alias("edges"),
+            F.col("inside").alias("whole"),
+        ), "cells")
+        full = made.groupBy("cx", "cy").agg(F.sum(F.size("edges")).alias("n")).where(F.col("n") > cell_edges).select("cx", "cy")
+        full = stored(full, "full-cells")
+        if level >= MOST_LEVELS or not full.count():
+            leaves.append(made)
+            break
+        leaves.append(made.join(full, ["cx", "cy"], "left_anti").select(made.columns))
+        cells = made.join(full, ["cx", "cy"], "left_semi").select(made.columns)
+    region = F.struct("key", "whole", "edges")
+    return reduce(DataFrame.unionByName, leaves).groupBy("level", "cx", "cy").agg(F.array_sort(F.collect_list(region)).alias("__regions")), (x0, y0, side)
+
+
+def covering_join_tree(
+    points: DataFrame, lon: str, lat: str, regions: DataFrame, key: str, geometry: str, cell_edges: int = CELL_EDGES
+) -> DataFrame:
+    """``covering_join`` for regions of very different size and detail in one layer, such as
+    continents with the blocks of their cities.
+
+    The cells come from ``quadtree``, so their number follows the edges and not the ratio
+    of the largest region to the smallest. Cells do not overlap; a point looks up its cell
+    in each size in use (15 at most) and is found in one. Rules for overlaps, holes, null
+    coordinates and repeated points are those of ``covering_join``.
+    """
+    tree, (x0, y0, side) = quadtree(regions, key, geometry, cell_edges)
+    kind = regions.schema[key].dataType
+    if tree is None:
+        return points.limit(0).withColumn(key, F.lit(None).cast(kind))
+    tree = stored(tree.withColumnsRenamed({"level": "__level", "cx": "__cx", "cy": "__cy"}), "quadtree")
+    levels = sorted(r[0] for r in tree.select("__level").distinct().collect())
+    held = tree.agg(F.sum(F.aggregate("__regions", F.lit(64), lambda n, r: n + 64 + 40 * F.size(r.edges)).cast("bigint"))).first()[0]
+    if held <= BROADCAST_BYTES:
+        tree = F.broadcast(tree)
+    x, y = F.col(lon).cast("double"), F.col(lat).cast("double")
+    places = [
+        F.struct(
+            F.lit(level).alias("__level"), F.floor((x - F.lit(x0)) / F.lit(side) * F.lit(2.0**level)).alias("__cx"),
+            F.floor((y - F.lit(y0)) / F.lit(side) * F.lit(2.0**level)).alias("__cy"),
+        )
+        for level in levels
+    ]
+    hits = points.select("*", F.inline(F.array(*places))).join(tree, ["__level", "__cx", "__cy"])
+    covers = F.filter("__regions", lambda r: r.whole | edges_contain(r.edges, x, y))
+    first = hits.select(*points.columns, F.explode(F.slice(covers, 1, 1)).alias("__r"))
+    return first.select(*points.columns, F.col("__r.key").alias(key))
+
+
 def covering_summary(
     points: DataFrame, lon: str, lat: str, regions: DataFrame, key: str, geometry: str,
     size: float | None = None, skip: Sequence[str] = (),

@@ -128,6 +128,47 @@ def range_join(
     return a.join(b, _both(cond)).drop("__bin", *[f"__{c}" for c in on])
 
 
+def _aligned_pieces(first: Column, last: Column) -> Column:
+    """Positions first..last as aligned pieces (level, bin) of 2^level positions: the fewest
+    that make up the span, at most two of a level."""
+
+    def of_level(j: Column) -> Column:
+        a = -F.call_function("shiftright", -first, j)  # rounded up
+        b = F.call_function("shiftright", last + 1, j) - 1
+        left, right = (a % 2 != 0) & (a <= b), (b % 2 == 0) & (a <= b)
+        own = lambda k: F.array(F.struct(j.alias("level"), k.alias("bin")))
+        none = F.array().cast("array<struct<level:int,bin:bigint>>")
+        return F.concat(F.when(left, own(a)).otherwise(none), F.when(right & ~(left & (a == b)), own(b)).otherwise(none))
+
+    top = F.length(F.conv((last - first + 1).cast("string"), 10, 2)) - 1  # levels that fit into the span
+    return F.flatten(F.transform(F.sequence(F.lit(0), top), of_level))
+
+
+def range_join_any(
+    facts: DataFrame, spans: DataFrame, point: str, lo: str, hi: str, finest: int = 1, on: Sequence[str] = ()
+) -> DataFrame:
+    """Rows whose ``point`` lies in [lo, hi), for spans of very different lengths in one table.
+
+    Units are those of ``range_join``; positions are multiples of ``finest`` units. A span
+    is split into aligned pieces whose sizes are powers of two, at most two of each size,
+    so a span of years has a few dozen and a short one has one or two. A point looks up
+    one piece of each size in use (at most 63, counted first). Pieces of a span do not
+    overlap, so a pair is found once; the exact bounds are checked after the join. Null
+    points and spans that are empty or have a null bound match nothing.
+    """
+    at = lambda df, c: F.floor(_position(df, c) / F.lit(finest)).cast("bigint")
+    pieces = spans.where(F.col(lo) < F.col(hi)).withColumn("__piece", F.explode(_aligned_pieces(at(spans, lo), at(spans, hi))))
+    b = pieces.select(*spans.columns, F.col("__piece.level").alias("__level"), F.col("__piece.bin").alias("__bin"))
+    b = b.withColumnsRenamed({c: f"__{c}" for c in on})
+    levels = sorted(r[0] for r in b.select("__level").distinct().collect())  # 63 numbers at most
+    bins = [F.struct(F.lit(j).alias("__level"), F.shiftright(at(facts, point), j).alias("__bin")) for j in levels]
+    none = F.array().cast("array<struct<__level:int,__bin:bigint>>")
+    a = facts.select("*", F.inline(F.array(*bins) if bins else none))
+    cond = [a["__level"] == b["__level"], a["__bin"] == b["__bin"], a[point] >= b[lo], a[point] < b[hi]]
+    cond += [a[c] == b[f"__{c}"] for c in on]
+    return a.join(b, _both(cond)).drop("__level", "__bin", *[f"__{c}" for c in on])
+
+
 def anti(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows without a partner."""
     return df.join(other, list(on), "left_anti")

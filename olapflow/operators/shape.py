@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from olapflow.operators.window import row_index
+from olapflow.session import scratch_path
 
 
 def select_values(
@@ -47,9 +48,18 @@ def adjust_when(df: DataFrame, cond: Column, column: str, value: Column) -> Data
 def route(
     df: DataFrame, column: str, cases: Mapping[object, str], default: str
 ) -> dict[str, DataFrame]:
-    """One output per case value plus the default output."""
+    """One output per case value plus the default output.
+
+    The source is read once: its rows are written to the shared folder by target, and each
+    output reads its own part only. On a stream the outputs are filters, since Spark reads
+    a stream per query anyway.
+    """
     marked = df.withColumn("__to", map_column(F.col(column), cases, F.lit(default)))
     names = dict.fromkeys([*cases.values(), default])
+    if not df.isStreaming:
+        path = scratch_path(df.sparkSession, "routed")
+        marked.write.partitionBy("__to").parquet(path)
+        marked = df.sparkSession.read.schema(marked.schema).parquet(path)
     return {name: marked.where(F.col("__to") == name).drop("__to") for name in names}
 
 

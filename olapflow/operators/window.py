@@ -1,11 +1,12 @@
 """Ordered operators over keyed rows.
 
-A plain ``Window.partitionBy(key)`` sends all rows of a key to one task. These
-functions count the rows of each key and split the large ones by a *chunk*, a range of
-the leading order column taken from the data, so that a window task sees one (key, chunk)
-only. Without large keys they are plain windows. What must cross a
-chunk border travels as one extra *carry row* per (key, chunk), taken from a
-partially aggregated summary. The rows themselves are shuffled once.
+A plain ``Window.partitionBy(key)`` sends all rows of a key to one task. These functions
+count the rows of each key. The rows of large keys, and frames without keys, are sorted
+into ranges of (keys, order) once and stored with the number of their range, the *chunk*;
+a window task then sees one (key, chunk) only. What must cross a chunk border travels as
+one extra *carry row* per (key, chunk), found by its chunk number from a partially
+aggregated summary. No border value comes to the driver or into a plan, so plans are alike
+for any number of rows. Without large keys they are plain windows.
 """
 
 from __future__ import annotations
@@ -19,9 +20,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from olapflow.session import checkpointed
+from olapflow.session import stored
 
-_CHUNK, _SIDE, _AT = "__chunk", "__side", "__at"
+_CHUNK, _SIDE, _AT, _POS = "__chunk", "__side", "__at", "__pos"
 
 
 #: Rows of a key up to which one task sorts them all; larger keys are split into chunks of
@@ -55,28 +56,47 @@ def bound_index(column: Column, bounds: Sequence, kind: T.DataType) -> Column:
     return F.greatest((head - 1) * width + F.size(F.filter(block, lambda b: b <= column)), F.lit(1))
 
 
+#: Ranges that a frame is cut into at most, so that a row for each can be broadcast; beyond
+#: that the ranges grow.
+MOST_RANGES = 50_000
+
+#: Chunk number of rows whose keys are not split.
+_WHOLE = -1
+
+
+def _ranges(df: DataFrame, columns: Sequence[str], rows: int) -> DataFrame:
+    """The frame range-sorted by ``columns`` and stored, with ``__chunk``, the number of the
+    range, and ``__pos``, the position in it from 0."""
+    parts = min(max(1, -(-rows // CHUNK_ROWS)), MOST_RANGES)
+    ranged = df.repartitionByRange(parts, *columns).sortWithinPartitions(*columns)
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)  # its low bits count a task's rows
+    return stored(ranged.select("*", F.spark_partition_id().alias(_CHUNK), place.alias(_POS)), "ranges")
+
+
 def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column | None):
     """The frame with ``__chunk``, or None if no key has more rows than a task should sort.
 
-    Keys are counted, and only those over ``CHUNK_ROWS`` are split, at quantiles of the
-    leading order column over their rows. All other keys are one chunk each.
+    Keys are counted, and only those over ``CHUNK_ROWS`` are split, into ranges of all
+    their rows. All other keys are one chunk each.
     """
     if chunk is not None:
         return df.withColumn(_CHUNK, chunk)
-    kind = df.schema[order[0]].dataType
     if not keys:
-        bounds = order_bounds(df, order[0], -(-df.count() // CHUNK_ROWS))
-        return df.withColumn(_CHUNK, bound_index(F.col(order[0]), bounds, kind)) if bounds else None
+        rows = df.count()
+        return _ranges(df, order, rows).drop(_POS) if rows > CHUNK_ROWS else None
     counted = df.groupBy(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias(_AT))
-    large = counted.where(F.col(_AT) > CHUNK_ROWS)
-    if large.isEmpty():
+    large = stored(counted.where(F.col(_AT) > CHUNK_ROWS), "large-keys")
+    rows = large.agg(F.sum(_AT)).first()[0]
+    if not rows:
         return None
-    large = checkpointed(large)
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__key{i}")) for i, k in enumerate(keys)])
-    rows = large.agg(F.sum(_AT)).first()[0]
-    bounds = order_bounds(df.join(large, same, "left_semi"), order[0], -(-rows // CHUNK_ROWS))
-    split = F.when(F.col(_AT).isNotNull(), bound_index(F.col(order[0]), bounds, kind)).otherwise(0)
-    return df.join(large, same, "left").withColumn(_CHUNK, split).select(*df.columns, _CHUNK)
+    split = _ranges(df.join(large, same, "left_semi"), [*keys, *order], rows).drop(_POS)
+    return split.unionByName(df.join(large, same, "left_anti").withColumn(_CHUNK, F.lit(_WHOLE)))
+
+
+def _crossing(rows: DataFrame, chunk: Column | None) -> DataFrame:
+    """The rows whose keys have several chunks, or may have."""
+    return rows if chunk is not None else rows.where(F.col(_CHUNK) != _WHOLE)
 
 
 def _neighbour(df, keys, order, fields, chunk, forward: bool) -> DataFrame:
@@ -100,7 +120,7 @@ def _neighbour(df, keys, order, fields, chunk, forward: bool) -> DataFrame:
     by_chunk = Window.partitionBy(*keys).orderBy(_CHUNK)
     shift = F.lead if forward else F.lag
     carry = (
-        rows.groupBy(*keys, _CHUNK)
+        _crossing(rows, chunk).groupBy(*keys, _CHUNK)
         .agg(edge.alias(_AT))
         .withColumn(_AT, shift(_AT).over(by_chunk))
         .where(F.col(_AT).isNotNull())
@@ -168,7 +188,7 @@ def running(
     kind = rows.select(fold(_AT).alias(_AT)).schema[_AT].dataType
     earlier = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
-        rows.groupBy(*keys, _CHUNK)
+        _crossing(rows, chunk).groupBy(*keys, _CHUNK)
         .agg(fold(_AT).alias(_AT))
         .withColumn(_AT, fold(_AT).over(earlier).cast(kind))
         .where(F.col(_AT).isNotNull())
@@ -195,7 +215,18 @@ def running_sum(df, keys, order, value, name="running", chunk=None) -> DataFrame
 
 
 def row_index(df, keys, order, name="row_index", start=0, chunk=None) -> DataFrame:
-    """Position of each row within its keys, counted from ``start``."""
+    """Position of each row within its keys, counted from ``start``. Without keys rows are
+    sorted into ranges once, and a range's rows are numbered from the sizes of those before
+    it; nothing else moves."""
+    if not keys and chunk is None:
+        rows = df.count()
+        if rows > CHUNK_ROWS:
+            ranged = _ranges(df, order, rows)
+            before = Window.orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+            sizes = ranged.groupBy(_CHUNK).agg(F.count(F.lit(1)).alias(_AT))
+            sizes = sizes.select(_CHUNK, F.coalesce(F.sum(_AT).over(before), F.lit(0)).alias(_AT))
+            numbered = ranged.join(F.broadcast(sizes), _CHUNK)  # at most MOST_RANGES rows
+            return numbered.select(*[c for c in df.columns if c != name], (F.col(_AT) + F.col(_POS) + start).alias(name))
     out = running(df, keys, order, F.lit(1).cast("bigint"), name, "sum", chunk)
     return out.withColumn(name, F.col(name) + F.lit(start - 1))
 

@@ -13,6 +13,28 @@ from olapflow.operators.window import next_value, running
 BLOCK = 4096
 
 
+def bucket_numbers(df: DataFrame, keys: Sequence[str], last: Column) -> DataFrame:
+    """Numbers 0 to ``last`` (a constant) as ``__i`` for each of the keys of ``df``.
+
+    They come in blocks. Without keys the blocks are a range that Spark deals to tasks;
+    with keys one small row per key and block is shuffled, so that the numbers of a single
+    key are made by many tasks as well.
+    """
+    spark = df.sparkSession
+    blocks = spark.range(1).select((F.floor(last / BLOCK) + 1).cast("bigint")).first()[0]
+    if not keys:
+        grid = spark.range(0, max(blocks or 0, 0)).select(F.col("id").alias("__block"))
+    elif blocks is None or blocks < 1:
+        grid = df.select(*keys).limit(0).withColumn("__block", F.lit(0).cast("bigint"))
+    else:
+        grid = df.select(*keys).distinct().select(*keys, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("__block"))
+        if blocks > 1:
+            tasks = min(int(spark.conf.get("spark.sql.shuffle.partitions")), blocks)
+            grid = grid.repartition(tasks, *keys, "__block")
+    first = F.col("__block") * BLOCK
+    return grid.select(*keys, F.explode(F.sequence(first, F.least(first + (BLOCK - 1), last.cast("bigint")))).alias("__i"))
+
+
 def fill_buckets(
     df: DataFrame,
     ts: str,
@@ -46,12 +68,7 @@ def fill_buckets(
         known = next_value(known, keys, ["__i"], {"__ni": "__i", "__nv": name})
 
     last = F.floor(F.timestamp_diff("MICROSECOND", start, end) / width).cast("bigint")
-    grid = df.select(*keys).distinct() if keys else df.sparkSession.range(1).select()
-    grid = grid.select(*keys, last.alias("__last")).select(
-        *keys, "__last", F.explode(F.sequence(F.lit(0), F.expr(f"__last div {BLOCK}"))).alias("__block")
-    )
-    first = F.col("__block") * BLOCK
-    grid = grid.select(*keys, F.explode(F.sequence(first, F.least(first + (BLOCK - 1), F.col("__last")))).alias("__i"))
+    grid = bucket_numbers(df, keys, last)
     left, right = grid.alias("g"), known.alias("k")
     same = F.col("g.__i") == F.col("k.__i")
     for key in keys:

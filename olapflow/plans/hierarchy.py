@@ -11,39 +11,117 @@ from pyspark.sql import functions as F
 
 from olapflow.operators.agg import rollup_levels
 from olapflow.operators.window import row_index
-from olapflow.session import checkpointed
+from olapflow.session import stored
 
 
-def closure(edges: DataFrame, child: str, parent: str) -> DataFrame:
+def _cycle_error(pointer: DataFrame, span: int) -> ValueError:
+    """The error that names nodes on a cycle, given the pointers that never reach a root."""
+    left = pointer.count()
+    while span < left:  # jumps as long as there are nodes left end on a cycle
+        pointer = _doubled(pointer)
+        span *= 2
+    named = sorted(str(r.up) for r in pointer.select("up").distinct().limit(10).collect())
+    return ValueError(f"the edges hold a cycle, among others of {', '.join(named)}")
+
+
+def _doubled(pointer: DataFrame) -> DataFrame:
+    onward = pointer.select(F.col("node").alias("up"), F.col("up").alias("next"), F.col("far").alias("further"))
+    return stored(pointer.join(onward, "up").select("node", F.col("next").alias("up"), (F.col("far") + F.col("further")).alias("far")), "pointers")
+
+
+def _pointers(links: DataFrame) -> list[DataFrame]:
+    """Pointers (node, up, far) over 1, 2, 4, ... edges, until every node has met its root.
+
+    A round moves one row per node that has ancestors so far away. In a tree some node is
+    at every depth up to the deepest, so each round loses some nodes; a round that loses
+    none has only nodes left that lead into a cycle.
+    """
+    found = [stored(links, "pointers")]
+    size, parents = found[0].agg(F.count("node"), F.count_distinct("node")).first()
+    tree, most = size == parents, size + 1
+    while size:
+        span = 1 << (len(found) - 1)
+        further = _doubled(found[-1])
+        after = further.count()
+        if (tree and after == size) or 2 * span > most:
+            if after:
+                raise _cycle_error(further, 2 * span)
+        found.append(further)
+        size = after
+    return found
+
+
+def closure(edges: DataFrame, child: str, parent: str, distance: str | None = None) -> DataFrame:
     """All (ancestor, descendant, distance) pairs of a tree, each node with itself at 0.
 
     Every round doubles the distance covered: each node keeps one pointer to its
     ancestor 2^k levels up and takes over the pairs that ancestor already has. A tree
-    of depth d needs about log2(d) rounds. New pairs and pointers are checkpointed per
-    round, so lost executors do not replay the whole loop. A tree is at most as deep as it
-    has nodes; pointers that are left beyond that lie on a cycle, which raises an error.
+    of depth d needs about log2(d) rounds. The pointers are followed to their ends first,
+    in rounds of one row per node at most, so that a cycle raises an error before any pair
+    is made. ``distance`` names the length of each edge (1 without it). New pairs and
+    pointers are written to the shared folder, so lost executors do not replay the loop.
     """
+    far = F.col(distance).cast("int") if distance else F.lit(1)
     links = edges.where(F.col(parent).isNotNull() & (F.col(parent) != F.col(child)))
-    pointer = checkpointed(links.select(F.col(child).alias("node"), F.col(parent).alias("up")).distinct())
+    pointers = _pointers(links.select(F.col(child).alias("node"), F.col(parent).alias("up"), far.alias("far")).distinct())
     nodes = edges.select(F.col(child).alias("n")).union(edges.select(F.col(parent))).where("n is not null").distinct()
-    nodes = checkpointed(nodes)
-    most = nodes.count()
+    nodes = stored(nodes, "nodes")
     parts = [nodes.select(F.col("n").alias("ancestor"), F.col("n").alias("descendant"), F.lit(0).alias("distance"))]
-    span = 1
-    while not pointer.isEmpty():
-        if span > most:
-            raise ValueError("the edges hold a cycle")
+    for pointer in pointers[:-1]:
         have = reduce(lambda a, b: a.union(b), parts)
         grown = pointer.join(have, F.col("up") == F.col("descendant")).select(
-            "ancestor", F.col("node").alias("descendant"), (F.col("distance") + span).alias("distance")
+            "ancestor", F.col("node").alias("descendant"), (F.col("distance") + F.col("far")).alias("distance")
         )
-        parts.append(checkpointed(grown))
-        onward = pointer.select(F.col("node").alias("up"), F.col("up").alias("next"))
-        pointer = checkpointed(pointer.join(onward, "up").select("node", F.col("next").alias("up")))
-        span *= 2
+        parts.append(stored(grown, "pairs"))
     return reduce(lambda a, b: a.union(b), parts)
 
 
+def update_closure(tree: DataFrame, moves: DataFrame, child: str, parent: str) -> DataFrame:
+    """The pairs after nodes are added or moved, each with all that is below it.
+
+    ``moves`` has one row per node: a new node, or one to move, and its new parent (null
+    makes it a root). Moved nodes may lie below each other, and new parents may be new or
+    moved themselves; moving a node below itself raises the error of a cycle. Pairs that
+    lead over a cut edge go; those between the ancestors of a new parent and the
+    descendants of what is hung there come. Only pairs of the subtrees concerned are
+    made: nothing else of the table is computed again.
+    """
+    asked = stored(moves.select(F.col(child).alias("m"), F.col(parent).alias("p")).distinct(), "moves")
+    known = tree.where("distance = 0").select(F.col("descendant").alias("m"))
+    mentioned = asked.select("m").union(asked.where("p is not null").select("p")).distinct()
+    self_pairs = mentioned.join(known, "m", "left_anti").select(
+        F.col("m").alias("ancestor"), F.col("m").alias("descendant"), F.lit(0).alias("distance")
+    )
+    # a pair is cut if a moved node lies below its ancestor and at or above its descendant
+    below = tree.join(asked.select(F.col("m").alias("ancestor")), "ancestor", "left_semi")
+    over = tree.where("distance > 0").join(asked.select(F.col("m").alias("descendant")), "descendant", "left_semi")
+    cut = over.select("ancestor", F.col("descendant").alias("m")).join(
+        below.select(F.col("ancestor").alias("m"), "descendant"), "m"
+    ).select("ancestor", "descendant").distinct()
+    kept = stored(tree.join(cut, ["ancestor", "descendant"], "left_anti").unionByName(self_pairs), "kept-pairs")
+    # which moved subtree hangs, over how many levels, below which other moved node
+    hung = asked.where("p is not null")
+    above = kept.join(hung.select(F.col("p").alias("descendant"), "m"), "descendant").select(
+        "ancestor", "m", (F.col("distance") + 1).alias("distance")
+    )
+    above = stored(above, "above-moved")
+    among = above.join(asked.select(F.col("m").alias("ancestor")), "ancestor", "left_semi")
+    if not among.where(F.col("ancestor") == F.col("m")).isEmpty():
+        raise ValueError("the edges hold a cycle: a node is moved below itself")
+    edges = asked.select("m").join(among, "m", "left")
+    chains = closure(edges, "m", "ancestor", "distance")
+    tops = above.select(F.col("ancestor").alias("top"), "m", F.col("distance").alias("d1"))
+    tops = tops.join(asked.select(F.col("m").alias("top")), "top", "left_anti")  # chains start at what did not move
+    first = tops.join(chains.select(F.col("ancestor").alias("m"), F.col("descendant").alias("n"), F.col("distance").alias("d2")), "m")
+    starts = first.select("top", "n", (F.col("d1") + F.col("d2")).alias("d"))
+    inner = chains.where("distance > 0").select(F.col("ancestor").alias("top"), F.col("descendant").alias("n"), F.col("distance").alias("d"))
+    ends = kept.select(F.col("ancestor").alias("n"), "descendant", "distance")
+    fresh = starts.unionByName(inner).join(ends, "n").select(
+        F.col("top").alias("ancestor"), "descendant", (F.col("d") + F.col("distance")).alias("distance")
+    )
+    return kept.unionByName(fresh)
+
+
 def rollup_tree(fact: DataFrame, tree: DataFrame, node: str, measures: Sequence[str]) -> DataFrame:
     """Totals per ancestor over all its descendants. Facts are summed per node first."""
     own = fact.groupBy(F.col(node).alias("descendant")).agg(*[F.sum(m).alias(m) for m in measures])
@@ -59,24 +137,24 @@ def rollup_edges(fact: DataFrame, edges: DataFrame, child: str, parent: str, nod
     error.
     """
     links = edges.where(F.col(parent).isNotNull() & (F.col(parent) != F.col(child)))
-    pointer = checkpointed(links.select(F.col(child).alias("ancestor"), F.col(parent).alias("up")).distinct())
+    pointer = stored(links.select(F.col(child).alias("node"), F.col(parent).alias("up")).distinct(), "pointers")
     sums = [F.sum(m).alias(m) for m in measures]
     held = fact.groupBy(F.col(node).alias("ancestor")).agg(*sums)
     kinds = {m: held.schema[m].dataType for m in measures}
     # only facts at nodes of the tree count
     known = edges.select(F.col(child).alias("ancestor")).union(edges.select(parent)).distinct()
-    held = checkpointed(held.join(known, "ancestor", "left_semi"))
-    span, most = 1, None
-    while not pointer.isEmpty():
-        if most is None:
-            most = pointer.count() + 1
+    held = stored(held.join(known, "ancestor", "left_semi"), "totals")
+    size = pointer.count()
+    span, most = 1, size + 1
+    while size:
         if span > most:
             raise ValueError("the edges hold a cycle")
-        moved = pointer.join(held, "ancestor").select(F.col("up").alias("ancestor"), *measures)
+        moved = pointer.join(held, F.col("node") == F.col("ancestor")).select(F.col("up").alias("ancestor"), *measures)
         held = held.unionByName(moved).groupBy("ancestor").agg(*[F.sum(m).cast(kinds[m]).alias(m) for m in measures])
-        held = checkpointed(held)
-        onward = pointer.select(F.col("ancestor").alias("up"), F.col("up").alias("next"))
-        pointer = checkpointed(pointer.join(onward, "up").select("ancestor", F.col("next").alias("up")))
+        held = stored(held, "totals")
+        onward = pointer.select(F.col("node").alias("up"), F.col("up").alias("next"))
+        pointer = stored(pointer.join(onward, "up").select("node", F.col("next").alias("up")), "pointers")
+        size = pointer.count()
         span *= 2
     return held
 
@@ -175,7 +253,7 @@ def members(dim: DataFrame, levels: Sequence[str]) -> DataFrame:
     # a collapsed level comes before its members, the null member first among them
     out = out.withColumns({f"__in{i}": F.col("level_no") > i for i in range(len(levels))})
     order = [name for i, c in enumerate(levels) for name in (f"__in{i}", c)]
-    out = row_index(out, [], order, "ordinal", 0, F.col(levels[0]))
+    out = row_index(out, [], order, "ordinal")  # in ranges, however large a top member is
     return out.select("level_no", "level_name", "name", "unique_name", "parent_unique_name", "ordinal", "child_count")
 
 

@@ -82,3 +82,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame to the shared folder, by columns, and read it back: a cut in the
+    lineage that outlives executors. Types without a file form are checkpointed as rows."""
+    kinds = df.schema.simpleString()
+    if "void" in kinds or "interval" in kinds:
+        return checkpointed(df)
+    path = scratch_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def read_sql(
@@ -52,55 +53,66 @@ def pending_files(listing: DataFrame, processed: DataFrame, pattern: str, name:
     return versions.join(processed.select(name), name, "left_anti").orderBy("version", name)
 
 
-def profile(df: DataFrame, approx: bool = False) -> DataFrame:
+#: Size of a sketch (2^bits entries) and its error: three standard deviations of 1.04 / sqrt(2^bits).
+SKETCH_BITS, SKETCH_ERROR = 14, 0.025
+
+
+def sketches(df: DataFrame, parts: Sequence[str] = ()) -> DataFrame:
+    """What a profile is made of, one row per value of ``parts`` (a file, a day): per column
+    the rows, nulls, a sketch of the distinct values, minimum and maximum. Rows of several
+    parts or runs can be kept and merged later."""
+    aggs = []
+    for i, field in enumerate(f for f in df.schema if f.name not in parts):
+        c = F.col(f"`{field.name}`")
+        aggs += [
+            F.count(F.lit(1)).alias(f"rows{i}"), F.count_if(c.isNull()).alias(f"nulls{i}"),
+            F.hll_sketch_agg(c.cast("string"), F.lit(SKETCH_BITS)).alias(f"sketch{i}"), F.min(c).alias(f"min{i}"), F.max(c).alias(f"max{i}"),
+        ]
+    return df.groupBy(*parts).agg(*aggs)
+
+
+def merge_sketches(parts: DataFrame) -> DataFrame:
+    """One row of sketches from many."""
+    aggs = []
+    for i in range(sum(c.startswith("sketch") for c in parts.columns)):
+        aggs += [
+            F.sum(f"rows{i}").alias(f"rows{i}"), F.sum(f"nulls{i}").alias(f"nulls{i}"),
+            F.hll_union_agg(f"sketch{i}", F.lit(False)).alias(f"sketch{i}"), F.min(f"min{i}").alias(f"min{i}"), F.max(f"max{i}").alias(f"max{i}"),
+        ]
+    return parts.agg(*aggs)
+
+
+def profile_of(merged: DataFrame, schema: T.StructType) -> DataFrame:
+    """The profile table of one row of sketches over columns of ``schema``."""
+    rows = [
+        F.struct(
+            F.lit(f.name).alias("column"), F.lit(i).alias("position"), F.lit(f.dataType.simpleString()).alias("type"),
+            F.col(f"rows{i}").alias("rows"), F.col(f"nulls{i}").alias("nulls"),
+            F.coalesce(F.hll_sketch_estimate(f"sketch{i}"), F.lit(0)).cast("bigint").alias("distinct_values"),
+            F.col(f"min{i}").cast("string").alias("minimum"), F.col(f"max{i}").cast("string").alias("maximum"),
+        )
+        for i, f in enumerate(schema)
+    ]
+    return merged.select(F.inline(F.array(*rows)))
+
+
+def profile(df: DataFrame, approx: bool = True, exact: Sequence[str] = ()) -> DataFrame:
     """One row per column: position, type, rows, nulls, distinct values, minimum, maximum.
 
-    Exact mode turns cells into (column, value) pairs, counts equal pairs first, and
-    then folds them per column. ``approx`` uses one sketch per column instead.
+    Distinct values come from a sketch per column (see ``SKETCH_ERROR``), so a profile
+    costs one pass and no shuffle of values. Columns named in ``exact`` are counted
+    instead, or all with ``approx`` off: their equal values are put together on the map
+    side, and what is left is spread by the hash of column and value.
     """
-    meta = F.create_map(
-        *[x for i, f in enumerate(df.schema) for x in (F.lit(f.name), F.struct(F.lit(i).alias("position"), F.lit(f.dataType.simpleString()).alias("type")))]
-    )
-    if approx:
-        cells = []
-        for field in df.schema:
-            c = F.col(f"`{field.name}`")
-            cells.append(
-                F.struct(
-                    F.lit(field.name).alias("column"),
-                    F.count(F.lit(1)).alias("rows"),
-                    F.count_if(c.isNull()).alias("nulls"),
-                    F.approx_count_distinct(c).alias("distinct_values"),
-                    F.min(c).cast("string").alias("minimum"),
-                    F.max(c).cast("string").alias("maximum"),
-                )
-            )
-        out = df.agg(F.array(*cells).alias("c")).select(F.inline("c"))
-    else:
-        pairs = df.select(
-            F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("v")) for c in df.columns])).alias("p")
-        ).groupBy("p.column", "p.v").agg(F.count(F.lit(1)).alias("n"))
-        spread = pairs.groupBy("column").agg(
-            F.sum("n").alias("rows"),
-            F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("nulls"),
-            F.count("v").alias("distinct_values"),
-        )
-        ends = df.agg(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("column"),
-                        F.min(f"`{c}`").cast("string").alias("minimum"),
-                        F.max(f"`{c}`").cast("string").alias("maximum"),
-                    )
-                    for c in df.columns
-                ]
-            ).alias("c")
-        ).select(F.inline("c"))
-        out = spread.join(ends, "column")
-    return out.select("column", F.element_at(meta, F.col("column")).alias("m"), "rows", "nulls", "distinct_values", "minimum", "maximum").select(
-        "column", "m.position", "m.type", "rows", "nulls", "distinct_values", "minimum", "maximum"
-    )
+    exact = exact if approx else df.columns
+    out = profile_of(sketches(df), df.schema)
+    if not exact:
+        return out
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("v")) for c in exact])
+    values = df.select(F.inline(cells)).where("v is not null").distinct()
+    counted = values.groupBy("column").agg(F.count(F.lit(1)).alias("__n"))
+    named = F.coalesce("__n", F.when(F.col("column").isin(list(exact)), F.lit(0)), "distinct_values").cast("bigint")
+    return out.join(counted, "column", "left").withColumn("distinct_values", named).drop("__n")
 
 
 def inline(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:

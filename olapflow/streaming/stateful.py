@@ -1,29 +1,51 @@
-"""Keyed streaming state: count windows and running totals."""
+"""Keyed streaming state: count windows, late rows, running totals, cached rows."""
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
 from olapflow.operators.join import null_safe_join
 from olapflow.operators.window import running_sum
 
 
+def _micros(column: pd.Series) -> np.ndarray:
+    """Times as microseconds since 1970; the lowest value for null."""
+    if isinstance(column.dtype, pd.DatetimeTZDtype):
+        column = column.dt.tz_convert("UTC").dt.tz_localize(None)
+    return column.to_numpy(dtype="datetime64[us]").astype("int64")
+
+
+def _named(rows: Iterator[pd.DataFrame], names: Sequence[str]) -> Iterator[pd.DataFrame]:
+    """Batches under the stream's own column names, which computed columns lose on the way."""
+    for batch in rows:
+        yield batch.set_axis(names, axis=1)
+
+
+_NULL = np.iinfo("int64").min
+
+
 class _CountWindow(StatefulProcessor):
     """Sum and size of the open window per key; emits a row whenever ``n`` rows are in."""
 
-    def __init__(self, keys: Sequence[str], value: str, n: int):
-        self.keys, self.value, self.n = list(keys), value, n
+    def __init__(self, columns: Sequence[str], keys: Sequence[str], value: str, n: int, order: Sequence[str]):
+        self.columns, self.keys, self.value, self.n, self.order = list(columns), list(keys), value, n, list(order)
 
     def init(self, handle) -> None:
         self.state = handle.getValueState("open", "window_no bigint, filled bigint, total double")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         window_no, filled, total = self.state.get() if self.state.exists() else (0, 0, 0.0)
+        rows = _named(rows, self.columns)
+        if self.order:  # the key's rows of one batch, in order
+            rows = [pd.concat(list(rows)).sort_values(self.order)]
         for batch in rows:
             done = []
             values = batch[self.value].to_numpy(dtype="float64")
@@ -43,15 +65,17 @@ class _CountWindow(StatefulProcessor):
         pass
 
 
-def count_window_stream(stream: DataFrame, keys: Sequence[str], value: str, n: int) -> DataFrame:
+def count_window_stream(stream: DataFrame, keys: Sequence[str], value: str, n: int, order: Sequence[str] = ()) -> DataFrame:
     """One row per key after every ``n`` records in arrival order.
 
-    Rows pass through in Arrow batches; state per key is three numbers. Needs the
+    Records of one micro-batch have no order of their own: with ``order`` they are taken in
+    that order, for which a key's records of a batch are held together; without it they
+    pass through in Arrow batches as they come. State per key is three numbers. Needs the
     RocksDB state store set in session.py.
     """
     kinds = ", ".join(f"{k} {stream.schema[k].dataType.simpleString()}" for k in keys)
     return stream.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=_CountWindow(keys, value, n),
+        statefulProcessor=_CountWindow(stream.columns, keys, value, n, order),
         outputStructType=f"{kinds}, window_no bigint, n bigint, total double",
         outputMode="Append",
         timeMode="None",
@@ -88,3 +112,211 @@ def running_total_writer(keys: Sequence[str], order: Sequence[str], value: Colum
         batch.unpersist()
 
     return write
+
+
+class _LateRows(StatefulProcessor):
+    """Highest time seen per key; each record is compared with it as it was before its batch."""
+
+    def __init__(self, columns: Sequence[str], ts: str, allowed_ms: int, keep_ms: int):
+        self.columns, self.ts, self.allowed, self.keep = list(columns), ts, allowed_ms * 1000, keep_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("mark", "high bigint, expires bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        mark, expires = self.state.get() if self.state.exists() else (_NULL, -1)
+        high = mark
+        for batch in _named(rows, self.columns):
+            times = _micros(batch[self.ts])
+            known = (times != _NULL) & (mark != _NULL)
+            behind = np.where(known, mark - np.where(known, times, 0), 0)
+            late = known & (behind > self.allowed)
+            high = max(high, int(times.max(initial=_NULL)))
+            yield batch.assign(late=late, behind_ms=np.maximum(behind, 0) // 1000)
+        if self.keep:
+            if expires >= 0:
+                self.handle.deleteTimer(expires)
+            expires = max(timerValues.getCurrentWatermarkInMs(), 0) + self.keep
+            self.handle.registerTimer(expires)
+        self.state.update((high, expires))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()  # a key that has been silent starts anew
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def late_rows_stream(stream: DataFrame, keys: Sequence[str], ts: str, allowed_ms: int, keep_ms: int = 0) -> DataFrame:
+    """Every record with ``late`` and ``behind_ms``, so that late ones are an output of
+    their own and none is dropped.
+
+    A record is late if its time ``ts`` lies more than ``allowed_ms`` before the highest
+    time its key had shown in earlier micro-batches; records of one batch do not make
+    each other late. A null time is never late. ``behind_ms`` is the distance to that
+    mark, 0 if none. State per key is one time. With ``keep_ms`` the stream must carry a
+    watermark on its arrival time (a column other than ``ts``); a key that has been silent
+    for that long is forgotten by an event-time timer.
+    """
+    schema = T.StructType([*stream.schema.fields, T.StructField("late", T.BooleanType()), T.StructField("behind_ms", T.LongType())])
+    return stream.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=_LateRows(stream.columns, ts, allowed_ms, keep_ms), outputStructType=schema, outputMode="Append",
+        timeMode="EventTime" if keep_ms else "None",
+    )
+
+
+class _OrderedTotals(StatefulProcessor):
+    """Records that wait for the watermark, and the total of those released."""
+
+    def __init__(self, ts: str, order: Sequence[str], value: str, columns: Sequence[str], schema: str):
+        self.ts, self.order, self.value, self.columns, self.schema = ts, list(order), value, list(columns), schema
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", self.schema)
+        self.state = handle.getValueState("total", "total string, timer bigint")
+
+    def _set(self, total: int, timer: int, first: int | None) -> None:
+        """Keep the total and see to a timer just after the earliest waiting record."""
+        wanted = -1 if first is None else first // 1000 + 1
+        if timer != wanted:
+            if timer >= 0:
+                self.handle.deleteTimer(timer)
+            if wanted >= 0:
+                self.handle.registerTimer(wanted)
+        self.state.update((str(total), wanted))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        total, timer = self.state.get() if self.state.exists() else ("0", -1)
+        first = None
+        for batch in _named(rows, self.columns):
+            batch = batch[batch[self.ts].notna()]
+            if len(batch):
+                low = int(_micros(batch[self.ts]).min())
+                first = low if first is None else min(first, low)
+                plain = batch[self.columns].astype(object).where(batch[self.columns].notna(), None)
+                self.waiting.appendList([tuple(self._plain(v) for v in row) for row in plain.itertuples(index=False)])
+        if first is not None and (timer < 0 or first // 1000 + 1 < timer):
+            self._set(int(total), timer, first)
+        elif not self.state.exists():
+            self.state.update((total, timer))
+        return iter([])
+
+    @staticmethod
+    def _plain(value):
+        if isinstance(value, pd.Timestamp):
+            return value.to_pydatetime(warn=False)
+        return value.item() if isinstance(value, np.generic) else value
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        total = int(self.state.get()[0])
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        held = pd.DataFrame(list(self.waiting.get()), columns=self.columns)
+        times = _micros(pd.to_datetime(held[self.ts]))
+        ready = held[times <= mark].sort_values(self.order)
+        rest = times[times > mark]
+        if len(rest):
+            self.waiting.put([tuple(self._plain(v) for v in row) for row in held[times > mark].itertuples(index=False)])
+        else:
+            self.waiting.clear()
+        running = []
+        for value in ready[self.value]:
+            total += 0 if value is None or value != value else int(value)
+            running.append(str(total))
+        # the timer that fired is gone already
+        self._set(total, -1, int(rest.min()) if len(rest) else None)
+        if running:
+            yield ready.assign(__running=running)
+
+    def close(self) -> None:
+        pass
+
+
+def running_total_stream(
+    stream: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str], value: Column, scale: int = 2, name: str = "running"
+) -> DataFrame:
+    """One running total per input record, in the order of event time, whatever order the
+    records come in.
+
+    Records wait in the state of their key until the watermark of ``ts`` (set before) has
+    passed them; an event-time timer then releases them by ``order``, which begins with
+    ``ts``. The total is one value per key, exact to ``scale`` digits; nothing is written
+    again per batch. Records later than the watermark, or without a time, are left out.
+    A null value counts as zero. A key's waiting records are held together, so their number
+    is that of the watermark's delay.
+    """
+    if order[0] != ts:
+        raise ValueError("the order begins with the event time")
+    units = (value.cast(f"decimal(18,{scale})") * 10**scale).cast("long")
+    fed = stream.withColumn("__units", units)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fed.schema.fields)
+    out = fed.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=_OrderedTotals(ts, order, "__units", fed.columns, schema),
+        outputStructType=f"{schema}, __running string", outputMode="Append", timeMode="EventTime",
+    )
+    exact = (F.col("__running").cast("decimal(38,0)") / F.lit(10**scale)).cast(f"decimal(38,{scale})")
+    return out.select(*[c for c in stream.columns if c != name], exact.alias(name))
+
+
+class _Cache(StatefulProcessor):
+    """The newest rows of a shard, written out as a new version whenever rows come."""
+
+    def __init__(self, id_col: str, ts: str, columns: Sequence[str], schema: str, rows: int | None, period_ms: int | None):
+        self.id, self.ts, self.columns, self.schema = id_col, ts, list(columns), schema
+        self.rows, self.period = rows, period_ms
+
+    def init(self, handle) -> None:
+        self.kept = handle.getListState("kept", self.schema)
+        self.state = handle.getValueState("version", "version bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        version = self.state.get()[0] + 1 if self.state.exists() else 0
+        at, clock = self.columns.index(self.id), self.columns.index(self.ts)
+        best = list(self.kept.get()) if self.kept.exists() else []
+        for batch in _named(rows, [*self.columns, "shard"]):
+            values = batch[self.columns].astype(object).where(batch[self.columns].notna(), None)
+            new = [tuple(_OrderedTotals._plain(v) for v in row) for row in values.itertuples(index=False)]
+            best = self._evicted(best + new, at, clock)
+        self.kept.put(best)
+        self.state.update((version,))
+        yield pd.DataFrame([(*key, version, *row) for row in best], columns=["shard", "version", *self.columns])
+
+    def _evicted(self, rows: list[tuple], at: int, clock: int) -> list[tuple]:
+        if self.period is not None and rows:
+            times = _micros(pd.Series(pd.to_datetime([r[clock] for r in rows])))
+            rows = [r for r, t in zip(rows, times, strict=True) if t > times.max() - self.period * 1000]
+        if self.rows is not None and len(rows) > self.rows:
+            rows = heapq.nlargest(self.rows, rows, key=lambda r: r[at])
+        return rows
+
+    def close(self) -> None:
+        pass
+
+
+def cache_stream(
+    stream: DataFrame, id_col: str, ts: str, rows: int | None = None, period_ms: int | None = None, shards: int = 8
+) -> DataFrame:
+    """A cache fed by a stream: the newest ``rows`` rows by id, those of the last
+    ``period_ms`` before the newest time, or both; older ones are evicted as new ones come.
+
+    The stream is spread over ``shards`` by its id, and each holds that many rows or that
+    period itself, so what the whole cache must hold is among them. After each batch the
+    shards with new rows put out their content as a new ``version``; ``cached`` reads the
+    newest. Ids must not be null.
+    """
+    if rows is None and period_ms is None:
+        raise ValueError("a cache is bounded by rows or by a period")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema.fields)
+    shard = F.pmod(F.xxhash64(id_col), F.lit(shards)).cast("int")
+    return stream.withColumn("shard", shard).groupBy("shard").transformWithStateInPandas(
+        statefulProcessor=_Cache(id_col, ts, stream.columns, schema, rows, period_ms),
+        outputStructType=f"shard int, version bigint, {schema}", outputMode="Update", timeMode="None",
+    )
+
+
+def cached(versions: DataFrame) -> DataFrame:
+    """Content of a cache: the newest version of every shard."""
+    newest = versions.groupBy("shard").agg(F.max("version").alias("version"))
+    return versions.join(F.broadcast(newest), ["shard", "version"]).drop("shard", "version")  # one row a shard

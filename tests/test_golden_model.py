@@ -1,13 +1,15 @@
 """Bridges, trees, cubes and spatial operators on small data with known results."""
 
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from olapflow.functions import geo as geo_columns
-from olapflow.operators import agg, geo
+from olapflow.operators import agg, geo, window
 from olapflow.plans import bridge, cube, hierarchy
+from olapflow.session import stored
 from tests.helpers import rows
 
 ITEMS = {1: "sports", 2: "fashion", 3: "technology", 4: "fashion week", 5: "travel"}
@@ -98,6 +100,39 @@ def test_cycles_are_reported(spark):
         hierarchy.closure(edges, "child", "parent")
 
 
+def test_a_cycle_is_named_before_pairs_are_made(spark, monkeypatch):
+    """A million nodes hang on a two-node cycle; the pointers alone find it."""
+    n = 1_000_000
+    edges = spark.range(2, n).selectExpr("id AS child", "id div 2 AS parent").union(spark.createDataFrame([(1, n), (n, 1)], "child long, parent long"))
+    written = []
+    monkeypatch.setattr(hierarchy, "stored", lambda df, label: written.append(label) or stored(df, label))
+    with pytest.raises(ValueError, match=f"cycle, among others of 1, {n}"):
+        hierarchy.closure(edges, "child", "parent")
+    assert set(written) == {"pointers"} and len(written) < 25
+
+
+def test_updates_of_pairs(spark):
+    rng = random.Random(9)
+    for _ in range(3):
+        up = {0: None} | {i: rng.randrange(i) for i in range(1, 30)}
+        pairs = hierarchy.closure(spark.createDataFrame(list(up.items()), "child int, parent int"), "child", "parent")
+        # moves to smaller numbers make no cycle; 30 to 34 are new, one is cut off
+        moves = {i: rng.randrange(i) for i in rng.sample(range(1, 30), 6)} | {i: rng.randrange(i) for i in range(30, 35)}
+        moves[rng.randrange(1, 30)] = None
+        out = hierarchy.update_closure(pairs, spark.createDataFrame(list(moves.items()), "child int, parent int"), "child", "parent")
+        assert rows(out, "ancestor", "descendant", "distance") == sorted(brute_closure(list((up | moves).items())), key=lambda t: tuple(map(str, t)))
+    chain = hierarchy.closure(spark.createDataFrame([(1, None), (2, 1), (3, 2)], "child int, parent int"), "child", "parent")
+    with pytest.raises(ValueError, match="cycle"):
+        hierarchy.update_closure(chain, spark.createDataFrame([(1, 3)], "child int, parent int"), "child", "parent")
+
+
+def test_member_order_with_one_top_member(spark, monkeypatch):
+    monkeypatch.setattr(window, "CHUNK_ROWS", 50)
+    dim = spark.range(1_000).selectExpr("'all of it' AS a", "lpad(cast(id * 37 % 1000 as string), 4, '0') AS b")
+    out = {r.name: r.ordinal for r in hierarchy.members(dim, ["a", "b"]).collect()}
+    assert out == {"All": 0, "all of it": 1} | {f"{i:04d}": i + 2 for i in range(1_000)}
+
+
 def test_a_tree_of_any_depth(spark):
     depth = 3_000
     links = spark.range(1, depth + 1).select(F.col("id").alias("child"), (F.col("id") - 1).alias("parent"))
@@ -234,3 +269,42 @@ def test_geohash_of_a_known_place(spark):
 def test_impossible_points_are_dropped(spark):
     df = spark.createDataFrame([(1, 10.0, 91.0), (2, 181.0, 0.0), (3, None, 1.0), (4, 180.0, -90.0)], "id int, lon double, lat double")
     assert rows(geo.make_point(df, "lon", "lat"), "id") == [(4,)]
+
+
+def ring_of(n, x, y, r):
+    return [(x + r * math.cos(2 * math.pi * i / n), y + r * math.sin(2 * math.pi * i / n)) for i in range(n)]
+
+
+def inside(ring, x, y):
+    odd = False
+    for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1]):
+        if (ay > y) != (by > y) and x < (bx - ax) * (y - ay) / (by - ay) + ax:
+            odd = not odd
+    return odd
+
+
+def test_regions_of_very_different_size(spark):
+    rng = random.Random(8)
+    shapes = {10_000: ring_of(400, 0.0, 0.0, 80.0)} | {k: ring_of(5, rng.uniform(-90, 90), rng.uniform(-60, 60), 10 ** rng.uniform(-2, 0)) for k in range(200)}
+    frame = spark.createDataFrame([(k, [{"x": x, "y": y} for x, y in r]) for k, r in shapes.items()], "k int, ring array<struct<x:double,y:double>>")
+    near = [(x + rng.uniform(-0.05, 0.05), y + rng.uniform(-0.05, 0.05)) for k, r in list(shapes.items())[1:] for x, y in r[:2]]
+    points = near + [(rng.uniform(-100, 100), rng.uniform(-90, 90)) for _ in range(300)] + [(None, 1.0), (1.0, None), near[0]]
+    df = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(points)], "i int, x double, y double")
+    got = sorted((r.i, r.k) for r in geo.covering_join_tree(df, "x", "y", frame, "k", "ring").collect())
+    want = []
+    for i, (x, y) in enumerate(points):
+        hit = [k for k, r in shapes.items() if None not in (x, y) and inside(r, x, y)]
+        want += [(i, min(hit))] if hit else []
+    assert got == want
+    tree, _ = geo.quadtree(frame, "k", "ring")
+    cells, edges = tree.count(), sum(map(len, shapes.values()))
+    assert cells < 12 * edges and tree.select("level").distinct().count() > 3
+    assert tree.select(F.sum(F.aggregate("__regions", F.lit(0), lambda n, r: n + F.size(r.edges)))).first()[0] < 30 * edges
+    assert geo.covering_join_tree(df, "x", "y", frame.limit(0), "k", "ring").count() == 0
+
+
+def test_holes_in_a_quadtree(spark):
+    square = lambda a, b: [{"x": a, "y": a}, {"x": b, "y": a}, {"x": b, "y": b}, {"x": a, "y": b}]
+    frame = spark.createDataFrame([(1, [square(0.0, 10.0), square(4.0, 6.0)])], "k int, shape array<array<struct<x:double,y:double>>>")
+    df = spark.createDataFrame([(1, 5.0, 5.0), (2, 1.0, 1.0), (3, 11.0, 1.0), (4, 6.5, 5.0)], "i int, x double, y double")
+    assert [r.i for r in geo.covering_join_tree(df, "x", "y", frame, "k", "shape").orderBy("i").collect()] == [2, 4]

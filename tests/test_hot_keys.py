@@ -1,13 +1,14 @@
 """Chunked operators against plain Python, with one key that owns most rows."""
 
 import random
+import re
 from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
-from olapflow.operators import agg, join, udf, window
-from olapflow.plans import bridge, snapshot
+from olapflow.operators import agg, join, shape, udf, window
+from olapflow.plans import bridge, gapfill, snapshot
 from tests.helpers import day, days, rows
 
 
@@ -180,3 +181,80 @@ def test_a_parent_of_many_children_is_one_document(spark):
     nested = join.nest_children(parent, child, "p", ["c"], ["c"], "kids")
     parts = sorted((r.p, r.part, len(r.kids), r.is_last) for r in nested.collect())
     assert parts == [(1, 0, 10_000, False), (1, 1, 10_000, False), (1, 2, 5_000, True), (2, 0, 3, True), (3, 0, 0, True)]
+
+
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_plans_do_not_grow_with_the_rows(spark, monkeypatch, keys):
+    """No border value of a range is in a plan: ten times the ranges, the same plan."""
+    monkeypatch.setattr(window, "CHUNK_ROWS", 40)
+    shape = lambda df: re.sub(r"\d+|[0-9a-f]{32}", "#", df._jdf.queryExecution().analyzed().toString())
+    made = []
+    for n in (400, 4_000):
+        df = spark.range(n).selectExpr("id % 2 AS k", "xxhash64(id) AS o", "id AS v")
+        made.append([shape(f) for f in (
+            window.row_index(df, keys, ["o"]), window.next_value(df, keys, ["o"], {"n": "v"}), window.running_sum(df, keys, ["o"], "v"),
+        )])
+    assert [len(x) for x in made[0]] == [len(x) for x in made[1]]
+
+
+def test_numbers_without_keys(spark, monkeypatch):
+    monkeypatch.setattr(window, "CHUNK_ROWS", 30)
+    df = spark.range(500).selectExpr("CASE WHEN id % 10 = 0 THEN NULL ELSE id * 7919 % 100 END AS o", "id AS v", "'old' AS n")
+    got = {r.v: r.n for r in window.row_index(df, [], ["o", "v"], "n", start=5).collect()}
+    want = sorted(df.collect(), key=lambda r: (r.o is not None, r.o or 0, r.v))
+    assert got == {r.v: i + 5 for i, r in enumerate(want)}
+    assert window.row_index(df.limit(0), [], ["o"], "n").count() == 0
+
+
+# ---------------------------------------------------------------- spans, spines and outputs
+
+def test_spans_of_all_lengths(spark):
+    rng = random.Random(4)
+    spans = [(i, lo, lo + rng.choice([0, 1, 2, 3, 50, 1_000, 1 << 20, 1 << 33])) for i, lo in enumerate(rng.randrange(-5_000, 5_000) for _ in range(80))]
+    points = [(i, rng.randrange(-6_000, 70_000)) for i in range(120)] + [(200, 1 << 32), (201, None)]
+    a = spark.createDataFrame(points, "p int, at bigint")
+    b = spark.createDataFrame(spans + [(900, None, 5), (901, 5, None)], "s int, lo bigint, hi bigint")
+    want = sorted((p, s) for p, at in points if at is not None for s, lo, hi in spans if lo <= at < hi)
+    for finest in (1, 16):
+        out = join.range_join_any(a, b, "at", "lo", "hi", finest)
+        assert sorted((r.p, r.s) for r in out.collect()) == want
+    pieces = b.where("lo < hi").select((F.col("hi") - F.col("lo")).alias("n"), F.size(join._aligned_pieces(F.col("lo"), F.col("hi"))).alias("c"))
+    assert all(r.c <= 2 * (r.n + 1).bit_length() for r in pieces.collect())
+    assert join.range_join_any(a, b.limit(0), "at", "lo", "hi").count() == 0
+    timed = spark.sql("SELECT 1 AS s, timestamp_ntz'2020-01-01 00:00:00' AS lo, timestamp_ntz'2024-01-01 00:00:00' AS hi UNION ALL "
+                      "SELECT 2, timestamp_ntz'2021-01-01 00:00:00.25', timestamp_ntz'2021-01-01 00:00:00.75'")
+    at = spark.sql("SELECT timestamp_ntz'2021-01-01 00:00:00.5' AS at UNION ALL SELECT timestamp_ntz'2021-01-01 00:00:00.75'")
+    assert sorted((r.at.microsecond, r.s) for r in join.range_join_any(at, timed, "at", "lo", "hi").collect()) == [(500_000, 1), (500_000, 2), (750_000, 1)]
+
+
+def test_a_spine_is_made_by_many_tasks(spark):
+    """Thirty million buckets without keys: blocks of them are dealt to tasks before they are made."""
+    one = spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:00' AS t, 1 AS v")
+    at = lambda text: F.lit(text).cast("timestamp_ntz")
+    grid = gapfill.bucket_numbers(one, [], F.lit(30_000_000 - 1))
+    assert grid.rdd.getNumPartitions() > 1 and grid.count() == 30_000_000
+    keyed = gapfill.bucket_numbers(spark.range(3).selectExpr("id AS k"), ["k"], F.lit(10_000))
+    assert keyed.groupBy("k").agg(F.count("*").alias("n"), F.max("__i").alias("m")).where("n = 10001 and m = 10000").count() == 3
+    assert keyed.where("k = 1").select(F.spark_partition_id()).distinct().count() > 1
+    out = gapfill.fill_buckets(one, "t", "1 HOUR", at("2024-01-01 00:00:00"), at("2025-01-01 00:00:00"), [], F.sum("v"))
+    assert out.count() == 366 * 24 + 1
+
+
+def test_routing_reads_the_source_once(spark, tmp_path):
+    path = str(tmp_path / "source")
+    spark.range(100).selectExpr("id", "id % 4 AS kind").write.parquet(path)
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(i):
+        seen.add(1)
+        return i
+
+    source = spark.read.parquet(path).withColumn("id", counted.asNondeterministic()("id"))
+    outputs = shape.route(source, "kind", {0: "even", 2: "even", 1: "1"}, "rest")
+    assert {n: sorted(r.id for r in df.collect()) for n, df in outputs.items()} == {
+        "even": list(range(0, 100, 2)), "1": list(range(1, 100, 4)), "rest": list(range(3, 100, 4))
+    }
+    assert seen.value == 100 and outputs["1"].columns == ["id", "kind"]
+    plan = outputs["1"]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(__to" in plan

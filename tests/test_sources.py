@@ -117,6 +117,19 @@ def test_profile(spark):
     assert rows(tables.profile(df)) == want and rows(tables.profile(df, approx=True)) == want
 
 
+def test_profiles_merge_and_count_exactly(spark):
+    df = spark.range(60_000).selectExpr("id % 20000 AS a", "CASE WHEN id % 3 > 0 THEN concat('v', id % 50) END AS b", "id % 7 AS part")
+    whole = rows(tables.profile(df.drop("part")))
+    merged = tables.profile_of(tables.merge_sketches(tables.sketches(df, ["part"])), df.drop("part").schema)
+    assert rows(merged) == whole
+    exact = {r.column: r.distinct_values for r in tables.profile(df, exact=["a", "b"]).collect()}
+    assert (exact["a"], exact["b"]) == (20_000, 50) and exact == {r.column: r.distinct_values for r in tables.profile(df, approx=False).collect()}
+    near = {r.column: r.distinct_values for r in merged.collect()}
+    assert abs(near["a"] - 20_000) <= tables.SKETCH_ERROR * 20_000
+    nothing = {r.column: r.distinct_values for r in tables.profile(df.where("id < 0") if "id" in df.columns else df.limit(0), exact=["a"]).collect()}
+    assert nothing == {"a": 0, "b": 0, "part": 0}
+
+
 def test_service_filters_reach_the_scan(spark, capsys):
     orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     tables.register_service(orders.selectExpr("o_orderkey", "o_orderstatus"), "order_service_plan")

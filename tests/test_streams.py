@@ -118,3 +118,76 @@ def test_cache_limits(spark):
     assert rows(batches.cache_query(df, "id", "ts", last=2), "id") == [(8,), (9,)]
     assert rows(batches.cache_query(df, "id", "ts", last_period_ms=1500), "id") == [(8,), (9,)]
     assert rows(batches.cache_query(df, "id", "ts", from_id=3, to_id=8, max_new=2), "id") == [(3,), (4,)]
+
+
+# ---------------------------------------------------------------- state over several batches
+
+def fed(spark, tmp_path, batches_of_rows, schema):
+    """A stream of one batch per list of rows."""
+    folder = str(tmp_path / "fed")
+    for part in batches_of_rows:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(folder)
+    df = batches.read_stream(spark, folder, schema)
+    return df.withColumns({c: F.col(c).cast("timestamp") for c in df.columns if c in ("at", "made")})
+
+
+def test_late_rows_are_an_output(spark, tmp_path):
+    parts = [
+        [("a", 1, "2024-01-01 10:00:00", "2024-01-01 10:00:00"), ("b", 2, "2024-01-01 10:00:00", "2024-01-01 05:00:00")],
+        [("a", 3, "2024-01-01 11:00:00", "2024-01-01 08:59:59"), ("a", 4, "2024-01-01 11:00:00", "2024-01-01 09:00:00"),
+         ("a", 5, "2024-01-01 11:00:00", "2024-01-01 12:00:00"), ("b", 6, "2024-01-01 11:00:00", "2024-01-01 04:30:00"), ("b", 7, "2024-01-01 11:00:00", None)],
+        [("a", 8, "2024-01-01 12:00:00", "2024-01-01 10:59:00"), ("c", 9, "2024-01-01 12:00:00", "2023-01-01 00:00:00")],
+    ]
+    stream = fed(spark, tmp_path, parts, "k string, id int, at string, made string")
+    out = batches.drain(stateful.late_rows_stream(stream, ["k"], "made", 3_600_000), "append", "late")
+    assert out.count() == 9
+    assert rows(out.where("late"), "id", "behind_ms") == [(3, 3_601_000), (8, 3_660_000)]
+
+
+def test_silent_keys_are_forgotten(spark, tmp_path):
+    parts = [
+        [("a", 1, "2024-01-01 00:00:00", "2024-01-01 00:00:00")],
+        [("b", 2, "2024-01-03 00:00:00", "2024-01-03 00:00:00")],
+        [("b", 3, "2024-01-04 00:00:00", "2024-01-04 00:00:00")],
+        [("a", 4, "2024-01-04 00:00:01", "2023-12-30 00:00:00"), ("b", 5, "2024-01-04 00:00:01", "2024-01-01 00:00:00")],
+    ]
+    stream = fed(spark, tmp_path, parts, "k string, id int, at string, made string").withWatermark("at", "1 minute")
+    out = batches.drain(stateful.late_rows_stream(stream, ["k"], "made", 1000, keep_ms=3_600_000), "append", "late")
+    assert rows(out.where("late"), "id") == [(5,)]
+
+
+def test_totals_follow_event_time(spark, tmp_path):
+    t = lambda m: f"2024-01-01 {m // 60:02d}:{m % 60:02d}:00"
+    parts = [
+        [("a", 1, t(10), 1.5), ("a", 2, t(5), 2.0), ("b", 3, t(7), None)],
+        [("a", 4, t(30), 4.0), ("a", 5, t(8), 8.25), ("b", 6, t(30), 1.0)],  # 5 comes after 1, but before it in time
+        [("a", 7, t(60), 16.0), ("a", 8, t(29), 32.0)],
+        [("a", 10, t(300), 1.0), ("a", 9, t(2), 64.0)],  # 9 is beyond the watermark of the batch before
+    ]
+    stream = fed(spark, tmp_path, parts, "k string, id int, at string, v double").withWatermark("at", "20 minutes")
+    out = batches.drain(stateful.running_total_stream(stream, ["k"], "at", ["at", "id"], F.col("v")), "append", "totals")
+    got = {r.id: float(r.running) for r in out.collect()}
+    assert got == {2: 2.0, 5: 10.25, 1: 11.75, 8: 43.75, 4: 47.75, 7: 63.75, 3: 0.0, 6: 1.0}
+    assert out.columns == ["k", "id", "at", "v", "running"]
+
+
+def test_caches_hold_the_newest_rows(spark, parts):
+    events = spark.read.parquet(parts)
+    for bounds, want in (
+        ({"rows": 30}, events.orderBy(F.col("event_id").desc()).limit(30)),
+        ({"period_ms": 5 * 86_400_000}, events.where(F.col("ts") > events.agg(F.max("ts")).scalar() - F.expr("INTERVAL 5 DAYS"))),
+    ):
+        versions = batches.drain(stateful.cache_stream(stream(spark, parts), "event_id", "ts", **bounds), "update", "cache")
+        kept = stateful.cached(versions)
+        assert versions.agg(F.max("version")).first()[0] == 3 and kept.columns == events.columns
+        held = {r.event_id for r in kept.collect()}
+        assert {r.event_id for r in want.collect()} <= held and len(held) < events.count()
+        if "rows" in bounds:
+            assert rows(batches.cache_query(kept, "event_id", "ts", last=30), "event_id") == rows(want, "event_id") and len(held) <= 240
+
+
+def test_count_windows_take_batches_in_order(spark, parts):
+    out = batches.drain(stateful.count_window_stream(stream(spark, parts), ["user_id"], "value", 5, ["ts", "event_id"]), "append", "cw")
+    events = spark.read.parquet(parts).withColumn("value", F.col("value").cast("decimal(12,2)"))
+    want = window.count_window(events, ["user_id"], ["ts", "event_id"], 5, [F.sum("value").cast("double").alias("total")])
+    assert rows(out.select("user_id", "window_no", F.round("total", 2))) == rows(want, "user_id", "window_no", "total")
