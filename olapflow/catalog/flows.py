@@ -87,19 +87,36 @@ def t03(t):
     return window.count_window(t.events, ["user_id"], EV, 5, [total("value").alias("total")])
 
 
-@query("t03_count_window_stream", """
+SQL_COUNTED = """
 SELECT user, w AS window_no, CAST(5 AS BIGINT) AS n, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total FROM (
   SELECT CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user, value,
     (row_number() OVER (PARTITION BY CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END ORDER BY ts, event_id) - 1) // 5 AS w FROM events)
-GROUP BY 1, 2 HAVING count(*) = 5""")
-def t03_stream(t):
-    """Windows over four batches; one user has a third of the records."""
+GROUP BY 1, 2 HAVING count(*) = 5"""
+
+
+def _with_hot_user(events):
+    """One user has a third of the records."""
     user = F.when(F.col("event_id") % 3 == 0, F.lit(0).cast("bigint")).otherwise(F.col("user_id"))
-    out = stateful.count_window_stream(_arriving(t).withColumn("user", user), ["user"], "value", 5, EV)
+    return events.withColumn("user", user)
+
+
+@query("t03_count_window_stream", SQL_COUNTED)
+def t03_stream(t):
+    """Windows over four batches, in the state of each user."""
+    out = stateful.count_window_stream(_with_hot_user(_arriving(t)), ["user"], "value", 5, EV)
     out = batches.drain(out, "append", "count-window")
     return out.withColumn("total", F.round("total", 2))
 
 
+@query("t03_count_window_stream_hot_key", SQL_COUNTED)
+def t03_hot(t):
+    """The same windows in two steps, the large user's records numbered by many tasks."""
+    path = scratch_path(t.spark, "count-windows")
+    write = stateful.count_window_writer(["user"], EV, money("value"), "decimal(28,2)", 5, path)
+    batches.for_each_batch(_with_hot_user(_arriving(t)), write, f"{path}/checkpoint").awaitTermination()
+    return stateful.count_windows(t.spark, path, 5).withColumn("total", F.col("total").cast("double"))
+
+
 SQL_SESSION = f"""SELECT strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS window_start, strftime(max(ts) + INTERVAL 6 HOUR, '%Y-%m-%d %H:%M:%S.%f') AS window_end,
   user_id, {AGGS} FROM (
     SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM (
@@ -125,7 +142,7 @@ def t05(t):
 
 @query("t05_global_window_stream", f"SELECT event_type, {AGGS} FROM events GROUP BY 1")
 def t05_stream(t):
-    out = windows.global_window(t.stream("events"), ["event_type"], _aggs())
+    out = windows.global_window(_arriving(t), ["event_type"], _aggs())
     return batches.drain(out, "complete", "global")
 
 
@@ -140,7 +157,7 @@ def t06(t):
 SELECT strftime(s, '%Y-%m-%d %H:%M:%S.%f') AS window_start, event_type, n, total FROM w
 WHERE s + INTERVAL 1 DAY <= (SELECT date_trunc('millisecond', max(ts)) FROM events)""")
 def t07(t):
-    stream = windows.with_event_time(t.stream("events"), "ts", "0 seconds")
+    stream = windows.with_event_time(_arriving(t), "ts", "0 seconds")
     out = windows.tumbling(stream, "event_time", "1 day", ["event_type"], _aggs())
     closed = batches.drain(out, "append", "closed-windows").drop("window_end")
     return closed.withColumn("window_start", iso_time("window_start"))
@@ -187,7 +204,7 @@ def t08_stream(t):
 
 @query("t09_ingest_time_window_stream", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def t09(t):
-    stream = windows.with_ingest_time(t.stream("events")).withWatermark("ingest_time", "0 seconds")
+    stream = windows.with_ingest_time(_arriving(t)).withWatermark("ingest_time", "0 seconds")
     out = windows.tumbling(stream, "ingest_time", "1 hour", ["event_type"], [F.count("*").alias("n")])
     return batches.drain(out, "complete", "ingest-time").groupBy("event_type").agg(F.sum("n").alias("n"))
 
@@ -303,7 +320,7 @@ def t17(t):
 SELECT strftime(date_trunc('day', ts), '%Y-%m-%d-%H-%M-%S') AS window_start, count(*) AS n FROM events GROUP BY 1""")
 def t18(t):
     path = scratch_path(t.spark, "windowed-files")
-    batches.write_windowed(t.stream("events"), "ts", "1 day", f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    batches.write_windowed(_arriving(t), "ts", "1 day", f"{path}/out", f"{path}/checkpoint").awaitTermination()
     files = t.spark.read.schema("event_id bigint, window_start string").parquet(f"{path}/out")
     return files.groupBy("window_start").agg(F.count("*").alias("n"))
 

@@ -230,6 +230,19 @@ def a17_bad(t):
     return bad.select("c_mktsegment", "reason")
 
 
+@query("a17_document_stream", """
+SELECT 'people' AS index, CAST(c_custkey AS VARCHAR) AS id, 'documents' AS went_to FROM customer WHERE c_mktsegment <> 'BUILDING'
+UNION ALL SELECT NULL, NULL, 'rejected' FROM customer WHERE c_mktsegment = 'BUILDING'""")
+def a17_stream(t):
+    """Documents and rejected rows of a stream, each in its own folder."""
+    path, key = scratch_path(t.spark, "documents"), F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_custkey"))
+    fed = t.stream("customer").select(key.alias("key"), "c_mktsegment")
+    batches.for_each_batch(fed, messages.document_writer(path, "people", "key"), f"{path}/checkpoint").awaitTermination()
+    good = t.spark.read.parquet(f"{path}/documents").select("index", "id", F.lit("documents").alias("went_to"))
+    none = F.lit(None).cast("string")
+    return good.union(t.spark.read.parquet(f"{path}/rejected").select(none, none, F.lit("rejected")))
+
+
 PROFILED = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "note": "string"}
 
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from olapflow.catalog.base import iso_day, iso_time, query
 from olapflow.plans import gapfill, snapshot
+from olapflow.session import scratch_path
 
 ORDER = ["ts", "event_id"]
 AS_OF_DAY = "2024-01-31"
@@ -204,6 +205,29 @@ def g12(t):
     return both.withColumns({"valid_from": iso_time("valid_from"), "valid_to": iso_time("valid_to")})
 
 
+@query("g12_stored_intervals", """WITH iv AS (
+  SELECT user_id, event_id, event_type, ts AS valid_from,
+         lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS valid_to FROM events)
+SELECT user_id, event_id, event_type, strftime(valid_from, '%Y-%m-%d %H:%M:%S.%f') AS valid_from,
+       strftime(valid_to, '%Y-%m-%d %H:%M:%S.%f') AS valid_to, CASE WHEN valid_to IS NULL THEN 1 ELSE 0 END AS is_open
+FROM iv""")
+def g12_stored(t):
+    """Closed and open partitions kept over three batches of events, then read back."""
+    path, attrs = scratch_path(t.spark, "intervals"), ["event_id", "event_type"]
+    cuts = [F.lit(f"2024-01-{day} 00:00:00").cast("timestamp_ntz") for day in ("11", "21")]
+    history = snapshot.to_intervals(t.events.where(F.col("ts") < cuts[0]), "user_id", ORDER, attrs)
+    still = history.where(F.col("valid_to").isNull())
+    snapshot.write_intervals(history.where(F.col("valid_to").isNotNull()), still, path, 0)
+    parts = [t.events.where((F.col("ts") >= cuts[0]) & (F.col("ts") < cuts[1])), t.events.where(F.col("ts") >= cuts[1])]
+    for batch, events in enumerate(parts, 1):
+        _, still = snapshot.read_intervals(t.spark, path, batch - 1)
+        done, still = snapshot.merge_intervals(still, events, "user_id", ORDER, ["event_type"])
+        snapshot.write_intervals(done, still, path, batch)
+    closed, still = snapshot.read_intervals(t.spark, path, 2)
+    both = closed.withColumn("is_open", F.lit(0)).unionByName(still.withColumn("is_open", F.lit(1)))
+    return both.withColumns({"valid_from": iso_time("valid_from"), "valid_to": iso_time("valid_to")})
+
+
 SQL_BUCKETS = """known AS (
   SELECT user_id, date_trunc('day', ts) AS bucket, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS v
   FROM events GROUP BY 1, 2),

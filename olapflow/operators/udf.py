@@ -62,7 +62,8 @@ def per_group(
     block: int | None = None,
     chunk: Column | None = None,
 ) -> DataFrame:
-    """Run a function per group of records, in order. It always sees the whole group.
+    """Run a function per group of records, in order. It always sees the whole group, in one
+    call of one task: for groups that fit into a task's memory.
 
     With ``block`` the groups are runs of that many rows of a key, numbered by
     ``block_no``: choose it for functions that work on parts, where keys may be large.

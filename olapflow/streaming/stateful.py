@@ -7,13 +7,13 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
 from olapflow.operators.join import null_safe_join
-from olapflow.operators.window import running_sum
+from olapflow.operators.window import row_index, running_sum
 
 
 def _micros(column: pd.Series) -> np.ndarray:
@@ -82,38 +82,97 @@ def count_window_stream(stream: DataFrame, keys: Sequence[str], value: str, n: i
     )
 
 
+class _KeySums:
+    """Sums per key of the batches so far, kept as one small table per batch.
+
+    A batch adds the sums of its own keys only. Every ``COMPACT`` batches the tables before
+    are folded into one, so a batch reads at most that many. Tables are written per batch
+    id with overwrite, so a repeated batch changes nothing.
+    """
+
+    COMPACT = 32
+
+    def __init__(self, path: str, keys: Sequence[str], name: str, kind: str):
+        self.path, self.keys, self.name, self.kind = path, list(keys), name, kind
+
+    def _read(self, spark, schema: T.StructType, batch_id: int, since: int) -> DataFrame:
+        paths = [f"{self.path}/batch={i}" for i in range(since, batch_id)] + ([f"{self.path}/upto={since}"] if since else [])
+        parts = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+        return parts.groupBy(*self.keys).agg(F.sum(self.name).cast(self.kind).alias(self.name))
+
+    def before(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """Sums per key over all earlier batches."""
+        fields = ", ".join(f"`{k}` {batch.schema[k].dataType.simpleString()}" for k in self.keys)
+        schema = T.StructType.fromDDL(f"{fields}, `{self.name}` {self.kind}")
+        since = batch_id // self.COMPACT * self.COMPACT
+        if since and since == batch_id:
+            folded = self._read(batch.sparkSession, schema, batch_id, since - self.COMPACT)
+            folded.write.mode("overwrite").parquet(f"{self.path}/upto={since}")
+        return self._read(batch.sparkSession, schema, batch_id, since)
+
+    def add(self, batch: DataFrame, batch_id: int, value: Column) -> None:
+        own = batch.groupBy(*self.keys).agg(F.sum(value).cast(self.kind).alias(self.name))
+        own.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+
+
 def running_total_writer(keys: Sequence[str], order: Sequence[str], value: Column, kind: str, path: str, chunk: Column | None = None):
     """``foreachBatch`` function: one running total per input record.
 
     A micro-batch is totalled with chunked windows, so a hot key spreads over tasks, and
-    continues from the totals stored by the batch before. Records must not arrive in a
-    later batch than their successors. Output and totals are written per batch id with
+    continues from the sums of the batches before. Records must not arrive in a
+    later batch than their successors. Output is written per batch id with
     overwrite, so a repeated batch changes nothing.
     """
     keys = list(keys)
+    sums = _KeySums(f"{path}/totals", keys, "__before", kind)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         batch.persist()
-        schema = ", ".join(f"{k} {batch.schema[k].dataType.simpleString()}" for k in keys)
-        schema += f", __before {kind}"
-        if batch_id == 0:
-            before = spark.createDataFrame([], schema)
-        else:
-            before = spark.read.schema(schema).parquet(f"{path}/totals/batch={batch_id - 1}")
         totals = running_sum(batch, keys, order, value.cast(kind), "running", chunk)
-        out = null_safe_join(totals, before, keys, "left").withColumn(
+        out = null_safe_join(totals, sums.before(batch, batch_id), keys, "left").withColumn(
             "running", (F.col("running") + F.coalesce("__before", F.lit(0))).cast(kind)
         )
         out.drop("__before").write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
-        added = batch.groupBy(*keys).agg(F.sum(value).cast(kind).alias("__before"))
-        after = before.unionByName(added).groupBy(*keys).agg(F.sum("__before").cast(kind).alias("__before"))
-        after.write.mode("overwrite").parquet(f"{path}/totals/batch={batch_id}")
+        sums.add(batch, batch_id, value)
+        batch.unpersist()
+
+    return write
+
+
+def count_window_writer(keys: Sequence[str], order: Sequence[str], value: Column, kind: str, n: int, path: str):
+    """``foreachBatch`` function: windows of ``n`` records per key, for keys of any size.
+
+    Two steps instead of one state per key: the records of a batch are numbered within
+    their key in ``order``, a large key in ranges over many tasks; the count of its earlier
+    records is the key's offset. What each batch adds to a window is one row with a count
+    and a sum, and ``count_windows`` merges the rows of a window. Exact for decimals.
+    """
+    keys = list(keys)
+    counts = _KeySums(f"{path}/counts", keys, "__seen", "bigint")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        numbered = null_safe_join(row_index(batch, keys, order, "__i"), counts.before(batch, batch_id), keys, "left")
+        at = F.col("__i") + F.coalesce("__seen", F.lit(0))
+        parts = numbered.groupBy(*keys, F.floor(at / n).cast("bigint").alias("window_no")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(value).cast(kind).alias("total")
+        )
+        parts.write.mode("overwrite").parquet(f"{path}/windows/batch={batch_id}")
+        counts.add(batch, batch_id, F.lit(1))
         batch.unpersist()
 
     return write
 
 
+def count_windows(spark: SparkSession, path: str, n: int) -> DataFrame:
+    """The full windows that ``count_window_writer`` has written so far."""
+    parts = spark.read.parquet(f"{path}/windows").drop("batch")
+    keys = [c for c in parts.columns if c not in ("window_no", "n", "total")]
+    kind = parts.schema["total"].dataType
+    whole = parts.groupBy(*keys, "window_no").agg(F.sum("n").alias("n"), F.sum("total").cast(kind).alias("total"))
+    return whole.where(F.col("n") == n)
+
+
 class _LateRows(StatefulProcessor):
     """Highest time seen per key; each record is compared with it as it was before its batch."""
 
@@ -213,7 +272,7 @@ class _OrderedTotals(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         total = int(self.state.get()[0])
         mark = timerValues.getCurrentWatermarkInMs() * 1000
-        held = pd.DataFrame(list(self.waiting.get()), columns=self.columns)
+        held = pd.DataFrame(list(self.waiting.get()), columns=self.columns, dtype=object)  # numbers beside nulls stay whole
         times = _micros(pd.to_datetime(held[self.ts]))
         ready = held[times <= mark].sort_values(self.order)
         rest = times[times > mark]

@@ -191,3 +191,19 @@ def test_count_windows_take_batches_in_order(spark, parts):
     events = spark.read.parquet(parts).withColumn("value", F.col("value").cast("decimal(12,2)"))
     want = window.count_window(events, ["user_id"], ["ts", "event_id"], 5, [F.sum("value").cast("double").alias("total")])
     assert rows(out.select("user_id", "window_no", F.round("total", 2))) == rows(want, "user_id", "window_no", "total")
+
+
+def test_count_windows_of_a_hot_key(spark, parts, tmp_path, monkeypatch):
+    """Numbered in ranges, over batches whose sums are folded, also when a batch is repeated."""
+    monkeypatch.setattr(window, "CHUNK_ROWS", 60)
+    monkeypatch.setattr(stateful._KeySums, "COMPACT", 2)
+    hot = F.when(F.col("event_id") % 3 == 0, F.lit(None)).otherwise(F.col("user_id"))
+    events = spark.read.parquet(parts).select("ts", "event_id", hot.alias("user"), F.col("value").cast("decimal(12,2)").alias("v"))
+    write = stateful.count_window_writer(["user"], ["ts", "event_id"], F.col("v"), "decimal(28,2)", 7, str(tmp_path))
+    bounds = [0, 150, 151, 400, 640, 10_000]
+    ranked = window.row_index(events, [], ["ts", "event_id"], "__r")
+    for i, (lo, hi) in enumerate(zip(bounds, bounds[1:])):
+        for _ in range(2 if i in (1, 4) else 1):
+            write(ranked.where((F.col("__r") >= lo) & (F.col("__r") < hi)).drop("__r"), i)
+    want = window.count_window(events, ["user"], ["ts", "event_id"], 7, [F.sum("v").alias("total")])
+    assert rows(stateful.count_windows(spark, str(tmp_path), 7), "user", "window_no", "total") == rows(want, "user", "window_no", "total")
