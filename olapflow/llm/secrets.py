@@ -14,13 +14,13 @@ from __future__ import annotations
 
 import binascii
 import bz2
+import hashlib
 import html
 import lzma
 import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
-from urllib.parse import unquote_to_bytes
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 
 KINDS = ("assign", "access", "hex")
 
-#: Largest unpacked size of one compressed blob, against decompression bombs; a blob that
-#: unpacks to more is left as it is.
-MAX_UNPACKED = 1 << 26
+#: Unpacked bytes that are held and scanned at once. A stream that unpacks to more is scanned
+#: piece by piece, each with the last ``OVERLAP`` bytes of the one before, so that memory is
+#: bounded and no secret is lost at a cut.
+PIECE, OVERLAP = 1 << 26, 1 << 23
 
 _ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
@@ -39,11 +40,18 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 
-_URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
+#: Percent escapes; a percent sign that was escaped any number of times is one with what follows.
+_URL = re.compile(r"(?:%(?:25)*+(?:[0-9A-Fa-f]{2}|(?<=25)))+")
+_URL_BYTE = re.compile(r"%(?:25)*+([0-9A-Fa-f]{2})?")
 #: What percent encoders write for bytes: escapes and characters left as they are.
 _MIXED = re.compile(r"(?:%[0-9A-Fa-f]{2}|[!-$&-~])++")
-_BYTE = re.compile(r"%..|.")
-_UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
+_BYTE = re.compile(r"%([0-9A-Fa-f]{2})|.")
+#: The same with percent signs that were escaped again.
+_MIXED_AGAIN = re.compile(r"(?:%(?:25)*+(?:[0-9A-Fa-f]{2}|(?<=25))|[!-$&-~])++")
+_BYTE_AGAIN = re.compile(r"%(?:25)*+(?:([0-9A-Fa-f]{2})|(?<=25))|.")
+_UNICODE = re.compile(
+    r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"
+)
 
 _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_"
 _STANDARD = str.maketrans("-_", "+/")
@@ -54,7 +62,7 @@ _CUT = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9_-]{16,}={0,2}")
 _LINE, _LAST = re.compile(r"[A-Za-z0-9+/_-]+"), re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 #: Line breaks, real, continued or escaped, with the indent of the next line.
 _BREAK = re.compile(r"(?:\n|\r|\\\\*+[nr\n\r])(?:[ \t\n\r]|\\++[nr\n\r])*+")
-_STEP = 1 << 14  # bytes unpacked at a time
+_STEP, _PART = 1 << 14, 1 << 20  # bytes unpacked at a time, and bytes got from them
 _PACKED = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
 
 
@@ -109,15 +117,17 @@ def _decoded(data: bytes) -> tuple[str, np.ndarray]:
 
 
 def _url_part(part: str) -> tuple[str, np.ndarray]:
-    text, sizes = _decoded(bytes.fromhex(part.replace("%", "")))
-    return text, 3 * sizes
+    tokens = list(_URL_BYTE.finditer(part))
+    text, sizes = _decoded(bytes(int(t.group(1) or "25", 16) for t in tokens))
+    ends = np.array([t.end() for t in tokens])[np.cumsum(sizes) - 1]
+    return text, np.diff(ends, prepend=0)
 
 
 def _unicode_part(part: str) -> tuple[str, np.ndarray | None]:
     if part.startswith("&#"):
         return html.unescape(part), None
-    if part.startswith("\\u{"):
-        code = int(part[3:-1], 16)
+    if part.startswith(("\\u{", "\\U")):
+        code = int(part[2:].strip("{}"), 16)
         return chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else BAD, None
     if part.startswith("\\x"):
         return chr(int(part[2:], 16)), None
@@ -148,53 +158,102 @@ def _unescaped(layer: _Layer, pattern: re.Pattern, decode) -> _Layer | None:
     return _Layer("".join(texts), np.concatenate([*starts, layer.starts[at:]]), np.concatenate([*ends, layer.ends[at:]]))
 
 
-def _unpacked(data: bytes, at: int) -> tuple[bytes, int] | None:
-    """Content and end of the gzip, zlib, bzip2 or xz data that starts at ``at``; None if it is none of them."""
-    head, parts, size = data[at : at + 1], [], 0
+def _inflated(data: bytes, at: int) -> Iterator[bytes | int]:
+    """Content of the gzip, zlib, bzip2 or xz data that starts at ``at``, in small parts, then
+    where it ends. Raises an error if it is none of them or is cut off."""
+    head = data[at : at + 1]
+    machine = zlib.decompressobj(47) if head in b"\x1fx" else bz2.BZ2Decompressor() if head == b"B" else lzma.LZMADecompressor()
+    while not machine.eof and at < len(data):  # in steps, as what follows the end is copied
+        step = data[at : at + _STEP]
+        at += len(step)
+        while True:
+            if part := machine.decompress(step, _PART):
+                yield part
+            step = machine.unconsumed_tail if head in b"\x1fx" else b""
+            if machine.eof or (not step if head in b"\x1fx" else machine.needs_input):
+                break
+    if not machine.eof:
+        raise EOFError
+    yield at - len(machine.unused_data)
+
+
+def _unpacked(data: bytes, at: int) -> tuple[int, int, bytes | None] | None:
+    """End, unpacked size and, up to ``PIECE`` bytes, content of the stream that starts at
+    ``at``; None if there is none."""
+    parts: list[bytes] = []
+    size, end = 0, at
     try:
-        machine = zlib.decompressobj(47) if head in b"\x1fx" else bz2.BZ2Decompressor() if head == b"B" else lzma.LZMADecompressor()
-        while not machine.eof and at < len(data):  # in steps, as what follows the end is copied
-            step = data[at : at + _STEP]
-            parts.append(machine.decompress(step, MAX_UNPACKED + 1 - size))
-            size += len(parts[-1])
-            if size > MAX_UNPACKED:
-                return None
-            at += len(step)
+        for part in _inflated(data, at):
+            if isinstance(part, int):
+                end = part
+                continue
+            size += len(part)
+            if size > PIECE:
+                parts.clear()
+            else:
+                parts.append(part)
     except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
         return None
-    return (b"".join(parts), at - len(machine.unused_data)) if machine.eof else None
+    return end, size, b"".join(parts) if size <= PIECE else None
+
+
+def _pieces(data: bytes, starts: list[int]) -> Iterator[bytes]:
+    """Content of large streams that follow each other, unpacked once more, in pieces that
+    overlap."""
+    held = b""
+    for start in starts:
+        for part in _inflated(data, start):
+            if isinstance(part, int):
+                continue
+            held += part
+            while len(held) > PIECE:
+                yield held[:PIECE]
+                held = held[PIECE - OVERLAP :]
+    yield held
 
 
 def _streams(data: bytes) -> Iterator[tuple[int, int, bytes]]:
     """Start, end and content of the compressed streams inside ``data``, members that follow
-    each other joined, as long as they are within MAX_UNPACKED together."""
-    start = end = at = size = 0
+    each other joined; content over ``PIECE`` bytes comes in overlapping pieces."""
+    starts: list[int] = []
     parts: list[bytes] = []
+    end = at = size = 0
+
+    def joined() -> Iterator[tuple[int, int, bytes]]:
+        if starts:
+            for content in [b"".join(parts)] if size <= PIECE else _pieces(data, starts):
+                yield starts[0], end, content
+
     while m := _PACKED.search(data, at):
         at = m.start() + 1
         if one := _unpacked(data, m.start()):
-            if parts and (m.start() != end or size + len(one[0]) > MAX_UNPACKED):
-                yield start, end, b"".join(parts)
-                parts, size = [], 0
-            if not parts:
-                start = m.start()
-            parts.append(one[0])
-            size += len(one[0])
-            end = at = one[1]
-    if parts:
-        yield start, end, b"".join(parts)
+            if m.start() != end:
+                yield from joined()
+                starts, parts, size = [], [], 0
+            starts.append(m.start())
+            size += one[1]
+            if size <= PIECE:
+                parts.append(one[2])
+            else:
+                parts.clear()
+            end = at = one[0]
+    yield from joined()
 
 
 def _contents(data: bytes) -> Iterator[tuple[int, int, str]]:
     """Like ``_streams``, as text, with the streams inside of streams."""
-    work, seen = deque(_streams(data)), set()
+    work, seen = deque([(None, None, _streams(data))]), set()
     while work:
-        start, end, content = work.popleft()
-        if (start, content) in seen:
-            continue
-        seen.add((start, content))
-        work += [(start, end, inner) for _, _, inner in _streams(content)]
-        yield start, end, _decoded(content)[0]
+        start, end, inner = work.popleft()
+        for first, last, content in inner:
+            place = (first, last) if start is None else (start, end)
+            mark = (place[0], hashlib.blake2b(content, digest_size=16).digest())
+            if mark in seen:
+                continue
+            seen.add(mark)
+            yield *place, _BAD.sub(BAD, content.decode("utf-8", "surrogateescape"))
+            if _PACKED.search(content):
+                work.append((*place, _streams(content)))
 
 
 def _wrapped(text: str) -> Iterator[list[tuple[int, int]]]:
@@ -272,17 +331,27 @@ def _blobs(layer: _Layer) -> Iterator[_Layer]:
 
 
 def _escaped_streams(layer: _Layer) -> Iterator[_Layer]:
-    """Layers inside compressed bytes that are written as they are or as percent escapes."""
-    for m in _MIXED.finditer(layer.text) if "%" in layer.text else ():
-        if "%" not in m.group():
-            continue
-        plain = unquote_to_bytes(m.group())
-        for data in {plain, unquote_to_bytes(m.group().replace("+", " "))}:  # a plus may stand for a blank
-            if not _PACKED.search(data):
+    """Layers inside compressed bytes that are written as they are or as percent escapes,
+    escaped once or any number of times."""
+    ways = [(_MIXED, _BYTE)] if "%" in layer.text else []
+    for run, byte in [*ways, (_MIXED_AGAIN, _BYTE_AGAIN)] if "%25" in layer.text else ways:
+        for m in run.finditer(layer.text):
+            if "%" not in m.group():
                 continue
-            places = [m.start() + t.start() for t in _BYTE.finditer(m.group())] + [m.end()]
-            for first, last, text in _contents(data):
-                yield _Layer.inside(text, int(layer.starts[places[first]]), int(layer.ends[places[last] - 1]))
+            tokens = list(byte.finditer(m.group()))
+            plain = bytes(int(t.group(1), 16) if t.group(1) else ord(t.group()[0]) for t in tokens)
+            plus = {i for i, t in enumerate(tokens) if t.group() == "+"}  # may stand for a blank
+            other = bytes(32 if i in plus else c for i, c in enumerate(plain)) if plus else plain
+            for data in {plain, other}:
+                if not _PACKED.search(data):
+                    continue
+                places = [m.start() + t.start() for t in tokens] + [m.end()]
+                for first, last, text in _contents(data):
+                    yield _Layer.inside(text, int(layer.starts[places[first]]), int(layer.ends[places[last] - 1]))
+
+
+def _digest(text: str) -> bytes:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
 def find_secrets(text: str) -> list[tuple[int, int, int, int]]:
@@ -293,7 +362,7 @@ def find_secrets(text: str) -> list[tuple[int, int, int, int]]:
     work, seen = deque([(_Layer.whole(text), 0)] if _encoded(text) else []), set()
     while work:
         layer, depth = work.popleft()
-        mark = (layer.text, int(layer.starts[0]), int(layer.ends[-1]))
+        mark = (_digest(layer.text), int(layer.starts[0]), int(layer.ends[-1]))
         if mark in seen:
             continue
         seen.add(mark)

@@ -7,6 +7,8 @@ import hashlib
 import lzma
 import random
 import re
+import time
+import tracemalloc
 import zlib
 from collections import Counter
 from urllib.parse import quote, quote_plus, unquote_to_bytes
@@ -134,9 +136,61 @@ def test_the_span_of_an_escaped_secret_is_exact():
     assert text[slice(*[find_secrets(text)[0][i] for i in (0, 2)])] == "token%3Dabcdef"
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+def test_streams_of_any_size_are_scanned(pack, monkeypatch):
+    """In pieces that overlap: the secret is found wherever a cut falls, over members too."""
+    monkeypatch.setattr(secrets, "PIECE", 1_000)
+    monkeypatch.setattr(secrets, "OVERLAP", 100)
+    assert find_secrets(b64(pack(b"g " * 5_000))) == []
+    for before in (0, 880, 985, 999, 1_400, 1_885, 7_770):
+        plain = b"g" * before + b" " + SECRET.encode() + b" " + b"g" * 3_000
+        for data in (pack(plain), pack(plain[: before + 9]) + pack(plain[before + 9 :]), pack(pack(plain))):
+            blob = b64(data)
+            assert 0 in kinds_inside(f"x {blob} y", 2, 2 + len(blob))
+
+
+def test_memory_is_bounded_for_large_streams():
+    machine, blob = zlib.compressobj(), []
+    for i in range(200):
+        blob.append(machine.compress(b"a b " * (1 << 18)))
+        if i == 150:
+            blob.append(machine.compress(SECRET.encode()))
+    blob = b64(b"".join(blob) + machine.flush())
+    tracemalloc.start()
+    assert kinds_inside(blob, 0, len(blob)) == {0}
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500 << 20
+
+
+def test_chains_of_escaped_percent_signs_are_one_encoding():
+    start = time.process_time()
+    text = "%" + "25" * 50_000
+    tracemalloc.start()
+    find_secrets(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert time.process_time() - start < 5 and peak < 200 << 20
+    for n in (1, 2, 7, 40):
+        text = f"é token%{'25' * n}3Dabcdef%{'25' * n}20 x"
+        assert (2, 0, 2 + 8 + 2 * n + 6, 1) in find_secrets(text)
+    for pack in (gzip.compress, lzma.compress):
+        once = "".join(f"%{c:02x}" for c in pack(SECRET.encode()))
+        for text in (once, quote(once), quote(quote(quote(once)))):
+            assert 0 in kinds_inside(f"a {text} b", 2, 2 + len(text))
+    assert [f[:3] for f in find_secrets("x%2541%25") if f[3]] == []
+
+
+def test_long_unicode_escapes():
+    long = "".join(f"\\U{ord(c):08x}" for c in SECRET[:-1])
+    assert find_secrets(long) == [(0, 0, len(long), 1)]
+    assert find_secrets("\\U0001F600 \\U00000074oken=abcdef \\UFFFFFFFF") == [(11, 0, 32, 1)]
+
+
 def test_cycles_and_bombs_end(monkeypatch):
-    monkeypatch.setattr(secrets, "MAX_UNPACKED", 1000)
-    assert find_secrets(b64(gzip.compress(b"a" * 5000))) == []
+    monkeypatch.setattr(secrets, "PIECE", 1000)
+    monkeypatch.setattr(secrets, "OVERLAP", 100)
+    assert find_secrets(b64(gzip.compress(b"a" * 5000))) == [(0, 2, 56, 1)]  # one hexadecimal run, over several pieces
     text = "%25" * 50 + "41"
     assert find_secrets(text) == []
     for _ in range(12):
