@@ -94,13 +94,15 @@ def rules(text: Column, words: Column, m: dict[str, Column]) -> dict[str, Column
     }
 
 
-def rule_order(docs: DataFrame, conditions: dict[str, Column], sample_rows: int = SAMPLE_ROWS) -> list[str]:
-    """Names of the rules by rejection per cost, measured on about ``sample_rows`` rows."""
-    n = docs.count()
+def rule_order(texts: DataFrame, sample_rows: int = SAMPLE_ROWS) -> list[str]:
+    """Names of the rules by rejection per cost, measured on about ``sample_rows`` rows of the
+    texts; only those are split into words."""
+    conditions = rules(F.col(_TEXT), F.col(_WORDS), measures(F.col(_TEXT), F.col(_WORDS)))
+    n = texts.count()
     if not n:
         return list(conditions)
-    share = min(1.0, sample_rows / n)
-    sample = stored(docs.select(_TEXT, _WORDS).sample(fraction=share, seed=17), "rules-sample")
+    drawn = texts.select(_TEXT).sample(fraction=min(1.0, sample_rows / n), seed=17)
+    sample = stored(drawn.withColumn(_WORDS, words_of(F.col(_TEXT))), "rules-sample")
 
     def timed(condition: Column) -> tuple[float, float]:
         ask = sample.agg(F.avg(condition.cast("double")).alias("rejected"))
@@ -135,13 +137,13 @@ def quality_rules(
     length count, and no text is cut.
     """
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    base = docs.drop("kept", "rejected_by", *(MEASURES if report else []))
+    base = docs.drop("kept", "rejected_by", *(MEASURES if report else [])).withColumn(_TEXT, content)
+    if order is None:
+        order = rule_order(base, sample_rows)
     # a generator, since a filter on the verdict would carry the splitting into the lambdas,
     # to be done once per word, if the words came from a plain projection
-    base = base.withColumn(_TEXT, content).withColumn(_WORDS, F.explode(F.array(words_of(F.col(_TEXT)))))
+    base = base.withColumn(_WORDS, F.explode(F.array(words_of(F.col(_TEXT)))))
     measured = measures(F.col(_TEXT), F.col(_WORDS))
-    if order is None:
-        order = rule_order(base, rules(F.col(_TEXT), F.col(_WORDS), measured), sample_rows)
     if report:
         base = base.withColumns(measured)
         measured = {name: F.col(name) for name in MEASURES}
