@@ -24,16 +24,13 @@ from pyspark.sql import functions as F
 
 from olapflow.llm.base import stored
 from olapflow.llm.tokenizer import LONG, _Kept
-from olapflow.operators.window import bound_index, order_bounds, row_index
+from olapflow.operators.window import row_index
 
 #: Buckets of the models, labelled rows the target model is fitted on, smoothing counts of
 #: each bucket, n-grams of no evidence added to each text, strength of the weights against
 #: the noise.
 BUCKETS, TARGET_ROWS, SMOOTH, PRIOR, SHARPNESS = 1 << 16, 50_000, 1.0, 32, 64.0
 
-#: Rows one chunk of the ranking should hold.
-CHUNK_ROWS = 50_000
-
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _HASHES = _Kept(lambda w: xxhash.xxh64_intdigest(w))
 
@@ -128,9 +125,6 @@ def resample(
 def top_draws(weighed: DataFrame, share: float) -> DataFrame:
     """Mark the rows with the largest ``draw``, ``share`` of them, as ``kept``."""
     rows = weighed.count()
-    shuffle = int(weighed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = weighed.withColumn("__order", -F.col("draw"))
-    bounds = order_bounds(ordered, "__order", min(rows, max(rows // CHUNK_ROWS, shuffle)))
-    chunk = bound_index(F.col("__order"), bounds, ordered.schema["__order"].dataType)
-    ranked = row_index(ordered, [], ["__order", "doc_id"], "__rank", start=1, chunk=chunk)
+    ranked = row_index(ordered, [], ["__order", "doc_id"], "__rank", start=1)
     return ranked.withColumn("kept", F.col("__rank") <= math.floor(share * rows + 0.5)).drop("__order", "__rank")

@@ -137,7 +137,10 @@ def compare_with_next(
 
     One row per row of ``docs``: ``doc_id``, ``text`` (null as empty), ``edited_text``,
     their fingerprints, ``near_edited`` and ``near_next``, which are 0
-    below ``floor``. A single row is its own next.
+    below ``floor``. Rows go by ``doc_id``, null ids first; rows of one id, tied or repeated,
+    follow in the order of their texts, each with a next of its own. The next of the last row
+    is the first; a single row is its own. An empty table gives an empty result. Other columns
+    are not read, so their names may clash with those returned.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     if common is None:

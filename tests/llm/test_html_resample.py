@@ -14,6 +14,7 @@ import __spark_entry__ as driver
 import corpus_pipeline
 from olapflow.llm import html_text, resample
 from olapflow.llm.base import documents
+from olapflow.operators import window
 
 SF = "/root/testdata/sf0.001"
 
@@ -203,7 +204,7 @@ def test_weights_and_draws_against_brute_force(docs):
 
 
 def test_top_draws_over_many_chunks(spark, monkeypatch):
-    monkeypatch.setattr(resample, "CHUNK_ROWS", 7)
+    monkeypatch.setattr(window, "CHUNK_ROWS", 7)
     rows = [(i, float(i % 50)) for i in range(300)] + [(5, 49.0)] * 3
     out = resample.top_draws(spark.createDataFrame(rows, "doc_id long, draw double"), 0.3).collect()
     want = sorted(rows, key=lambda r: (-r[1], r[0]))[: math.floor(0.3 * len(rows) + 0.5)]
