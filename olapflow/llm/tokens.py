@@ -19,17 +19,21 @@ from pyspark.sql.types import LongType
 
 from olapflow.llm.tokenizer import LONG, _Kept, load
 
-#: Entries of the broadcast table, and entries each task reports for it.
-FREQUENT, REPORTED = 32_768, 8_192
+#: Entries of the broadcast table, documents it is drawn from (about), and words a task
+#: reports for it.
+FREQUENT, SAMPLED, REPORTED = 32_768, 2_000, 8_192
 
 _COUNTERS: dict = {}
 
 
-def frequent_words(docs: DataFrame, text: str = "text", size: int = FREQUENT) -> list[bytes]:
-    """The pre-tokens that are frequent over all documents, at most ``size`` of them.
+def frequent_words(docs: DataFrame, text: str = "text", size: int = FREQUENT, sampled: int = SAMPLED) -> list[bytes]:
+    """Frequent pre-tokens, at most ``size`` of them, from about ``sampled`` documents drawn
+    over the whole table.
 
-    Each task counts its own words and reports its ``REPORTED`` most frequent, so what
-    is shuffled are bounded summaries. Words over 64 bytes are left out.
+    Each task counts the words of its drawn documents and reports its ``REPORTED`` most
+    frequent to the driver: no pre-token is shuffled, and the reports are bounded by the
+    sample. Words over 64 bytes are left out. The table only saves work, so the sample
+    changes no count.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -45,9 +49,12 @@ def frequent_words(docs: DataFrame, text: str = "text", size: int = FREQUENT) ->
             [pa.array([w for w, _ in top], pa.binary()), pa.array([n for _, n in top], pa.int64())], ["word", "n"]
         )
 
-    reports = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(count, "word binary, n long")
-    ranked = reports.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
-    return [bytes(r.word) for r in ranked.collect()]
+    rows = docs.count()
+    drawn = docs.select(F.col(text).cast("string").alias("text")).sample(fraction=min(1.0, sampled / max(rows, 1)), seed=19)
+    total: Counter = Counter()
+    for word, n in drawn.mapInArrow(count, "word binary, n long").collect():
+        total[bytes(word)] += n
+    return sorted(total, key=lambda w: (-total[w], w))[:size]
 
 
 def _counter(path: str, mark: str, words: list[bytes]):

@@ -127,3 +127,11 @@ def test_like_texts_lie_near_on_the_curve():
     far = np.random.default_rng(2).integers(0, 40_000, 2_000)
     a, b, c = packing.hashed_vectors([one, near, far])
     assert a @ b > 0.95 > 0.5 > a @ c
+
+
+def test_the_frequent_table_needs_no_shuffle(spark, docs):
+    frame = docs([(i, "common words " + f"rare{i} " + "x" * 100, "s") for i in range(50)] + [(99, None, "s")]).repartition(5)
+    assert tokens.frequent_words(frame, size=2) == [b"common", b"words"]
+    assert tokens.frequent_words(docs([])) == [] and len(tokens.frequent_words(frame, sampled=5)) < 30
+    plan = frame.select(tokens.token_length(docs([(1, "a b", "s")]), __import__("public_tokenizers").path("word_bpe_49k.json")))
+    assert "Exchange hashpartitioning" not in plan._jdf.queryExecution().executedPlan().toString()
