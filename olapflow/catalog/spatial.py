@@ -100,26 +100,40 @@ def k05_holes(t):
     ).select("o_orderkey", "n_nationkey")
 
 
-@query("k05_covering_join_mixed_sizes", f"""WITH {SQL_POINTS},
-block AS (SELECT s_suppkey AS k, s_suppkey * 53 % 3590 / 10.0::DOUBLE - 180 AS x, s_suppkey * 29 % 1780 / 10.0::DOUBLE - 90 AS y FROM supplier),
+SQL_MIXED = f"""{SQL_POINTS},
+block AS (SELECT s_suppkey AS k, CAST(s_suppkey * 37 % 400 - 200 AS DOUBLE) AS x, CAST(s_suppkey * 17 % 200 - 100 AS DOUBLE) AS y FROM supplier WHERE s_suppkey % 3 > 0),
 box AS (SELECT k, x, y, x + 0.7::DOUBLE AS x1, y + 0.7::DOUBLE AS y1 FROM block
-  UNION ALL SELECT 2000000000, -170, -80, 170, 80)
-SELECT o_orderkey, min(k) AS region FROM pts JOIN box ON lon >= x AND lon < x1 AND lat >= y AND lat < y1 GROUP BY 1""")
-def k05_mixed(t):
-    """A continent and a block for every supplier; a block goes before the continent."""
+  UNION ALL SELECT 2000000000, -170, -80, 170, 80),
+cover AS (SELECT o_orderkey, min(k) AS region FROM pts JOIN box ON lon >= x AND lon < x1 AND lat >= y AND lat < y1 GROUP BY 1)"""
+
+
+def _mixed_regions(t):
+    """A continent and small blocks for two suppliers in three; a block goes before the continent."""
     k = F.col("s_suppkey")
-    blocks = t.supplier.select(
-        k.alias("region"), (k * 53 % 3590 / F.lit(10.0) - 180).alias("x"), (k * 29 % 1780 / F.lit(10.0) - 90).alias("y"), F.lit(0.7).alias("w"), F.lit(0.7).alias("h")
+    blocks = t.supplier.where("s_suppkey % 3 > 0").select(
+        k.alias("region"), (k * 37 % 400 - 200).cast("double").alias("x"), (k * 17 % 200 - 100).cast("double").alias("y"), F.lit(0.7).alias("w"), F.lit(0.7).alias("h")
     )
     land = t.region.where("r_regionkey = 0").select(F.lit(2_000_000_000).cast("bigint"), F.lit(-170.0), F.lit(-80.0), F.lit(340.0), F.lit(160.0))
     corner = lambda dx, dy: F.struct((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y"))
     none, w, h = F.lit(0.0), F.col("w"), F.col("h")
-    ring = F.array(corner(none, none), corner(w, none), corner(w, h), corner(none, h))
-    shapes = blocks.union(land).select("region", ring.alias("ring"))
-    out = geo.covering_join_tree(_points(t).select("o_orderkey", "lon", "lat"), "lon", "lat", shapes, "region", "ring")
+    return blocks.union(land).select("region", F.array(corner(none, none), corner(w, none), corner(w, h), corner(none, h)).alias("ring"))
+
+
+@query("k05_covering_join_mixed_sizes", f"WITH {SQL_MIXED} SELECT o_orderkey, region FROM cover")
+def k05_mixed(t):
+    out = geo.covering_join_tree(_points(t).select("o_orderkey", "lon", "lat"), "lon", "lat", _mixed_regions(t), "region", "ring")
     return out.select("o_orderkey", "region")
 
 
+@query("k06_covering_summary_mixed_sizes", f"""WITH {SQL_MIXED}
+SELECT region, count(*) AS count, CAST(sum(price) AS DOUBLE) AS total_price FROM cover JOIN pts USING (o_orderkey) GROUP BY 1""")
+def k06_mixed(t):
+    out = geo.covering_summary(
+        _points(t), "lon", "lat", _mixed_regions(t), "region", "ring", skip=["o_orderkey", "o_custkey"], mixed_sizes=True
+    )
+    return out.select("region", "count", F.col("total_price").cast("double").alias("total_price"))
+
+
 SQL_SUMMARY = f"""WITH {SQL_COVER}
 SELECT n_nationkey, count(*) AS count, CAST(sum(price) AS DOUBLE) AS total_price, CAST(sum(price) AS DOUBLE) / count(*) AS avg_price
 FROM cover JOIN pts USING (o_orderkey) GROUP BY 1"""

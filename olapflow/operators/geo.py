@@ -226,10 +226,14 @@ def covering_join_tree(
 
 def covering_summary(
     points: DataFrame, lon: str, lat: str, regions: DataFrame, key: str, geometry: str,
-    size: float | None = None, skip: Sequence[str] = (),
+    size: float | None = None, skip: Sequence[str] = (), mixed_sizes: bool = False,
 ) -> DataFrame:
-    """Count, totals and averages of numeric columns per covering region, geometry attached."""
-    covered = covering_join(points, lon, lat, regions, key, geometry, size)
+    """Count, totals and averages of numeric columns per covering region, geometry attached.
+    ``mixed_sizes`` takes the quadtree, for regions of very different size."""
+    if mixed_sizes:
+        covered = covering_join_tree(points, lon, lat, regions, key, geometry)
+    else:
+        covered = covering_join(points, lon, lat, regions, key, geometry, size)
     stats = summarize_all(covered, [key], skip=[lon, lat, *skip])
     return stats.join(regions.select(key, geometry), key)
 

@@ -85,10 +85,11 @@ def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Co
         rows = df.count()
         return _ranges(df, order, rows).drop(_POS) if rows > CHUNK_ROWS else None
     counted = df.groupBy(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias(_AT))
-    large = stored(counted.where(F.col(_AT) > CHUNK_ROWS), "large-keys")
+    large = counted.where(F.col(_AT) > CHUNK_ROWS)
     rows = large.agg(F.sum(_AT)).first()[0]
     if not rows:
         return None
+    large = stored(large, "large-keys")
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__key{i}")) for i, k in enumerate(keys)])
     split = _ranges(df.join(large, same, "left_semi"), [*keys, *order], rows).drop(_POS)
     return split.unionByName(df.join(large, same, "left_anti").withColumn(_CHUNK, F.lit(_WHOLE)))
