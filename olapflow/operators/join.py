@@ -12,7 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from olapflow.operators.window import row_index
+from olapflow.operators.window import row_index, running_sum
+from olapflow.session import stored
 
 
 def _both(conds: Sequence[Column]) -> Column:
@@ -144,29 +145,47 @@ def _aligned_pieces(first: Column, last: Column) -> Column:
     return F.flatten(F.transform(F.sequence(F.lit(0), top), of_level))
 
 
+#: Points of a key in one bin of ``range_join_any``.
+BIN_POINTS = 16
+
+
 def range_join_any(
     facts: DataFrame, spans: DataFrame, point: str, lo: str, hi: str, finest: int = 1, on: Sequence[str] = ()
 ) -> DataFrame:
     """Rows whose ``point`` lies in [lo, hi), for spans of very different lengths in one table.
 
-    Units are those of ``range_join``; positions are multiples of ``finest`` units. A span
-    is split into aligned pieces whose sizes are powers of two, at most two of each size,
-    so a span of years has a few dozen and a short one has one or two. A point looks up
-    one piece of each size in use (at most 63, counted first). Pieces of a span do not
-    overlap, so a pair is found once; the exact bounds are checked after the join. Null
-    points and spans that are empty or have a null bound match nothing.
+    The points of a key are numbered in order, large keys in ranges over many tasks, and
+    each run of ``BIN_POINTS`` is a bin; the same pass counts the points before either end
+    of a span. A point is in one bin, and a span is copied once per bin in which it holds
+    points, so copies follow the rows of the result and not the length of spans, and a span
+    without points has none. Neither side is broadcast: its size on file says nothing of
+    its copies. The exact bounds are checked after the join. ``finest`` is kept for
+    callers; bins need no unit. Null points, null keys and spans that are empty or have a
+    null bound match nothing.
     """
-    at = lambda df, c: F.floor(_position(df, c) / F.lit(finest)).cast("bigint")
-    pieces = spans.where(F.col(lo) < F.col(hi)).withColumn("__piece", F.explode(_aligned_pieces(at(spans, lo), at(spans, hi))))
-    b = pieces.select(*spans.columns, F.col("__piece.level").alias("__level"), F.col("__piece.bin").alias("__bin"))
-    b = b.withColumnsRenamed({c: f"__{c}" for c in on})
-    levels = sorted(r[0] for r in b.select("__level").distinct().collect())  # 63 numbers at most
-    bins = [F.struct(F.lit(j).alias("__level"), F.shiftright(at(facts, point), j).alias("__bin")) for j in levels]
-    none = F.array().cast("array<struct<__level:int,__bin:bigint>>")
-    a = facts.select("*", F.inline(F.array(*bins) if bins else none))
-    cond = [a["__level"] == b["__level"], a["__bin"] == b["__bin"], a[point] >= b[lo], a[point] < b[hi]]
-    cond += [a[c] == b[f"__{c}"] for c in on]
-    return a.join(b, _both(cond)).drop("__level", "__bin", *[f"__{c}" for c in on])
+    keys = [f"__on{i}" for i in range(len(on))]
+    named = [F.col(c).alias(k) for c, k in zip(on, keys)]
+    known = lambda *columns: _both([F.col(c).isNotNull() for c in (*columns, *on)])
+    marked = stored(spans.where((F.col(lo) < F.col(hi)) & known(lo)).withColumn("__id", F.monotonically_increasing_id()), "spans")
+    points = facts.where(known(point)).select(*named, F.col(point).alias("__time"), F.lit(1).alias("__kind"), F.struct(*facts.columns).alias("__a"))
+    firsts = marked.select(*named, F.col(lo).alias("__time"), F.lit(-1).alias("__kind"), "__id", F.struct(*spans.columns).alias("__b"))
+    lasts = marked.select(*named, F.col(hi).alias("__time"), F.lit(0).alias("__kind"), "__id")
+    events = points.unionByName(firsts, allowMissingColumns=True).unionByName(lasts, allowMissingColumns=True)
+    # at equal times the ends of spans come before points
+    counted = running_sum(events, keys, ["__time", "__kind"], (F.col("__kind") == 1).cast("bigint"), "__n")
+    counted = stored(counted, "counted-points")
+    held = counted.where("__kind = 1").select(*keys, "__a", F.expr(f"(__n - 1) div {BIN_POINTS}").alias("__bin"))
+    ends = counted.where("__kind = 0").select("__id", F.col("__n").alias("__end"))
+    bounds = counted.where("__kind = -1").select(*keys, "__id", "__b", "__n").join(ends.hint("merge"), "__id").where("__n < __end")
+    bins = F.sequence(F.expr(f"__n div {BIN_POINTS}"), F.expr(f"(__end - 1) div {BIN_POINTS}"))
+    pieces = bounds.select(*keys, "__b", F.explode(bins).alias("__bin"))
+    out = held.join(pieces.hint("merge"), [*keys, "__bin"])
+    at = F.col("__a").getField(point)
+    out = out.where((at >= F.col("__b").getField(lo)) & (at < F.col("__b").getField(hi)))
+    return out.select(
+        *[F.col("__a").getField(c).alias(c) for c in facts.columns],
+        *[F.col("__b").getField(c).alias(c) for c in spans.columns if c not in on],
+    )
 
 
 def anti(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -227,6 +227,22 @@ def test_spans_of_all_lengths(spark):
     assert sorted((r.at.microsecond, r.s) for r in join.range_join_any(at, timed, "at", "lo", "hi").collect()) == [(500_000, 1), (500_000, 2), (750_000, 1)]
 
 
+def test_spans_of_all_lengths_are_not_broadcast(spark, monkeypatch):
+    """A point is a row of one bin, however many lengths of spans there are; hot keys, ties, nulls."""
+    monkeypatch.setattr(window, "CHUNK_ROWS", 50)
+    rng = random.Random(5)
+    points = [(rng.choice([0, 0, 0, 1, 2, None]), i, rng.randrange(300)) for i in range(400)]
+    spans = [(rng.choice([0, 0, 1, 3, None]), i, lo, lo + 2 ** rng.randrange(0, 40, 3)) for i, lo in enumerate(rng.randrange(300) for _ in range(120))]
+    a = spark.createDataFrame(points, "k int, p int, at bigint")
+    b = spark.createDataFrame(spans, "k int, s int, lo bigint, hi bigint")
+    out = join.range_join_any(a, b, "at", "lo", "hi", on=["k"])
+    want = sorted((p, s) for k, p, at in points for j, s, lo, hi in spans if k is not None and k == j and lo <= at < hi)
+    assert out.columns == ["k", "p", "at", "s", "lo", "hi"]
+    assert sorted((r.p, r.s) for r in out.collect()) == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "inline" not in plan
+
+
 def test_a_spine_is_made_by_many_tasks(spark):
     """Thirty million buckets without keys: blocks of them are dealt to tasks before they are made."""
     one = spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:00' AS t, 1 AS v")
