@@ -135,8 +135,9 @@ def covering_join(
     return first.select(*points.columns, F.col("__r.key").alias(key))
 
 
-#: Edges that a cell of the tree holds before it is cut, and levels of halving at most.
-CELL_EDGES, MOST_LEVELS = 16, 30
+#: Edges that a cell of the tree holds before it is cut, levels of halving at most, and copies
+#: of an edge in cells still too full, on average, beyond which no cell is cut.
+CELL_EDGES, MOST_LEVELS, MOST_COPIES = 16, 30, 32
 
 
 def quadtree(regions: DataFrame, key: str, geometry: str, cell_edges: int = CELL_EDGES) -> tuple[DataFrame | None, tuple]:
@@ -148,11 +149,18 @@ def quadtree(regions: DataFrame, key: str, geometry: str, cell_edges: int = CELL
     region brings a cell the edges that a ray from it can meet, or none if no edge touches
     the cell and it lies inside. A round works on the cells still too full, one row per
     region and cell; no row holds more than one region's edges.
+
+    What the lowest key decides is settled here: of regions of the same shape one is left,
+    and of those behind a region that holds a cell as a whole none. A cell stays as it is
+    where a cut does not part its edges, because they lie upon each other or meet in a
+    point: where most of them would be in one part and in others too.
     """
     own = regions.select(F.col(key).alias("key"), _edges(rings_of(regions, geometry)).alias("edges"))
-    own = own.where(F.size("edges") > 0)
+    lowest = F.min(F.struct("key")).alias("__low")
+    own = stored(own.where(F.size("edges") > 0).groupBy("edges").agg(lowest).select("__low.key", "edges"), "regions")
     ends = own.select(F.explode("edges").alias("e")).agg(
-        F.min(F.least("e.ax", "e.bx")), F.min(F.least("e.ay", "e.by")), F.max(F.greatest("e.ax", "e.bx")), F.max(F.greatest("e.ay", "e.by"))
+        F.min(F.least("e.ax", "e.bx")), F.min(F.least("e.ay", "e.by")), F.max(F.greatest("e.ax", "e.bx")), F.max(F.greatest("e.ay", "e.by")),
+        F.count(F.lit(1)),
     ).first()
     if ends[0] is None:
         return None, (0.0, 0.0, 1.0)
@@ -160,13 +168,13 @@ def quadtree(regions: DataFrame, key: str, geometry: str, cell_edges: int = CELL
     side = max(ends[2] - x0, ends[3] - y0, 1e-9) * 1.001
     u = lambda x: (x - F.lit(x0)) / F.lit(side)
     v = lambda y: (y - F.lit(y0)) / F.lit(side)
-    cells = own.select("key", F.lit(0).alias("level"), F.lit(0).cast("bigint").alias("cx"), F.lit(0).cast("bigint").alias("cy"), "edges", F.lit(False).alias("whole"))
+    cells = own.select("key", F.lit(0).alias("level"), F.lit(0).cast("bigint").alias("cx"), F.lit(0).cast("bigint").alias("cy"), "edges", F.lit(False).alias("whole"), F.lit(ends[4]).alias("was"))
     leaves, level = [], 0
     while True:
         level += 2
         size = F.lit(2.0**-level)
-        cut = cells.select("key", "whole", "edges", "cx", "cy", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("q"))
-        cut = cut.select("key", "whole", "edges", (F.col("cx") * 4 + F.col("q") % 4).alias("cx"), (F.col("cy") * 4 + F.expr("q div 4")).alias("cy"))
+        cut = cells.select("key", "whole", "edges", "was", "cx", "cy", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("q"))
+        cut = cut.select("key", "whole", "edges", "was", (F.col("cx") * 4 + F.col("q") % 4).alias("cx"), (F.col("cy") * 4 + F.expr("q div 4")).alias("cy"))
         left, bottom = F.col("cx") * size, F.col("cy") * size
         ahead = F.filter("edges", lambda e: (
             (u(F.greatest(e.ax, e.bx)) >= left) & (v(F.greatest(e.ay, e.by)) >= bottom) & (v(F.least(e.ay, e.by)) <= bottom + size)
@@ -177,15 +185,22 @@ def quadtree(regions: DataFrame, key: str, geometry: str, cell_edges: int = CELL
         cut = cut.withColumns({"near": ~F.col("whole") & near, "inside": F.col("whole") | (~near & middle)}).where("near or inside")
         made = stored(cut.select(
             "key", F.lit(level).alias("level"), "cx", "cy", F.when(F.col("inside"), F.slice("ahead", 1, 0)).otherwise(F.col("ahead")).alias("edges"),
-            F.col("inside").alias("whole"),
+            F.col("inside").alias("whole"), "was",
         ), "cells")
-        full = made.groupBy("cx", "cy").agg(F.sum(F.size("edges")).alias("n")).where(F.col("n") > cell_edges).select("cx", "cy")
+        front = made.where("whole").groupBy("cx", "cy").agg(lowest)
+        made = made.join(front, ["cx", "cy"], "left").where(F.col("__low").isNull() | (F.struct("key") <= F.col("__low"))).select(made.columns)
+        parent = [F.floor(F.col(c) / 4).alias(f"p{c}") for c in ("cx", "cy")]
+        sizes = made.groupBy("cx", "cy", *parent).agg(F.sum(F.size("edges")).alias("n"), F.max("was").alias("was"))
+        family = sizes.groupBy("pcx", "pcy").agg(F.sum("n").alias("family"))
+        parted = (F.col("n") * 4 < F.col("was") * 3) | (F.col("family") < F.col("was") * 2)
+        full = sizes.join(family, ["pcx", "pcy"]).where((F.col("n") > cell_edges) & parted).select("cx", "cy", "n")
         full = stored(full, "full-cells")
-        if level >= MOST_LEVELS or not full.count():
+        copies = full.agg(F.sum("n")).first()[0] or 0
+        if level >= MOST_LEVELS or not copies or copies > MOST_COPIES * ends[4]:
             leaves.append(made)
             break
         leaves.append(made.join(full, ["cx", "cy"], "left_anti").select(made.columns))
-        cells = made.join(full, ["cx", "cy"], "left_semi").select(made.columns)
+        cells = made.drop("was").join(full, ["cx", "cy"]).withColumnRenamed("n", "was").select(made.columns)
     region = F.struct("key", "whole", "edges")
     return reduce(DataFrame.unionByName, leaves).groupBy("level", "cx", "cy").agg(F.array_sort(F.collect_list(region)).alias("__regions")), (x0, y0, side)
 

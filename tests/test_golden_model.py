@@ -308,3 +308,23 @@ def test_holes_in_a_quadtree(spark):
     frame = spark.createDataFrame([(1, [square(0.0, 10.0), square(4.0, 6.0)])], "k int, shape array<array<struct<x:double,y:double>>>")
     df = spark.createDataFrame([(1, 5.0, 5.0), (2, 1.0, 1.0), (3, 11.0, 1.0), (4, 6.5, 5.0)], "i int, x double, y double")
     assert [r.i for r in geo.covering_join_tree(df, "x", "y", frame, "k", "shape").orderBy("i").collect()] == [2, 4]
+
+
+def test_regions_upon_each_other_end_the_cuts(spark):
+    """Copies of blocks, exact and shifted by next to nothing, on and in a continent."""
+    rng = random.Random(9)
+    block = lambda x, y, w: [(x, y), (x + w, y), (x + w, y + w), (x, y + w)]
+    shapes = {500 + i: block(10.0 * (i % 7) + (i // 7 % 2) * i * 1e-9, 10.0 * (i % 3), 0.7) for i in range(300)}
+    shapes |= {10_000: block(-80.0, -80.0, 160.0), 20_000: block(1.0, 1.0, 30.0), 400: block(40.0, -5.0, 9.0)}
+    frame = spark.createDataFrame([(k, [{"x": x, "y": y} for x, y in r]) for k, r in shapes.items()], "k int, ring array<struct<x:double,y:double>>")
+    points = [(x + rng.uniform(-0.1, 0.8), y + rng.uniform(-0.1, 0.8)) for r in shapes.values() for x, y in r[:1]]
+    points += [(rng.uniform(-90, 90), rng.uniform(-90, 90)) for _ in range(200)]
+    df = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(points)], "i int, x double, y double")
+    got = sorted((r.i, r.k) for r in geo.covering_join_tree(df, "x", "y", frame, "k", "ring").collect())
+    want = []
+    for i, (x, y) in enumerate(points):
+        hit = [k for k, r in shapes.items() if inside(r, x, y)]
+        want += [(i, min(hit))] if hit else []
+    assert got == want
+    tree, _ = geo.quadtree(frame, "k", "ring")
+    assert tree.agg(F.max("level")).first()[0] < 16 and tree.count() < 12 * 4 * len(shapes)
