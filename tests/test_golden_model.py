@@ -328,3 +328,13 @@ def test_regions_upon_each_other_end_the_cuts(spark):
     assert got == want
     tree, _ = geo.quadtree(frame, "k", "ring")
     assert tree.agg(F.max("level")).first()[0] < 16 and tree.count() < 12 * 4 * len(shapes)
+
+
+def test_summary_of_regions_upon_each_other(spark):
+    """Forty copies of a block on a continent: the lowest has the points, and the tree stays small."""
+    block = lambda k, x, w: (k, [{"x": a, "y": b} for a, b in ((x, x), (x + w, x), (x + w, x + w), (x, x + w))])
+    frame = spark.createDataFrame([block(100 + i, 0.0, 1.0) for i in range(40)] + [block(900, -50.0, 100.0)], "k int, ring array<struct<x:double,y:double>>")
+    df = spark.createDataFrame([(1, 0.5, 0.5, 2.0), (2, 0.25, 0.75, 3.0), (3, 30.0, 30.0, 5.0), (4, 99.0, 0.0, 7.0)], "i int, x double, y double, v double")
+    out = geo.covering_summary(df, "x", "y", frame, "k", "ring", skip=["i"], mixed_sizes=True)
+    assert sorted((r["k"], r["count"], r["total_v"]) for r in out.collect()) == [(100, 2, 5.0), (900, 1, 5.0)]
+    assert geo.quadtree(frame, "k", "ring")[0].count() < 200
