@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +31,58 @@ def _named(rows: Iterator[pd.DataFrame], names: Sequence[str]) -> Iterator[pd.Da
 
 _NULL = np.iinfo("int64").min
 
+#: Shards that keys are dealt to. One call of Python and one state sees to all keys of a
+#: shard, so the cost of a batch follows its rows and not the number of keys.
+SHARDS = 256
+
+
+def _sharded(stream: DataFrame, keys: Sequence[str], shards: int = SHARDS) -> DataFrame:
+    """The stream with ``__shard``, the same for all records of a key. Null keys have shards
+    of their own, apart from those that are flagged."""
+    nulls = sum((F.when(F.col(k).isNull(), 1 << i).otherwise(0) for i, k in enumerate(keys)), F.lit(0))
+    return stream.withColumn("__shard", (F.pmod(F.xxhash64(*keys), F.lit(shards)) + nulls * shards).cast("int"))
+
+
+def _flagged(stream: DataFrame, used: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Whole numbers outside ``used`` as a value and a flag for null, since pandas would make
+    floats of them beside a null, and their names."""
+    plain = [f for f in stream.schema if isinstance(f.dataType, T.IntegralType) and f.nullable and f.name not in used]
+    flags = {f"__null_{f.name}": F.col(f"`{f.name}`").isNull() for f in plain}
+    return stream.withColumns(flags | {f.name: F.coalesce(f"`{f.name}`", F.lit(0).cast(f.dataType)) for f in plain}), [f.name for f in plain]
+
+
+def _unflagged(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    return df.withColumns({c: F.when(~F.col(f"__null_{c}"), F.col(f"`{c}`")) for c in names}).drop(*[f"__null_{c}" for c in names])
+
+
+def _by(keys: Sequence[str], flagged: Sequence[str]) -> list[str]:
+    """The keys, with their flags."""
+    return [*keys, *[f"__null_{k}" for k in keys if k in flagged]]
+
+
+def _codes(frame: pd.DataFrame, keys: Sequence[str]) -> np.ndarray:
+    """A number from 0 for the key of each row; a null key is a key."""
+    return frame.groupby(list(keys), sort=False, dropna=False).ngroup().to_numpy()
+
+
+def _joined(frames: Sequence[pd.DataFrame]) -> pd.DataFrame:
+    """Frames of equal columns as one; whole numbers beside nulls stay whole."""
+    frames = [f for f in frames if len(f)] or list(frames[:1])
+    mixed = [c for c in frames[0].columns if len({f[c].dtype for f in frames}) > 1]
+    return pd.concat([f.astype(dict.fromkeys(mixed, object)) for f in frames], ignore_index=True)
+
+
+def _packed(frame: pd.DataFrame) -> bytes:
+    """A frame as one value of a state."""
+    table, sink = pa.Table.from_pandas(frame, preserve_index=False), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(value: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(bytes(value)).read_pandas()
+
 
 class _CountWindow(StatefulProcessor):
     """Sum and size of the open window per key; emits a row whenever ``n`` rows are in."""
@@ -322,32 +374,31 @@ def running_total_stream(
 class _Cache(StatefulProcessor):
     """The newest rows of a shard, written out as a new version whenever rows come."""
 
-    def __init__(self, id_col: str, ts: str, columns: Sequence[str], schema: str, rows: int | None, period_ms: int | None):
-        self.id, self.ts, self.columns, self.schema = id_col, ts, list(columns), schema
-        self.rows, self.period = rows, period_ms
+    def __init__(self, id_col: str, ts: str, columns: Sequence[str], rows: int | None, period_ms: int | None):
+        self.id, self.ts, self.columns, self.rows, self.period = id_col, ts, list(columns), rows, period_ms
 
     def init(self, handle) -> None:
-        self.kept = handle.getListState("kept", self.schema)
-        self.state = handle.getValueState("version", "version bigint")
+        self.state = handle.getValueState("kept", "version bigint, held binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        version = self.state.get()[0] + 1 if self.state.exists() else 0
-        at, clock = self.columns.index(self.id), self.columns.index(self.ts)
-        best = list(self.kept.get()) if self.kept.exists() else []
+        version, best = -1, []
+        if self.state.exists():
+            version, value = self.state.get()
+            best = [_unpacked(value)]
         for batch in _named(rows, [*self.columns, "shard"]):
-            values = batch[self.columns].astype(object).where(batch[self.columns].notna(), None)
-            new = [tuple(_OrderedTotals._plain(v) for v in row) for row in values.itertuples(index=False)]
-            best = self._evicted(best + new, at, clock)
-        self.kept.put(best)
-        self.state.update((version,))
-        yield pd.DataFrame([(*key, version, *row) for row in best], columns=["shard", "version", *self.columns])
-
-    def _evicted(self, rows: list[tuple], at: int, clock: int) -> list[tuple]:
-        if self.period is not None and rows:
-            times = _micros(pd.Series(pd.to_datetime([r[clock] for r in rows])))
-            rows = [r for r, t in zip(rows, times, strict=True) if t > times.max() - self.period * 1000]
+            best = [self._evicted(_joined([*best, self._evicted(batch[self.columns])]))]
+        self.state.update((version + 1, _packed(best[0])))
+        out = best[0].copy()
+        out.insert(0, "shard", key[0])
+        out.insert(1, "version", version + 1)
+        yield out
+
+    def _evicted(self, rows: pd.DataFrame) -> pd.DataFrame:
+        if self.period is not None and len(rows):
+            times = _micros(rows[self.ts])
+            rows = rows[times > times.max() - self.period * 1000]
         if self.rows is not None and len(rows) > self.rows:
-            rows = heapq.nlargest(self.rows, rows, key=lambda r: r[at])
+            rows = rows.sort_values(self.id, ascending=False, kind="stable").head(self.rows)
         return rows
 
     def close(self) -> None:
@@ -355,24 +406,28 @@ class _Cache(StatefulProcessor):
 
 
 def cache_stream(
-    stream: DataFrame, id_col: str, ts: str, rows: int | None = None, period_ms: int | None = None, shards: int = 8
+    stream: DataFrame, id_col: str, ts: str, rows: int | None = None, period_ms: int | None = None, shards: int | None = None
 ) -> DataFrame:
     """A cache fed by a stream: the newest ``rows`` rows by id, those of the last
     ``period_ms`` before the newest time, or both; older ones are evicted as new ones come.
 
     The stream is spread over ``shards`` by its id, and each holds that many rows or that
-    period itself, so what the whole cache must hold is among them. After each batch the
+    period itself, so what the whole cache must hold is among them. By default there are 8
+    for a number of rows, of which each holds all, and 64 for a period alone. After each batch the
     shards with new rows put out their content as a new ``version``; ``cached`` reads the
     newest. Ids must not be null.
     """
     if rows is None and period_ms is None:
         raise ValueError("a cache is bounded by rows or by a period")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema.fields)
+    shards = shards or (64 if rows is None else 8)
+    fed, flagged = _flagged(stream, [id_col, ts])
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fed.schema.fields)
     shard = F.pmod(F.xxhash64(id_col), F.lit(shards)).cast("int")
-    return stream.withColumn("shard", shard).groupBy("shard").transformWithStateInPandas(
-        statefulProcessor=_Cache(id_col, ts, stream.columns, schema, rows, period_ms),
+    out = fed.withColumn("shard", shard).groupBy("shard").transformWithStateInPandas(
+        statefulProcessor=_Cache(id_col, ts, fed.columns, rows, period_ms),
         outputStructType=f"shard int, version bigint, {schema}", outputMode="Update", timeMode="None",
     )
+    return _unflagged(out, flagged)
 
 
 def cached(versions: DataFrame) -> DataFrame:

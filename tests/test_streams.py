@@ -207,3 +207,19 @@ def test_count_windows_of_a_hot_key(spark, parts, tmp_path, monkeypatch):
             write(ranked.where((F.col("__r") >= lo) & (F.col("__r") < hi)).drop("__r"), i)
     want = window.count_window(events, ["user"], ["ts", "event_id"], 7, [F.sum("v").alias("total")])
     assert rows(stateful.count_windows(spark, str(tmp_path), 7), "user", "window_no", "total") == rows(want, "user", "window_no", "total")
+
+
+# ---------------------------------------------------------------- many keys in one state
+
+BIG = (1 << 53) + 1  # beyond what a float holds
+
+
+def test_a_cache_keeps_batches_and_not_rows(spark, tmp_path):
+    """A period is spread over many shards; what is older goes before rows are made."""
+    at = lambda b, i: f"2024-01-0{b + 1} {i % 24:02d}:00:00"
+    parts = [[(BIG + 100 * b + i, None if i % 4 == 0 else BIG + i, at(b, i)) for i in range(96)] for b in range(3)]
+    out = stateful.cache_stream(fed(spark, tmp_path, parts, "id bigint, n bigint, at string"), "id", "at", period_ms=36 * 3_600_000)
+    versions = batches.drain(out, "update", "cache")
+    assert versions.select("shard").distinct().count() > 8
+    kept = batches.cache_query(stateful.cached(versions), "id", "at", last_period_ms=18 * 3_600_000)
+    assert rows(kept, "id", "n") == sorted(((i, n) for i, n, when in parts[2] if when > "2024-01-03 05:00:00"), key=lambda t: tuple((v is None, str(v)) for v in t))
