@@ -85,33 +85,55 @@ def _unpacked(value: bytes) -> pd.DataFrame:
 
 
 class _CountWindow(StatefulProcessor):
-    """Sum and size of the open window per key; emits a row whenever ``n`` rows are in."""
+    """Sum and size of the open window of each key of a shard; a row for every ``n`` rows."""
 
     def __init__(self, columns: Sequence[str], keys: Sequence[str], value: str, n: int, order: Sequence[str]):
         self.columns, self.keys, self.value, self.n, self.order = list(columns), list(keys), value, n, list(order)
 
     def init(self, handle) -> None:
-        self.state = handle.getValueState("open", "window_no bigint, filled bigint, total double")
+        self.state = handle.getValueState("open", "held binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        window_no, filled, total = self.state.get() if self.state.exists() else (0, 0, 0.0)
-        rows = _named(rows, self.columns)
-        if self.order:  # the key's rows of one batch, in order
+        held = _unpacked(self.state.get()[0]) if self.state.exists() else None
+        rows = _named(rows, [*self.columns, "__shard"])
+        if self.order:  # the shard's rows of one batch, in order
             rows = [pd.concat(list(rows)).sort_values(self.order)]
         for batch in rows:
-            done = []
-            values = batch[self.value].to_numpy(dtype="float64")
-            at = 0
-            while at < len(values):
-                take = min(self.n - filled, len(values) - at)
-                total += float(values[at : at + take].sum())
-                filled, at = filled + take, at + take
-                if filled == self.n:
-                    done.append((*key, window_no, self.n, total))
-                    window_no, filled, total = window_no + 1, 0, 0.0
-            if done:
-                yield pd.DataFrame(done, columns=[*self.keys, "window_no", "n", "total"])
-        self.state.update((window_no, filled, total))
+            held, done = self._counted(held, batch)
+            if len(done):
+                yield done
+        self.state.update((_packed(held),))
+
+    def _counted(self, held: pd.DataFrame | None, batch: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+        """Open windows after a batch, and the windows it has filled."""
+        known = 0 if held is None else len(held)
+        named = batch[self.keys] if held is None else _joined([held[self.keys], batch[self.keys]])
+        named = named.reset_index(drop=True)
+        codes = _codes(named, self.keys)
+        size = int(codes.max()) + 1
+        first = np.full(size, len(codes))
+        np.minimum.at(first, codes, np.arange(len(codes)))
+        window_no, filled, total = np.zeros(size, "int64"), np.zeros(size, "int64"), np.zeros(size)
+        if known:
+            window_no[codes[:known]], filled[codes[:known]], total[codes[:known]] = held["window_no"], held["filled"], held["total"]
+        of, values = codes[known:], batch[self.value].to_numpy(dtype="float64")
+        by_key = np.argsort(of, kind="stable")
+        of, values = of[by_key], values[by_key]
+        starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+        at = np.arange(len(of)) - np.repeat(starts, np.diff(np.r_[starts, len(of)])) + filled[of]  # from the open window's start
+        no = at // self.n
+        parts = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (no[1:] != no[:-1])])
+        sums, of_part, no_part = np.add.reduceat(values, parts), of[parts], no[parts]
+        sums = sums + np.where(no_part == 0, total[of_part], 0.0)
+        full = (at[np.r_[parts[1:], len(of)] - 1] + 1) % self.n == 0
+        out = named.iloc[first[of_part[full]]].reset_index(drop=True)
+        out = out.assign(window_no=window_no[of_part[full]] + no_part[full], n=np.int64(self.n), total=sums[full])
+        rows = np.bincount(of, minlength=size)
+        ends = filled + rows
+        total[rows > 0] = 0.0
+        total[of_part[~full]] = sums[~full]
+        keys = named.iloc[first].reset_index(drop=True)
+        return keys.assign(window_no=window_no + ends // self.n, filled=ends % self.n, total=total), out
 
     def close(self) -> None:
         pass
@@ -121,17 +143,20 @@ def count_window_stream(stream: DataFrame, keys: Sequence[str], value: str, n: i
     """One row per key after every ``n`` records in arrival order.
 
     Records of one micro-batch have no order of their own: with ``order`` they are taken in
-    that order, for which a key's records of a batch are held together; without it they
-    pass through in Arrow batches as they come. State per key is three numbers. Needs the
-    RocksDB state store set in session.py.
+    that order, for which a shard's records of a batch are held together; without it they
+    pass through in Arrow batches as they come. State per key is three numbers, kept by
+    shard. Needs the RocksDB state store set in session.py.
     """
-    kinds = ", ".join(f"{k} {stream.schema[k].dataType.simpleString()}" for k in keys)
-    return stream.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=_CountWindow(stream.columns, keys, value, n, order),
+    fed, flagged = _flagged(stream.select(*dict.fromkeys([*keys, value, *order])), [value, *order])
+    by = _by(keys, flagged)
+    kinds = ", ".join(f"`{k}` {fed.schema[k].dataType.simpleString()}" for k in by)
+    out = _sharded(fed, by).groupBy("__shard").transformWithStateInPandas(
+        statefulProcessor=_CountWindow(fed.columns, by, value, n, order),
         outputStructType=f"{kinds}, window_no bigint, n bigint, total double",
         outputMode="Append",
         timeMode="None",
     )
+    return _unflagged(out, flagged)
 
 
 class _KeySums:

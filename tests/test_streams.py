@@ -214,6 +214,21 @@ def test_count_windows_of_a_hot_key(spark, parts, tmp_path, monkeypatch):
 BIG = (1 << 53) + 1  # beyond what a float holds
 
 
+def test_count_windows_of_many_keys_share_a_state(spark, tmp_path):
+    keys = [("a", BIG), ("a", BIG + 1), ("a", None), (None, BIG), (None, None), ("b", 1)]
+    parts = [[(*keys[i * 5 % 6], b * 40 + i, float(i % 4)) for i in range(n)] for b, n in enumerate((40, 1, 33))]
+    stream = fed(spark, tmp_path, parts, "a string, b bigint, i int, v double")
+    out = stateful.count_window_stream(stream, ["a", "b"], "v", 3, ["i"])
+    assert "__shard" in out._jdf.queryExecution().analyzed().toString()
+    want, seen = [], {}
+    for a, b, i, v in sum(parts, []):
+        seen.setdefault((a, b), []).append(v)
+    for (a, b), vs in seen.items():
+        want += [(a, b, w, 3, sum(vs[w * 3 : w * 3 + 3])) for w in range(len(vs) // 3)]
+    got = rows(batches.drain(out, "append", "cw"), "a", "b", "window_no", "n", "total")
+    assert got == sorted(want, key=lambda t: tuple((v is None, str(v)) for v in t))
+
+
 def test_a_cache_keeps_batches_and_not_rows(spark, tmp_path):
     """A period is spread over many shards; what is older goes before rows are made."""
     at = lambda b, i: f"2024-01-0{b + 1} {i % 24:02d}:00:00"
