@@ -251,34 +251,56 @@ def count_windows(spark: SparkSession, path: str, n: int) -> DataFrame:
 
 
 class _LateRows(StatefulProcessor):
-    """Highest time seen per key; each record is compared with it as it was before its batch."""
+    """Highest time seen of each key of a shard; each record is compared with it as it was
+    before its batch."""
 
-    def __init__(self, columns: Sequence[str], ts: str, allowed_ms: int, keep_ms: int):
-        self.columns, self.ts, self.allowed, self.keep = list(columns), ts, allowed_ms * 1000, keep_ms
+    def __init__(self, columns: Sequence[str], keys: Sequence[str], ts: str, allowed_ms: int, keep_ms: int):
+        self.columns, self.keys, self.ts, self.allowed, self.keep = list(columns), list(keys), ts, allowed_ms * 1000, keep_ms
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("mark", "high bigint, expires bigint")
+        self.state = handle.getValueState("marks", "held binary, timer bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        mark, expires = self.state.get() if self.state.exists() else (_NULL, -1)
-        high = mark
-        for batch in _named(rows, self.columns):
+        value, timer = self.state.get() if self.state.exists() else (None, -1)
+        held = None if value is None else _unpacked(value)
+        expires = max(timerValues.getCurrentWatermarkInMs(), 0) + self.keep if self.keep else -1
+        seen = [] if held is None else [held]
+        for batch in _named(rows, [*self.columns, "__shard"]):
+            batch = batch[self.columns].reset_index(drop=True)
             times = _micros(batch[self.ts])
+            named = batch[self.keys] if held is None else _joined([held[self.keys], batch[self.keys]])
+            codes = _codes(named, self.keys)
+            marks = np.full(int(codes.max()) + 1, _NULL)
+            if held is not None:
+                marks[codes[: len(held)]] = held["high"]
+            mark = marks[codes[len(named) - len(batch) :]]
             known = (times != _NULL) & (mark != _NULL)
             behind = np.where(known, mark - np.where(known, times, 0), 0)
-            late = known & (behind > self.allowed)
-            high = max(high, int(times.max(initial=_NULL)))
-            yield batch.assign(late=late, behind_ms=np.maximum(behind, 0) // 1000)
-        if self.keep:
-            if expires >= 0:
-                self.handle.deleteTimer(expires)
-            expires = max(timerValues.getCurrentWatermarkInMs(), 0) + self.keep
-            self.handle.registerTimer(expires)
-        self.state.update((high, expires))
+            yield batch.assign(late=known & (behind > self.allowed), behind_ms=np.maximum(behind, 0) // 1000)
+            seen.append(self._highest(batch[self.keys].assign(high=times, expires=np.int64(expires))))
+        self._keep(self._highest(_joined(seen)), timer)
+
+    def _highest(self, seen: pd.DataFrame) -> pd.DataFrame:
+        return seen.groupby(self.keys, sort=False, dropna=False, as_index=False)[["high", "expires"]].max()
+
+    def _keep(self, held: pd.DataFrame, timer: int) -> None:
+        """Keep the marks and see to a timer for the key that will have been silent first."""
+        wanted = int(held["expires"].min()) if self.keep and len(held) else -1
+        if timer != wanted:
+            if timer >= 0:
+                self.handle.deleteTimer(timer)
+            if wanted >= 0:
+                self.handle.registerTimer(wanted)
+        self.state.update((_packed(held), wanted))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.state.clear()  # a key that has been silent starts anew
+        held, fired = _unpacked(self.state.get()[0]), expiredTimerInfo.getExpiryTimeInMs()
+        left = held[held["expires"] >= max(fired + 1, timerValues.getCurrentWatermarkInMs())]  # silent keys start anew
+        if len(left):
+            self._keep(left, -1)  # the timer that fired is gone already
+        else:
+            self.state.clear()
         return iter([])
 
     def close(self) -> None:
@@ -292,15 +314,18 @@ def late_rows_stream(stream: DataFrame, keys: Sequence[str], ts: str, allowed_ms
     A record is late if its time ``ts`` lies more than ``allowed_ms`` before the highest
     time its key had shown in earlier micro-batches; records of one batch do not make
     each other late. A null time is never late. ``behind_ms`` is the distance to that
-    mark, 0 if none. State per key is one time. With ``keep_ms`` the stream must carry a
+    mark, 0 if none. State per key is two times, kept by shard. With ``keep_ms`` the stream must carry a
     watermark on its arrival time (a column other than ``ts``); a key that has been silent
     for that long is forgotten by an event-time timer.
     """
-    schema = T.StructType([*stream.schema.fields, T.StructField("late", T.BooleanType()), T.StructField("behind_ms", T.LongType())])
-    return stream.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=_LateRows(stream.columns, ts, allowed_ms, keep_ms), outputStructType=schema, outputMode="Append",
+    fed, flagged = _flagged(stream, [ts])
+    by = _by(keys, flagged)
+    schema = T.StructType([*fed.schema.fields, T.StructField("late", T.BooleanType()), T.StructField("behind_ms", T.LongType())])
+    out = _sharded(fed, by).groupBy("__shard").transformWithStateInPandas(
+        statefulProcessor=_LateRows(fed.columns, by, ts, allowed_ms, keep_ms), outputStructType=schema, outputMode="Append",
         timeMode="EventTime" if keep_ms else "None",
     )
+    return _unflagged(out, flagged)
 
 
 class _OrderedTotals(StatefulProcessor):

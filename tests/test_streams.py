@@ -229,6 +229,24 @@ def test_count_windows_of_many_keys_share_a_state(spark, tmp_path):
     assert got == sorted(want, key=lambda t: tuple((v is None, str(v)) for v in t))
 
 
+def test_late_rows_of_many_keys_share_a_state(spark, tmp_path):
+    at = lambda m: f"2024-01-01 {m // 60:02d}:{m % 60:02d}:00"
+    key = lambda i: None if i % 5 == 0 else BIG + i % 5
+    parts = [[(key(i), 100 * b + i, at(7 * i % 60 + 60 * (b % 2))) for i in range(20)] for b in range(3)]
+    out = stateful.late_rows_stream(fed(spark, tmp_path, parts, "k bigint, id int, made string"), ["k"], "made", 600_000)
+    assert "__shard" in out._jdf.queryExecution().analyzed().toString() and out.columns == ["k", "id", "made", "late", "behind_ms"]
+    want, high = [], {}
+    for part in parts:
+        mark = dict(high)
+        for k, i, made in part:
+            m = int(made[11:13]) * 60 + int(made[14:16])
+            behind = max(mark.get(k, m) - m, 0)
+            want.append((k, i, behind > 10, behind * 60_000))
+            high[k] = max(high.get(k, m), m)
+    got = batches.drain(out, "append", "late")
+    assert rows(got, "k", "id", "late", "behind_ms") == sorted(want, key=lambda t: tuple((v is None, str(v)) for v in t))
+
+
 def test_a_cache_keeps_batches_and_not_rows(spark, tmp_path):
     """A period is spread over many shards; what is older goes before rows are made."""
     at = lambda b, i: f"2024-01-0{b + 1} {i % 24:02d}:00:00"
