@@ -329,67 +329,80 @@ def late_rows_stream(stream: DataFrame, keys: Sequence[str], ts: str, allowed_ms
 
 
 class _OrderedTotals(StatefulProcessor):
-    """Records that wait for the watermark, and the total of those released."""
+    """Records of a shard that wait for the watermark, and the totals of those released."""
 
-    def __init__(self, ts: str, order: Sequence[str], value: str, columns: Sequence[str], schema: str):
-        self.ts, self.order, self.value, self.columns, self.schema = ts, list(order), value, list(columns), schema
+    def __init__(self, keys: Sequence[str], ts: str, order: Sequence[str], value: str, columns: Sequence[str]):
+        self.keys, self.ts, self.order, self.value, self.columns = list(keys), ts, list(order), value, list(columns)
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.schema)
-        self.state = handle.getValueState("total", "total string, timer bigint")
+        self.waiting = handle.getListState("waiting", "rows binary")
+        self.totals = handle.getValueState("totals", "held binary")
+        self.timer = handle.getValueState("timer", "timer bigint")
 
-    def _set(self, total: int, timer: int, first: int | None) -> None:
-        """Keep the total and see to a timer just after the earliest waiting record."""
+    def _set(self, timer: int, first: int | None) -> None:
+        """See to a timer just after the earliest waiting record."""
         wanted = -1 if first is None else first // 1000 + 1
         if timer != wanted:
             if timer >= 0:
                 self.handle.deleteTimer(timer)
             if wanted >= 0:
                 self.handle.registerTimer(wanted)
-        self.state.update((str(total), wanted))
+        self.timer.update((wanted,))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        total, timer = self.state.get() if self.state.exists() else ("0", -1)
+        timer = self.timer.get()[0] if self.timer.exists() else -1
         first = None
-        for batch in _named(rows, self.columns):
-            batch = batch[batch[self.ts].notna()]
+        for batch in _named(rows, [*self.columns, "__shard"]):
+            batch = batch.loc[batch[self.ts].notna(), self.columns]
             if len(batch):
                 low = int(_micros(batch[self.ts]).min())
                 first = low if first is None else min(first, low)
-                plain = batch[self.columns].astype(object).where(batch[self.columns].notna(), None)
-                self.waiting.appendList([tuple(self._plain(v) for v in row) for row in plain.itertuples(index=False)])
+                self.waiting.appendList([(_packed(batch),)])
         if first is not None and (timer < 0 or first // 1000 + 1 < timer):
-            self._set(int(total), timer, first)
-        elif not self.state.exists():
-            self.state.update((total, timer))
+            self._set(timer, first)
         return iter([])
 
-    @staticmethod
-    def _plain(value):
-        if isinstance(value, pd.Timestamp):
-            return value.to_pydatetime(warn=False)
-        return value.item() if isinstance(value, np.generic) else value
-
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        total = int(self.state.get()[0])
         mark = timerValues.getCurrentWatermarkInMs() * 1000
-        held = pd.DataFrame(list(self.waiting.get()), columns=self.columns, dtype=object)  # numbers beside nulls stay whole
-        times = _micros(pd.to_datetime(held[self.ts]))
-        ready = held[times <= mark].sort_values(self.order)
-        rest = times[times > mark]
+        rows = _joined([_unpacked(value) for value, in self.waiting.get()])
+        times = _micros(rows[self.ts])
+        ready, rest = rows[times <= mark], times[times > mark]
         if len(rest):
-            self.waiting.put([tuple(self._plain(v) for v in row) for row in held[times > mark].itertuples(index=False)])
+            self.waiting.put([(_packed(rows[times > mark]),)])
         else:
             self.waiting.clear()
-        running = []
-        for value in ready[self.value]:
-            total += 0 if value is None or value != value else int(value)
-            running.append(str(total))
-        # the timer that fired is gone already
-        self._set(total, -1, int(rest.min()) if len(rest) else None)
-        if running:
-            yield ready.assign(__running=running)
+        self._set(-1, int(rest.min()) if len(rest) else None)  # the timer that fired is gone already
+        if len(ready):
+            yield self._totalled(ready.sort_values(self.order).reset_index(drop=True))
+
+    def _totalled(self, ready: pd.DataFrame) -> pd.DataFrame:
+        """Records in order with the totals of their keys, which are kept."""
+        held = _unpacked(self.totals.get()[0]) if self.totals.exists() else None
+        known = 0 if held is None else len(held)
+        named = (ready[self.keys] if held is None else _joined([held[self.keys], ready[self.keys]])).reset_index(drop=True)
+        codes = _codes(named, self.keys)
+        totals = np.zeros(int(codes.max()) + 1, dtype=object)
+        if known:
+            totals[codes[:known]] = [int(v) for v in held["total"]]
+        units = ready[self.value].to_numpy(dtype="int64")
+        if max(map(abs, totals)) + np.abs(units.astype("float64")).sum() < 2**62:
+            totals = totals.astype("int64")
+        else:  # beyond 64 bits: Python's own numbers
+            units = units.astype(object)
+        of = codes[known:]
+        by_key = np.argsort(of, kind="stable")
+        sorted_of, upto = of[by_key], np.cumsum(units[by_key])
+        starts = np.flatnonzero(np.r_[True, sorted_of[1:] != sorted_of[:-1]])
+        base = totals[sorted_of[starts]] - (upto[starts] - units[by_key][starts])
+        running = np.empty_like(upto)
+        running[by_key] = upto + np.repeat(base, np.diff(np.r_[starts, len(of)]))
+        ends = by_key[np.r_[starts[1:], len(of)] - 1]
+        totals[of[ends]] = running[ends]
+        first = np.full(len(totals), len(codes))
+        np.minimum.at(first, codes, np.arange(len(codes)))
+        self.totals.update((_packed(named.iloc[first].reset_index(drop=True).assign(total=[str(v) for v in totals])),))
+        return ready.assign(__running=[str(v) for v in running.tolist()])
 
     def close(self) -> None:
         pass
@@ -401,23 +414,25 @@ def running_total_stream(
     """One running total per input record, in the order of event time, whatever order the
     records come in.
 
-    Records wait in the state of their key until the watermark of ``ts`` (set before) has
+    Records wait, as Arrow batches, in the state of their key's shard until the watermark of ``ts`` (set before) has
     passed them; an event-time timer then releases them by ``order``, which begins with
     ``ts``. The total is one value per key, exact to ``scale`` digits; nothing is written
     again per batch. Records later than the watermark, or without a time, are left out.
-    A null value counts as zero. A key's waiting records are held together, so their number
+    A null value counts as zero. A shard's waiting records are held together, so their number
     is that of the watermark's delay.
     """
     if order[0] != ts:
         raise ValueError("the order begins with the event time")
     units = (value.cast(f"decimal(18,{scale})") * 10**scale).cast("long")
-    fed = stream.withColumn("__units", units)
+    fed, flagged = _flagged(stream.withColumn("__units", F.coalesce(units, F.lit(0).cast("long"))), [*order, "__units"])
+    by = _by(keys, flagged)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fed.schema.fields)
-    out = fed.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=_OrderedTotals(ts, order, "__units", fed.columns, schema),
+    out = _sharded(fed, by).groupBy("__shard").transformWithStateInPandas(
+        statefulProcessor=_OrderedTotals(by, ts, order, "__units", fed.columns),
         outputStructType=f"{schema}, __running string", outputMode="Append", timeMode="EventTime",
     )
     exact = (F.col("__running").cast("decimal(38,0)") / F.lit(10**scale)).cast(f"decimal(38,{scale})")
+    out = _unflagged(out, flagged)
     return out.select(*[c for c in stream.columns if c != name], exact.alias(name))
 
 

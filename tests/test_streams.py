@@ -247,6 +247,24 @@ def test_late_rows_of_many_keys_share_a_state(spark, tmp_path):
     assert rows(got, "k", "id", "late", "behind_ms") == sorted(want, key=lambda t: tuple((v is None, str(v)) for v in t))
 
 
+def test_totals_of_many_keys_share_a_state(spark, tmp_path):
+    """Null and large keys, and totals beyond 64 bits."""
+    t = lambda b, i: f"2024-01-0{b + 1} 00:{i:02d}:00"
+    key = lambda i: None if i % 3 == 0 else BIG + i % 3
+    parts = [[(key(i), 50 * b + i, t(b, (i * 7) % 30), 9e15 if i % 3 == 1 else 1.25) for i in range(30)] for b in range(4)]
+    stream = fed(spark, tmp_path, parts, "k bigint, id int, at string, v double").withWatermark("at", "1 minute")
+    out = stateful.running_total_stream(stream, ["k"], "at", ["at", "id"], F.col("v"))
+    assert "__shard" in out._jdf.queryExecution().analyzed().toString()
+    want, total = {}, {}
+    for part in parts:
+        for k, i, at, v in sorted(part, key=lambda r: (r[2], r[1])):
+            total[k] = total.get(k, 0) + round(v * 100)
+            want[i] = (k, total[k])
+    got = {r.id: (r.k, int(r.running * 100)) for r in batches.drain(out, "append", "totals").collect()}
+    assert len(got) >= 110 and all(want[i] == v for i, v in got.items())
+    assert max(v for _, v in got.values()) > 1 << 64
+
+
 def test_a_cache_keeps_batches_and_not_rows(spark, tmp_path):
     """A period is spread over many shards; what is older goes before rows are made."""
     at = lambda b, i: f"2024-01-0{b + 1} {i % 24:02d}:00:00"
