@@ -386,9 +386,9 @@ def u06(t):
     import pandas as pd
 
     def summarise(pdf):
-        first, last = pdf.iloc[0], pdf.iloc[-1]
-        row = (first.user_id, first.block_no, len(pdf), first.event_id, last.event_id)
-        return pd.DataFrame([row], columns=["user_id", "block_no", "n", "first_event", "last_event"])
+        user, no, event = pdf["user_id"], pdf["block_no"], pdf["event_id"]
+        row = {"user_id": user.iat[0], "block_no": no.iat[0], "n": len(pdf), "first_event": event.iat[0], "last_event": event.iat[-1]}
+        return pd.DataFrame(row, index=[0])
 
     return udf.per_group(
         t.events.select("user_id", "ts", "event_id"), ["user_id"], ["ts", "event_id"], summarise,

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from olapflow.operators.window import row_index
 
@@ -66,16 +68,60 @@ def per_group(
     call of one task: for groups that fit into a task's memory.
 
     With ``block`` the groups are runs of that many rows of a key, numbered by
-    ``block_no``: choose it for functions that work on parts, where keys may be large.
+    ``block_no``: choose it for functions that work on parts, where keys may be large. Rows
+    come to Python sorted, in Arrow batches, and the function is called for each block in
+    them, so a block costs no more than the call.
     """
     if block is None:
         return df.groupBy(*keys).applyInPandas(lambda pdf: fn(pdf.sort_values(list(order))), schema)
     numbered = row_index(df, keys, order, "__i", chunk=chunk).withColumn("block_no", F.expr(f"__i div {int(block)}"))
+    names = [c for c in numbered.columns if c != "__i"]
+    # a null turns the whole numbers or flags of a batch into another type; a block's own nulls are put back
+    plain = {f.name: f.dataType for f in numbered.schema if f.name in names and isinstance(f.dataType, (T.IntegralType, T.BooleanType))}
+    nulls = {c: f"__null{i}" for i, c in enumerate(plain)}
+    dealt = numbered.withColumns({n: F.col(c).isNull() for c, n in nulls.items()}).repartition(*keys, "block_no")
+    dealt = dealt.sortWithinPartitions(*keys, "block_no", "__i")
+    dealt = dealt.withColumns({c: F.coalesce(c, F.lit(0).cast(kind)) for c, kind in plain.items()})
+
+    def calls(pdf: pd.DataFrame, bounds: Sequence[int]) -> list[pd.DataFrame]:
+        own, out = pdf[names], []
+        gone = {c: pdf[n].to_numpy() for c, n in nulls.items() if pdf[n].any()}
+        for a, b in zip(bounds, bounds[1:]):
+            group = own.iloc[a:b].reset_index(drop=True)
+            for c, at in gone.items():
+                if at[a:b].any():
+                    group[c] = group[c].astype(object if group[c].dtype == bool else "float64").mask(at[a:b], None)
+            out.append(fn(group))
+        return out
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return fn(pdf.sort_values("__i").drop(columns="__i"))
-
-    return numbered.groupBy(*keys, "block_no").applyInPandas(run, schema)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        open_block: list[pd.DataFrame] = []
+        for pdf in batches:
+            starts = np.flatnonzero(pdf["__i"].to_numpy() % block == 0).tolist()
+            if not starts:
+                open_block.append(pdf)
+                continue
+            out = []
+            if starts[0]:
+                open_block.append(pdf.iloc[: starts[0]])
+            if open_block:
+                whole = pd.concat(open_block)
+                out = calls(whole, [0, len(whole)])
+            yield from _results(out + calls(pdf, starts))
+            open_block = [pdf.iloc[starts[-1] :]]
+        if open_block:
+            whole = pd.concat(open_block)
+            yield from _results(calls(whole, [0, len(whole)]))
+
+    return dealt.mapInPandas(run, schema)
+
+
+def _results(frames: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Results of many calls as one frame; whole numbers beside nulls stay whole."""
+    frames = [f for f in frames if len(f)]
+    if frames:
+        mixed = [c for c in frames[0].columns if len({f[c].dtype for f in frames}) > 1]
+        yield pd.concat([f.astype(dict.fromkeys(mixed, object)) for f in frames] if mixed else frames, ignore_index=True)
 
 
 def register_functions(spark: SparkSession) -> None:

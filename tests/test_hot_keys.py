@@ -167,6 +167,34 @@ def test_small_keys_are_plain_windows(frame):
     assert "Union" not in out._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_blocks_are_called_from_arrow_batches(spark):
+    """Blocks across batches, null keys, large numbers beside nulls; no exchange of Python per block."""
+    import pandas as pd
+
+    big = (1 << 53) + 1
+    df = spark.range(2_500).selectExpr(
+        "CASE WHEN id % 7 = 0 THEN NULL ELSE id % 3 END AS k", "id AS i", f"CASE WHEN id = 11 THEN NULL ELSE {big} + id END AS v", "CASE WHEN id <> 11 THEN id > 5 END AS b"
+    )
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    try:
+        def ends(g):
+            kinds = f"{g.v.dtype},{g.b.dtype}"
+            return pd.DataFrame({"n": [len(g)], "first": [g.i.iloc[0]], "last": [g.i.iloc[-1]], "v": [None if g.v.hasnans else g.v.iloc[-1]], "kinds": [kinds]})
+
+        out = udf.per_group(df, ["k"], ["i"], ends, "n long, first long, last long, v long, kinds string", block=30)
+        got = sorted(tuple(r) for r in out.select("n", "first", "last", "v", "kinds").collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = []
+    for k in (None, 0, 1, 2):
+        ids = [i for i in range(2_500) if (None if i % 7 == 0 else i % 3) == k]
+        for a in range(0, len(ids), 30):
+            own = ids[a : a + 30]
+            want.append((len(own), own[0], own[-1], None if 11 in own else big + own[-1], "float64,object" if 11 in own else "int64,bool"))
+    assert got == sorted(want)
+    assert "MapInPandas" in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_functions_see_whole_groups(spark):
     import pandas as pd
 
