@@ -116,8 +116,10 @@ def profile(df: DataFrame, approx: bool = True, exact: Sequence[str] = ()) -> Da
 
 
 def inline(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """Small data written in the program."""
-    return spark.createDataFrame(list(rows), schema)
+    """Small data written in the program, as a local relation: Spark knows its size and does
+    not shuffle a large table by its few keys to join it."""
+    df = spark.createDataFrame(list(rows), schema)
+    return spark.createDataFrame(df.toArrow(), df.schema)
 
 
 def generate_rows(spark: SparkSession, n: int, **constants: object) -> DataFrame:
