@@ -146,7 +146,7 @@ def test_inline_rows_have_a_known_size(spark):
     made = [(1, "a", Decimal("1.50"), datetime.date(2024, 1, 1), datetime.datetime(2024, 1, 1, 2, 3, 4, 5), [1, None]), (None, None, None, None, None, None)]
     grid = tables.inline(spark, made, "k bigint, s string, d decimal(9,2), day date, at timestamp_ntz, xs array<int>")
     assert [tuple(r) for r in grid.collect()] == made and grid.schema.simpleString().startswith("struct<k:bigint,s:string,d:decimal(9,2)")
-    out = spark.range(100).selectExpr("id % 3 AS k", "id").join(grid, "k")
+    out = spark.range(3_000_000).selectExpr("id % 3 AS k", "id").join(grid, "k")
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and out.count() == 33
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and out.count() == 1_000_000
     assert tables.inline(spark, [], "k int").count() == 0
