@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from olapflow.functions import geo
 from olapflow.operators.agg import quantize, summarize_all
-from olapflow.session import checkpointed, stored
+from olapflow.session import checkpointed, stored, stored_measured
 
 
 def make_point(df: DataFrame, lon: str, lat: str, name: str = "geom") -> DataFrame:
@@ -156,26 +156,28 @@ def quadtree(regions: DataFrame, key: str, geometry: str, cell_edges: int = CELL
     point: where most of them would be in one part and in others too.
     """
     own = regions.select(F.col(key).alias("key"), _edges(rings_of(regions, geometry)).alias("edges"))
-    lowest = F.min(F.struct("key")).alias("__low")
-    own = stored(own.where(F.size("edges") > 0).groupBy("edges").agg(lowest).select("__low.key", "edges"), "regions")
-    ends = own.select(F.explode("edges").alias("e")).agg(
-        F.min(F.least("e.ax", "e.bx")), F.min(F.least("e.ay", "e.by")), F.max(F.greatest("e.ax", "e.bx")), F.max(F.greatest("e.ay", "e.by")),
-        F.count(F.lit(1)),
-    ).first()
-    if ends[0] is None:
+    lowest = F.min(F.struct("key")).alias("low")
+    low = lambda a, b: F.min(F.array_min(F.transform("edges", lambda e: F.least(e[a], e[b]))))
+    high = lambda a, b: F.max(F.array_max(F.transform("edges", lambda e: F.greatest(e[a], e[b]))))
+    own, ends = stored_measured(
+        own.where(F.size("edges") > 0).groupBy("edges").agg(lowest).select("low.key", "edges"), "regions",
+        x0=low("ax", "bx"), y0=low("ay", "by"), x1=high("ax", "bx"), y1=high("ay", "by"), edges=F.sum(F.size("edges")),
+    )
+    x0, y0 = ends["x0"], ends["y0"]
+    if x0 is None:
         return None, (0.0, 0.0, 1.0)
-    x0, y0 = ends[0], ends[1]
-    side = max(ends[2] - x0, ends[3] - y0, 1e-9) * 1.001
+    side = max(ends["x1"] - x0, ends["y1"] - y0, 1e-9) * 1.001
     u = lambda x: (x - F.lit(x0)) / F.lit(side)
     v = lambda y: (y - F.lit(y0)) / F.lit(side)
-    cells = own.select("key", F.lit(0).alias("level"), F.lit(0).cast("bigint").alias("cx"), F.lit(0).cast("bigint").alias("cy"), "edges", F.lit(False).alias("whole"), F.lit(ends[4]).alias("was"))
-    leaves, level = [], 0
-    while True:
-        level += 2
-        size = F.lit(2.0**-level)
-        cut = cells.select("key", "whole", "edges", "was", "cx", "cy", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("q"))
-        cut = cut.select("key", "whole", "edges", "was", (F.col("cx") * 4 + F.col("q") % 4).alias("cx"), (F.col("cy") * 4 + F.expr("q div 4")).alias("cy"))
-        left, bottom = F.col("cx") * size, F.col("cy") * size
+    root = {"level": F.lit(0), "size": F.lit(1.0), "cx": F.lit(0).cast("bigint"), "cy": F.lit(0).cast("bigint"), "whole": F.lit(False), "was": F.lit(ends["edges"]).cast("bigint")}
+
+    def cut_once(cells: DataFrame) -> DataFrame:
+        """The 4 x 4 parts of every cell, with the regions that touch or hold them. Level and
+        size are columns and not literals, so the code made for one round serves them all."""
+        cut = cells.select("key", "whole", "edges", "was", "cx", "cy", (F.col("level") + 2).alias("level"), (F.col("size") / 4).alias("size"), F.explode(F.sequence(F.lit(0), F.lit(15))).alias("q"))
+        cut = cut.withColumns({"cx": F.col("cx") * 4 + F.col("q") % 4, "cy": F.col("cy") * 4 + F.expr("q div 4")})
+        cut = cut.withColumns({"left": F.col("cx") * F.col("size"), "bottom": F.col("cy") * F.col("size")})
+        left, bottom, size = F.col("left"), F.col("bottom"), F.col("size")
         ahead = F.filter("edges", lambda e: (
             (u(F.greatest(e.ax, e.bx)) >= left) & (v(F.greatest(e.ay, e.by)) >= bottom) & (v(F.least(e.ay, e.by)) <= bottom + size)
         ))
@@ -183,25 +185,34 @@ def quadtree(regions: DataFrame, key: str, geometry: str, cell_edges: int = CELL
         near = F.exists("ahead", lambda e: u(F.least(e.ax, e.bx)) <= left + size)
         middle = edges_contain(F.col("ahead"), (left + size / 2) * F.lit(side) + F.lit(x0), (bottom + size / 2) * F.lit(side) + F.lit(y0))
         cut = cut.withColumns({"near": ~F.col("whole") & near, "inside": F.col("whole") | (~near & middle)}).where("near or inside")
-        made = stored(cut.select(
-            "key", F.lit(level).alias("level"), "cx", "cy", F.when(F.col("inside"), F.slice("ahead", 1, 0)).otherwise(F.col("ahead")).alias("edges"),
-            F.col("inside").alias("whole"), "was",
-        ), "cells")
+        kept = F.when(F.col("inside"), F.slice("ahead", 1, 0)).otherwise(F.col("ahead"))
+        return cut.select("key", "level", "size", "cx", "cy", kept.alias("edges"), F.col("inside").alias("whole"), "was")
+
+    cells, leaves, level = own.withColumns(root), [], 0
+    if ends["edges"] >= 64 * cell_edges:  # 16 cells would be too full on average: none is kept
+        cells, level = cut_once(cells), 2
+    while True:
+        level += 2
+        made = stored(cut_once(cells), "cells")
         front = made.where("whole").groupBy("cx", "cy").agg(lowest)
-        made = made.join(front, ["cx", "cy"], "left").where(F.col("__low").isNull() | (F.struct("key") <= F.col("__low"))).select(made.columns)
+        seen = F.col("low").isNull() | (F.struct("key") <= F.col("low"))
         parent = [F.floor(F.col(c) / 4).alias(f"p{c}") for c in ("cx", "cy")]
-        sizes = made.groupBy("cx", "cy", *parent).agg(F.sum(F.size("edges")).alias("n"), F.max("was").alias("was"))
-        family = sizes.groupBy("pcx", "pcy").agg(F.sum("n").alias("family"))
+        counts = made.join(front, ["cx", "cy"], "left").where(seen).groupBy("cx", "cy", *parent).agg(
+            F.sum(F.size("edges")).alias("n"), F.max("was").alias("was"), F.min("low").alias("low")
+        )
+        family = counts.groupBy("pcx", "pcy").agg(F.sum("n").alias("family"), F.collect_list(F.struct("cx", "cy", "n", "was", "low")).alias("parts"))
         parted = (F.col("n") * 4 < F.col("was") * 3) | (F.col("family") < F.col("was") * 2)
-        full = sizes.join(family, ["pcx", "pcy"]).where((F.col("n") > cell_edges) & parted).select("cx", "cy", "n")
-        full = stored(full, "full-cells")
-        copies = full.agg(F.sum("n")).first()[0] or 0
-        if level >= MOST_LEVELS or not copies or copies > MOST_COPIES * ends[4]:
-            leaves.append(made)
+        counts = family.select("family", F.inline("parts")).select("cx", "cy", "n", "low", ((F.col("n") > cell_edges) & parted).alias("full"))
+        counts, found = stored_measured(counts, "cell-counts", copies=F.sum(F.when(F.col("full"), F.col("n"))))
+        sized = made.drop("was").join(counts, ["cx", "cy"]).where(seen).withColumnRenamed("n", "was")
+        copies = found["copies"] or 0
+        if level >= MOST_LEVELS or not copies or copies > MOST_COPIES * ends["edges"]:
+            leaves.append(sized.select("key", "level", "cx", "cy", "edges", "whole"))
             break
-        leaves.append(made.join(full, ["cx", "cy"], "left_anti").select(made.columns))
-        cells = made.drop("was").join(full, ["cx", "cy"]).withColumnRenamed("n", "was").select(made.columns)
-    region = F.struct("key", "whole", "edges")
+        leaves.append(sized.where("not full").select("key", "level", "cx", "cy", "edges", "whole"))
+        cells = sized.where("full").select(made.columns)
+    bottom, top = F.array_min(F.transform("edges", lambda e: F.least(e.ay, e.by))), F.array_max(F.transform("edges", lambda e: F.greatest(e.ay, e.by)))
+    region = F.struct("key", "whole", "edges", bottom.alias("bottom"), top.alias("top"))
     return reduce(DataFrame.unionByName, leaves).groupBy("level", "cx", "cy").agg(F.array_sort(F.collect_list(region)).alias("__regions")), (x0, y0, side)
 
 
@@ -220,10 +231,11 @@ def covering_join_tree(
     kind = regions.schema[key].dataType
     if tree is None:
         return points.limit(0).withColumn(key, F.lit(None).cast(kind))
-    tree = stored(tree.withColumnsRenamed({"level": "__level", "cx": "__cx", "cy": "__cy"}), "quadtree")
-    levels = sorted(r[0] for r in tree.select("__level").distinct().collect())
-    held = tree.agg(F.sum(F.aggregate("__regions", F.lit(64), lambda n, r: n + 64 + 40 * F.size(r.edges)).cast("bigint"))).first()[0]
-    if held <= BROADCAST_BYTES:
+    held = F.sum(F.aggregate("__regions", F.lit(64), lambda n, r: n + 64 + 40 * F.size(r.edges)).cast("bigint"))
+    used = {f"level{n}": F.count(F.when(F.col("__level") == n, 1)) for n in range(2, MOST_LEVELS + 1, 2)}
+    tree, found = stored_measured(tree.withColumnsRenamed({"level": "__level", "cx": "__cx", "cy": "__cy"}), "quadtree", held=held, **used)
+    levels = [n for n in range(2, MOST_LEVELS + 1, 2) if found[f"level{n}"]]
+    if (found["held"] or 0) <= BROADCAST_BYTES:
         tree = F.broadcast(tree)
     x, y = F.col(lon).cast("double"), F.col(lat).cast("double")
     places = [
@@ -234,7 +246,8 @@ def covering_join_tree(
         for level in levels
     ]
     hits = points.select("*", F.inline(F.array(*places))).join(tree, ["__level", "__cx", "__cy"])
-    covers = F.filter("__regions", lambda r: r.whole | edges_contain(r.edges, x, y))
+    # no edge is crossed below or above them all, so most regions of a cell cost two comparisons
+    covers = F.filter("__regions", lambda r: r.whole | ((r.bottom <= y) & (y < r.top) & edges_contain(r.edges, x, y)))
     first = hits.select(*points.columns, F.explode(F.slice(covers, 1, 1)).alias("__r"))
     return first.select(*points.columns, F.col("__r.key").alias(key))
 

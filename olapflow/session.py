@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Runtime SQL settings the operators rely on at scale.
 RUNTIME_SETTINGS = {
@@ -93,3 +93,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_measured(df: DataFrame, label: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """``stored``, with aggregates of the rows taken by the job that writes them. A task that
+    runs twice may count twice, so nothing that must be exact may rest on a sum."""
+    seen = Observation()
+    out = stored(df.observe(seen, *[c.alias(name) for name, c in measures.items()]), label)
+    return out, seen.get

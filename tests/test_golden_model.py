@@ -338,3 +338,18 @@ def test_summary_of_regions_upon_each_other(spark):
     out = geo.covering_summary(df, "x", "y", frame, "k", "ring", skip=["i"], mixed_sizes=True)
     assert sorted((r["k"], r["count"], r["total_v"]) for r in out.collect()) == [(100, 2, 5.0), (900, 1, 5.0)]
     assert geo.quadtree(frame, "k", "ring")[0].count() < 200
+
+
+def test_few_jobs_make_a_tree(spark):
+    """401 shapes, the blocks with copies, in few jobs: short jobs were most of the time."""
+    block = lambda k, x, y, w, h: (k, [{"x": a, "y": b} for a, b in ((x, y), (x + w, y), (x + w, y + h), (x, y + h))])
+    blocks = [block(k, k * 37 % 400 - 200.0, k * 17 % 200 - 100.0, 0.7, 0.7) for k in range(1200)]
+    frame = spark.createDataFrame([*blocks, block(9999, -170.0, -80.0, 340.0, 160.0)], "k int, ring array<struct<x:double,y:double>>")
+    df = spark.createDataFrame([(k, k * 37 % 400 - 199.75, k * 17 % 200 - 99.5) for k in range(1200)] + [(-1, 0.9, 0.9), (-2, 300.0, 0.0)], "i int, x double, y double")
+    spark.sparkContext.setJobGroup("tree", "tree")
+    try:
+        out = geo.covering_join_tree(df, "x", "y", frame, "k", "ring")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("tree")) <= 30
+    assert {r.i: r.k for r in out.collect()} == {k: k % 400 for k in range(1200)} | {-1: 9999}
